@@ -96,7 +96,9 @@ def parse_messages(envelopes: DataFrame) -> DataFrame:
         jsonval.has_field(v, "file_size").alias("has_file_size"),
         jsonval.get_string(v, "file_hash").alias("file_hash"),
         jsonval.get_string(v, "mime_type").alias("mime_type"),
+        jsonval.has_field(v, "mime_type").alias("has_mime_type"),
         jsonval.get_string(v, "timestamp").alias("msg_timestamp"),
+        jsonval.has_field(v, "timestamp").alias("has_timestamp"),
         jsonval.get_string(v, "image_data").alias("image_data"),
         F.octet_length(F.col("value")).cast("long").alias("payload_bytes"),
     ])

@@ -93,14 +93,15 @@ def validate_messages(parsed: DataFrame, strict: bool = False, now: Column | Non
         (~binary.base64_decodable(F.col("image_data")), "bad_image_data"),
     ]
     if strict:
-        rules.append((mime.isNull(), "missing_mime_type"))
+        rules.append((~F.col("has_mime_type"), "missing_mime_type"))
     rules += [
         (F.length(mime) > T1_LIMITS["mime_type"], "mime_type_too_long"),
         (size.isNull() & F.col("has_file_size"), "bad_file_size"),
         (size.isNull(), "missing_file_size"),
+        (F.length(paths.object_key(now, F.col("filename"))) > T1_LIMITS["s3_path"], "s3_path_too_long"),
     ]
     if strict:
-        rules.append((ts_text.isNull(), "missing_timestamp"))
+        rules.append((~F.col("has_timestamp"), "missing_timestamp"))
     rules.append((ts_text.isNotNull() & uploaded.isNull(), "bad_timestamp"))
 
     reason = F.lit(None).cast("string")

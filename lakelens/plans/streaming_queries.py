@@ -1,9 +1,128 @@
-"""Streaming and batch-job queries (filled in with the streaming jobs)."""
+"""Queries that run the streaming jobs (availableNow) and the batch ingest job end to end.
+
+Inputs are the fixture envelopes/files that Spark derives from the driver tables,
+staged under the shared folder (``spark.checkpoint.dir``); each call uses a fresh
+folder.  The result is the table the job wrote, read back, so it must equal the
+batch query that computes the same rows.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakelens.config import JobConfig
+from lakelens.plans import oracle
+from lakelens.schemas import IMAGE_METADATA_FIELDS, PROCESSED_FIELDS
+from lakelens.session import pin_utc, work_path
+from lakelens.sinks import topics as topic_sinks
+from lakelens.sources import fixtures as fx
+from lakelens.streaming import jobs
+
+# Processing clocks of the staged runs.
+CONSUMER_CLOCK = "2024-03-01 00:00:00"
+BATCH_CLOCK = "2024-03-01 00:00:00"
+BATCH_AS_OF = "2024-03-15"
+
+
+def _config(base: str, **kw) -> JobConfig:
+    return JobConfig(
+        topic_root=f"{base}/topics",
+        object_root=f"{base}/objects",
+        metadata_table=f"{base}/image_metadata",
+        processed_table=f"{base}/image_uploads_processed_pg",
+        lake_table=f"{base}/image_uploads_processed_lake",
+        dead_letter_table=f"{base}/dead_letter",
+        **kw,
+    )
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document messages on a topic -> continuous consumer (drained) -> T1."""
+    pin_utc(spark)
+    base = work_path(spark, "stream-ingest")
+    cfg = _config(base)
+    topic_sinks.write_topic(fx.document_envelopes(spark, sf_dir), cfg.input_topic, cfg.topic_root, batch_id=0)
+    jobs.start_consumer(spark, cfg, f"{base}/_checkpoint", strict=True, available_now=True,
+                        clock=CONSUMER_CLOCK).awaitTermination()
+    return spark.read.parquet(cfg.metadata_table).select(*IMAGE_METADATA_FIELDS)
+
+
+def _run_processor(spark: SparkSession, sf_dir: str) -> JobConfig:
+    pin_utc(spark)
+    base = work_path(spark, "stream-processed")
+    cfg = _config(base)
+    topic_sinks.write_topic(fx.event_envelopes(spark, sf_dir), cfg.input_topic, cfg.topic_root, batch_id=0)
+    jobs.start_processor(spark, cfg, f"{base}/_checkpoint", available_now=True,
+                         clock=fx.PROCESSED_CLOCK).awaitTermination()
+    return cfg
+
+
+def stream_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event messages -> stream processor -> lake append table (T3)."""
+    cfg = _run_processor(spark, sf_dir)
+    return spark.read.parquet(cfg.lake_table).select(*PROCESSED_FIELDS)
+
+
+def stream_processed_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event messages -> stream processor -> keyed first-wins table (T2)."""
+    cfg = _run_processor(spark, sf_dir)
+    return spark.read.parquet(cfg.processed_table).select(*PROCESSED_FIELDS)
+
+
+def stream_processed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event messages -> stream processor -> processed topic records."""
+    cfg = _run_processor(spark, sf_dir)
+    from lakelens.sources.topics import read_topic
+    return read_topic(spark, cfg.output_topic, cfg.topic_root).select("key", "value", "partition", "offset")
+
+
+def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manual batch pipeline over the document files: ensure -> scan/produce -> drain/store -> retention."""
+    pin_utc(spark)
+    base = work_path(spark, "batch-ingest")
+    cfg = _config(base)
+    jobs.run_batch_ingest(spark, cfg, f"{base}/_checkpoint", files=fx.document_image_files(spark, sf_dir),
+                          clock=BATCH_CLOCK, as_of=BATCH_AS_OF)
+    return spark.read.parquet(cfg.metadata_table).select(
+        "filename", "file_hash", "file_size", "mime_type", "s3_path", "uploaded_at", "source_path")
+
+
+QUERIES = {
+    "stream_ingest": stream_ingest,
+    "stream_processed": stream_processed,
+    "stream_processed_keyed": stream_processed_keyed,
+    "stream_processed_topic": stream_processed_topic,
+    "batch_ingest": batch_ingest,
+}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    sql = oracle.oracle_sql()
+    docs = oracle._with(oracle.DOCS)
+    events = oracle._with(oracle.EVENTS)
+    return {
+        "stream_ingest": docs + f"""
+, firsts AS (
+  SELECT * FROM doc_msgs
+  QUALIFY row_number() OVER (PARTITION BY file_hash ORDER BY kafka_timestamp, kafka_partition, kafka_offset) = 1)
+SELECT row_number() OVER (ORDER BY kafka_timestamp, kafka_partition, kafka_offset, file_hash)::BIGINT AS id,
+       filename, file_hash, file_size, mime_type, 'images/2024/03/01/' || filename AS s3_path,
+       kafka_timestamp AS uploaded_at, filepath AS source_path, kafka_offset, kafka_partition,
+       TIMESTAMP '{CONSUMER_CLOCK}' AS processed_at
+FROM firsts""",
+        "stream_processed": sql["processed_append"],
+        "stream_processed_keyed": sql["processed_upsert"],
+        "stream_processed_topic": events + """
+SELECT msg_hash AS key,
+       CASE WHEN bad = 0 THEN '{"processed_at":"2024-03-01T00:00:00+00:00","raw":[1,2]}'
+            WHEN bad = 1 THEN '{"processed_at":"2024-03-01T00:00:00+00:00","raw":"text"}'
+            ELSE to_json({'processed_at': '2024-03-01T00:00:00+00:00', 'filename': filename, 'file_hash': msg_hash,
+                          'file_size': file_size, 'mime_type': mime_type}) END AS value,
+       (user_id % 3)::INTEGER AS partition, event_id::BIGINT AS offset
+FROM ev WHERE bad <> 2""",
+        "batch_ingest": docs + f"""
+SELECT filename, file_hash, file_size, mime_type, 'images/2024/03/01/' || filename AS s3_path,
+       TIMESTAMP '{BATCH_CLOCK}' AS uploaded_at, filepath AS source_path
+FROM doc_msgs QUALIFY row_number() OVER (PARTITION BY file_hash ORDER BY filename) = 1""",
+    }

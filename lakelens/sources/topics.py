@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakelens.config import MAX_FETCH_BYTES, MAX_PARTITION_FETCH_BYTES
 from lakelens.schemas import ENVELOPE
 
 
@@ -36,7 +37,7 @@ def read_topic(spark: SparkSession, topic: str, root: str | None = None,
         df = (spark.read.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
         return _kafka_columns(df)
-    return spark.read.schema(ENVELOPE).json(topic_path(root, topic))
+    return spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").json(topic_path(root, topic))
 
 
 def read_topic_stream(spark: SparkSession, topic: str, root: str | None = None,
@@ -50,13 +51,13 @@ def read_topic_stream(spark: SparkSession, topic: str, root: str | None = None,
         reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
                   .option("subscribe", topic).option("startingOffsets", starting_offsets)
                   .option("failOnDataLoss", "false"))
-        if max_bytes_per_trigger:
-            # Kafka source limits by records; bytes are bounded by the broker's max message size.
-            reader = reader.option("maxOffsetsPerTrigger", max(1, max_bytes_per_trigger // 1024))
+        # Consumer fetch limits pass through to the Kafka client.
+        reader = (reader.option("kafka.fetch.max.bytes", str(max_bytes_per_trigger or MAX_FETCH_BYTES))
+                  .option("kafka.max.partition.fetch.bytes", str(MAX_PARTITION_FETCH_BYTES)))
         return _kafka_columns(reader.load())
     if starting_offsets == "latest":
         raise ValueError("file-backed topics are read from the earliest file; 'latest' needs the Kafka source")
-    reader = spark.readStream.schema(ENVELOPE)
+    reader = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(topic_path(root, topic))
