@@ -53,11 +53,15 @@ def current_state(log: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def as_of(log: DataFrame, ts: str, key: str = KEY) -> DataFrame:
-    """Table state as of ``ts`` (inclusive); asking for a time before the first commit is an error."""
+    """Table state as of ``ts`` (inclusive); asking for a time before the first commit is an error.
+
+    The check is one aggregate over the ``committed_at`` column only.
+    """
     at = F.lit(ts).cast("timestamp_ntz")
-    first = log.select(F.min("committed_at")).scalar()
-    guard = F.when(at < first, F.raise_error(F.lit(f"no snapshot at or before {ts}"))).otherwise(F.lit(True))
-    return current_state(log.where(guard & (F.col("committed_at") <= at)), key)
+    first = log.agg(F.min("committed_at").cast("string")).first()[0]
+    if first is None or ts < first:
+        raise ValueError(f"no snapshot at or before {ts} (first commit: {first})")
+    return current_state(log.where(F.col("committed_at") <= at), key)
 
 
 def snapshots(log: DataFrame) -> DataFrame:
