@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NON_ALPHABET = r"[^A-Za-z0-9+/=]"
-_WELL_FORMED = r"^[A-Za-z0-9+/]*={0,2}$"
+# The standard base64 alphabet and its padding character.
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+_PAD = "="
 
 
 def sha256_hex(content: Column) -> Column:
@@ -16,22 +17,33 @@ def sha256_hex(content: Column) -> Column:
 
 def base64_text(content: Column) -> Column:
     """Standard base64 on one line (Spark chunks long output with CRLF; the alphabet has no CR/LF)."""
-    return F.regexp_replace(F.base64(content), r"[\r\n]", "")
+    return F.translate(F.base64(content), "\r\n", "")
+
+
+def _cleaned(text: Column) -> Column:
+    """The text without characters outside the alphabet and padding (as a lenient decoder drops them).
+
+    Two ``translate`` passes (character maps, no regex): the first collects the
+    foreign characters, the second deletes them.
+    """
+    foreign = F.translate(text, _ALPHABET + _PAD, "")
+    return F.when(foreign == "", text).otherwise(F.call_function("translate", text, foreign, F.lit("")))
 
 
 def base64_decodable(text: Column) -> Column:
-    """Lenient decoder rule: drop characters outside the alphabet, then padding must be whole."""
-    cleaned = F.regexp_replace(text, _NON_ALPHABET, "")
-    return F.coalesce(
-        cleaned.rlike(_WELL_FORMED) & ((F.length(cleaned) % 4) == 0),
-        F.lit(False),
-    )
+    """Lenient decoder rule: foreign characters are dropped; then padding may only close the text,
+    at most two characters of it, and the length must be a multiple of four."""
+    cleaned = _cleaned(text)
+    data_len = F.length(F.translate(cleaned, _PAD, ""))
+    pad_len = F.length(cleaned) - data_len
+    first_pad = F.instr(cleaned, _PAD)
+    ok = ((first_pad == 0) | (first_pad > data_len)) & (pad_len <= 2) & ((F.length(cleaned) % 4) == 0)
+    return F.coalesce(ok, F.lit(False))
 
 
 def decode_base64(text: Column) -> Column:
     """Bytes of base64 text, NULL when the text does not decode."""
-    cleaned = F.regexp_replace(text, _NON_ALPHABET, "")
-    return F.when(base64_decodable(text), F.unbase64(cleaned))
+    return F.when(base64_decodable(text), F.unbase64(_cleaned(text)))
 
 
 def byte_length(content: Column) -> Column:

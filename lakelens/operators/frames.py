@@ -16,3 +16,16 @@ def select_once(df: DataFrame, keep: list[str], fields: list[Column]) -> DataFra
     node that neither rule crosses.
     """
     return df.select(*[F.col(c) for c in keep], F.inline(F.array(F.struct(*fields))))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance an input that has fewer partitions than the cluster has cores.
+
+    A small file (one Parquet row group) scans as one task, which serialises the
+    per-row work after it (JSON parsing, hashing, geodesics).  Large inputs already
+    have many splits and are returned unchanged, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

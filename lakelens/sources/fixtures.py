@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from lakelens.functions import geo, paths, timefmt
 from lakelens.functions.jsonval import to_json_text
 from lakelens.operators import changelog, ingest
-from lakelens.sources.tables import read_table
+from lakelens.operators.frames import spread
+from lakelens.sources.tables import read_table as _read_table
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Driver table, rebalanced when it scans as fewer tasks than there are cores."""
+    return spread(_read_table(spark, sf_dir, name))
 
 # Fixed values of the stand-in mappings.
 FIXTURE_EPOCH = "2024-01-01 00:00:00"
