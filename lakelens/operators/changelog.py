@@ -108,8 +108,8 @@ def update_rows(log: DataFrame, predicate: Column, assignments: dict[str, Column
     new = hits.withColumns(assignments)
     new = new.withColumn("_old_day", F.col(PARTITION)).withColumn(PARTITION, F.to_date("uploaded_at"))
     updates = _stamp(new.drop("_old_day"), commit_id, committed_at, UPDATE)
-    moved = new.where(~F.col(PARTITION).eqNullSafe(F.col("_old_day"))).select(key)
-    unlinks = _stamp(hits.join(moved, key, "left_semi"), commit_id, committed_at, UNLINK)
+    moved = new.where(~F.col(PARTITION).eqNullSafe(F.col("_old_day"))).withColumn(PARTITION, F.col("_old_day"))
+    unlinks = _stamp(moved.drop("_old_day"), commit_id, committed_at, UNLINK)
     return updates.select(*log.columns).unionByName(unlinks.select(*log.columns))
 
 
