@@ -185,7 +185,8 @@ def metadata_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_keys_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = fx.document_messages(spark, sf_dir)
+    msgs = fx.document_messages(spark, sf_dir).select(
+        "filename", "file_hash", "file_size", "mime_type", *metadata.ARRIVAL_ORDER)
     objects = metadata.object_writes(msgs, F.col("kafka_timestamp"))
     return objects.select("object_key", "file_hash", "file_size", "mime_type", "n_writes")
 

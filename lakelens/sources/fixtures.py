@@ -17,9 +17,10 @@ from lakelens.operators.frames import spread
 from lakelens.sources.tables import read_table as _read_table
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table, rebalanced when it scans as fewer tasks than there are cores."""
-    return spread(_read_table(spark, sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, rebalance: bool = True) -> DataFrame:
+    """Driver table; tables with per-row work are rebalanced when they scan as fewer tasks than cores."""
+    df = _read_table(spark, sf_dir, name)
+    return spread(df) if rebalance else df
 
 # Fixed values of the stand-in mappings.
 FIXTURE_EPOCH = "2024-01-01 00:00:00"
@@ -89,7 +90,7 @@ def document_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingested_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B: the metadata table already holds the labelled documents (id = doc_id)."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = read_table(spark, sf_dir, "labels").select("doc_id")
+    labels = read_table(spark, sf_dir, "labels", rebalance=False).select("doc_id")
     return docs.join(labels, "doc_id", "left_semi").select(
         F.col("doc_id").alias("id"), F.sha2(F.col("text"), 256).alias("file_hash"))
 
@@ -197,7 +198,7 @@ def customer_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nation_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = read_table(spark, sf_dir, "nation")
+    n = read_table(spark, sf_dir, "nation", rebalance=False)
     return n.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"),
                     _scatter_point(F.col("n_nationkey").cast("long") + 1).alias("location"))
 
@@ -209,7 +210,7 @@ def _box_wkt(box) -> str:
 
 def region_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions with a box boundary built from WKT text (ST_MakePolygon(ST_GeomFromText(...)))."""
-    r = read_table(spark, sf_dir, "region")
+    r = read_table(spark, sf_dir, "region", rebalance=False)
     wkt = F.create_map(*[F.lit(x) for x in chain.from_iterable((k, _box_wkt(v)) for k, v in REGION_BOXES.items())])
     return r.select(
         F.col("r_regionkey").cast("long").alias("id"),
