@@ -97,10 +97,16 @@ def start_producer(spark: SparkSession, cfg: JobConfig, checkpoint: str, availab
 
 # ---------------------------------------------------------------- consumer (topic -> objects + metadata)
 
+def decode_values(batch: DataFrame, decoder=None) -> DataFrame:
+    """Apply a value decoder (a Column -> Column function, e.g. decompression) to the record values."""
+    return batch if decoder is None else batch.withColumn("value", decoder(F.col("value")))
+
+
 def consume_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: JobConfig, strict: bool = True,
-                  clock: str | None = None) -> Counters:
+                  clock: str | None = None, decoder=None) -> Counters:
     """Store one micro-batch of image messages: objects, first-wins metadata rows, dead letters."""
     pin_utc(spark)
+    batch = decode_values(batch, decoder)
     now = _clock_col(clock)
     checked = metadata.validate_messages(ingest.parse_messages(batch), strict=strict, now=now,
                                          max_bytes=cfg.max_message_bytes).persist()
@@ -144,13 +150,13 @@ def insert_metadata(spark: SparkSession, rows: DataFrame, path: str) -> int:
 
 
 def start_consumer(spark: SparkSession, cfg: JobConfig, checkpoint: str, strict: bool = True,
-                   available_now: bool = False, clock: str | None = None):
+                   available_now: bool = False, clock: str | None = None, decoder=None):
     """Input topic -> objects + T1 (S3/S4, R2-R5, R8, R10-R12)."""
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.starting_offsets, cfg.max_bytes_per_trigger)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        consume_batch(spark, batch, batch_id, cfg, strict, clock)
+        consume_batch(spark, batch, batch_id, cfg, strict, clock, decoder)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName("image-consumer")
     writer = writer.trigger(availableNow=True) if available_now else \
@@ -161,9 +167,10 @@ def start_consumer(spark: SparkSession, cfg: JobConfig, checkpoint: str, strict:
 # ---------------------------------------------------------------- stream processor (fan-out)
 
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: JobConfig,
-                  clock: str | None = None) -> Counters:
+                  clock: str | None = None, decoder=None) -> Counters:
     """One micro-batch of the processor: output topic, keyed table (T2) and lake append (T3)."""
     pin_utc(spark)
+    batch = decode_values(batch, decoder)
     t = processed.transform(batch, _clock_col(clock, utc=True)).persist()
     try:
         topics.write_topic(processed.output_records(t, cfg.output_topic), cfg.output_topic, cfg.topic_root,
@@ -191,13 +198,13 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
 
 
 def start_processor(spark: SparkSession, cfg: JobConfig, checkpoint: str, available_now: bool = False,
-                    clock: str | None = None):
+                    clock: str | None = None, decoder=None):
     """Input topic -> processed topic + T2 + T3 (S5, R2, R6, K2, K5, K6, K9); commit every 5 s."""
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.starting_offsets)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, batch_id, cfg, clock)
+        process_batch(spark, batch, batch_id, cfg, clock, decoder)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName("stream-processor")
     writer = writer.trigger(availableNow=True) if available_now else \

@@ -128,3 +128,21 @@ def test_batch_ingest_skips_known_and_counts(spark, scratch):
     third = jobs.run_batch_ingest(spark, cfg, f"{scratch}/ck", files=files.limit(0), clock=CLOCK, as_of="2024-05-01")
     assert third.expired_partitions >= 1
     assert t1().count() == 0
+
+
+def test_value_decoder_and_record_hook(spark, scratch):
+    """U3: a decoder Column function runs before parsing; U1: a pandas function maps record batches."""
+    cfg = _cfg(scratch)
+    env = fx.event_envelopes(spark, SF_SMALL).withColumn("value", F.base64(F.encode("value", "UTF-8")))
+    jobs.process_batch(spark, env, 0, cfg, clock=fx.PROCESSED_CLOCK,
+                       decoder=lambda v: F.decode(F.unbase64(v), "UTF-8"))
+    plain = fx.event_envelopes(spark, SF_SMALL)
+    t = processed.processed_rows(processed.transform(plain, F.lit(fx.PROCESSED_CLOCK).cast("timestamp_ntz")))
+    assert spark.read.parquet(cfg.lake_table).count() == t.count()
+
+    def upper(batches):
+        for pdf in batches:
+            yield pdf.assign(key=pdf["key"].str.upper())
+
+    mapped = jobs.map_records(plain.select("key", "value"), upper, "key string, value string")
+    assert mapped.where(F.col("key").rlike("[a-f]")).count() == 0
