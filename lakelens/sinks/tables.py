@@ -41,16 +41,29 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def insert_first_wins(spark: SparkSession, batch: DataFrame, path: str, schema: T.StructType,
-                      order_cols: list[str] = metadata.ARRIVAL_ORDER, key: str = "file_hash") -> DataFrame:
-    """Append the rows of ``batch`` whose key is new (``ON CONFLICT (key) DO NOTHING``); returns them.
+                      order_cols: list[str] = metadata.ARRIVAL_ORDER, key: str = "file_hash",
+                      partition_by: dict | None = None) -> int:
+    """Append the rows of ``batch`` whose key is new (``ON CONFLICT (key) DO NOTHING``).
 
-    Replaying the same batch inserts nothing the second time, since its keys now exist.
-    The returned frame is read back from what was written (no recomputation).
+    New rows get serial ids after the table's largest.  Returns how many were added;
+    replaying the same batch adds none, since its keys now exist.  ``partition_by``
+    maps partition column names to the Columns that derive them.
     """
     existing = read_or_empty(spark, path, schema)
     added = metadata.insert_first_wins(batch, existing, order_cols, key).select(*schema.fieldNames())
-    added.write.mode("append").parquet(path)
-    return added
+    for name, expr in (partition_by or {}).items():
+        added = added.withColumn(name, expr)
+    added = added.persist()
+    try:
+        n = added.count()
+        if n:
+            writer = added.write.mode("append")
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.parquet(path)
+        return n
+    finally:
+        added.unpersist()
 
 
 def upsert_first_wins(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType,
@@ -144,3 +157,17 @@ def write_jdbc(rows: DataFrame, url: str, table: str, properties: dict | None =
     for key, value in (properties or {}).items():
         writer = writer.option(key, value)
     writer.save()
+
+
+# ---------------------------------------------------------------- catalog lake table, bucketed by key
+
+def commit_lake_table(spark: SparkSession, change_rows: DataFrame, table: str, buckets: int,
+                      key: str = "id") -> None:
+    """Append change rows to a catalog table partitioned by day and bucketed by ``key``.
+
+    Bucketing keeps every version of a key in the same bucket file of each day, so
+    version resolution (``groupBy(key)``) and joins on the key read the buckets in
+    place instead of shuffling the table.
+    """
+    (change_rows.select(*LAKE_LOG_FIELDS).write.mode("append").format("parquet")
+     .partitionBy(PARTITION_COLUMN).bucketBy(buckets, key).sortBy(key).saveAsTable(table))

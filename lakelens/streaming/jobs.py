@@ -137,16 +137,8 @@ def consume_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
 
 def insert_metadata(spark: SparkSession, rows: DataFrame, path: str) -> int:
     """First-wins insert into T1 (partitioned by upload day); returns the number of rows added."""
-    existing = tables.read_or_empty(spark, path, IMAGE_METADATA)
-    added = metadata.insert_first_wins(rows, existing).select(*IMAGE_METADATA.fieldNames())
-    added = added.withColumn(METADATA_PARTITION, F.to_date("uploaded_at")).persist()
-    try:
-        n = added.count()
-        if n:
-            added.write.mode("append").partitionBy(METADATA_PARTITION).parquet(path)
-        return n
-    finally:
-        added.unpersist()
+    return tables.insert_first_wins(spark, rows, path, IMAGE_METADATA,
+                                    partition_by={METADATA_PARTITION: F.to_date("uploaded_at")})
 
 
 def start_consumer(spark: SparkSession, cfg: JobConfig, checkpoint: str, strict: bool = True,

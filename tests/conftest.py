@@ -16,7 +16,8 @@ def spark():
     from lakelens.session import build_session
 
     s = build_session(app_name="lakelens-tests", master="local[*]", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "4g"})
+                      extra={"spark.driver.memory": "4g",
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lakelens-warehouse-")})
     s.sparkContext.setLogLevel("ERROR")
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakelens-test-ckpt-"))

@@ -97,3 +97,16 @@ def test_append_once_is_idempotent(spark, scratch):
     assert not tables.append_once(spark, rows, path, 7)
     assert tables.append_once(spark, rows, path, 8)
     assert spark.read.parquet(path).count() == 20
+
+
+def test_bucketed_lake_table_resolves_without_shuffle(spark):
+    name = "lake_bucketed_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    log = fx.lake_change_log(spark, SF_SMALL)
+    tables.commit_lake_table(spark, log, name, buckets=8)
+    table = spark.table(name)
+    cur = changelog.current_state(table)
+    plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan, plan
+    assert _rows(cur) == _rows(changelog.current_state(log))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
