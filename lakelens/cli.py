@@ -35,9 +35,10 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     start = {"producer": jobs.start_producer, "processor": jobs.start_processor}.get(args.job)
     if args.job == "consumer":
-        query = jobs.start_consumer(spark, cfg, checkpoint, strict=not args.lenient, available_now=args.once)
+        query = jobs.start_consumer(spark, cfg, checkpoint, strict=not args.lenient, available_now=args.once,
+                                    name=f"lakelens-{args.job}")
     else:
-        query = start(spark, cfg, checkpoint, available_now=args.once)
+        query = start(spark, cfg, checkpoint, available_now=args.once, name=f"lakelens-{args.job}")
     query.awaitTermination()
     return 0
 

@@ -68,7 +68,7 @@ class JobConfig:
             "enable_postgres_sink": _env_bool("ENABLE_POSTGRES_SINK", "true"),
             "enable_iceberg_sink": _env_bool("ENABLE_ICEBERG_SINK", "true"),
             "poll_interval_seconds": int(os.getenv("POLL_INTERVAL", str(POLL_INTERVAL_SECONDS))),
-            "commit_interval_seconds": float(os.getenv("QUIX_COMMIT_INTERVAL", str(COMMIT_INTERVAL_SECONDS))),
+            "commit_interval_seconds": float(os.getenv("COMMIT_INTERVAL_SECONDS", str(COMMIT_INTERVAL_SECONDS))),
         }
         env.update(overrides)
         known = {f.name for f in fields(cls)}

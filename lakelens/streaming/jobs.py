@@ -81,15 +81,19 @@ def produce_batch(files: DataFrame, batch_id: int, cfg: JobConfig, clock: str |
         env.unpersist()
 
 
+def _named(writer, name: str | None):
+    return writer.queryName(name) if name else writer
+
+
 def start_producer(spark: SparkSession, cfg: JobConfig, checkpoint: str, available_now: bool = False,
-                   clock: str | None = None):
+                   clock: str | None = None, name: str | None = None):
     """Watched folder -> input topic (S1, R1, R7): each new file is sent once."""
     stream = file_sources.image_folder_stream(spark, cfg.watch_path, max_bytes_per_trigger=cfg.max_bytes_per_trigger)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         produce_batch(batch, batch_id, cfg, clock)
 
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName("image-producer")
+    writer = _named(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), name)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=f"{cfg.poll_interval_seconds} seconds")
     return writer.start()
@@ -142,7 +146,7 @@ def insert_metadata(spark: SparkSession, rows: DataFrame, path: str) -> int:
 
 
 def start_consumer(spark: SparkSession, cfg: JobConfig, checkpoint: str, strict: bool = True,
-                   available_now: bool = False, clock: str | None = None, decoder=None):
+                   available_now: bool = False, clock: str | None = None, decoder=None, name: str | None = None):
     """Input topic -> objects + T1 (S3/S4, R2-R5, R8, R10-R12)."""
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.starting_offsets, cfg.max_bytes_per_trigger)
@@ -150,7 +154,7 @@ def start_consumer(spark: SparkSession, cfg: JobConfig, checkpoint: str, strict:
     def run(batch: DataFrame, batch_id: int) -> None:
         consume_batch(spark, batch, batch_id, cfg, strict, clock, decoder)
 
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName("image-consumer")
+    writer = _named(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), name)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=f"{cfg.poll_interval_seconds} seconds")
     return writer.start()
@@ -190,7 +194,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
 
 
 def start_processor(spark: SparkSession, cfg: JobConfig, checkpoint: str, available_now: bool = False,
-                    clock: str | None = None, decoder=None):
+                    clock: str | None = None, decoder=None, name: str | None = None):
     """Input topic -> processed topic + T2 + T3 (S5, R2, R6, K2, K5, K6, K9); commit every 5 s."""
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.starting_offsets)
@@ -198,7 +202,7 @@ def start_processor(spark: SparkSession, cfg: JobConfig, checkpoint: str, availa
     def run(batch: DataFrame, batch_id: int) -> None:
         process_batch(spark, batch, batch_id, cfg, clock, decoder)
 
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).queryName("stream-processor")
+    writer = _named(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), name)
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=f"{cfg.commit_interval_seconds} seconds")
     return writer.start()
