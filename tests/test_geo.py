@@ -184,3 +184,23 @@ def test_vincenty_matches_haversine_scale():
     s, _ = geodesy.inverse(0.0, 0.0, 1.0, 0.0)
     assert s == pytest.approx(111_319.49, abs=0.01)
     assert math.isfinite(float(geodesy.inverse(0.0, 0.0, 179.5, 0.5)[0]))
+
+
+def test_nearly_antipodal_pairs():
+    s, _ = geodesy.inverse(0.0, 0.0, 179.5, 0.5)
+    assert float(s) == pytest.approx(19_936_288.579, abs=0.001)      # published reference value
+    exact = geodesy.inverse([0.0, 10.0], [0.0, 30.0], [180.0, -170.0], [0.0, -30.0])[0]
+    assert exact == pytest.approx([20_003_931.4586, 20_003_931.4586], abs=0.001)  # half meridian
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.floats(-180, 180), st.floats(-5, 5), st.floats(-1, 1), st.floats(-0.5, 0.5)),
+                min_size=1, max_size=30))
+def test_inverse_lands_on_target_near_antipodes(quads):
+    import numpy as np
+    lon1 = np.array([q[0] for q in quads]); lat1 = np.array([q[1] for q in quads])
+    lon2 = lon1 + 180 + np.array([q[2] for q in quads]); lat2 = -lat1 + np.array([q[3] for q in quads])
+    s, az = geodesy.inverse(lon1, lat1, lon2, lat2)
+    x, y = geodesy.direct(lon1, lat1, az, s)
+    assert np.abs(((x - lon2) + 180) % 360 - 180).max() < 1e-6 and np.abs(y - lat2).max() < 1e-6
+    assert (s <= 20_003_931.46).all()
