@@ -25,7 +25,9 @@ def spread(df: DataFrame) -> DataFrame:
     per-row work after it (JSON parsing, hashing, geodesics).  Large inputs already
     have many splits and are returned unchanged, so no shuffle is added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the plan as it is
         return df
-    return df.repartition(cores)
+    return df if parts >= cores else df.repartition(cores)
