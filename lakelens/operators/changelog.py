@@ -64,6 +64,23 @@ def as_of(log: DataFrame, ts: str, key: str = KEY) -> DataFrame:
     return current_state(log.where(F.col("committed_at") <= at), key)
 
 
+def as_of_many(log: DataFrame, timestamps: list[str], key: str = KEY, ts_col: str = "as_of_ts") -> DataFrame:
+    """Table states at several times in one pass: rows are repeated once per probe time they
+    precede (a literal array, so the fan-out is the number of probes) and resolved by one
+    aggregation on (probe, key).  One check against the first commit covers all probes."""
+    first = log.agg(F.min("committed_at").cast("string")).first()[0]
+    early = [t for t in timestamps if first is None or t < first]
+    if early:
+        raise ValueError(f"no snapshot at or before {early[0]} (first commit: {first})")
+    probes = F.array(*[F.lit(t).cast("timestamp_ntz") for t in timestamps])
+    tagged = log.withColumn(ts_col, F.explode(probes)).where(F.col("committed_at") <= F.col(ts_col))
+    order = F.struct(F.col("commit_id"), _is_live())
+    latest = (tagged.groupBy(ts_col, key)
+              .agg(F.max_by(F.struct(*[F.col(c) for c in log.columns]), order).alias("_v"))
+              .select(ts_col, "_v.*"))
+    return latest.where(_is_live())
+
+
 def snapshots(log: DataFrame) -> DataFrame:
     """One row per commit: time, id, parent, operation and record counts, newest first.
 

@@ -58,12 +58,7 @@ def lake_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fx.lake_change_log(spark, sf_dir)
-    frames = [changelog.as_of(log, ts).select(F.lit(ts).cast("timestamp_ntz").alias("as_of_ts"), *LAKE_FIELDS)
-              for ts in AS_OF_PROBES]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return changelog.as_of_many(log, AS_OF_PROBES).select("as_of_ts", *LAKE_FIELDS)
 
 
 def lake_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:

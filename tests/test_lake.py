@@ -23,6 +23,16 @@ def test_as_of_latest_equals_current(log):
     assert _rows(changelog.as_of(log, "2030-01-01 00:00:00")) == _rows(changelog.current_state(log))
 
 
+def test_as_of_many_equals_single_probes(log):
+    probes = ["2024-01-10 00:00:00", "2024-02-01 12:00:00"]
+    many = changelog.as_of_many(log, probes)
+    for ts in probes:
+        one = changelog.as_of(log, ts)
+        assert _rows(many.where(F.col("as_of_ts") == F.lit(ts).cast("timestamp_ntz"))) == _rows(one)
+    with pytest.raises(ValueError):
+        changelog.as_of_many(log, ["2023-01-01 00:00:00"] + probes)
+
+
 def test_as_of_before_first_commit_fails(log):
     with pytest.raises(Exception, match="no snapshot"):
         changelog.as_of(log, "2023-12-31 00:00:00")
