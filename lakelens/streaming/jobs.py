@@ -113,11 +113,13 @@ def consume_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
     batch = decode_values(batch, decoder)
     now = _clock_col(clock)
     checked = metadata.validate_messages(ingest.parse_messages(batch), strict=strict, now=now,
-                                         max_bytes=cfg.max_message_bytes).persist()
+                                         max_bytes=cfg.max_message_bytes)
+    # The raw value (up to 25 MiB) is kept only for rows bound for the dead letter.
+    checked = checked.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).persist()
     try:
         valid = checked.where(F.col("reason").isNull())
         rejected = checked.where(F.col("reason").isNotNull())
-        n_rejected = rejected.count()
+        n_total, n_rejected = checked.agg(F.count(F.lit(1)), F.count("reason")).first()
         if n_rejected and cfg.dead_letter_table:
             tables.write_batch_output(rejected.select(
                 F.lit("consumer").alias("source"), "reason", "key", "value", "partition", "offset"),
@@ -134,7 +136,7 @@ def consume_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
         if cfg.metadata_table:
             added = insert_metadata(spark, rows, cfg.metadata_table)
             inserted = added
-        return Counters(processed=checked.count() - n_rejected, rejected=n_rejected, inserted=inserted)
+        return Counters(processed=n_total - n_rejected, rejected=n_rejected, inserted=inserted)
     finally:
         checked.unpersist()
 
@@ -167,7 +169,9 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
     """One micro-batch of the processor: output topic, keyed table (T2) and lake append (T3)."""
     pin_utc(spark)
     batch = decode_values(batch, decoder)
-    t = processed.transform(batch, _clock_col(clock, utc=True)).persist()
+    t = processed.transform(batch, _clock_col(clock, utc=True))
+    # The raw value is only needed for the dead letter of records that are not JSON.
+    t = t.withColumn("value", F.when(F.col("kind") == "invalid", F.col("value"))).persist()
     try:
         topics.write_topic(processed.output_records(t, cfg.output_topic), cfg.output_topic, cfg.topic_root,
                            cfg.bootstrap_servers, batch_id)
@@ -186,8 +190,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
             tables.append_once(spark, rows.select(*PROCESSED_FIELDS), cfg.lake_table, batch_id)
         if cfg.dead_letter_table:
             tables.write_batch_output(processed.dead_letters(t), f"{cfg.dead_letter_table}/processor", batch_id)
-        n = t.count()
-        bad = t.where(F.col("kind") == "invalid").count()
+        n, bad = t.agg(F.count(F.lit(1)), F.count(F.when(F.col("kind") == "invalid", 1))).first()
         return Counters(processed=n - bad, rejected=bad)
     finally:
         t.unpersist()
