@@ -166,16 +166,42 @@ def lake_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lake_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change log: one append commit per calendar day, then an update (101) and a delete (102)."""
+def _base_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     images = changelog.with_partition(lake_images(spark, sf_dir))
     day = F.col(changelog.PARTITION)
-    base = images.select(
+    return images.select(
         "*",
         (F.datediff(day, F.lit("2024-01-01").cast("date")) + 1).cast("long").alias("commit_id"),
         F.date_add(day, 1).cast("timestamp_ntz").alias("committed_at"),
         F.lit(changelog.APPEND).alias("op"),
     )
+
+
+def _stamp(rows: DataFrame, commit: tuple[int, str], op: str) -> DataFrame:
+    return (rows.withColumn("commit_id", F.lit(commit[0]).cast("long"))
+            .withColumn("committed_at", F.lit(commit[1]).cast("timestamp_ntz"))
+            .withColumn("op", F.lit(op)))
+
+
+def lake_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored change log: one append commit per calendar day, an update (101) and a delete (102).
+
+    Written out directly (no shuffle): the update rewrites the rows whose MIME type was
+    ``image/jpg``, the delete tombstones the rows older than the cutoff as they stood after
+    the update.  ``lake_change_log_via_operators`` builds the same rows with the UPDATE and
+    DELETE operators; a test keeps the two equal.
+    """
+    base = _base_commits(spark, sf_dir)
+    jpg = F.col("mime_type") == "image/jpg"
+    updated = _stamp(base.where(jpg).withColumn("mime_type", F.lit("image/jpeg")), UPDATE_COMMIT, changelog.UPDATE)
+    after = base.withColumn("mime_type", F.when(jpg, F.lit("image/jpeg")).otherwise(F.col("mime_type")))
+    deleted = _stamp(after.where(F.col("uploaded_at") < F.lit(DELETE_BEFORE).cast("date")), DELETE_COMMIT,
+                     changelog.DELETE)
+    return base.unionByName(updated).unionByName(deleted)
+
+
+def lake_change_log_via_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _base_commits(spark, sf_dir)
     updated = changelog.update_rows(base, F.col("mime_type") == "image/jpg", {"mime_type": F.lit("image/jpeg")},
                                     *UPDATE_COMMIT)
     log = base.unionByName(updated)

@@ -19,6 +19,11 @@ def log(spark):
     return fx.lake_change_log(spark, SF_SMALL).persist()
 
 
+def test_stored_log_equals_operator_built_log(spark, log):
+    cols = LAKE_FIELDS + ["uploaded_day", "commit_id", "committed_at", "op"]
+    assert _rows(log, cols) == _rows(fx.lake_change_log_via_operators(spark, SF_SMALL), cols)
+
+
 def test_as_of_latest_equals_current(log):
     assert _rows(changelog.as_of(log, "2030-01-01 00:00:00")) == _rows(changelog.current_state(log))
 
