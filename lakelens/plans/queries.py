@@ -26,7 +26,7 @@ RETENTION_AS_OF = "2024-02-05"
 EXPIRE_NOW = "2024-02-08 00:00:00"
 RADIUS_CENTER_NAME = "Customer#000000001"
 RADIUS_M = 5_000_000.0
-PAIR_RADIUS_M = 5_000_000.0
+PAIR_RADIUS_M = 500_000.0
 NEAR_RADIUS_M = 1_000.0
 GRID_SIZE = 0.1
 BUFFER_M = 10_000.0
@@ -240,12 +240,10 @@ def geo_points_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geo_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pts = fx.nation_locations(spark, sf_dir)
-    pairs = spatial.pairs_within(pts, "id", "location", PAIR_RADIUS_M)
-    names = pts.select("id", "name")
-    return (pairs.join(names.withColumnRenamed("id", "l_id").withColumnRenamed("name", "from_city"), "l_id")
-            .join(names.withColumnRenamed("id", "r_id").withColumnRenamed("name", "to_city"), "r_id")
-            .select("from_city", "to_city", F.round(F.col("distance_m") / 1000, 2).alias("distance_km"))
+    pts = fx.customer_locations(spark, sf_dir)
+    pairs = spatial.pairs_within(pts, "id", "location", PAIR_RADIUS_M, carry=("name",))
+    return (pairs.select(F.col("l_name").alias("from_city"), F.col("r_name").alias("to_city"),
+                         F.round(F.col("distance_m") / 1000, 2).alias("distance_km"))
             .orderBy("distance_km"))
 
 
@@ -282,7 +280,7 @@ def geo_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geo_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pts = fx.nation_locations(spark, sf_dir)
+    pts = fx.customer_locations(spark, sf_dir)
     return pts.select("name", geo.polygon_text(geo.geodesic_buffer(F.col("location"), BUFFER_M)).alias("buffer_10km"))
 
 
