@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakelens.config import MAX_MESSAGE_BYTES
 from lakelens.functions import binary, jsonval, paths, timefmt
 from lakelens.operators.frames import select_once
+from lakelens.operators.joins import anti_join_keys
 from lakelens.schemas import IMAGE_MESSAGE_FIELDS
 
 
@@ -45,12 +46,11 @@ def build_messages(files: DataFrame, clock: Column | None = None, keep: tuple[st
 def skip_already_ingested(candidates: DataFrame, ingested_hashes: DataFrame) -> DataFrame:
     """Candidates whose ``file_hash`` is not yet in the metadata table.
 
-    Duplicates inside one scan are kept (the first-wins insert resolves them).
-    The ingested side is reduced to distinct hashes first; the join strategy is
-    left to AQE (broadcast when the measured hash set is small, else sort-merge).
+    Duplicates inside one scan are kept (the first-wins insert resolves them).  A scan
+    with few distinct hashes probes the metadata table through a broadcast of its
+    hashes; a large one shuffles both sides on the hash (see ``joins.anti_join_keys``).
     """
-    hashes = ingested_hashes.select("file_hash").where(F.col("file_hash").isNotNull()).distinct()
-    return candidates.join(hashes, "file_hash", "left_anti")
+    return anti_join_keys(candidates, ingested_hashes, "file_hash")
 
 
 def to_envelopes(messages: DataFrame, topic: str, num_partitions: int = 3,

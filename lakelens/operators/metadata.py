@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakelens.config import MAX_MESSAGE_BYTES, RETENTION_DAYS
 from lakelens.functions import binary, paths, timefmt
 from lakelens.operators.ids import assign_serial_ids
+from lakelens.operators.joins import anti_join_keys
 from lakelens.schemas import IMAGE_METADATA_FIELDS, T1_LIMITS
 
 T1_COLUMNS = IMAGE_METADATA_FIELDS
@@ -54,7 +55,7 @@ def insert_first_wins(batch: DataFrame, target: DataFrame, order_cols: list[str]
     """Rows a first-wins insert adds to ``target``: first per key in the batch, keys already present
     skipped, new serial ids after the target's largest id, in arrival order."""
     first = first_wins(batch, key, order_cols)
-    new = first.join(target.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+    new = anti_join_keys(first, target, key)
     top = target.select(F.max("id")).scalar()
     return assign_serial_ids(new.drop("id") if "id" in new.columns else new, order_cols + [key], top)
 

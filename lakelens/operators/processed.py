@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakelens.functions import jsonval, timefmt
 from lakelens.operators.frames import select_once
+from lakelens.operators.joins import anti_join_keys
 from lakelens.operators.metadata import first_wins
 from lakelens.schemas import PROCESSED_FIELDS, T2_LIMITS
 
@@ -94,7 +95,7 @@ def upsert_rows(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame
     """Rows the keyed table gains: first per ``file_hash`` in arrival order, existing keys skipped."""
     first = first_wins(rows, "file_hash", ARRIVAL_ORDER)
     if existing is not None:
-        first = first.join(existing.select("file_hash").distinct(), "file_hash", "left_anti")
+        first = anti_join_keys(first, existing, "file_hash")
     return first.select(*PROCESSED_FIELDS)
 
 
