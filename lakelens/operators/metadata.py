@@ -135,9 +135,9 @@ def retention_delete(rows: DataFrame, as_of: str, days: int = RETENTION_DAYS) ->
     return rows.where(F.col("uploaded_at").isNull() | (F.col("uploaded_at") >= cutoff))
 
 
-def retention_expired(rows: DataFrame, as_of: str, days: int = RETENTION_DAYS) -> DataFrame:
-    cutoff = F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp_ntz")
-    return rows.where(F.col("uploaded_at") < cutoff)
+def orphan_objects(objects: DataFrame, metadata_rows: DataFrame) -> DataFrame:
+    """Stored objects that no metadata row points to (retention deletes rows, not objects)."""
+    return anti_join_keys(objects, metadata_rows.select(F.col("s3_path").alias("object_key")), "object_key")
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str = "id") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.operators import changelog, metadata
+from lakelens.operators.joins import anti_join_keys
 from lakelens.schemas import LAKE_LOG_FIELDS, PARTITION_COLUMN
 
 
@@ -67,10 +68,12 @@ def insert_first_wins(spark: SparkSession, batch: DataFrame, path: str, schema:
 
 
 def upsert_first_wins(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType,
-                      key: str = "file_hash") -> None:
-    """Keyed table without serial ids: append rows whose key is new."""
+                      order_cols: list[str], key: str = "file_hash") -> None:
+    """Keyed table without serial ids (``ON CONFLICT (key) DO NOTHING``): the first row per key in
+    the stated order is appended unless the key is already stored."""
     existing = read_or_empty(spark, path, schema)
-    fresh = rows.join(existing.select(key), key, "left_anti").select(*schema.fieldNames())
+    first = metadata.first_wins(rows, key, order_cols)
+    fresh = anti_join_keys(first, existing, key).select(*schema.fieldNames())
     fresh.write.mode("append").parquet(path)
 
 

@@ -178,8 +178,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
         rows = processed.processed_rows(t, keep_arrival=True)
         if cfg.enable_postgres_sink and cfg.processed_table:
             fits, too_long = processed.split_t2_limits(rows)
-            existing = tables.read_or_empty(spark, cfg.processed_table, PROCESSED_ROW)
-            processed.upsert_rows(fits, existing).write.mode("append").parquet(cfg.processed_table)
+            tables.upsert_first_wins(spark, fits, cfg.processed_table, PROCESSED_ROW, processed.ARRIVAL_ORDER)
             if cfg.dead_letter_table:
                 tables.write_batch_output(too_long.select(
                     F.lit("processed_table").alias("source"), F.lit("value_too_long").alias("reason"),

@@ -141,3 +141,13 @@ def test_envelope_size_split(spark):
     ok, big = ingest.split_by_size(env, 10_000)
     back = ingest.parse_messages(ok).first()
     assert back["file_hash"] == "h" and back["image_data"] == "x" * 50
+
+
+def test_orphan_objects_after_retention(spark):
+    meta = spark.createDataFrame([(1, "images/2024/01/01/a.jpg", "2024-01-01 00:00:00"),
+                                  (2, "images/2024/03/01/b.jpg", "2024-03-01 00:00:00")],
+                                 "id long, s3_path string, uploaded_at string") \
+        .withColumn("uploaded_at", F.col("uploaded_at").cast("timestamp_ntz"))
+    objs = spark.createDataFrame([("images/2024/01/01/a.jpg",), ("images/2024/03/01/b.jpg",)], "object_key string")
+    kept = metadata.retention_delete(meta, "2024-03-15")
+    assert [r["object_key"] for r in metadata.orphan_objects(objs, kept).collect()] == ["images/2024/01/01/a.jpg"]
