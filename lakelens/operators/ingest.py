@@ -46,9 +46,8 @@ def build_messages(files: DataFrame, clock: Column | None = None, keep: tuple[st
 def skip_already_ingested(candidates: DataFrame, ingested_hashes: DataFrame) -> DataFrame:
     """Candidates whose ``file_hash`` is not yet in the metadata table.
 
-    Duplicates inside one scan are kept (the first-wins insert resolves them).  A scan
-    with few distinct hashes probes the metadata table through a broadcast of its
-    hashes; a large one shuffles both sides on the hash (see ``joins.anti_join_keys``).
+    Duplicates inside one scan are kept (the first-wins insert resolves them).  The
+    ingested side is reduced to distinct hashes; AQE picks the join from measured sizes.
     """
     return anti_join_keys(candidates, ingested_hashes, "file_hash")
 

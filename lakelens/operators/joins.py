@@ -18,16 +18,19 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]
     return df, False
 
 
-def anti_join_keys(rows: DataFrame, target: DataFrame, key: str, max_broadcast_keys: int = 500_000) -> DataFrame:
+def anti_join_keys(rows: DataFrame, target: DataFrame, key: str, probe: bool = False,
+                   max_broadcast_keys: int = 500_000) -> DataFrame:
     """Rows whose ``key`` is not present in ``target`` (rows with a NULL key are kept).
 
-    When the rows' distinct keys are proven few (a micro-batch), they are broadcast and
-    semi-joined against the target's key column, so the growing target is scanned (one
-    column) but never shuffled; the keys found are broadcast back for the anti join.
-    Beyond the bound both sides shuffle on the key.
+    ``probe=True`` is for a persisted micro-batch against a growing table: when the batch's
+    distinct keys are proven few they are broadcast and semi-joined against the target's
+    key column, so the table is scanned (one column) but never shuffled, and the keys found
+    are broadcast back for the anti join.  Otherwise (and beyond the bound) it is a plain
+    anti join whose strategy AQE picks from measured sizes; the bound check would cost a
+    second evaluation of a lazily computed input.
     """
     keys = rows.select(key).where(F.col(key).isNotNull()).distinct()
-    if bounded_rows(keys, max_broadcast_keys):
+    if probe and bounded_rows(keys, max_broadcast_keys):
         present = target.select(key).join(F.broadcast(keys), key, "left_semi").distinct()
         return rows.join(F.broadcast(present), key, "left_anti")
     return rows.join(target.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")

@@ -51,11 +51,12 @@ def metadata_rows(msgs: DataFrame, processed_at: Column | None = None) -> DataFr
 
 
 def insert_first_wins(batch: DataFrame, target: DataFrame, order_cols: list[str] = ARRIVAL_ORDER,
-                      key: str = "file_hash") -> DataFrame:
+                      key: str = "file_hash", probe: bool = False) -> DataFrame:
     """Rows a first-wins insert adds to ``target``: first per key in the batch, keys already present
-    skipped, new serial ids after the target's largest id, in arrival order."""
+    skipped, new serial ids after the target's largest id, in arrival order.  ``probe`` marks a
+    persisted micro-batch (see ``joins.anti_join_keys``)."""
     first = first_wins(batch, key, order_cols)
-    new = anti_join_keys(first, target, key)
+    new = anti_join_keys(first, target, key, probe=probe)
     top = target.select(F.max("id")).scalar()
     return assign_serial_ids(new.drop("id") if "id" in new.columns else new, order_cols + [key], top)
 

@@ -91,11 +91,11 @@ def split_t2_limits(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where(~bad), rows.where(bad)
 
 
-def upsert_rows(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def upsert_rows(rows: DataFrame, existing: DataFrame | None = None, probe: bool = False) -> DataFrame:
     """Rows the keyed table gains: first per ``file_hash`` in arrival order, existing keys skipped."""
     first = first_wins(rows, "file_hash", ARRIVAL_ORDER)
     if existing is not None:
-        first = anti_join_keys(first, existing, "file_hash")
+        first = anti_join_keys(first, existing, "file_hash", probe=probe)
     return first.select(*PROCESSED_FIELDS)
 
 

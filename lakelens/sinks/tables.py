@@ -51,7 +51,7 @@ def insert_first_wins(spark: SparkSession, batch: DataFrame, path: str, schema:
     maps partition column names to the Columns that derive them.
     """
     existing = read_or_empty(spark, path, schema)
-    added = metadata.insert_first_wins(batch, existing, order_cols, key).select(*schema.fieldNames())
+    added = metadata.insert_first_wins(batch, existing, order_cols, key, probe=True).select(*schema.fieldNames())
     for name, expr in (partition_by or {}).items():
         added = added.withColumn(name, expr)
     added = added.persist()
@@ -73,7 +73,7 @@ def upsert_first_wins(spark: SparkSession, rows: DataFrame, path: str, schema: T
     the stated order is appended unless the key is already stored."""
     existing = read_or_empty(spark, path, schema)
     first = metadata.first_wins(rows, key, order_cols)
-    fresh = anti_join_keys(first, existing, key).select(*schema.fieldNames())
+    fresh = anti_join_keys(first, existing, key, probe=True).select(*schema.fieldNames())
     fresh.write.mode("append").parquet(path)
 
 
