@@ -151,3 +151,25 @@ def test_orphan_objects_after_retention(spark):
     objs = spark.createDataFrame([("images/2024/01/01/a.jpg",), ("images/2024/03/01/b.jpg",)], "object_key string")
     kept = metadata.retention_delete(meta, "2024-03-15")
     assert [r["object_key"] for r in metadata.orphan_objects(objs, kept).collect()] == ["images/2024/01/01/a.jpg"]
+
+
+def test_anti_join_paths_agree(spark):
+    from lakelens.operators.joins import anti_join_keys
+    rows = spark.range(0, 300).select((F.col("id") % 50).cast("string").alias("k"), "id") \
+        .unionByName(spark.createDataFrame([(None, 999)], "k string, id long"))
+    target = spark.range(0, 20).select((F.col("id") * 2).cast("string").alias("k"))
+    plain = sorted(tuple(r) for r in anti_join_keys(rows, target, "k").collect())
+    probed = sorted(tuple(r) for r in anti_join_keys(rows, target, "k", probe=True).collect(), key=str)
+    beyond = sorted(tuple(r) for r in anti_join_keys(rows, target, "k", probe=True, max_broadcast_keys=3).collect(),
+                    key=str)
+    assert sorted(plain, key=str) == probed == beyond
+    assert (None, 999) in plain
+
+
+def test_processed_rows_too_long_are_quarantined(spark):
+    from lakelens.operators import processed
+    rows = spark.createDataFrame([("h" * 64, "a.jpg", "image/jpeg"), ("h" * 65, "b.jpg", "image/jpeg"),
+                                  ("g" * 64, "f" * 256, "image/jpeg"), ("k" * 64, "c.jpg", "m" * 101)],
+                                 "file_hash string, filename string, mime_type string")
+    fits, too_long = processed.split_t2_limits(rows)
+    assert [r["filename"] for r in fits.collect()] == ["a.jpg"] and too_long.count() == 3
