@@ -329,6 +329,10 @@ FROM ev WHERE bad IN (0, 1)""",
         "processed_upsert": w + f""", app AS ({append})
 SELECT {cols} FROM app
 QUALIFY row_number() OVER (PARTITION BY file_hash ORDER BY kafka_timestamp, kafka_partition, kafka_offset) = 1""",
+        "processed_row_count": w + f", app AS ({append})\nSELECT count(*) AS row_count FROM app",
+        "processed_latest_rows": w + f""", app AS ({append})
+SELECT processed_at, file_hash, filename, file_size, mime_type FROM app
+ORDER BY processed_at DESC, kafka_partition DESC, kafka_offset DESC LIMIT 5""",
         "dedupe_by_offset": w + f", app AS ({append})\nSELECT {cols} FROM app",
         "dedupe_by_hash": w + f""", app AS ({append})
 SELECT {cols} FROM app

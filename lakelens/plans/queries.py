@@ -215,6 +215,18 @@ def processed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return processed.processed_rows(_transformed(spark, sf_dir))
 
 
+def processed_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``SELECT COUNT(*)`` on the processed lake table."""
+    return processed.processed_rows(_transformed(spark, sf_dir)).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def processed_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest rows of the processed lake table (top-k, unique tie-breaker on the topic position)."""
+    rows = processed.processed_rows(_transformed(spark, sf_dir))
+    return (rows.orderBy(F.desc("processed_at"), F.desc("kafka_partition"), F.desc("kafka_offset"))
+            .limit(LATEST_ROWS).select("processed_at", "file_hash", "filename", "file_size", "mime_type"))
+
+
 def _redelivered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = processed.processed_rows(_transformed(spark, sf_dir))
     every, hit = REDELIVERED_EVERY
@@ -309,6 +321,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "processed_raw_passthrough": processed_raw_passthrough,
     "processed_upsert": processed_upsert,
     "processed_append": processed_append,
+    "processed_row_count": processed_row_count,
+    "processed_latest_rows": processed_latest_rows,
     "dedupe_by_offset": dedupe_by_offset,
     "dedupe_by_hash": dedupe_by_hash,
     "geo_points_text": geo_points_text,

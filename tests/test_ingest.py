@@ -173,3 +173,23 @@ def test_processed_rows_too_long_are_quarantined(spark):
                                  "file_hash string, filename string, mime_type string")
     fits, too_long = processed.split_t2_limits(rows)
     assert [r["filename"] for r in fits.collect()] == ["a.jpg"] and too_long.count() == 3
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(0, 12), min_size=1, max_size=60), st.lists(st.integers(1, 59), max_size=4))
+def test_first_wins_batches_equal_one_insert_and_replay_adds_nothing(spark, hashes, cuts):
+    rows = [(f"h{h}", f"f{i}.jpg", i, 0, i) for i, h in enumerate(hashes)]
+    schema = "file_hash string, filename string, kafka_timestamp long, kafka_partition int, kafka_offset long"
+    bounds = sorted({c for c in cuts if c < len(rows)} | {0, len(rows)})
+    batches = [rows[a:b] for a, b in zip(bounds, bounds[1:])]
+    target = spark.createDataFrame([], "id long, file_hash string, filename string")
+    for batch in batches:
+        added = metadata.insert_first_wins(spark.createDataFrame(batch, schema), target)
+        target = spark.createDataFrame(added.select("id", "file_hash", "filename").collect(),
+                                       "id long, file_hash string, filename string").unionByName(target)
+    once = metadata.insert_first_wins(spark.createDataFrame(rows, schema),
+                                      spark.createDataFrame([], "id long, file_hash string"))
+    key = lambda df: sorted(tuple(r) for r in df.select("id", "file_hash", "filename").collect())
+    assert key(target) == key(once)
+    replay = metadata.insert_first_wins(spark.createDataFrame(batches[-1], schema), target)
+    assert replay.count() == 0
