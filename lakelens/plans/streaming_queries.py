@@ -9,7 +9,6 @@ batch query that computes the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakelens.config import JobConfig
 from lakelens.plans import oracle

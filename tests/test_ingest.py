@@ -5,7 +5,6 @@ import hashlib
 import json
 import os
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
