@@ -125,3 +125,26 @@ def test_bucketed_lake_table_resolves_without_shuffle(spark):
     assert "Exchange hashpartitioning" not in plan, plan
     assert _rows(cur) == _rows(changelog.current_state(log))
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_sql_views_run_lake_queries(spark, scratch):
+    from lakelens.plans import queries as q
+    from lakelens.plans.sql_views import register_as_of_view, register_lake_views
+    path = f"{scratch}/lake"
+    tables.commit_lake(spark, fx.lake_change_log(spark, SF_SMALL), path)
+    log = spark.read.parquet(path)
+    views = register_lake_views(spark, log, "images")
+    assert "images_files" in views
+    daily = spark.sql("""
+        SELECT DATE(uploaded_at) AS upload_date, COUNT(*) AS image_count,
+               SUM(file_size) / 1024 / 1024 AS total_size_mb
+        FROM images GROUP BY DATE(uploaded_at) ORDER BY upload_date DESC""")
+    assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, q.daily_volume(spark, SF_SMALL).collect()))
+    rng = spark.sql("SELECT * FROM images WHERE uploaded_at >= DATE '2024-01-11' AND uploaded_at < DATE '2024-01-12'")
+    assert rng.count() == q.lake_partition_range(spark, SF_SMALL).count()
+    snaps = spark.sql("SELECT * FROM images_snapshots ORDER BY committed_at DESC").first()
+    assert snaps["snapshot_id"] == 102 and snaps["operation"] == "delete"
+    register_as_of_view(spark, log, "2024-01-10 00:00:00", "images_at")
+    assert spark.sql("SELECT COUNT(*) FROM images_at").first()[0] == \
+        changelog.as_of(log, "2024-01-10 00:00:00").count()
+    assert spark.sql("SELECT SUM(record_count) FROM images_files").first()[0] == log.count()
