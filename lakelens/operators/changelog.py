@@ -39,20 +39,35 @@ def _is_live() -> Column:
     return F.col("op").isin(*LIVE_OPS)
 
 
-def latest_versions(log: DataFrame, key: str = KEY) -> DataFrame:
+def _carried(log: DataFrame, key: str, fields: list[str] | None) -> list[str]:
+    """Columns the resolution carries: all of them, or the key, ``op`` and the fields asked for.
+
+    The aggregate takes one struct of the carried columns, and Catalyst does not prune
+    struct fields through an aggregate; naming the fields keeps the scan, the per-row
+    work below it and the shuffle to the columns the query reads.
+    """
+    if fields is None:
+        return list(log.columns)
+    wanted = {key, "op", *fields}
+    return [c for c in log.columns if c in wanted]
+
+
+def latest_versions(log: DataFrame, key: str = KEY, fields: list[str] | None = None) -> DataFrame:
     """Newest version of every key (tombstones included)."""
     order = F.struct(F.col("commit_id"), _is_live())
     return (log.groupBy(key)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in log.columns]), order).alias("_v"))
+            .agg(F.max_by(F.struct(*[F.col(c) for c in _carried(log, key, fields)]), order).alias("_v"))
             .select("_v.*"))
 
 
-def current_state(log: DataFrame, key: str = KEY) -> DataFrame:
-    """Live rows of the table (newest version per key, tombstones dropped)."""
-    return latest_versions(log, key).where(_is_live())
+def current_state(log: DataFrame, key: str = KEY, fields: list[str] | None = None) -> DataFrame:
+    """Live rows of the table (newest version per key, tombstones dropped).
+
+    ``fields`` names the columns the caller reads (default: all)."""
+    return latest_versions(log, key, fields).where(_is_live())
 
 
-def as_of(log: DataFrame, ts: str, key: str = KEY) -> DataFrame:
+def as_of(log: DataFrame, ts: str, key: str = KEY, fields: list[str] | None = None) -> DataFrame:
     """Table state as of ``ts`` (inclusive); asking for a time before the first commit is an error.
 
     The check is one aggregate over the ``committed_at`` column only.
@@ -61,10 +76,11 @@ def as_of(log: DataFrame, ts: str, key: str = KEY) -> DataFrame:
     first = log.agg(F.min("committed_at").cast("string")).first()[0]
     if first is None or ts < first:
         raise ValueError(f"no snapshot at or before {ts} (first commit: {first})")
-    return current_state(log.where(F.col("committed_at") <= at), key)
+    return current_state(log.where(F.col("committed_at") <= at), key, fields)
 
 
-def as_of_many(log: DataFrame, timestamps: list[str], key: str = KEY, ts_col: str = "as_of_ts") -> DataFrame:
+def as_of_many(log: DataFrame, timestamps: list[str], key: str = KEY, ts_col: str = "as_of_ts",
+               fields: list[str] | None = None) -> DataFrame:
     """Table states at several times in one pass: rows are repeated once per probe time they
     precede (a literal array, so the fan-out is the number of probes) and resolved by one
     aggregation on (probe, key).  One check against the first commit covers all probes."""
@@ -76,7 +92,7 @@ def as_of_many(log: DataFrame, timestamps: list[str], key: str = KEY, ts_col: st
     tagged = log.withColumn(ts_col, F.explode(probes)).where(F.col("committed_at") <= F.col(ts_col))
     order = F.struct(F.col("commit_id"), _is_live())
     latest = (tagged.groupBy(ts_col, key)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in log.columns]), order).alias("_v"))
+              .agg(F.max_by(F.struct(*[F.col(c) for c in _carried(log, key, fields)]), order).alias("_v"))
               .select(ts_col, "_v.*"))
     return latest.where(_is_live())
 
@@ -161,11 +177,14 @@ def compact(log: DataFrame) -> DataFrame:
     return log.repartitionByRange(PARTITION, KEY).sortWithinPartitions(PARTITION, "uploaded_at", KEY)
 
 
-def day_range(log: DataFrame, start_date: str, end_date: str, key: str = KEY) -> DataFrame:
+def day_range(log: DataFrame, start_date: str, end_date: str, key: str = KEY,
+              fields: list[str] | None = None) -> DataFrame:
     """Current rows with ``start <= uploaded_at < end``; the day predicate prunes partitions first."""
     lo, hi = F.lit(start_date).cast("date"), F.lit(end_date).cast("date")
     pruned = log.where((F.col(PARTITION) >= lo) & (F.col(PARTITION) < hi))
-    current = current_state(pruned, key)
+    if fields is not None:
+        fields = [*fields, "uploaded_at"]
+    current = current_state(pruned, key, fields)
     return current.where((F.col("uploaded_at") >= lo.cast("timestamp_ntz"))
                          & (F.col("uploaded_at") < hi.cast("timestamp_ntz")))
 

@@ -42,23 +42,25 @@ def _clock() -> F.Column:
 
 def daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    return changelog.daily_volume(changelog.current_state(fx.lake_change_log(spark, sf_dir)))
+    return changelog.daily_volume(changelog.current_state(fx.lake_change_log(spark, sf_dir),
+                                                          fields=["uploaded_at", "file_size"]))
 
 
 def lake_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = changelog.current_state(fx.lake_change_log(spark, sf_dir))
+    current = changelog.current_state(fx.lake_change_log(spark, sf_dir), fields=[])
     return current.agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def lake_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = changelog.current_state(fx.lake_change_log(spark, sf_dir))
+    latest = ["uploaded_at", "file_hash", "filename", "file_size", "mime_type"]
+    current = changelog.current_state(fx.lake_change_log(spark, sf_dir), fields=latest)
     return (current.orderBy(F.desc("uploaded_at"), F.desc("id")).limit(LATEST_ROWS)
             .select("uploaded_at", "file_hash", "filename", "file_size", "mime_type"))
 
 
 def lake_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fx.lake_change_log(spark, sf_dir)
-    return changelog.as_of_many(log, AS_OF_PROBES).select("as_of_ts", *LAKE_FIELDS)
+    return changelog.as_of_many(log, AS_OF_PROBES, fields=LAKE_FIELDS).select("as_of_ts", *LAKE_FIELDS)
 
 
 def lake_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +72,7 @@ def lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = changelog.day_range(fx.lake_change_log(spark, sf_dir), *RANGE_DAY)
+    rows = changelog.day_range(fx.lake_change_log(spark, sf_dir), *RANGE_DAY, fields=LAKE_FIELDS)
     return rows.select(*LAKE_FIELDS)
 
 

@@ -7,7 +7,7 @@ from lakelens.operators import changelog
 from lakelens.schemas import LAKE_FIELDS
 from lakelens.sinks import tables
 from lakelens.sources import fixtures as fx
-from conftest import SF_SMALL
+from conftest import SF_CHECK, SF_SMALL
 
 
 def _rows(df, cols=("id", "mime_type", "uploaded_at")):
@@ -148,3 +148,15 @@ def test_sql_views_run_lake_queries(spark, scratch):
     assert spark.sql("SELECT COUNT(*) FROM images_at").first()[0] == \
         changelog.as_of(log, "2024-01-10 00:00:00").count()
     assert spark.sql("SELECT SUM(record_count) FROM images_files").first()[0] == log.count()
+
+
+def test_named_fields_prune_scan_and_shuffle(spark, log):
+    """Resolving only the fields a query reads keeps unread columns out of the scan and the shuffle."""
+    from lakelens.plans import queries
+    # sf0.01: the module's cached sf0.001 log would replace the scan in this plan
+    plan = queries.daily_volume(spark, SF_CHECK)._jdf.queryExecution().executedPlan().toString()
+    assert "props" not in plan and "sha2" not in plan and "s3_path" not in plan
+    narrow = changelog.current_state(log, fields=["uploaded_at", "file_size"])
+    assert narrow.columns == ["id", "file_size", "uploaded_at", "op"]
+    assert _rows(narrow, ("id", "uploaded_at", "file_size")) == _rows(
+        changelog.current_state(log), ("id", "uploaded_at", "file_size"))
