@@ -73,9 +73,15 @@ def to_envelopes(messages: DataFrame, topic: str, num_partitions: int = 3,
 
 
 def split_by_size(envelopes: DataFrame, max_bytes: int = MAX_MESSAGE_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(sendable, too_large): payloads over ``max_bytes`` UTF-8 bytes are refused."""
-    size = F.octet_length(F.col("value"))
-    return envelopes.where(size <= max_bytes), envelopes.where(size > max_bytes)
+    """(sendable, too_large): payloads over ``max_bytes`` UTF-8 bytes are refused.
+
+    The size is measured behind a Generate: a filter on the value itself would be pushed
+    below the projection that builds it and serialise every payload a second time.
+    """
+    cols = list(envelopes.columns)
+    sized = select_once(envelopes, cols, [F.octet_length(F.col("value")).alias("_bytes")])
+    size = F.col("_bytes")
+    return sized.where(size <= max_bytes).select(*cols), sized.where(size > max_bytes).select(*cols)
 
 
 def parse_messages(envelopes: DataFrame) -> DataFrame:

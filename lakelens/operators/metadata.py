@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakelens.config import MAX_MESSAGE_BYTES, RETENTION_DAYS
 from lakelens.functions import binary, paths, timefmt
 from lakelens.operators.ids import assign_serial_ids
+from lakelens.operators.frames import select_once
 from lakelens.operators.joins import anti_join_keys
 from lakelens.schemas import IMAGE_METADATA_FIELDS, T1_LIMITS
 
@@ -71,7 +72,11 @@ def validate_messages(parsed: DataFrame, strict: bool = False, now: Column | Non
     missing time -> now.
     """
     now = (F.localtimestamp() if now is None else now).cast("timestamp_ntz")
-    decoded_len = F.octet_length(binary.decode_base64(F.col("image_data")))
+    # the base64 check reads the whole payload: evaluate it once, behind a Generate, so the
+    # filters callers put on ``reason`` do not repeat it
+    parsed = select_once(parsed, list(parsed.columns),
+                         [binary.decoded_length(F.col("image_data")).alias("_decoded_len")])
+    decoded_len = F.col("_decoded_len")
     if strict:
         mime = F.col("mime_type")
         size = F.col("file_size")
@@ -92,7 +97,7 @@ def validate_messages(parsed: DataFrame, strict: bool = False, now: Column | Non
         (F.col("file_hash").isNull(), "missing_file_hash"),
         (F.length("file_hash") > T1_LIMITS["file_hash"], "file_hash_too_long"),
         (F.col("image_data").isNull(), "missing_image_data"),
-        (~binary.base64_decodable(F.col("image_data")), "bad_image_data"),
+        (decoded_len.isNull(), "bad_image_data"),
     ]
     if strict:
         rules.append((~F.col("has_mime_type"), "missing_mime_type"))
@@ -111,7 +116,7 @@ def validate_messages(parsed: DataFrame, strict: bool = False, now: Column | Non
         reason = F.when(F.coalesce(cond, F.lit(False)), F.lit(label)).otherwise(reason)
 
     return parsed.select(
-        *[c for c in parsed.columns if c not in ("mime_type", "file_size")],
+        *[c for c in parsed.columns if c not in ("mime_type", "file_size", "_decoded_len")],
         mime.alias("mime_type"),
         size.cast("long").alias("file_size"),
         uploaded.alias("uploaded_at"),

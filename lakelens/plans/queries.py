@@ -130,7 +130,7 @@ def message_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select(
         "key", "partition", "offset", "payload_bytes", "filename", "filepath", "file_size", "file_hash",
         "mime_type", F.col("msg_timestamp").alias("timestamp"),
-        F.octet_length(binary.decode_base64(F.col("image_data"))).cast("long").alias("decoded_bytes"))
+        binary.decoded_length(F.col("image_data")).alias("decoded_bytes"))
 
 
 def skip_already_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:

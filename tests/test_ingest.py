@@ -192,3 +192,19 @@ def test_first_wins_batches_equal_one_insert_and_replay_adds_nothing(spark, hash
     assert key(target) == key(once)
     replay = metadata.insert_first_wins(spark.createDataFrame(batches[-1], schema), target)
     assert replay.count() == 0
+
+
+def test_plain_base64_fast_path_agrees_with_lenient_rules(spark):
+    """The one-regex path for plain text gives what the character-map (lenient) path gives."""
+    texts = ["", "QQ==", "QUI=", "QUJD", "QUJDRA", "Q===", "QQ=A", "=QQQ", "QUJD\n", "QU JD", "QU\r\nJD",
+             "QUJD*", "QUJD==\n", "4pyTIMOgIGxhIG1vZGU=", "4pyT\nIMOg\nIGxh\nIG1v\nZGU=", "ab+/", "ab-_", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    lenient_ok = F.coalesce(binary._lenient_decodable(t), F.lit(False))
+    rows = df.select(
+        "t", binary.base64_decodable(t).alias("ok"), lenient_ok.alias("ok2"),
+        binary.decode_base64(t).alias("d"), F.when(lenient_ok, F.unbase64(binary._cleaned(t))).alias("d2"),
+        binary.decoded_length(t).alias("n"), F.octet_length(binary.decode_base64(t)).alias("n2"),
+    ).collect()
+    for r in rows:
+        assert (r["ok"], r["d"], r["n"]) == (r["ok2"], r["d2"], r["n2"]), r["t"]
