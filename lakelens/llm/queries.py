@@ -7,21 +7,105 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelens.llm import simhash
+from lakelens.llm import (
+    decontaminate,
+    lm_scoring,
+    mixing,
+    quality_rules,
+    secrets,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of all documents, by a model fitted on ``labels``."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.grade(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged by the base checks and a decision list learned from ``labels``."""
+    docs = _table(spark, sf_dir, "documents")
+    judged = quality_rules.judge(docs, quality_rules.fit_rules(docs, _table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "rule", "kept")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents."""
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), limit=512)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to web archives and read back."""
+    return warc.round_trip(_table(spark, sf_dir, "pages")).drop("verified")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words and items found in all documents."""
+    found, name = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", f"{name}.n_words", f"{name}.n_hit",
+                        F.size(f"{name}.items").cast("long").alias("n_items"),
+                        decontaminate.digest(F.col(f"{name}.items")).alias("items_sha256"),
+                        (F.col(f"{name}.n_hit") > 0).alias("contaminated"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents takes, sources weighing 1, 2, 3 in turn."""
+    return mixing.mix_plan(_table(spark, sf_dir, "documents"), weights=(1.0, 2.0, 3.0), cap=3.0)
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 4-word shingles, at most 4 differing bits."""
     out = simhash.simhash_components(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of all documents under a network trained on all of them."""
+    docs = _table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, lm_scoring.fit(docs))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or reputation verdict of all pages.
+
+    A page's outcome is the label of the document extracted from it (equal ids): bad if the
+    document is of low quality or toxic.
+    """
+    pages = _table(spark, sf_dir, "pages")
+    labels = _table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(
+        F.max(F.greatest(1 - F.col("quality"), F.col("toxic"))).alias("bad"))
+    outcomes = (pages.select("page_id", url_filter.host_of("url").alias("host"))
+                .join(labels.filter("bad is not null"), "page_id").select("host", "bad"))
+    return url_filter.judge_urls(pages, outcomes)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_token_counts": op3_token_counts,
+    "op4_warc": op4_warc,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_mixing": op6_mixing,
+    "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
+    "op9_lm_scoring": op9_lm_scoring,
+    "op10_url_filter": op10_url_filter,
 }
 
+#: queries whose rows SQL can state; the others are tested against brute force
 ORACLE_SQL: dict[str, str] = {}
