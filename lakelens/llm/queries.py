@@ -107,5 +107,105 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filter": op10_url_filter,
 }
 
+_OP4_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), low AS (
+  SELECT payload_digest, min(page_id) AS low FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN low.low IS NULL OR p.page_id = low.low THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id IS DISTINCT FROM low.low THEN low.low END AS refers_to
+FROM p LEFT JOIN low USING (payload_digest)
+"""
+
+_OP5_SQL = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), b AS (
+  SELECT item_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)
+), hits AS (
+  SELECT r, i, k, item_id FROM dw JOIN bw USING (k, win)
+), marked AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r
+), found AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hits GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN marked USING (r) LEFT JOIN found USING (r)
+"""
+
+_TWO = ", ".join(f"'{s}'" for s in url_filter.TWO_LABEL_SUFFIXES)
+_OP10_SQL = f"""
+WITH u AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM pages
+), named AS (
+  SELECT host, string_split(regexp_replace(regexp_replace(host, '^[^@]*@', ''), ':[0-9]*$', ''), '.') AS l
+  FROM (SELECT DISTINCT host FROM u)
+), sfx AS (
+  SELECT host, l, CASE WHEN array_to_string(l[-2:], '.') IN ({_TWO}) THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix
+  FROM named
+), dom AS (
+  SELECT host, suffix, array_to_string(CASE WHEN contains(suffix, '.') THEN l[-3:] ELSE l[-2:] END, '.') AS domain FROM sfx
+), lab AS (
+  SELECT doc_id AS page_id, max(greatest(1 - quality, toxic)) AS bad FROM labels GROUP BY doc_id
+), h0 AS (
+  SELECT host, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM u JOIN lab USING (page_id) WHERE bad IS NOT NULL GROUP BY host
+), h AS (SELECT * FROM h0 JOIN dom USING (host)),
+a AS (SELECT coalesce(sum(bad), 0) + 1.0 AS al, coalesce(sum(n), 0) - coalesce(sum(bad), 0) + 1.0 AS be FROM h),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT al / (al + be) FROM a) AS m FROM h GROUP BY suffix),
+sk AS ({{k_s}}),
+sp AS (SELECT suffix, bad + k * m AS al, n - bad + k * (1 - m) AS be FROM s, sk),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad, any_value(al / (al + be)) AS m
+      FROM h JOIN sp USING (suffix) GROUP BY domain, suffix),
+dk AS ({{k_d}}),
+dp AS (SELECT domain, bad + k * m AS al, n - bad + k * (1 - m) AS be FROM d, dk),
+g AS (SELECT host, n, bad, al / (al + be) AS m FROM h JOIN dp USING (domain)),
+gk AS ({{k_g}}),
+gp AS (SELECT host, bad + k * m AS al, n - bad + k * (1 - m) AS be FROM g, gk),
+best AS (
+  SELECT dom.host, coalesce(gp.al, dp.al, sp.al, (SELECT al FROM a)) AS al, coalesce(gp.be, dp.be, sp.be, (SELECT be FROM a)) AS be
+  FROM dom LEFT JOIN gp USING (host) LEFT JOIN dp USING (domain) LEFT JOIN sp USING (suffix)
+), bound AS (
+  SELECT host, greatest(0.0, al / (al + be) - {url_filter.Z!r} * sqrt(al * be / ((al + be) * (al + be) * (al + be + 1)))) AS b
+  FROM best
+), ruled AS (
+  SELECT page_id, host, path, {{rules}} AS rule FROM u
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN round(b, 6) END AS bad_rate_bound,
+       CASE WHEN rule IS NOT NULL THEN CASE rule {{verdicts}} END WHEN b > {url_filter.LIMIT} THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled JOIN bound USING (host)
+"""
+
+
+def _op10_sql() -> str:
+    def k(level: str) -> str:
+        rho = f"""(sum((bad - n * m) * (bad - n * m)) - sum(n * m * (1 - m))) / nullif(sum(n * m * (1 - m) * (n - 1)), 0)"""
+        return (f"SELECT coalesce(greatest({url_filter.MIN_STRENGTH}, least({url_filter.MAX_STRENGTH}, "
+                f"CASE WHEN rho > 0 THEN 1 / rho - 1 END)), {url_filter.DEFAULT_STRENGTH}) AS k FROM (SELECT {rho} AS rho FROM {level})")
+    order = sorted(url_filter.RULES, key=lambda r: (-len(str(r)), str(r)))
+    rules = "CASE " + " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r}'" for r in order) + " END"
+    verdicts = " ".join(f"WHEN '{r}' THEN '{r.verdict}'" for r in order)
+    return _OP10_SQL.format(k_s=k("s"), k_d=k("d"), k_g=k("g"), rules=rules, verdicts=verdicts)
+
+
 #: queries whose rows SQL can state; the others are tested against brute force
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_warc": _OP4_SQL, "op5_decontaminate": _OP5_SQL, "op10_url_filter": _op10_sql()}

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from lakelens.llm.common import LOWER, prepare, word_blocks
 
-#: labelled rows of either class that the model is fitted on at most (those of the least hashed id)
-MAX_LABELLED = 3000
+#: labelled ids that the model is fitted on at most (those of the least hash)
+MAX_LABELLED = 8000
+#: P(severity > 0) from which a text is rejected
+CUT = 0.45
 #: features in the model, the least labelled rows that hold one, and the lengths of word prefixes
 MAX_FEATURES, MIN_ROWS, PREFIXES = 2000, 4, (4, 5, 6, 7, 8)
 #: chosen words and prefixes in a labelled text from which it counts as grade 2, 3 (1 below)
@@ -130,15 +132,13 @@ def _log_ratio(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> np.ndarray:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic_col: str,
                     max_labelled: int) -> DataFrame:
-    """(id, text, toxic) of at most ``max_labelled`` labelled ids of each class, of the least hash.
+    """(id, text, toxic) of at most ``max_labelled`` labelled ids, of the least hash.
 
     Rows of a null label or id do not count; an id labelled both ways counts as toxic.
     """
-    known = (labels.filter(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("id")).agg(F.max(toxic_col).alias("toxic")))
-    halves = [known.filter(cond).orderBy(F.xxhash64("id"), "id").limit(max_labelled)
-              for cond in (F.col("toxic") > 0, F.col("toxic") <= 0)]
-    sample = halves[0].unionByName(halves[1])
+    sample = (labels.filter(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull())
+              .groupBy(F.col(id_col).alias("id")).agg(F.max(toxic_col).alias("toxic"))
+              .orderBy(F.xxhash64("id"), "id").limit(max_labelled))
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(sample), "id").filter(F.col("text").isNotNull()))
 
@@ -148,8 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Model fitted on a bounded labelled sample.
 
     Features are counted per row in tasks, their document frequencies summed by Spark, and
-    only the chosen ones come to the driver: at most ``MAX_FEATURES`` of them in at most
-    2 * ``max_labelled`` rows.  Severity grades: 0 for rows labelled clean; labelled toxic
+    only the chosen ones come to the driver: at most ``MAX_FEATURES`` of them in the rows of at
+    most ``max_labelled`` ids.  Severity grades: 0 for rows labelled clean; labelled toxic
     rows get 1, 2 or 3 by how many strongly toxic features they hold.  Without labels of
     both classes the model is empty and scores every text 0.
     """
@@ -209,18 +209,19 @@ def severity_column(text: str | Column, model: Model) -> Column:
     return F.arrow_udf(run, "struct<p_toxic: double, severity: double, grade: int>")(text)
 
 
-def grade(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, p_toxic, severity (expected grade), grade (most thresholds passed) and toxic (grade > 0) of every row.
+def grade(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+          cut: float = CUT) -> DataFrame:
+    """id, p_toxic, severity (expected grade), grade (thresholds passed) and toxic (p_toxic >= ``cut``) of every row.
 
     Null and empty texts hold no feature and get the score of a text without any.  Repeated
     rows and null ids stay; other columns are not read; an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     out = docs.select(F.col(id_col).alias("id"), severity_column(text_col, model).alias("s"))
-    return out.select(F.col("id").alias(id_col), "s.*", (F.col("s.grade") > 0).alias("toxic"))
+    return out.select(F.col("id").alias(id_col), "s.*", (F.col("s.p_toxic") >= cut).alias("toxic"))
 
 
-def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose grade is above 0; all columns, no shuffle."""
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", cut: float = CUT) -> DataFrame:
+    """``docs`` without the rows of ``p_toxic`` >= ``cut``; all columns, no shuffle."""
     prepare(docs.sparkSession)
-    return docs.filter(severity_column(text_col, model)["grade"] == 0)
+    return docs.filter(severity_column(text_col, model)["p_toxic"] < cut)
