@@ -176,14 +176,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return Model({}, [0.0])
     names = chosen["feature"].tolist()
     ratio = _log_ratio(chosen["a"].to_numpy(float), chosen["b"].to_numpy(float), n_tox, n_ok)
-    keep = F.broadcast(docs.sparkSession.createDataFrame([(f, i) for i, f in enumerate(names)], "feature string, at int"))
-    cells = (counted.select("row", "toxic", F.explode("f").alias("feature", "n")).join(keep, "feature")
-             .select("row", "toxic", "at", "n").toPandas())
-    rows = counted.select("row", "toxic").distinct().toPandas().sort_values("row")
-    place = {r: i for i, r in enumerate(rows["row"])}
+    number = {f: i for i, f in enumerate(names)}
+
+    def pick(maps: pa.Array) -> pa.Array:
+        return pa.array([[v for f, n in m if f in number for v in (number[f], n)] for m in maps.to_pylist()],
+                        pa.list_(pa.int32()))
+    picked = counted.select("row", "toxic", F.arrow_udf(pick, "array<int>")("f").alias("cells"))
+    rows = picked.toPandas().drop_duplicates("row").sort_values("row")
     x = np.zeros((len(rows), len(names)), dtype=np.float32)
-    at = cells["row"].map(place).to_numpy()
-    x[at, cells["at"].to_numpy()] = np.log1p(cells["n"].to_numpy())
+    for at, cells in enumerate(rows["cells"]):
+        x[at, cells[0::2]] = np.log1p(cells[1::2])
     toxic = rows["toxic"].to_numpy()
     # strongly toxic: held by toxic rows, all but never by others
     strong = (ratio > 10) & (chosen["b"].to_numpy(float) / n_ok < 0.02 * chosen["a"].to_numpy(float) / n_tox)
