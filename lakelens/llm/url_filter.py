@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakelens.llm.common import prepare
+
 # --- fixed values: suffixes of two labels under which domains are registered
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp",
                       "or.jp", "com.br", "com.cn", "net.cn", "org.cn", "co.in", "co.kr", "co.za", "com.mx", "com.tr")
@@ -85,8 +87,8 @@ def domain_of(host: Column, suffix: Column) -> Column:
     return F.when(dots == 1, F.substring_index(name, ".", -3)).otherwise(F.substring_index(name, ".", -2))
 
 
-def strength(groups: DataFrame, above: str) -> DataFrame:
-    """One row ``k``: beta-binomial prior strength of a level, by moments.
+def strength(groups: DataFrame, above: str) -> float:
+    """Beta-binomial prior strength of a level, by moments (one row to the driver).
 
     ``groups``: n, bad and the prior mean ``above`` of each group.  With S the sum of squared
     deviations of bad counts from n * m, E[S] = sum n m (1 - m) (1 + (n - 1) rho), rho = 1 / (k + 1).
@@ -98,40 +100,41 @@ def strength(groups: DataFrame, above: str) -> DataFrame:
     rho = F.try_divide(F.col("s") - F.col("a"), F.col("b"))
     k = F.when(rho > 0, 1 / rho - 1)
     return sums.select(F.coalesce(F.greatest(F.lit(MIN_STRENGTH), F.least(F.lit(MAX_STRENGTH), k)),
-                                  F.lit(DEFAULT_STRENGTH)).alias("k"))
+                                  F.lit(DEFAULT_STRENGTH))).first()[0]
 
 
-def reputation(outcomes: DataFrame, prior_rate: float = 0.5) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Posterior bad-rate tables (host), (domain), (suffix) and overall (one row).
+def reputation(outcomes: DataFrame, prior_rate: float = 0.5) -> tuple[DataFrame, DataFrame, DataFrame, tuple[float, float]]:
+    """Posterior bad-rate tables by host, domain and suffix, and the overall alpha and beta.
 
     ``outcomes``: host and bad (0/1) of labelled pages.  Each table has alpha and beta, the
-    posterior beta parameters of its groups.  Without outcomes the overall row is the prior.
+    posterior beta parameters of its groups, and is cut to the checkpoint folder.  Without outcomes
+    the overall pair is the prior.
     """
     suffix = suffix_of(F.col("host"))
     counts = (outcomes.groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("n"),
                                            F.sum("bad").cast("double").alias("bad"))
-              .withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), F.col("suffix"))))
+              .withColumn("suffix", suffix).withColumn("domain", domain_of(F.col("host"), F.col("suffix"))).checkpoint())
     overall = counts.agg(F.coalesce(F.sum("n"), F.lit(0.0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0.0)).alias("bad"))
     overall = overall.select((F.col("bad") + prior_rate * 2).alias("alpha"),
                              (F.col("n") - F.col("bad") + (1 - prior_rate) * 2).alias("beta"))
 
     def level(groups: DataFrame, mean: Column) -> DataFrame:
         based = groups.withColumn("m", mean)
-        k = strength(based, "m").scalar()
+        k = F.lit(strength(based, "m"))
         return (based.withColumn("alpha", F.col("bad") + k * F.col("m"))
-                .withColumn("beta", F.col("n") - F.col("bad") + k * (1 - F.col("m"))).drop("n", "bad", "m"))
+                .withColumn("beta", F.col("n") - F.col("bad") + k * (1 - F.col("m"))).drop("n", "bad", "m").checkpoint())
 
     def total(*keys: str) -> DataFrame:
         return counts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
     def prior(table: DataFrame, key: str) -> DataFrame:
         return table.select(key, (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("prior"))
-    top = overall.select(F.col("alpha") / (F.col("alpha") + F.col("beta"))).scalar()
-    by_suffix = level(total("suffix"), top)
+    alpha, beta = overall.first()
+    by_suffix = level(total("suffix"), F.lit(alpha / (alpha + beta)))
     by_domain = level(total("domain", "suffix").join(prior(by_suffix, "suffix"), "suffix"), F.col("prior"))
     by_host = level(counts.select("host", "domain", "n", "bad").join(prior(by_domain, "domain"), "domain"), F.col("prior"))
     return by_host.select("host", "alpha", "beta"), by_domain.select("domain", "alpha", "beta"), \
-        by_suffix.select("suffix", "alpha", "beta"), overall
+        by_suffix.select("suffix", "alpha", "beta"), (alpha, beta)
 
 
 def lower_bound(alpha: Column, beta: Column, z: float = Z) -> Column:
@@ -151,6 +154,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", u
     Reputation is looked up for each distinct host once and joined back on the host, whose
     skew AQE splits; pages a rule decides do not take part in that join.
     """
+    prepare(pages.sparkSession)
     by_host, by_domain, by_suffix, overall = reputation(outcomes)
     parsed = (pages.select(F.col(id_col).alias("id"), host_of(url_col).alias("host"), path_of(url_col).alias("path"))
               .withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)))
@@ -162,7 +166,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", u
         return table.withColumn("bound", lower_bound(F.col("alpha"), F.col("beta"), z)).drop("alpha", "beta")
     for key, table in (("host", by_host), ("domain", by_domain), ("suffix", by_suffix)):
         named = named.join(bound(table).withColumnRenamed("bound", f"b_{key}"), key, "left")
-    judged = named.select("host", F.coalesce("b_host", "b_domain", "b_suffix", bound(overall).scalar()).alias("bound"))
+    judged = named.select("host", F.coalesce("b_host", "b_domain", "b_suffix", lower_bound(*map(F.lit, overall), z)).alias("bound"))
     verdict = F.when(F.col("bound") > limit, "block").otherwise("allow")
     return (ruled.select(F.col("id").alias(id_col), "host", "path", "fit.rule",
                          F.lit(None).cast("double").alias("bad_rate_bound"), "fit.verdict")
