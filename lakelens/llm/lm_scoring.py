@@ -95,9 +95,17 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each row, in place; logits beyond the range of float32 are cut."""
+    np.clip(x, -80, 80, out=x)
+    np.exp(x, out=x)
+    x /= (x @ np.ones(x.shape[1], np.float32))[:, None]
+    return x
+
+
 @dataclass
 class Network:
-    """Parameters by name; ``loss`` and ``train`` work on windows of token numbers."""
+    """Parameters by name; ``log_probs`` and ``train`` work on windows of token numbers."""
 
     p: dict[str, np.ndarray]
 
@@ -119,14 +127,14 @@ class Network:
 
     def _forward(self, context: np.ndarray, target: np.ndarray):
         p = self.p
-        seen = p["embed"][context]  # tokens x places x DIM
-        h = np.tanh((seen * p["place"]).sum(1) + p["hidden"])
-        top = h @ p["to_class"] + p["class_bias"]
-        top -= top.max(1, keepdims=True)
-        np.exp(top, out=top)
-        top /= top.sum(1, keepdims=True)
+        seen = [p["embed"][context[:, k]] for k in range(2 * REACH)]  # for each place, tokens x DIM
+        h = np.repeat(p["hidden"], len(target), axis=0)
+        for k, part in enumerate(seen):
+            h += part * p["place"][k]
+        np.tanh(h, out=h)
+        top = _softmax(h @ p["to_class"] + p["class_bias"])
         cls, own = target // CLASS_SIZE, target % CLASS_SIZE
-        order = np.argsort(cls, kind="stable")
+        order = np.argsort(cls.astype(np.int16), kind="stable")  # a radix sort
         cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
         low = np.empty((len(target), CLASS_SIZE), np.float32)  # rows in the order of their class
         h_sorted = h[order]
@@ -135,10 +143,7 @@ class Network:
             if a < b:
                 np.matmul(h_sorted[a:b], p["to_word"][c].reshape(DIM, CLASS_SIZE), out=low[a:b])
                 low[a:b] += p["word_bias"][c]
-        low -= low.max(1, keepdims=True)
-        np.exp(low, out=low)
-        low /= low.sum(1, keepdims=True)
-        return seen, h, h_sorted, top, low, cls, own, order, cuts
+        return seen, h, h_sorted, top, _softmax(low), cls, own, order, cuts
 
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log P(target | context) of each row."""
@@ -162,17 +167,17 @@ class Network:
             if a < b:
                 d_sorted[a:b] = low[a:b] @ p["to_word"][c].reshape(DIM, CLASS_SIZE).T
                 g_word[c] = (h_sorted[a:b].T @ low[a:b]).ravel()
-                g_bias[c] = low[a:b].sum(0)
+                g_bias[c] = np.ones(b - a, np.float32) @ low[a:b]
         d_h = top @ p["to_class"].T
         d_h[order] += d_sorted
         d_h *= 1 - h * h
-        spread = d_h[:, None, :] * p["place"]  # tokens x places x DIM
-        flat, where = spread.reshape(-1, DIM), context.ravel()
-        by = np.argsort(where, kind="stable")
+        flat = np.concatenate([d_h * p["place"][k] for k in range(2 * REACH)])
+        where, ones = context.T.ravel(), np.ones(n, np.float32)
+        by = np.argsort(where.astype(np.int16), kind="stable")
         used, first = np.unique(where[by], return_index=True)
         grads = {
-            "place": (seen * d_h[:, None, :]).sum(0), "hidden": d_h.sum(0, keepdims=True),
-            "to_class": h.T @ top, "class_bias": top.sum(0, keepdims=True), "to_word": g_word, "word_bias": g_bias,
+            "place": np.stack([ones @ (part * d_h) for part in seen]), "hidden": (ones @ d_h)[None, :],
+            "to_class": h.T @ top, "class_bias": (ones @ top)[None, :], "to_word": g_word, "word_bias": g_bias,
         }
         for name, g in grads.items():
             g /= n
@@ -214,7 +219,9 @@ def _batches(texts: Iterator[str | None], words: Words, size: int) -> Iterator[t
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-_MODEL = "task long, name string, tokens double, weights binary"
+_MODEL = "task long, name string, block int, tokens double, weights binary"
+#: parameters in one block of a model
+BLOCK = 1024
 
 
 def _trainer(words: Words, unigram: np.ndarray):
@@ -228,22 +235,24 @@ def _trainer(words: Words, unigram: np.ndarray):
             tokens += len(target)
         if tokens:
             task = TaskContext.get().partitionId()
+            blocks = [(name, at // BLOCK, v.ravel()[at:at + BLOCK].astype(np.float32).tobytes())
+                      for name, v in net.p.items() for at in range(0, v.size, BLOCK)]
             yield pa.RecordBatch.from_arrays([
-                pa.array([task] * len(net.p), pa.int64()), pa.array(list(net.p)),
-                pa.array([float(tokens)] * len(net.p), pa.float64()),
-                pa.array([v.astype(np.float32).tobytes() for v in net.p.values()], pa.binary()),
-            ], names=["task", "name", "tokens", "weights"])
+                pa.array([task] * len(blocks), pa.int64()), pa.array([b[0] for b in blocks]),
+                pa.array([b[1] for b in blocks], pa.int32()), pa.array([float(tokens)] * len(blocks), pa.float64()),
+                pa.array([b[2] for b in blocks], pa.binary()),
+            ], names=["task", "name", "block", "tokens", "weights"])
     return run
 
 
 def _average(frame: pd.DataFrame) -> pd.DataFrame:
-    """Mean of the models' parameters, weighted by their tokens, in the order of their tasks."""
+    """Mean of one block of the models' parameters, weighted by their tokens, in the order of their tasks."""
     frame = frame.sort_values("task", kind="stable")
     total = frame["tokens"].sum()
     mean = sum(np.frombuffer(w, np.float32).astype(np.float64) * (n / total)
                for w, n in zip(frame["weights"], frame["tokens"], strict=True))
-    return pd.DataFrame({"task": [int(frame["group"].iloc[0])], "name": [frame["name"].iloc[0]], "tokens": [float(total)],
-                         "weights": [mean.astype(np.float32).tobytes()]})
+    return pd.DataFrame({"task": [int(frame["group"].iloc[0])], "name": [frame["name"].iloc[0]],
+                         "block": frame["block"].iloc[:1].to_numpy(), "tokens": [float(total)], "weights": [mean.astype(np.float32).tobytes()]})
 
 
 @dataclass
@@ -275,13 +284,14 @@ def fit(docs: DataFrame, text_col: str = "text") -> Scorer:
     tasks = (models.agg(F.max("task")).first()[0] or 0) + 1
     while True:
         grouped = models.withColumn("group", F.floor(F.col("task") / FAN_IN).cast("long"))
-        models = grouped.groupBy("name", "group").applyInPandas(_average, _MODEL)
+        models = grouped.groupBy("name", "block", "group").applyInPandas(_average, _MODEL)
         tasks = -(-tasks // FAN_IN)
         if tasks == 1:
             break
     net = Network.start(unigram)
     for r in models.collect():
-        net.p[r["name"]] = np.frombuffer(r["weights"], np.float32).reshape(net.p[r["name"]].shape).copy()
+        values = np.frombuffer(r["weights"], np.float32)
+        net.p[r["name"]].reshape(-1)[r["block"] * BLOCK:r["block"] * BLOCK + len(values)] = values
     return Scorer(words, net)
 
 
