@@ -268,25 +268,28 @@ def fit(docs: DataFrame, text_col: str = "text") -> Scorer:
     parameters.  Without any token the network keeps its start values.
     """
     prepare(docs.sparkSession)
-    counts = word_counts(docs, text_col).checkpoint()
-    common = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY)
-    common = common.toPandas()
-    words = Words(common["word"].tolist())
+    counts = word_counts(docs, text_col)
+    # one job over one shuffle: the most frequent words, and the corpus's words by length bucket
+    bucket = F.least(F.octet_length("word"), F.lit(BUCKETS))
+    common = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).select("word", bucket.alias("k"), "n")
+    totals = counts.groupBy(bucket.alias("k")).agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("word"), "k", "n")
+    found = common.unionByName(totals).collect()
+    words = Words([r["word"] for r in found if r["word"] is not None])
     unigram = np.zeros(OUTPUTS)
-    unigram[[words[w.encode("utf-8", "surrogatepass")] for w in common["word"]]] = common["n"]
-    # the rest of the corpus by length bucket
-    known = docs.sparkSession.createDataFrame(common[["word"]], "word string")
-    rest = (counts.join(F.broadcast(known), "word", "left_anti")
-            .groupBy(F.least(F.octet_length("word"), F.lit(BUCKETS)).alias("k")).agg(F.sum("n").alias("n")).collect())
-    for r in rest:
-        unigram[VOCABULARY + r["k"] - 1] += r["n"]
-    models = docs.select(text_col).mapInArrow(_trainer(words, unigram), _MODEL).checkpoint()
-    tasks = (models.agg(F.max("task")).first()[0] or 0) + 1
+    for r in found:
+        other = VOCABULARY + r["k"] - 1
+        if r["word"] is None:
+            unigram[other] += r["n"]
+        else:
+            unigram[words[r["word"].encode("utf-8", "surrogatepass")]] = r["n"]
+            unigram[other] -= r["n"]
+    text = docs.select(text_col)
+    models, tasks = text.mapInArrow(_trainer(words, unigram), _MODEL), text.rdd.getNumPartitions()
     while True:
         grouped = models.withColumn("group", F.floor(F.col("task") / FAN_IN).cast("long"))
         models = grouped.groupBy("name", "block", "group").applyInPandas(_average, _MODEL)
         tasks = -(-tasks // FAN_IN)
-        if tasks == 1:
+        if tasks <= 1:
             break
     net = Network.start(unigram)
     for r in models.collect():
