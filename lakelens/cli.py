@@ -11,7 +11,7 @@ import json
 from dataclasses import asdict
 
 from lakelens.config import JobConfig
-from lakelens.session import build_session, work_path
+from lakelens.session import build_session, shared_dir
 from lakelens.streaming import jobs
 
 JOBS = ("producer", "consumer", "processor", "batch-ingest", "lake-maintain")
@@ -32,12 +32,14 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session(app_name=f"lakelens-{args.job}")
     cfg = JobConfig.from_env()
-    checkpoint = args.checkpoint or work_path(spark, f"checkpoint-{args.job}")
+    # one checkpoint for each job and topic, so that a restart goes on where the last run stopped
+    checkpoint = args.checkpoint or f"{shared_dir(spark)}/lakelens/checkpoints/{args.job}-{cfg.input_topic}"
     if args.job == "lake-maintain":
-        from datetime import datetime, timedelta
+        from datetime import datetime, timedelta, timezone
 
         from lakelens.sinks import tables
-        now = datetime.fromisoformat(args.as_of) if args.as_of else datetime.now()
+        now = datetime.fromisoformat(args.as_of) if args.as_of else \
+            datetime.now(timezone.utc).replace(tzinfo=None)
         cutoff = (now - timedelta(days=cfg.snapshot_retention_days)).isoformat(" ")
         tables.rewrite_lake(spark, args.table or cfg.images_table, args.out, cutoff=cutoff,
                             max_records_per_file=args.max_records_per_file)

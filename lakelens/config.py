@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, fields
 
 # Fixed values that must equal the original pipeline's settings.
 MAX_MESSAGE_BYTES = 26_214_400          # producer max request size and broker max message
 MAX_FETCH_BYTES = 31_457_280            # consumer fetch limit, all partitions
 MAX_PARTITION_FETCH_BYTES = 26_214_400  # consumer fetch limit, per partition
+MAX_OFFSETS_PER_TRIGGER = 10_000        # records of a Kafka micro-batch (ours)
 POLL_INTERVAL_SECONDS = 1               # folder poll
 COMMIT_INTERVAL_SECONDS = 5.0           # stream service commit interval
 INSERT_PAGE_ROWS = 1_000                # relational batched insert page
@@ -28,7 +29,8 @@ class JobConfig:
     input_topic: str = "image-uploads"
     output_topic: str = "image-uploads-processed"
     consumer_group: str = "image-consumer-group"
-    starting_offsets: str = "earliest"          # image consumer; stream service default is "latest"
+    starting_offsets: str = "earliest"          # image consumer
+    processor_starting_offsets: str = "latest"  # stream service
     bootstrap_servers: str | None = None        # None -> file-backed topic folders
     topic_root: str | None = None               # folder holding file-backed topics
     object_root: str | None = None              # object store root (date-keyed paths)
@@ -41,13 +43,18 @@ class JobConfig:
     enable_iceberg_sink: bool = True
     max_message_bytes: int = MAX_MESSAGE_BYTES
     max_bytes_per_trigger: int = MAX_FETCH_BYTES
+    max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER
     poll_interval_seconds: int = POLL_INTERVAL_SECONDS
     commit_interval_seconds: float = COMMIT_INTERVAL_SECONDS
-    jdbc_batch_rows: int = INSERT_PAGE_ROWS
     topic_partitions: int = TOPIC_PARTITIONS
     retention_days: int = RETENTION_DAYS
     snapshot_retention_days: int = SNAPSHOT_RETENTION_DAYS
-    extra: dict = field(default_factory=dict)
+
+    def dead_letter_root(self) -> str:
+        """Where refused records go; a job without such a place would lose them."""
+        if not self.dead_letter_table:
+            raise ValueError("dead_letter_table must be set")
+        return self.dead_letter_table
 
     @classmethod
     def from_env(cls, **overrides) -> "JobConfig":
@@ -57,6 +64,7 @@ class JobConfig:
             "output_topic": os.getenv("KAFKA_OUTPUT_TOPIC", cls.output_topic),
             "consumer_group": os.getenv("KAFKA_GROUP_ID", cls.consumer_group),
             "starting_offsets": os.getenv("KAFKA_AUTO_OFFSET_RESET", cls.starting_offsets),
+            "processor_starting_offsets": os.getenv("KAFKA_AUTO_OFFSET_RESET", cls.processor_starting_offsets),
             "bootstrap_servers": os.getenv("KAFKA_BOOTSTRAP_SERVERS"),
             "topic_root": os.getenv("LAKELENS_TOPIC_ROOT"),
             "object_root": os.getenv("LAKELENS_OBJECT_ROOT"),

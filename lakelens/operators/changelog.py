@@ -12,6 +12,8 @@ shuffle instead of being sorted in one task.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,8 +75,8 @@ def as_of(log: DataFrame, ts: str, key: str = KEY, fields: list[str] | None = No
     The check is one aggregate over the ``committed_at`` column only.
     """
     at = F.lit(ts).cast("timestamp_ntz")
-    first = log.agg(F.min("committed_at").cast("string")).first()[0]
-    if first is None or ts < first:
+    first = log.agg(F.min("committed_at")).first()[0]
+    if first is None or datetime.fromisoformat(ts) < first:
         raise ValueError(f"no snapshot at or before {ts} (first commit: {first})")
     return current_state(log.where(F.col("committed_at") <= at), key, fields)
 
@@ -84,8 +86,8 @@ def as_of_many(log: DataFrame, timestamps: list[str], key: str = KEY, ts_col: st
     """Table states at several times in one pass: rows are repeated once per probe time they
     precede (a literal array, so the fan-out is the number of probes) and resolved by one
     aggregation on (probe, key).  One check against the first commit covers all probes."""
-    first = log.agg(F.min("committed_at").cast("string")).first()[0]
-    early = [t for t in timestamps if first is None or t < first]
+    first = log.agg(F.min("committed_at")).first()[0]
+    early = [t for t in timestamps if first is None or datetime.fromisoformat(t) < first]
     if early:
         raise ValueError(f"no snapshot at or before {early[0]} (first commit: {first})")
     probes = F.array(*[F.lit(t).cast("timestamp_ntz") for t in timestamps])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakelens.session import in_one_process
+
 
 def select_once(df: DataFrame, keep: list[str], fields: list[Column]) -> DataFrame:
     """``df.select(*keep, *fields)`` with ``fields`` evaluated once per row.
@@ -19,15 +21,11 @@ def select_once(df: DataFrame, keep: list[str], fields: list[Column]) -> DataFra
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rebalance an input that has fewer partitions than the cluster has cores.
+    """In a local session, deal an input of one scan task (a small test file) to all threads.
 
-    A small file (one Parquet row group) scans as one task, which serialises the
-    per-row work after it (JSON parsing, hashing, geodesics).  Large inputs already
-    have many splits and are returned unchanged, so no shuffle is added at scale.
+    On a cluster the plan is left as it is: no shuffle is added there.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the plan as it is
+    if not in_one_process(df.sparkSession):
         return df
-    return df if parts >= cores else df.repartition(cores)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

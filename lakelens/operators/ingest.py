@@ -54,7 +54,7 @@ def skip_already_ingested(candidates: DataFrame, ingested_hashes: DataFrame) ->
 
 def to_envelopes(messages: DataFrame, topic: str, num_partitions: int = 3,
                  partition: Column | None = None, offset: Column | None = None,
-                 timestamp: Column | None = None) -> DataFrame:
+                 timestamp: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Keyed topic records: key = file hash, value = the message as JSON text.
 
     Without an explicit partition the key is hashed over ``num_partitions`` (like a
@@ -69,6 +69,7 @@ def to_envelopes(messages: DataFrame, topic: str, num_partitions: int = 3,
         part.cast("int").alias("partition"),
         (offset if offset is not None else F.monotonically_increasing_id()).cast("long").alias("offset"),
         (timestamp if timestamp is not None else F.localtimestamp()).cast("timestamp_ntz").alias("timestamp"),
+        *keep,
     )
 
 

@@ -56,10 +56,15 @@ def insert_first_wins(batch: DataFrame, target: DataFrame, order_cols: list[str]
     """Rows a first-wins insert adds to ``target``: first per key in the batch, keys already present
     skipped, new serial ids after the target's largest id, in arrival order.  ``probe`` marks a
     persisted micro-batch (see ``joins.anti_join_keys``)."""
-    first = first_wins(batch, key, order_cols)
-    new = anti_join_keys(first, target, key, probe=probe)
     top = target.select(F.max("id")).scalar()
-    return assign_serial_ids(new.drop("id") if "id" in new.columns else new, order_cols + [key], top)
+    return assign_serial_ids(new_rows(batch, target, order_cols, key, probe), order_cols + [key], top)
+
+
+def new_rows(batch: DataFrame, target: DataFrame, order_cols: list[str] = ARRIVAL_ORDER, key: str = "file_hash",
+             probe: bool = False) -> DataFrame:
+    """First row per key of ``batch`` whose key ``target`` lacks, without an id."""
+    new = anti_join_keys(first_wins(batch, key, order_cols), target, key, probe=probe)
+    return new.drop("id") if "id" in new.columns else new
 
 
 def validate_messages(parsed: DataFrame, strict: bool = False, now: Column | None = None,

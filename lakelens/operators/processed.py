@@ -11,6 +11,8 @@ from lakelens.operators.joins import anti_join_keys
 from lakelens.operators.metadata import first_wins
 from lakelens.schemas import PROCESSED_FIELDS, T2_LIMITS
 
+# Fields of the processed payload.
+PAYLOAD_FIELDS = ["filename", "file_hash", "file_size", "mime_type"]
 ARRIVAL_ORDER = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
 
 
@@ -37,6 +39,11 @@ def transform(envelopes: DataFrame, clock: Column | None = None) -> DataFrame:
         F.when(obj, jsonval.get_long(v, "file_size")).alias("file_size"),
         F.when(obj, jsonval.get_string(v, "mime_type")).alias("mime_type"),
         F.when(obj, jsonval.is_truthy(v, "file_hash")).otherwise(F.lit(False)).alias("hash_truthy"),
+        # a size that is there but does not bind to the tables' bigint column
+        (obj & jsonval.get_long(v, "file_size").isNull()
+         & ~F.coalesce(jsonval.field_text(v, "file_size"), F.lit("null")).isin("null")).alias("size_unbound"),
+        # the payload's values as they came, for the topic
+        *[F.when(obj, F.try_variant_get(v, f"$.{c}", "variant")).alias(f"_{c}") for c in PAYLOAD_FIELDS],
         F.when(~obj, v).alias("raw"),
     ])
 
@@ -60,8 +67,11 @@ def dead_letters(transformed: DataFrame, source: str = "processed") -> DataFrame
 
 
 def output_records(transformed: DataFrame, topic: str) -> DataFrame:
-    """Records for the processed topic: every JSON record (objects and passthrough), key kept."""
-    obj_json = jsonval.to_json_text(F.struct("processed_at", "filename", "file_hash", "file_size", "mime_type"))
+    """Records for the processed topic: every JSON record (objects and passthrough), key kept.
+
+    The payload's fields keep the JSON type and value they had in the message.
+    """
+    obj_json = jsonval.to_json_text(F.struct("processed_at", *[F.col(f"_{c}").alias(c) for c in PAYLOAD_FIELDS]))
     raw_json = F.to_json(F.struct(F.col("processed_at"), F.col("raw")))
     return transformed.where(F.col("kind") != "invalid").select(
         F.col("key"),
@@ -74,8 +84,9 @@ def output_records(transformed: DataFrame, topic: str) -> DataFrame:
 
 
 def processed_rows(transformed: DataFrame, keep_arrival: bool = False) -> DataFrame:
-    """T2/T3 rows: object records with a truthy ``file_hash``; ``processed_at`` parsed to UTC."""
-    rows = transformed.where((F.col("kind") == "object") & F.col("hash_truthy")).select(
+    """T2/T3 rows: object records with a truthy ``file_hash`` and a ``file_size`` that binds;
+    ``processed_at`` parsed to UTC.  ``unbound_sizes`` has the others."""
+    rows = transformed.where((F.col("kind") == "object") & F.col("hash_truthy") & ~F.col("size_unbound")).select(
         "file_hash", "filename", "file_size", "mime_type",
         timefmt.parse_iso_utc(F.col("processed_at")).alias("processed_at"),
         "kafka_topic", F.col("kafka_partition").cast("int").alias("kafka_partition"),
@@ -83,6 +94,13 @@ def processed_rows(transformed: DataFrame, keep_arrival: bool = False) -> DataFr
     return rows if keep_arrival else rows.drop("kafka_timestamp")
 
 
+def unbound_sizes(transformed: DataFrame, source: str = "processed") -> DataFrame:
+    """Records for the dead letter that T2/T3 cannot hold: their ``file_size`` is no whole number."""
+    return transformed.where((F.col("kind") == "object") & F.col("hash_truthy") & F.col("size_unbound")).select(
+        F.lit(source).alias("source"), F.lit("bad_file_size").alias("reason"), "key", "value",
+        F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"))
+
+
 def split_t2_limits(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(fits, too_long) against the keyed table's column lengths; too-long rows are quarantined."""
     bad = F.lit(False)

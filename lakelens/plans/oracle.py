@@ -179,6 +179,13 @@ SELECT CAST(uploaded_at AS DATE) AS upload_date, count(*) AS image_count,
        sum(file_size) / 1024 / 1024 AS total_size_mb
 FROM cur GROUP BY 1 ORDER BY 1 DESC""",
         "lake_row_count": w + "SELECT count(*) AS row_count FROM cur",
+        "lake_limit_count": w + "SELECT least(10, count(*)) AS row_count FROM cur",
+        "lake_files": """
+SELECT 'orders.parquet' AS file_name, count(*) AS record_count, min(o_orderdate) AS lower_bound,
+       max(o_orderdate) AS upper_bound FROM orders""",
+        "daily_volume_ranked": w + """
+SELECT row_number() OVER (ORDER BY CAST(uploaded_at AS DATE) DESC) AS rank, CAST(uploaded_at AS DATE) AS upload_date,
+       count(*) AS image_count FROM cur GROUP BY 2""",
         "lake_latest_rows": w + """
 SELECT uploaded_at, file_hash, filename, file_size, mime_type FROM cur
 ORDER BY uploaded_at DESC, id DESC LIMIT 5""",
@@ -289,6 +296,12 @@ SELECT kafka_partition, kafka_offset, filename, reason FROM (
     WHEN has_fs AND fs IS NULL THEN 'bad_file_size'
     WHEN nullif(ts_text, '') IS NOT NULL AND TRY_CAST(ts_text AS TIMESTAMPTZ) IS NULL THEN 'bad_timestamp'
   END AS reason FROM parsed) WHERE reason IS NOT NULL""",
+        "metadata_defaults": w + """
+SELECT kafka_partition, kafka_offset,
+       CASE WHEN doc_id % 13 = 10 THEN 'application/octet-stream' ELSE mime_type END AS mime_type,
+       CASE WHEN doc_id % 13 = 8 THEN 12 ELSE file_size END AS file_size,
+       CASE WHEN doc_id % 13 = 6 THEN kafka_timestamp - INTERVAL 2 HOUR ELSE kafka_timestamp END AS uploaded_at
+FROM doc_msgs WHERE doc_id % 13 IN (5, 6, 8, 10, 11, 12)""",
         "object_keys_last_wins": w + """
 , keyed AS (
   SELECT *, 'images/' || strftime(kafka_timestamp, '%Y/%m/%d') || '/' || filename AS object_key FROM doc_msgs)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakelens.config import SNAPSHOT_RETENTION_DAYS
@@ -68,7 +68,22 @@ def lake_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.file_listing(read_table(spark, sf_dir, "orders"), "o_orderdate")
+    """Data files of ``orders`` by base name, with record counts and bounds of the order date."""
+    files = changelog.file_listing(read_table(spark, sf_dir, "orders"), "o_orderdate")
+    return files.select(F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "record_count",
+                        "lower_bound", "upper_bound")
+
+
+def daily_volume_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order of the daily volumes, newest day first, as a rank (one row per day)."""
+    newest = Window.orderBy(F.desc("upload_date"))
+    return daily_volume(spark, sf_dir).select(F.row_number().over(newest).cast("long").alias("rank"), "upload_date", "image_count")
+
+
+def lake_limit_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``SELECT * ... LIMIT 10`` without an order: any ten rows, so their number."""
+    current = changelog.current_state(fx.lake_change_log(spark, sf_dir), fields=["filename"])
+    return current.limit(10).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def lake_partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +196,14 @@ def metadata_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), "filename", "reason")
 
 
+def metadata_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted messages with the batch consumer's defaults for missing fields."""
+    parsed = ingest.parse_messages(_faulty_document_envelopes(spark, sf_dir))
+    checked = metadata.validate_messages(parsed, strict=False, now=F.col("timestamp"))
+    return checked.where(F.col("reason").isNull()).select(
+        F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), "mime_type", "file_size", "uploaded_at")
+
+
 def object_keys_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = fx.document_messages(spark, sf_dir).select(
         "filename", "file_hash", "file_size", "mime_type", *metadata.ARRIVAL_ORDER)
@@ -305,6 +328,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_as_of": lake_as_of,
     "lake_snapshots": lake_snapshots,
     "lake_files": lake_files,
+    "daily_volume_ranked": daily_volume_ranked,
+    "lake_limit_count": lake_limit_count,
     "lake_partition_range": lake_partition_range,
     "lake_update": lake_update,
     "lake_delete": lake_delete,
@@ -317,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "skip_already_ingested": skip_already_ingested,
     "metadata_first_wins": metadata_first_wins,
     "metadata_rejects": metadata_rejects,
+    "metadata_defaults": metadata_defaults,
     "object_keys_last_wins": object_keys_last_wins,
     "fk_orphans": fk_orphans,
     "processed_payload": processed_payload,

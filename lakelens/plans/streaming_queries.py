@@ -9,13 +9,18 @@ batch query that computes the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakelens.config import JobConfig
+from lakelens.functions import binary
+from lakelens.operators import processed
 from lakelens.plans import oracle
 from lakelens.schemas import IMAGE_METADATA_FIELDS, PROCESSED_FIELDS
 from lakelens.session import pin_utc, work_path
+from lakelens.sinks import objects as object_sinks
 from lakelens.sinks import topics as topic_sinks
 from lakelens.sources import fixtures as fx
+from lakelens.sources.topics import read_topic
 from lakelens.streaming import jobs
 
 # Processing clocks of the staged runs.
@@ -32,6 +37,7 @@ def _config(base: str, **kw) -> JobConfig:
         processed_table=f"{base}/image_uploads_processed_pg",
         lake_table=f"{base}/image_uploads_processed_lake",
         dead_letter_table=f"{base}/dead_letter",
+        processor_starting_offsets="earliest",
         **kw,
     )
 
@@ -41,7 +47,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     base = work_path(spark, "stream-ingest")
     cfg = _config(base)
-    topic_sinks.write_topic(fx.document_envelopes(spark, sf_dir), cfg.input_topic, cfg.topic_root, batch_id=0)
+    topic_sinks.write_topic(fx.document_envelopes(spark, sf_dir), cfg.input_topic, cfg.topic_root, batch=0)
     jobs.start_consumer(spark, cfg, f"{base}/_checkpoint", strict=True, available_now=True,
                         clock=CONSUMER_CLOCK).awaitTermination()
     return spark.read.parquet(cfg.metadata_table).select(*IMAGE_METADATA_FIELDS)
@@ -51,7 +57,7 @@ def _run_processor(spark: SparkSession, sf_dir: str) -> JobConfig:
     pin_utc(spark)
     base = work_path(spark, "stream-processed")
     cfg = _config(base)
-    topic_sinks.write_topic(fx.event_envelopes(spark, sf_dir), cfg.input_topic, cfg.topic_root, batch_id=0)
+    topic_sinks.write_topic(fx.event_envelopes(spark, sf_dir), cfg.input_topic, cfg.topic_root, batch=0)
     jobs.start_processor(spark, cfg, f"{base}/_checkpoint", available_now=True,
                          clock=fx.PROCESSED_CLOCK).awaitTermination()
     return cfg
@@ -72,7 +78,6 @@ def stream_processed_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_processed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event messages -> stream processor -> processed topic records."""
     cfg = _run_processor(spark, sf_dir)
-    from lakelens.sources.topics import read_topic
     return read_topic(spark, cfg.output_topic, cfg.topic_root).select("key", "value", "partition", "offset")
 
 
@@ -87,12 +92,84 @@ def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "filename", "file_hash", "file_size", "mime_type", "s3_path", "uploaded_at", "source_path")
 
 
+def stream_restart_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events drained, the rest arrives, a second run starts on a new checkpoint.
+
+    The new checkpoint reads the topic from its start again, so the first half is delivered
+    twice; collapsed by topic position, the lake table holds every record.
+    """
+    pin_utc(spark)
+    base = work_path(spark, "stream-restart")
+    cfg, events = _config(base), fx.event_envelopes(spark, sf_dir)
+    for run in (0, 1):
+        topic_sinks.write_topic(events.where(F.col("offset") % 2 == run), cfg.input_topic, cfg.topic_root, batch=run)
+        jobs.start_processor(spark, cfg, f"{base}/_checkpoint{run}", available_now=True,
+                             clock=fx.PROCESSED_CLOCK).awaitTermination()
+    return processed.dedupe_by_offset(spark.read.parquet(cfg.lake_table).select(*PROCESSED_FIELDS))
+
+
+def object_store_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job and the continuous consumer store the same messages under one object root."""
+    pin_utc(spark)
+    base = work_path(spark, "two-writers")
+    cfg = _config(base)
+    jobs.run_batch_ingest(spark, cfg, f"{base}/_checkpoint_batch", files=fx.document_image_files(spark, sf_dir),
+                          clock=BATCH_CLOCK, as_of=BATCH_AS_OF)
+    jobs.start_consumer(spark, cfg, f"{base}/_checkpoint_stream", strict=True, available_now=True,
+                        clock=CONSUMER_CLOCK).awaitTermination()
+    stored = object_sinks.read_objects(spark, cfg.object_root)
+    return stored.select("object_key", binary.sha256_hex(F.col("content")).alias("file_hash"), "n_writes")
+
+
+def producer_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic positions of two producer batches: unique, dense by partition, from 0."""
+    pin_utc(spark)
+    base = work_path(spark, "producer-offsets")
+    cfg, files = _config(base), fx.document_image_files(spark, sf_dir)
+    for batch in (0, 1):
+        jobs.produce_batch(files.where(F.col("doc_id") % 2 == batch), batch, cfg, clock=BATCH_CLOCK)
+    sent = read_topic(spark, cfg.input_topic, cfg.topic_root)
+    by = sent.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("offset").alias("d"),
+                                       F.min("offset").alias("low"), F.max("offset").alias("high"))
+    return by.agg(F.sum("n").alias("n_records"), F.sum("d").alias("n_positions"),
+                  F.sum(F.col("high") + 1 - F.col("n")).alias("n_gaps"), F.max("low").alias("first_offset"))
+
+
+def ids_after_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages stored, all expired, stored again: serial ids go on after the ones given before."""
+    pin_utc(spark)
+    base = work_path(spark, "ids-after-retention")
+    cfg, messages = _config(base), fx.document_envelopes(spark, sf_dir)
+    for batch in (0, 1):
+        jobs.consume_batch(spark, messages, batch, cfg, strict=True, clock=CONSUMER_CLOCK)
+        if not batch:
+            jobs.drop_partitions_before(spark, cfg.metadata_table, jobs.METADATA_PARTITION, "9999-01-01")
+    return spark.read.parquet(cfg.metadata_table).select("id", "filename", "file_hash")
+
+
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of two runs of the batch job over the same files."""
+    pin_utc(spark)
+    base = work_path(spark, "run-counters")
+    cfg, files = _config(base), fx.document_image_files(spark, sf_dir)
+    rows = []
+    for run in (1, 2):
+        c = jobs.run_batch_ingest(spark, cfg, f"{base}/_checkpoint", files=files, clock=BATCH_CLOCK, as_of=BATCH_AS_OF)
+        rows.append((run, c.produced, c.too_large, c.processed, c.rejected, c.inserted))
+    return spark.createDataFrame(rows, "run int, produced long, too_large long, processed long, rejected long, inserted long")
+
+
 QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_processed": stream_processed,
     "stream_processed_keyed": stream_processed_keyed,
     "stream_processed_topic": stream_processed_topic,
     "batch_ingest": batch_ingest,
+    "stream_restart_processed": stream_restart_processed,
+    "object_store_two_writers": object_store_two_writers,
+    "producer_offsets": producer_offsets,
+    "ids_after_retention": ids_after_retention,
+    "run_counters": run_counters,
 }
 
 
@@ -124,4 +201,19 @@ FROM ev WHERE bad <> 2""",
 SELECT filename, file_hash, file_size, mime_type, 'images/2024/03/01/' || filename AS s3_path,
        TIMESTAMP '{BATCH_CLOCK}' AS uploaded_at, filepath AS source_path
 FROM doc_msgs QUALIFY row_number() OVER (PARTITION BY file_hash ORDER BY filename) = 1""",
+        "stream_restart_processed": sql["processed_append"],
+        "object_store_two_writers": docs + """
+SELECT 'images/2024/03/01/' || filename AS object_key, file_hash, 2::BIGINT AS n_writes FROM doc_msgs""",
+        "producer_offsets": docs + """
+SELECT count(*) AS n_records, count(*) AS n_positions, 0::BIGINT AS n_gaps, 0::BIGINT AS first_offset FROM doc_msgs""",
+        "ids_after_retention": docs + """
+, firsts AS (
+  SELECT * FROM doc_msgs
+  QUALIFY row_number() OVER (PARTITION BY file_hash ORDER BY kafka_timestamp, kafka_partition, kafka_offset) = 1)
+SELECT row_number() OVER (ORDER BY kafka_timestamp, kafka_partition, kafka_offset, file_hash) + count(*) OVER () AS id,
+       filename, file_hash FROM firsts""",
+        "run_counters": docs + """
+SELECT 1 AS run, count(*) AS produced, 0::BIGINT AS too_large, count(*) AS processed, 0::BIGINT AS rejected,
+       count(DISTINCT file_hash) AS inserted FROM doc_msgs
+UNION ALL SELECT 2, 0, 0, 0, 0, 0""",
     }

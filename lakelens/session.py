@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -43,6 +44,7 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     pin_utc(spark)
+    ship_package(spark)
     return spark
 
 
@@ -55,34 +57,40 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (HDFS/object store). When unset, as in local
-    tests, a folder is made and registered as the checkpoint dir.
+    On a cluster this must be set (HDFS/object store); an unset one is an error there. In a
+    local session, as in tests, a folder is made and registered as the checkpoint dir.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not in_one_process(spark):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="lakelens-")
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder for one job's outputs."""
-    return f"{shared_dir(spark)}/lakelens/{name}-{uuid.uuid4().hex[:12]}"
+def in_one_process(spark: SparkSession) -> bool:
+    """Whether driver and executors are one local process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
-def strip_file_scheme(path: str) -> str:
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return path
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster, whose Python functions import it."""
+    if in_one_process(spark):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "lakelens"), "zip", os.path.dirname(root), "lakelens")
+    spark.sparkContext.addPyFile(archive)
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path on any store."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(strip_file_scheme(path), exist_ok=True)
+def work_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path under the shared folder for one job's outputs."""
+    return f"{shared_dir(spark)}/lakelens/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,8 +1,8 @@
 """Table writers on plain Parquet: create-if-absent, first-wins insert, exactly-once append, lake commits.
 
-Every write is one Spark job, and Spark's job commit makes its files appear
-together, so a failed or killed job leaves the table as it was.  Writers that a
-stream replays after a failure are idempotent on the micro-batch id.
+A job that dies while it commits can leave some of its files.  Writers that a stream replays
+are safe against that: an append owns the folder of its batch and a replay overwrites it whole;
+a first-wins insert adds the keys that are still missing.
 """
 
 from __future__ import annotations
@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.operators import changelog, metadata
+from lakelens.operators.ids import assign_serial_ids
 from lakelens.operators.joins import anti_join_keys
 from lakelens.schemas import LAKE_LOG_FIELDS, PARTITION_COLUMN
+from lakelens.session import file_system
+from lakelens.sinks.batches import BatchRef, markers, reserve_ids
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    fs, hadoop_path = file_system(spark, path)
+    return fs.exists(hadoop_path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -46,25 +47,27 @@ def insert_first_wins(spark: SparkSession, batch: DataFrame, path: str, schema:
                       partition_by: dict | None = None) -> int:
     """Append the rows of ``batch`` whose key is new (``ON CONFLICT (key) DO NOTHING``).
 
-    New rows get serial ids after the table's largest.  Returns how many were added;
-    replaying the same batch adds none, since its keys now exist.  ``partition_by``
+    New rows get serial ids after the table's high-water mark, which retention does not lower.
+    Returns how many were added; replaying the same batch adds none, since its keys now exist.  ``partition_by``
     maps partition column names to the Columns that derive them.
     """
     existing = read_or_empty(spark, path, schema)
-    added = metadata.insert_first_wins(batch, existing, order_cols, key, probe=True).select(*schema.fieldNames())
-    for name, expr in (partition_by or {}).items():
-        added = added.withColumn(name, expr)
-    added = added.persist()
+    new = metadata.new_rows(batch, existing, order_cols, key, probe=True).persist()
     try:
-        n = added.count()
+        n = new.count()
         if n:
+            top = existing.agg(F.max("id")).first()[0] if not markers(spark, f"{path}/_serial") else 0
+            start = reserve_ids(spark, path, n, top or 0)
+            added = assign_serial_ids(new, order_cols + [key], start).select(*schema.fieldNames())
+            for name, expr in (partition_by or {}).items():
+                added = added.withColumn(name, expr)
             writer = added.write.mode("append")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)
         return n
     finally:
-        added.unpersist()
+        new.unpersist()
 
 
 def upsert_first_wins(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType,
@@ -77,27 +80,13 @@ def upsert_first_wins(spark: SparkSession, rows: DataFrame, path: str, schema: T
     fresh.write.mode("append").parquet(path)
 
 
-def append_once(spark: SparkSession, rows: DataFrame, path: str, batch_id: int,
-                batch_col: str = "commit_id", partition_by: list[str] | None = None) -> bool:
-    """Append ``rows`` tagged with ``batch_id`` unless that batch is already in the table.
-
-    Turns an at-least-once replay into an exactly-once append.  The check reads only
-    the batch column (Parquet statistics skip row groups of other batches).
-    """
-    if table_exists(spark, path):
-        done = spark.read.parquet(path).where(F.col(batch_col) == batch_id).select(batch_col).limit(1).count()
-        if done:
-            return False
-    writer = rows.withColumn(batch_col, F.lit(batch_id).cast("long")).write.mode("append")
+def append_batch(rows: DataFrame, path: str, batch: BatchRef | int, partition_by: list[str] | None = None,
+                 fmt: str = "parquet") -> None:
+    """Append a micro-batch exactly once: it owns a folder, which a replay overwrites whole."""
+    writer = rows.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return True
-
-
-def write_batch_output(rows: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Per-batch output folder, overwritten on replay (exactly-once for append-only outputs)."""
-    rows.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch-{batch_id:012d}")
+    writer.save(f"{path.rstrip('/')}/{BatchRef.of(batch).folder}")
 
 
 # ---------------------------------------------------------------- lake table (change log)

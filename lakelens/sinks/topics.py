@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelens.config import MAX_MESSAGE_BYTES
+from lakelens.sinks.batches import BatchRef
 from lakelens.sources.topics import topic_path
 
 # Producer settings of the image topic.
@@ -18,7 +19,7 @@ PRODUCER_OPTIONS = {
 
 
 def write_topic(records: DataFrame, topic: str, root: str | None = None, bootstrap_servers: str | None = None,
-                batch_id: int | None = None) -> None:
+                batch: BatchRef | int | None = None) -> None:
     """Write envelope records (key, value, partition, offset, timestamp) to a topic.
 
     File topics get one folder per micro-batch that a replay overwrites, so a
@@ -34,7 +35,7 @@ def write_topic(records: DataFrame, topic: str, root: str | None = None, bootstr
         return
     out = records.select("key", "value", F.lit(topic).alias("topic"), "partition", "offset", "timestamp")
     base = topic_path(root, topic)
-    if batch_id is None:
+    if batch is None:
         out.write.mode("append").json(base)
     else:
-        out.write.mode("overwrite").json(f"{base}/batch-{batch_id:012d}")
+        out.write.mode("overwrite").json(f"{base}/{BatchRef.of(batch).folder}")

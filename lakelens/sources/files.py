@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakelens.functions.paths import IMAGE_EXTENSIONS, file_name, is_image_name
 from lakelens.schemas import IMAGE_FILE
-from lakelens.session import is_local_path, strip_file_scheme
+from lakelens.session import file_system
 
 
 def _glob_superset() -> str:
@@ -21,10 +21,9 @@ def image_folder(spark: SparkSession, folder: str) -> DataFrame:
     A missing folder gives an empty DataFrame with the file schema.  Order by
     ``path`` where the scan order matters (name order of the original batch scan).
     """
-    if is_local_path(folder):
-        import os
-        if not os.path.isdir(strip_file_scheme(folder)):
-            return spark.createDataFrame([], IMAGE_FILE)
+    fs, path = file_system(spark, folder)
+    if not fs.exists(path):
+        return spark.createDataFrame([], IMAGE_FILE)
     files = (spark.read.format("binaryFile")
              .option("pathGlobFilter", _glob_superset())
              .option("recursiveFileLookup", "false")

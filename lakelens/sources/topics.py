@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelens.config import MAX_FETCH_BYTES, MAX_PARTITION_FETCH_BYTES
+from lakelens.config import MAX_FETCH_BYTES, MAX_OFFSETS_PER_TRIGGER, MAX_PARTITION_FETCH_BYTES
 from lakelens.schemas import ENVELOPE
 
 
@@ -42,22 +42,30 @@ def read_topic(spark: SparkSession, topic: str, root: str | None = None,
 
 def read_topic_stream(spark: SparkSession, topic: str, root: str | None = None,
                       bootstrap_servers: str | None = None, starting_offsets: str = "earliest",
-                      max_bytes_per_trigger: int | None = None, max_files_per_trigger: int | None = None
-                      ) -> DataFrame:
-    """Unbounded read; ``starting_offsets`` in {earliest, latest} applies to a fresh checkpoint."""
+                      max_bytes_per_trigger: int = MAX_FETCH_BYTES, max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
+                      since: str | None = None) -> DataFrame:
+    """Unbounded read in bounded micro-batches; ``starting_offsets`` is earliest or latest.
+
+    Kafka applies the start to a fresh checkpoint and bounds a batch by records; records that
+    the broker has dropped fail the query.  A file topic bounds a batch by bytes; its latest
+    start is files changed after ``since`` (UTC), the time the checkpoint was first used.
+    """
     if starting_offsets not in ("earliest", "latest"):
         raise ValueError("starting_offsets must be 'earliest' or 'latest'")
     if bootstrap_servers:
         reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
                   .option("subscribe", topic).option("startingOffsets", starting_offsets)
-                  .option("failOnDataLoss", "false"))
+                  .option("maxOffsetsPerTrigger", max_offsets_per_trigger))
         # Consumer fetch limits pass through to the Kafka client.
-        reader = (reader.option("kafka.fetch.max.bytes", str(max_bytes_per_trigger or MAX_FETCH_BYTES))
+        reader = (reader.option("kafka.fetch.max.bytes", str(max_bytes_per_trigger))
                   .option("kafka.max.partition.fetch.bytes", str(MAX_PARTITION_FETCH_BYTES)))
         return _kafka_columns(reader.load())
-    if starting_offsets == "latest":
-        raise ValueError("file-backed topics are read from the earliest file; 'latest' needs the Kafka source")
-    reader = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(topic_path(root, topic))
+    reader = (spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true")
+              .option("maxBytesPerTrigger", max_bytes_per_trigger))
+    records = reader.json(topic_path(root, topic))
+    if starting_offsets == "earliest":
+        return records
+    if since is None:
+        raise ValueError("a file topic's latest start needs the time to start from")
+    changed = F.col("_metadata.file_modification_time")
+    return records.where(changed > F.lit(f"{since}+00:00").cast("timestamp"))

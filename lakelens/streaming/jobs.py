@@ -2,12 +2,15 @@
 
 Each stream reads with a checkpoint (the committed consumer-group offsets) and
 writes in ``foreachBatch``; the micro-batch is persisted once and every sink in
-it is idempotent on the batch id, so a batch replayed after a failure is not
-stored twice.  The batch job runs the same functions with ``availableNow``.
+it is idempotent on (writer, run of the checkpoint, batch number), so a batch replayed
+after a failure is not stored twice, and neither a new checkpoint nor another writer
+meets its folders.  The batch job runs the same functions with ``availableNow``.
 """
 
 from __future__ import annotations
 
+import logging
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -16,24 +19,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelens.config import JobConfig
+from lakelens.functions import jsonval, paths
 from lakelens.operators import ingest, metadata, processed
+from lakelens.operators.ids import assign_serial_ids
+from lakelens.operators.joins import broadcast_if_bounded
 from lakelens.schemas import IMAGE_METADATA, PROCESSED_FIELDS, PROCESSED_ROW
-from lakelens.session import pin_utc
+from lakelens.session import file_system, pin_utc
 from lakelens.sinks import objects, tables, topics
+from lakelens.sinks.batches import BatchRef, reserve_offsets, run_of
 from lakelens.sources import files as file_sources
 from lakelens.sources import topics as topic_sources
-from lakelens.functions import paths
 
+log = logging.getLogger(__name__)
 METADATA_PARTITION = "uploaded_day"
 METADATA_TABLE_SCHEMA = T.StructType(IMAGE_METADATA.fields + [T.StructField(METADATA_PARTITION, T.DateType())])
-_OFFSET_BATCH_SHIFT = 40
 
 
-def _clock_col(clock: str | None, utc: bool = False) -> Column:
-    """The processing time of a micro-batch as a literal (one value for the whole batch)."""
+def _clock_col(clock: str | None) -> Column:
+    """The processing time (UTC) of a micro-batch as a literal (one value for the whole batch)."""
     if clock is not None:
         return F.lit(clock).cast("timestamp_ntz")
-    now = datetime.now(timezone.utc).replace(tzinfo=None) if utc else datetime.now()
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
     return F.lit(now.isoformat(" ")).cast("timestamp_ntz")
 
 
@@ -54,33 +60,58 @@ class Counters:
 
 # ---------------------------------------------------------------- producer (files -> topic)
 
-def produce_batch(files: DataFrame, batch_id: int, cfg: JobConfig, clock: str | None = None,
+def produce_batch(files: DataFrame, batch: BatchRef | int, cfg: JobConfig, clock: str | None = None,
                   skip_hashes: DataFrame | None = None) -> Counters:
     """Hash, encode and send one set of image files; files over the size limit go to the dead letter.
 
-    Files are sent in name order.  Keys hash to ``cfg.topic_partitions``; on a file
-    topic the offset is (batch id, position in name order).
+    Files are hashed first, and the narrow rows (name, path, hash) decide what is sent and get
+    their place: keys hash to ``cfg.topic_partitions``, and on a file topic the offsets are
+    dense by partition, in name order, from the topic's stored end.  The survivors' contents
+    are then read again and encoded; they meet their narrow rows in a broadcast join while
+    those are proven small, so payloads are not shuffled.
     """
-    msgs = ingest.build_messages(files, _clock_col(clock) if clock else None)
+    spark, ref = files.sparkSession, BatchRef.of(batch, "producer")
+    hashed = ingest.hash_files(files, keep=("path",))
     if skip_hashes is not None:
-        msgs = ingest.skip_already_ingested(msgs, skip_hashes)
-    ordered = msgs.orderBy("filename", "filepath")
-    offset = F.lit(batch_id).cast("long") * (1 << _OFFSET_BATCH_SHIFT) + F.monotonically_increasing_id()
-    env = ingest.to_envelopes(ordered, cfg.input_topic, cfg.topic_partitions, offset=offset).persist()
+        hashed = ingest.skip_already_ingested(hashed, skip_hashes)
+    placed = hashed.select("path", "filename", "filepath",
+                           F.pmod(F.xxhash64("file_hash"), F.lit(cfg.topic_partitions)).cast("int").alias("topic_part"))
+    numbered = assign_serial_ids(placed, ["topic_part", "filename", "filepath", "path"], id_col="serial").checkpoint()
+    ranges = numbered.groupBy("topic_part").agg(F.min("serial").alias("low"), F.count(F.lit(1)).alias("n")).collect()
+    starts = {r["topic_part"]: 0 for r in ranges}
+    if not cfg.bootstrap_servers and cfg.topic_root:
+        starts = reserve_offsets(spark, topic_sources.topic_path(cfg.topic_root, cfg.input_topic), ref,
+                                 {r["topic_part"]: r["n"] for r in ranges})
+    offset = F.lit(None).cast("long")
+    for r in ranges:  # one for each topic partition
+        offset = F.when(F.col("topic_part") == r["topic_part"], F.col("serial") - r["low"] + starts[r["topic_part"]]).otherwise(offset)
+    place = broadcast_if_bounded(numbered.select("path", "topic_part", offset.alias("topic_offset")), F.octet_length("path") + 32)
+    msgs = ingest.build_messages(files.join(place, "path"), _clock_col(clock) if clock else None, keep=("topic_part", "topic_offset"))
+    env = ingest.to_envelopes(msgs, cfg.input_topic, partition=F.col("topic_part"), offset=F.col("topic_offset"), keep=("filepath",)).persist()
     try:
         sendable, too_large = ingest.split_by_size(env, cfg.max_message_bytes)
-        topics.write_topic(sendable, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers, batch_id)
-        n_large = too_large.count()
-        if n_large and cfg.dead_letter_table:
-            tables.write_batch_output(too_large.select(
+        topics.write_topic(sendable, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers, ref)
+        n, n_large = env.count(), too_large.count()
+        if n_large:
+            # the payload is too large to keep: its file's path stands for it
+            tables.append_batch(too_large.select(
                 F.lit("producer").alias("source"), F.lit("payload_too_large").alias("reason"),
-                "key", F.lit(None).cast("string").alias("value"), "partition", "offset"),
-                f"{cfg.dead_letter_table}/producer", batch_id)
-        return Counters(produced=env.count() - n_large, too_large=n_large)
+                "key", F.col("filepath").alias("value"), "partition", "offset"),
+                f"{cfg.dead_letter_root()}/producer", ref)
+        return Counters(produced=n - n_large, too_large=n_large)
     finally:
         env.unpersist()
 
 
+#: counters of the running process by job, summed over its micro-batches (A6)
+TOTALS: dict[str, Counters] = {}
+
+
+def _count(job: str, counters: Counters) -> None:
+    TOTALS.setdefault(job, Counters()).add(counters)
+    log.info("%s: %s", job, TOTALS[job])
+
+
 def _named(writer, name: str | None):
     return writer.queryName(name) if name else writer
 
@@ -88,10 +119,12 @@ def _named(writer, name: str | None):
 def start_producer(spark: SparkSession, cfg: JobConfig, checkpoint: str, available_now: bool = False,
                    clock: str | None = None, name: str | None = None):
     """Watched folder -> input topic (S1, R1, R7): each new file is sent once."""
+    cfg.dead_letter_root()
     stream = file_sources.image_folder_stream(spark, cfg.watch_path, max_bytes_per_trigger=cfg.max_bytes_per_trigger)
+    own = run_of(spark, checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        produce_batch(batch, batch_id, cfg, clock)
+        _count("producer", produce_batch(batch, BatchRef("producer", own.id, batch_id), cfg, clock))
 
     writer = _named(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), name)
     writer = writer.trigger(availableNow=True) if available_now else \
@@ -106,10 +139,11 @@ def decode_values(batch: DataFrame, decoder=None) -> DataFrame:
     return batch if decoder is None else batch.withColumn("value", decoder(F.col("value")))
 
 
-def consume_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: JobConfig, strict: bool = True,
+def consume_batch(spark: SparkSession, batch: DataFrame, batch_id: BatchRef | int, cfg: JobConfig, strict: bool = True,
                   clock: str | None = None, decoder=None) -> Counters:
     """Store one micro-batch of image messages: objects, first-wins metadata rows, dead letters."""
     pin_utc(spark)
+    ref = BatchRef.of(batch_id, "consumer")
     batch = decode_values(batch, decoder)
     now = _clock_col(clock)
     checked = metadata.validate_messages(ingest.parse_messages(batch), strict=strict, now=now,
@@ -120,12 +154,12 @@ def consume_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
         valid = checked.where(F.col("reason").isNull())
         rejected = checked.where(F.col("reason").isNotNull())
         n_total, n_rejected = checked.agg(F.count(F.lit(1)), F.count("reason")).first()
-        if n_rejected and cfg.dead_letter_table:
-            tables.write_batch_output(rejected.select(
+        if n_rejected:
+            tables.append_batch(rejected.select(
                 F.lit("consumer").alias("source"), "reason", "key", "value", "partition", "offset"),
-                f"{cfg.dead_letter_table}/consumer", batch_id)
+                f"{cfg.dead_letter_root()}/consumer", ref)
         if cfg.object_root:
-            objects.write_objects(objects.object_rows(valid, now, batch_id), cfg.object_root, batch_id)
+            objects.write_objects(objects.object_rows(valid, now), cfg.object_root, ref)
         rows = valid.select(
             "filename", "file_hash", "file_size", "mime_type",
             paths.object_key(now, F.col("filename")).alias("s3_path"),
@@ -150,11 +184,14 @@ def insert_metadata(spark: SparkSession, rows: DataFrame, path: str) -> int:
 def start_consumer(spark: SparkSession, cfg: JobConfig, checkpoint: str, strict: bool = True,
                    available_now: bool = False, clock: str | None = None, decoder=None, name: str | None = None):
     """Input topic -> objects + T1 (S3/S4, R2-R5, R8, R10-R12)."""
+    cfg.dead_letter_root()
+    own = run_of(spark, checkpoint)
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
-                                             cfg.starting_offsets, cfg.max_bytes_per_trigger)
+                                             cfg.starting_offsets, cfg.max_bytes_per_trigger,
+                                             cfg.max_offsets_per_trigger, own.started)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        consume_batch(spark, batch, batch_id, cfg, strict, clock, decoder)
+        _count("consumer", consume_batch(spark, batch, BatchRef("consumer", own.id, batch_id), cfg, strict, clock, decoder))
 
     writer = _named(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), name)
     writer = writer.trigger(availableNow=True) if available_now else \
@@ -164,31 +201,31 @@ def start_consumer(spark: SparkSession, cfg: JobConfig, checkpoint: str, strict:
 
 # ---------------------------------------------------------------- stream processor (fan-out)
 
-def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: JobConfig,
+def process_batch(spark: SparkSession, batch: DataFrame, batch_id: BatchRef | int, cfg: JobConfig,
                   clock: str | None = None, decoder=None) -> Counters:
-    """One micro-batch of the processor: output topic, keyed table (T2) and lake append (T3)."""
+    """One micro-batch of the processor: output topic, keyed table (T2), lake append (T3), dead letters."""
     pin_utc(spark)
+    ref = BatchRef.of(batch_id, "processor")
     batch = decode_values(batch, decoder)
-    t = processed.transform(batch, _clock_col(clock, utc=True))
-    # The raw value is only needed for the dead letter of records that are not JSON.
-    t = t.withColumn("value", F.when(F.col("kind") == "invalid", F.col("value"))).persist()
+    t = processed.transform(batch, _clock_col(clock))
+    # The raw value is only needed for the dead letter.
+    bound_for_it = (F.col("kind") == "invalid") | F.col("size_unbound")
+    t = t.withColumn("value", F.when(bound_for_it, F.col("value"))).persist()
     try:
         topics.write_topic(processed.output_records(t, cfg.output_topic), cfg.output_topic, cfg.topic_root,
-                           cfg.bootstrap_servers, batch_id)
+                           cfg.bootstrap_servers, ref)
         rows = processed.processed_rows(t, keep_arrival=True)
+        letters = processed.dead_letters(t).unionByName(processed.unbound_sizes(t))
         if cfg.enable_postgres_sink and cfg.processed_table:
             fits, too_long = processed.split_t2_limits(rows)
             tables.upsert_first_wins(spark, fits, cfg.processed_table, PROCESSED_ROW, processed.ARRIVAL_ORDER)
-            if cfg.dead_letter_table:
-                tables.write_batch_output(too_long.select(
-                    F.lit("processed_table").alias("source"), F.lit("value_too_long").alias("reason"),
-                    F.col("file_hash").alias("key"), F.lit(None).cast("string").alias("value"),
-                    F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset")),
-                    f"{cfg.dead_letter_table}/processed_table", batch_id)
+            letters = letters.unionByName(too_long.select(
+                F.lit("processed_table").alias("source"), F.lit("value_too_long").alias("reason"),
+                F.col("file_hash").alias("key"), jsonval.to_json_text(F.struct(*processed.PAYLOAD_FIELDS)).alias("value"),
+                F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset")))
         if cfg.enable_iceberg_sink and cfg.lake_table:
-            tables.append_once(spark, rows.select(*PROCESSED_FIELDS), cfg.lake_table, batch_id)
-        if cfg.dead_letter_table:
-            tables.write_batch_output(processed.dead_letters(t), f"{cfg.dead_letter_table}/processor", batch_id)
+            tables.append_batch(rows.select(*PROCESSED_FIELDS), cfg.lake_table, ref)
+        tables.append_batch(letters, f"{cfg.dead_letter_root()}/processor", ref)
         n, bad = t.agg(F.count(F.lit(1)), F.count(F.when(F.col("kind") == "invalid", 1))).first()
         return Counters(processed=n - bad, rejected=bad)
     finally:
@@ -198,11 +235,14 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Job
 def start_processor(spark: SparkSession, cfg: JobConfig, checkpoint: str, available_now: bool = False,
                     clock: str | None = None, decoder=None, name: str | None = None):
     """Input topic -> processed topic + T2 + T3 (S5, R2, R6, K2, K5, K6, K9); commit every 5 s."""
+    cfg.dead_letter_root()
+    own = run_of(spark, checkpoint)
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
-                                             cfg.starting_offsets)
+                                             cfg.processor_starting_offsets, cfg.max_bytes_per_trigger,
+                                             cfg.max_offsets_per_trigger, own.started)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, batch_id, cfg, clock, decoder)
+        _count("processor", process_batch(spark, batch, BatchRef("processor", own.id, batch_id), cfg, clock, decoder))
 
     writer = _named(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), name)
     writer = writer.trigger(availableNow=True) if available_now else \
@@ -221,9 +261,7 @@ def drop_partitions_before(spark: SparkSession, path: str, column: str, cutoff_d
     """Delete whole day partitions older than ``cutoff_day`` (metadata-only delete; NULL days stay)."""
     if not tables.table_exists(spark, path):
         return 0
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, root = file_system(spark, path)
     dropped = 0
     for status in fs.listStatus(root):
         name = status.getPath().getName()
@@ -243,40 +281,29 @@ def run_batch_ingest(spark: SparkSession, cfg: JobConfig, checkpoint: str, files
     drained even when this scan produced nothing.
     """
     pin_utc(spark)
+    cfg.dead_letter_root()
     tables.create_if_absent(spark, cfg.metadata_table, METADATA_TABLE_SCHEMA, [METADATA_PARTITION])
     counters = Counters()
     scan = files if files is not None else file_sources.image_folder(spark, cfg.watch_path)
     known = tables.read_or_empty(spark, cfg.metadata_table, IMAGE_METADATA).select("file_hash")
-    counters.add(produce_batch(scan, _next_batch_id(spark, cfg), cfg, clock, skip_hashes=known))
+    # every call is a run of its own as a producer; its consumer continues the checkpoint's
+    sent = BatchRef("batch-producer", f"r{uuid.uuid4().hex[:12]}", 0)
+    counters.add(produce_batch(scan, sent, cfg, clock, skip_hashes=known))
     results: list[Counters] = []
+    own = run_of(spark, checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        results.append(consume_batch(spark, batch, batch_id, cfg, strict=False, clock=clock))
+        results.append(consume_batch(spark, batch, BatchRef("batch-consumer", own.id, batch_id), cfg, strict=False, clock=clock))
 
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
-                                             "earliest", cfg.max_bytes_per_trigger)
+                                             "earliest", cfg.max_bytes_per_trigger, cfg.max_offsets_per_trigger)
     query = (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     for r in results:
         counters.add(r)
-    day = (datetime.fromisoformat(as_of) if as_of else datetime.now())
+    day = (datetime.fromisoformat(as_of) if as_of else datetime.now(timezone.utc))
     cutoff = (day.date().toordinal() - cfg.retention_days)
     counters.expired_partitions = drop_partitions_before(
         spark, cfg.metadata_table, METADATA_PARTITION, datetime.fromordinal(cutoff).date().isoformat())
     return counters
-
-
-def _next_batch_id(spark: SparkSession, cfg: JobConfig) -> int:
-    """Producer batch ids for the batch job continue after the folders already in the topic."""
-    if cfg.bootstrap_servers or not cfg.topic_root:
-        return 0
-    path = topic_sources.topic_path(cfg.topic_root, cfg.input_topic)
-    if not tables.table_exists(spark, path):
-        return 0
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    ids = [int(s.getPath().getName().split("-", 1)[1]) for s in fs.listStatus(root)
-           if s.getPath().getName().startswith("batch-")]
-    return max(ids) + 1 if ids else 0

@@ -89,7 +89,7 @@ def test_cities_within_europe(locations, regions):
 def test_points_in_polygons_grid_path_matches_broadcast(spark, locations, regions):
     polys = regions.withColumnRenamed("name", "region").withColumnRenamed("id", "rid")
     small = spatial.points_in_polygons(locations, "location", polys, "boundary")
-    grid = spatial.points_in_polygons(locations, "location", polys, "boundary", broadcast_max_rows=0, cell_deg=7.0)
+    grid = spatial.points_in_polygons(locations, "location", polys, "boundary", max_broadcast_bytes=0, cell_deg=7.0)
     plan = grid._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert sorted(map(tuple, small.select("name", "region").collect())) == \

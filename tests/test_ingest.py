@@ -161,7 +161,7 @@ def test_anti_join_paths_agree(spark):
         return sorted((tuple(r) for r in anti_join_keys(rows, target, "k", **kw).collect()), key=str)
 
     plain = run()
-    assert plain == run(probe=True) == run(probe=True, max_broadcast_keys=3)
+    assert plain == run(probe=True) == run(probe=True, max_broadcast_bytes=30)
     assert (None, 999) in plain
 
 

@@ -1,11 +1,15 @@
 """Change-log lake table: state, time travel, snapshots, DML, expiry, compaction, and written tables."""
 
+import pathlib
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from lakelens.operators import changelog
 from lakelens.schemas import LAKE_FIELDS
 from lakelens.sinks import tables
+from lakelens.sinks.batches import BatchRef
 from lakelens.sources import fixtures as fx
 from conftest import SF_CHECK, SF_SMALL
 
@@ -97,7 +101,9 @@ def test_written_table_roundtrip(spark, scratch):
     snaps = changelog.snapshots(log).collect()
     assert [s["operation"] for s in snaps] == ["delete", "overwrite", "append"]
     day = changelog.day_range(log, "2024-01-11", "2024-01-12")
-    assert "uploaded_day" in str(day._jdf.queryExecution().executedPlan().toString()) or day.count() >= 0
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*uploaded_day[^\]]*>= 2024-01-11", plan), plan
+    assert day.count() == log.where("uploaded_day = '2024-01-11'").select("id").distinct().count()
     out = f"{scratch}/images_compact"
     tables.rewrite_lake(spark, path, out, max_records_per_file=200)
     assert _rows(changelog.current_state(spark.read.parquet(out))) == _rows(cur)
@@ -105,13 +111,25 @@ def test_written_table_roundtrip(spark, scratch):
     assert files.agg(F.max("record_count")).first()[0] <= 200
 
 
-def test_append_once_is_idempotent(spark, scratch):
+def test_append_batch_is_idempotent(spark, scratch):
     path = f"{scratch}/t3"
     rows = spark.range(10).select(F.col("id").alias("x"))
-    assert tables.append_once(spark, rows, path, 7)
-    assert not tables.append_once(spark, rows, path, 7)
-    assert tables.append_once(spark, rows, path, 8)
-    assert spark.read.parquet(path).count() == 20
+    for batch in (7, 7, 8, BatchRef("other", "r1", 7)):
+        tables.append_batch(rows, path, batch)
+    assert spark.read.parquet(path).count() == 30
+
+
+def test_append_batch_replaces_a_half_committed_batch(spark, scratch):
+    """A batch that died after part of its files is whole after its replay."""
+    path, ref = f"{scratch}/t3", BatchRef("processor", "r1", 3)
+    rows = spark.range(100).repartition(4).select(F.col("id").alias("x"))
+    tables.append_batch(rows, path, ref)
+    parts = sorted(pathlib.Path(f"{path}/{ref.folder}").glob("part-*"))
+    for part in parts[1:]:
+        part.unlink()
+    assert spark.read.parquet(path).count() < 100
+    tables.append_batch(rows, path, ref)
+    assert sorted(r["x"] for r in spark.read.parquet(path).collect()) == list(range(100))
 
 
 def test_bucketed_lake_table_resolves_without_shuffle(spark):

@@ -26,7 +26,7 @@ def test_query_matches_oracle(results, key):
 
 def test_every_query_has_oracle_or_is_documented():
     rows_only = set(KEYS) - set(entry.oracle_sql())
-    assert rows_only == {"lake_files", "geo_region_area", "geo_buffer"}
+    assert rows_only == {"geo_region_area", "geo_buffer"}
 
 
 def test_entry_smoke(spark):

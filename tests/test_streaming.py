@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakelens.config import JobConfig
 from lakelens.operators import processed
 from lakelens.schemas import PROCESSED_FIELDS
+from lakelens.sinks.batches import BatchRef, run_of
 from lakelens.sinks import topics as topic_sinks
 from lakelens.sources import fixtures as fx
 from lakelens.sources.topics import read_topic
@@ -20,7 +21,7 @@ CLOCK = "2024-03-01 00:00:00"
 def _cfg(base, **kw):
     return JobConfig(topic_root=f"{base}/topics", object_root=f"{base}/objects",
                      metadata_table=f"{base}/t1", processed_table=f"{base}/t2", lake_table=f"{base}/t3",
-                     dead_letter_table=f"{base}/dlq", **kw)
+                     dead_letter_table=f"{base}/dlq", **{"processor_starting_offsets": "earliest", **kw})
 
 
 def _sorted(df, cols):
@@ -58,7 +59,7 @@ def test_consumer_restart_equals_one_run(spark, scratch):
     env = fx.document_envelopes(spark, SF_SMALL)
     # three topic folders, consumed one file per micro-batch
     for i, part in enumerate(env.randomSplit([1.0, 1.0, 1.0], seed=7)):
-        topic_sinks.write_topic(part.coalesce(1), cfg.input_topic, cfg.topic_root, batch_id=i)
+        topic_sinks.write_topic(part.coalesce(1), cfg.input_topic, cfg.topic_root, batch=i)
     stream = spark.readStream.schema(env.schema).option("recursiveFileLookup", "true") \
         .option("maxFilesPerTrigger", 1).json(f"{cfg.topic_root}/{cfg.input_topic}")
     seen = []
@@ -78,7 +79,7 @@ def test_consumer_restart_equals_one_run(spark, scratch):
     # replay the last batch by hand: an idempotent sink must not add rows
     last = max(seen)
     jobs.consume_batch(spark, spark.read.schema(env.schema).json(
-        f"{cfg.topic_root}/{cfg.input_topic}/batch-{min(last, 2):012d}"), last, cfg, strict=True, clock=CLOCK)
+        f"{cfg.topic_root}/{cfg.input_topic}/{BatchRef.of(min(last, 2)).folder}"), last, cfg, strict=True, clock=CLOCK)
     t1 = spark.read.parquet(cfg.metadata_table)
     msgs = fx.document_messages(spark, SF_SMALL)
     assert t1.count() == msgs.select("file_hash").distinct().count()
@@ -89,7 +90,7 @@ def test_consumer_restart_equals_one_run(spark, scratch):
 def test_processor_equals_batch_and_replay_is_idempotent(spark, scratch):
     cfg = _cfg(scratch)
     env = fx.event_envelopes(spark, SF_SMALL)
-    topic_sinks.write_topic(env, cfg.input_topic, cfg.topic_root, batch_id=0)
+    topic_sinks.write_topic(env, cfg.input_topic, cfg.topic_root, batch=0)
     jobs.start_processor(spark, cfg, f"{scratch}/ck", available_now=True, clock=fx.PROCESSED_CLOCK).awaitTermination()
     batch = processed.processed_rows(processed.transform(env, F.lit(fx.PROCESSED_CLOCK).cast("timestamp_ntz")),
                                      keep_arrival=True)
@@ -97,17 +98,19 @@ def test_processor_equals_batch_and_replay_is_idempotent(spark, scratch):
     assert _sorted(t3, PROCESSED_FIELDS) == _sorted(batch, PROCESSED_FIELDS)
     t2 = spark.read.parquet(cfg.processed_table)
     assert _sorted(t2, PROCESSED_FIELDS) == _sorted(processed.upsert_rows(batch), PROCESSED_FIELDS)
-    # replay batch 0: T3 append is skipped, T2 adds nothing, topic folder is overwritten
-    jobs.process_batch(spark, read_topic(spark, cfg.input_topic, cfg.topic_root), 0, cfg, clock=fx.PROCESSED_CLOCK)
-    assert spark.read.parquet(cfg.lake_table).count() == t3.count()
-    assert spark.read.parquet(cfg.processed_table).count() == t2.count()
+    # replay batch 0: its T3 and topic folders are overwritten, T2 adds nothing
+    n2, n3 = t2.count(), t3.count()
+    ref = BatchRef("processor", run_of(spark, f"{scratch}/ck").id, 0)
+    jobs.process_batch(spark, read_topic(spark, cfg.input_topic, cfg.topic_root), ref, cfg, clock=fx.PROCESSED_CLOCK)
+    assert spark.read.parquet(cfg.lake_table).count() == n3
+    assert spark.read.parquet(cfg.processed_table).count() == n2
     out = read_topic(spark, cfg.output_topic, cfg.topic_root)
     assert out.count() == env.where(F.col("value") != "not json").count()
 
 
 def test_sinks_can_be_disabled(spark, scratch):
     cfg = _cfg(scratch, enable_postgres_sink=False, enable_iceberg_sink=False)
-    topic_sinks.write_topic(fx.event_envelopes(spark, SF_SMALL), cfg.input_topic, cfg.topic_root, batch_id=0)
+    topic_sinks.write_topic(fx.event_envelopes(spark, SF_SMALL), cfg.input_topic, cfg.topic_root, batch=0)
     jobs.start_processor(spark, cfg, f"{scratch}/ck", available_now=True, clock=fx.PROCESSED_CLOCK).awaitTermination()
     from lakelens.sinks.tables import table_exists
     assert not table_exists(spark, cfg.lake_table) and not table_exists(spark, cfg.processed_table)
