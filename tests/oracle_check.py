@@ -54,7 +54,7 @@ def duck(sf_dir):
 def run(sf_dir, keys=None, spark=None, verbose=True):
     import __spark_entry__ as e
     from lakelens.session import build_session
-    spark = spark or build_session(master="local[8]", shuffle_partitions=8)
+    spark = spark or build_session(master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "4g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     qs, sqls = e.queries(), e.oracle_sql()
