@@ -94,27 +94,30 @@ class Counter:
         if self.path.endswith(".model"):  # its pieces can cross blanks' neighbours: whole texts
             lengths = self._lengths(list({t for t in texts if t}))
             return [lengths[t] if t else 0 for t in texts]
-        out, at = [], 0
-        while at < len(texts):  # some texts at a time, by size
-            totals, size = [], 0
-            while at < len(texts) and size < 8 * self.batch_bytes:
-                text = texts[at] or ""
-                at, size = at + 1, size + len(text)
-                parts = list(safe_parts(text))
-                totals.append(parts)
-            new = {p for parts in totals for p in parts if p not in self._known}
-            lengths = self._lengths(sorted(new, key=len))
-            if len(self._known) + len(lengths) > CACHE_PARTS:
-                self._known = {}
-                lengths |= self._lengths([p for p in {p for parts in totals for p in parts} if p not in lengths])
-            keep = {p: n for p, n in lengths.items() if len(p) <= CACHE_CHARS}
-            if len(keep) <= CACHE_PARTS:
-                self._known.update(keep)
-            known = self._known
-            for parts in totals:
-                out.append(sum(known[p] if p in known else lengths[p] for p in parts))
+        out, held, size = [0] * len(texts), [], 0
+        for at, text in enumerate(texts):
+            for part in safe_parts(text or ""):
+                held.append((at, part))
+                size += len(part) + 8
+                if size >= 8 * self.batch_bytes:  # parts of many short texts, or some of a long one
+                    self._add(held, out)
+                    held, size = [], 0
+        self._add(held, out)
         return out
 
+    def _add(self, held: list[tuple[int, str]], out: list[int]) -> None:
+        """Add the lengths of the parts to the totals of their texts; new parts are encoded first."""
+        known = self._known
+        lengths = self._lengths(sorted({p for _, p in held if p not in known}, key=len))
+        for at, part in held:
+            n = known.get(part)
+            out[at] += lengths[part] if n is None else n
+        keep = {p: n for p, n in lengths.items() if len(p) <= CACHE_CHARS}
+        if len(known) + len(keep) > CACHE_PARTS:
+            known.clear()
+        if len(keep) <= CACHE_PARTS:
+            known.update(keep)
+
 
 def token_count_column(text: str | Column, path: str | None = None, batch_bytes: int = BATCH_BYTES) -> Column:
     """Arrow function: number of tokens of each text (long), null as empty."""
