@@ -9,7 +9,6 @@ every occurrence, and word positions lead back to offsets of the original.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import fresh, prepare
+from lakelens.llm.common import fresh, prepare, word_blocks
 
 WINDOW = 10
 #: bytes of item text in one automaton; a larger benchmark is scanned in blocks of this size
@@ -72,25 +71,31 @@ class Scanner:
         if not text:
             return 0, [], 0, set()
         data = text.encode("utf-8", "surrogatepass").translate(NORMAL)
-        words = data.split()
-        found, marks = set(), []
         automaton = self.automaton()
-        if words and len(automaton):
-            normal = b" %b " % b" ".join(words)
-            line = normal.decode("utf-8", "surrogatepass")
-            ends: list[int] = []
+        found: set[str] = set()
+        starts_at: list[int] = []  # numbers of the words at which found windows begin, and their lengths
+        lengths: list[int] = []
+        total = 0
+        for words in word_blocks(data, carry=self.size - 1):  # a window lies whole in some block
+            base = max(0, total - (self.size - 1))
+            total = base + len(words)
+            if not words or not len(automaton):
+                continue
+            line = (b" %b " % b" ".join(words)).decode("utf-8", "surrogatepass")
+            ends, sizes = [], []
             for end, (n, ids) in automaton.iter(line):
                 ends.append(end)
-                marks.append(n)
+                sizes.append(n)
                 found.update(ids)
-        if not marks:
-            return len(words), [], 0, set()
-        # the blank after word k lies at blanks[k + 1] of the normalised line
-        blanks = np.array([i for i, c in enumerate(line) if c == " "])
-        last = np.searchsorted(blanks, np.array(ends))
-        step = np.zeros(len(words) + 1, dtype=np.int64)
-        np.add.at(step, last - np.array(marks), 1)
-        np.add.at(step, last, -1)
+            if ends:  # the blank after word k of the block is blank k + 1 of its line
+                blanks = np.array([i for i, c in enumerate(line) if c == " "])
+                starts_at += (base + np.searchsorted(blanks, np.array(ends)) - np.array(sizes)).tolist()
+                lengths += sizes
+        if not starts_at:
+            return total, [], 0, set()
+        step = np.zeros(total + 1, dtype=np.int64)
+        np.add.at(step, starts_at, 1)
+        np.add.at(step, np.array(starts_at) + np.array(lengths), -1)
         hit = np.cumsum(step[:-1]) > 0
         raw = np.frombuffer(data, dtype=np.uint8) != 32
         edge = np.diff(np.concatenate(([0], raw.view(np.int8), [0])))
@@ -98,7 +103,7 @@ class Scanner:
         runs = np.diff(np.concatenate(([0], hit.view(np.int8), [0])))
         spans = list(zip(starts[np.nonzero(runs == 1)[0]].tolist(),
                          stops[np.nonzero(runs == -1)[0] - 1].tolist(), strict=True))
-        return len(words), spans, int(hit.sum()), found
+        return total, spans, int(hit.sum()), found
 
 
 def hit_column(text: str | Column, scanner: Scanner) -> Column:
@@ -180,10 +185,6 @@ def digest(items: Column) -> Column:
     return F.sha2(F.array_join(items, ",").cast("binary"), 256)
 
 
-def items_sha256(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
-
-
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **kwargs) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; all columns, no shuffle."""
     found, name = find_contamination(docs, benchmark, text_col, **kwargs)

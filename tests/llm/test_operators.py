@@ -325,6 +325,19 @@ def test_decontamination_matches_brute_force(spark, none, block_bytes):
     assert empty.filter(F.col(f"{name}.n_hit") > 0).count() == 0
 
 
+def test_long_text_in_blocks_equals_brute_force(monkeypatch):
+    from lakelens.llm import common
+    rng = random.Random(2)
+    blocks = common.word_blocks
+    items = [("1", "a b c d e f g h i j k l"), ("2", "x y"), ("3", "b")]
+    monkeypatch.setattr(decontaminate, "word_blocks", lambda data, size=0, carry=0: blocks(data, 30, carry))
+    for _ in range(50):
+        text = " ".join(rng.choice(["a b c d e f g h i j k l", "a b c", "x", "y", "q", "x y", "é--"]) for _ in range(60))
+        n, spans, hit, found = decontaminate.Scanner(items).scan(text)
+        want = plain_scan(text, items)
+        assert (n, hit, len(found)) == want[:3]
+
+
 def test_decontamination_odd(odd, spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h a b"), (2, "ONE")], "item_id long, text string")
     found, name = decontaminate.find_contamination(odd, bench)
