@@ -140,18 +140,25 @@ def update_rows(log: DataFrame, predicate: Column, assignments: dict[str, Column
     Rows whose day changes also get an ``unlink`` tombstone in their old day.
     """
     hits = current_state(log, key).where(predicate)
-    new = hits.withColumns(assignments)
-    new = new.withColumn("_old_day", F.col(PARTITION)).withColumn(PARTITION, F.to_date("uploaded_at"))
-    updates = _stamp(new.drop("_old_day"), commit_id, committed_at, UPDATE)
-    moved = new.where(~F.col(PARTITION).eqNullSafe(F.col("_old_day"))).withColumn(PARTITION, F.col("_old_day"))
-    unlinks = _stamp(moved.drop("_old_day"), commit_id, committed_at, UNLINK)
-    return updates.select(*log.columns).unionByName(unlinks.select(*log.columns))
+    new = hits.withColumn("old_day", F.col(PARTITION)).withColumns(assignments).drop(PARTITION, "op")
+    written = F.struct(F.to_date("uploaded_at").alias(PARTITION), F.lit(UPDATE).alias("op"))
+    unlinked = F.struct(F.col("old_day").alias(PARTITION), F.lit(UNLINK).alias("op"))
+    moved = ~F.to_date("uploaded_at").eqNullSafe(F.col("old_day"))
+    rows = new.select("*", F.inline(F.when(moved, F.array(written, unlinked)).otherwise(F.array(written))))
+    return (rows.withColumn("commit_id", F.lit(commit_id).cast("long"))
+            .withColumn("committed_at", F.lit(committed_at).cast("timestamp_ntz")).select(*log.columns))
 
 
 def delete_rows(log: DataFrame, predicate: Column, commit_id: int, committed_at: str,
-                key: str = KEY) -> DataFrame:
-    """Tombstones of ``DELETE FROM t WHERE predicate``; rows where the predicate is NULL stay."""
-    return _stamp(current_state(log, key).where(predicate), commit_id, committed_at, DELETE).select(*log.columns)
+                key: str = KEY, days: Column | None = None) -> DataFrame:
+    """Tombstones of ``DELETE FROM t WHERE predicate``; rows where the predicate is NULL stay.
+
+    ``days``: what the predicate implies for the day partition, so that only those days are
+    read.  A row that moved to another day left a tombstone in its old one, so a day resolves
+    by itself.
+    """
+    read = log if days is None else log.where(days)
+    return _stamp(current_state(read, key).where(predicate), commit_id, committed_at, DELETE).select(*log.columns)
 
 
 def expire(log: DataFrame, cutoff: str, key: str = KEY) -> DataFrame:
@@ -173,10 +180,10 @@ def expire(log: DataFrame, cutoff: str, key: str = KEY) -> DataFrame:
 
 
 def compact(log: DataFrame) -> DataFrame:
-    """Rows laid out for rewriting: range-partitioned by (day, key) so one day can span several
-    files of about the advisory size and a hot day is split across tasks; sorted inside each file
-    so Parquet min/max statistics on ``uploaded_at`` prune well."""
-    return log.repartitionByRange(PARTITION, KEY).sortWithinPartitions(PARTITION, "uploaded_at", KEY)
+    """Rows laid out for rewriting: gathered by day, small days joined and large ones split to about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` a task, sorted inside each file so Parquet
+    min/max statistics on ``uploaded_at`` prune well."""
+    return log.hint("rebalance", PARTITION).sortWithinPartitions(PARTITION, "uploaded_at", KEY)
 
 
 def day_range(log: DataFrame, start_date: str, end_date: str, key: str = KEY,

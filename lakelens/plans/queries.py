@@ -104,8 +104,9 @@ def lake_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fx.lake_change_log(spark, sf_dir).where(F.col("commit_id") <= fx.UPDATE_COMMIT[0])
-    rows = changelog.delete_rows(log, F.col("uploaded_at") < F.lit(fx.DELETE_BEFORE).cast("date"),
-                                 *fx.DELETE_COMMIT)
+    before = F.lit(fx.DELETE_BEFORE).cast("date")
+    rows = changelog.delete_rows(log, F.col("uploaded_at") < before, *fx.DELETE_COMMIT,
+                                 days=F.col(PARTITION_COLUMN) < before)
     return rows.select(*LAKE_LOG_FIELDS)
 
 

@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
+#: applications whose executors have the package
+_SHIPPED: set[str] = set()
 
 
 def build_session(
@@ -78,8 +80,9 @@ def in_one_process(spark: SparkSession) -> bool:
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors of a cluster, whose Python functions import it."""
-    if in_one_process(spark):
+    if in_one_process(spark) or spark.sparkContext.applicationId in _SHIPPED:
         return
+    _SHIPPED.add(spark.sparkContext.applicationId)
     root = os.path.dirname(os.path.abspath(__file__))
     archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "lakelens"), "zip", os.path.dirname(root), "lakelens")
     spark.sparkContext.addPyFile(archive)

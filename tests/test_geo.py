@@ -204,3 +204,23 @@ def test_inverse_lands_on_target_near_antipodes(quads):
     x, y = geodesy.direct(lon1, lat1, az, s)
     assert np.abs(((x - lon2) + 180) % 360 - 180).max() < 1e-6 and np.abs(y - lat2).max() < 1e-6
     assert (s <= 20_003_931.46).all()
+
+
+def test_areas_of_many_rings_at_once():
+    from lakelens.functions import geodesy
+    box = ([0, 1, 1, 0, 0], [0, 0, 1, 1, 0])
+    dateline = ([170, -170, -170, 170, 170], [0, 0, 5, 5, 0])
+    slanted = ([0, 3, 1, 0], [0, 1, 4, 0])
+    pole = ([0, 90, 180, -90, 0], [80] * 5)
+    rings = [box, pole, dateline, ([0, 1], [0, 1]), slanted]
+    together = geodesy.ring_areas(rings, chunk_steps=700)
+    assert together[0] == pytest.approx(12_308_778_361.469, rel=1e-6)  # published value of the 1 degree box
+    assert math.isnan(together[1]) and together[3] == 0
+    for i in (0, 2, 4):
+        assert together[i] == pytest.approx(geodesy.ring_area(*rings[i]), rel=1e-12)
+
+
+def test_pole_ring_area_is_null(spark):
+    ring = ", ".join(f"named_struct('lon', {x}D, 'lat', 80D)" for x in (0, 90, 180, -90, 0))
+    rows = spark.sql(f"SELECT array({ring}) AS r UNION ALL SELECT NULL").select(geo.geodesic_area_m2(F.col("r")).alias("a")).collect()
+    assert [r["a"] for r in rows] == [None, None]
