@@ -27,6 +27,8 @@ MAX_LABELLED = 20_000
 THRESHOLDS, MAX_CONDITIONS, MAX_RULES = 48, 4, 24
 #: precision and rows a pruned rule needs on the rows held for pruning
 MIN_PRECISION, MIN_ROWS = 0.9, 3
+#: base check: fewest words, and most words of a hundred inside repeated windows
+MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 
 _SPACE, _SYMBOLS, _UPPER = b" \t\n\x0b\x0c\r", b"#*$%&|<>", bytes(range(65, 91))
 _MARKS, _DIGITS = b"!?", b"0123456789"
@@ -216,17 +218,26 @@ def rule_number(rules: list[Rule], stats: dict[str, Column]) -> Column:
     return chain.otherwise(F.lit(0))
 
 
+def base_failure(min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> Column:
+    """Too few words, or too many of them inside repeated windows, from the struct of counts ``c``."""
+    return (F.col("c.n_words") < min_words) | (
+        F.col("c.n_repeat_words") * 100 > F.col("c.n_words") * max_repeat_percent)
+
+
 def fit_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              quality_col: str = "quality", max_labelled: int = MAX_LABELLED) -> list[Rule]:
+              quality_col: str = "quality", max_labelled: int = MAX_LABELLED,
+              min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> list[Rule]:
     """Rules learned from at most ``max_labelled`` labelled ids (those of the least hash).
 
-    Rows of a null label or id do not count; an id labelled both ways counts as good.
+    Rows that fail the base check are judged by it alone, so they teach nothing here.  Rows of
+    a null label or id do not count; an id labelled both ways counts as good.
     """
     sample = (labels.filter(F.col(quality_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("id")).agg(F.max(quality_col).alias("quality"))
               .orderBy(F.xxhash64("id"), "id").limit(max_labelled))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    counted = rows.select("id", "quality", counts_column("text").alias("c"))
+    counted = (rows.select("id", "quality", counts_column("text").alias("c"))
+               .filter(~base_failure(min_words, max_repeat_percent)))
     stats = statistics(F.col("c"))
     found = (counted.select(F.xxhash64("id").alias("h"), "id", "quality", *[c.alias(n) for n, c in stats.items()])
              .toPandas().sort_values(["h", "id", *stats], kind="stable"))
@@ -234,7 +245,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
 
 def judge(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", text_col: str = "text",
-          min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
+          min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
     """id, the counts, ``base_failed``, ``rule`` (0 none) and ``kept`` of every row.
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat_percent`` per
@@ -244,9 +255,7 @@ def judge(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", text_col:
     """
     prepare(docs.sparkSession)
     counted = docs.select(F.col(id_col).alias("id"), counts_column(text_col).alias("c"))
-    failed = (F.col("c.n_words") < min_words) | (
-        F.col("c.n_repeat_words") * 100 > F.col("c.n_words") * max_repeat_percent)
-    return (counted.withColumn("base_failed", failed)
+    return (counted.withColumn("base_failed", base_failure(min_words, max_repeat_percent))
             .withColumn("rule", rule_number(rules, statistics(F.col("c"))))
             .select(F.col("id").alias(id_col), "c.*", "base_failed", "rule",
                     (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept")))
