@@ -236,11 +236,13 @@ def fit_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
               .groupBy(F.col(id_col).alias("id")).agg(F.max(quality_col).alias("quality"))
               .orderBy(F.xxhash64("id"), "id").limit(max_labelled))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    counted = (rows.select("id", "quality", counts_column("text").alias("c"))
-               .filter(~base_failure(min_words, max_repeat_percent)))
+    counted = rows.select("id", "quality", counts_column("text").alias("c"))
     stats = statistics(F.col("c"))
-    found = (counted.select(F.xxhash64("id").alias("h"), "id", "quality", *[c.alias(n) for n, c in stats.items()])
-             .toPandas().sort_values(["h", "id", *stats], kind="stable"))
+    # the base check is applied to the sample's rows here: as a filter, Spark would push it, and
+    # the counting with it, below the join to all documents
+    found = (counted.select(F.xxhash64("id").alias("h"), "id", "quality", *[c.alias(n) for n, c in stats.items()],
+                            base_failure(min_words, max_repeat_percent).alias("failed")).toPandas())
+    found = found[~found["failed"]].sort_values(["h", "id", *stats], kind="stable")
     return learn_rules(found[list(stats)].to_numpy(float), found["quality"].to_numpy() < 0.5, list(stats))
 
 
