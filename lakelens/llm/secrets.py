@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,7 @@ ASSIGN_MIN, ACCESS_MIN = 8, 16
 # --- fixed values: credential words whose values the guess-cost model judges
 CONTEXT = re.compile(r"""(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|credential|api[_-]?key"""
                      r"""|access[_-]?key|private[_-]?key|auth)s?["']?[\x20\t]*(?::|=>|=|\x20is\x20)[\x20\t]*"""
-                     r"""(?:"([^"\r\n]{4,256})"|'([^'\r\n]{4,256})'|([^\s"'<>,;]{4,256}))""",
+                     r"""(?:"([^"\r\n]{4,}+)"|'([^'\r\n]{4,}+)'|([^\s"'<>,;]{4,}+))""",
                      re.IGNORECASE | re.ASCII)
 # --- fixed values: keyboard rows, and common words and placeholders of credential values by rank
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
@@ -48,6 +49,9 @@ _RANK = {w: i + 1 for i, w in enumerate(COMMON)}
 _LONGEST = max(map(len, COMMON))
 _PLACE = {c: (r, i) for r, row in enumerate(ROWS) for i, c in enumerate(row)}
 _LEET = str.maketrans("@4310!5$7", "aaeioisst")
+_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+#: characters of the longest unit whose repeats are one segment
+_LONGEST_UNIT = 8
 _DATE = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])"
                    r"|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d|(?:19|20)\d\d")
 
@@ -64,15 +68,19 @@ def _adjacent(a: str, b: str) -> bool:
 
 
 def log10_guesses(value: str, words: dict[str, int] = _RANK) -> float:
-    """Least log10 guesses over all segmentations of ``value``."""
-    n, low = len(value), value.lower()
+    """Least log10 guesses over all segmentations of ``value``, in time and memory linear in its length."""
+    n, low = len(value), value.translate(_ASCII_LOWER)
     plain = low.translate(_LEET)
     per_char = math.log10(_alphabet(value)) if value else 0.0
-    best = [0.0] + [math.inf] * n
+    best = array("d", [math.inf]) * (n + 1)
+    best[0] = 0.0
 
     def offer(i: int, j: int, cost: float) -> None:
         best[j] = min(best[j], best[i] + cost + SEGMENT_COST)
 
+    # where the pattern that holds at a position ends: by repeated unit, keyboard walk, run
+    units = range(1, _LONGEST_UNIT + 1)
+    same, walk, run = [-1] * (_LONGEST_UNIT + 1), -1, -1
     for i in range(n):
         best[i + 1] = min(best[i + 1], best[i] + per_char)  # brute force, a character at a time
         for j in range(i + 2, min(n, i + _LONGEST) + 1):  # words, some in capitals or with look-alike signs
@@ -82,23 +90,27 @@ def log10_guesses(value: str, words: dict[str, int] = _RANK) -> float:
                 offer(i, j, math.log10(rank + 1) + 0.3 * twist)
         if (m := _DATE.match(value, i)) is not None:
             offer(i, m.end(), 2.1 if m.end() - i == 4 else 4.6)
-        for unit in range(1, min(9, (n - i) // 2 + 1)):  # repeats of up to eight characters
-            part, j = value[i:i + unit], i + 2 * unit
-            if value[i + unit:j] != part:
-                continue
-            while value[j:j + unit] == part:
-                j += unit
-            offer(i, j, unit * math.log10(_alphabet(part)) + math.log10((j - i) / unit))
-        j = i + 1
-        while j < n and _adjacent(low[j - 1], low[j]):  # keyboard walks
-            j += 1
-        if j - i >= 3:
-            offer(i, j, math.log10(len(_PLACE) * 2) + math.log10(j - i))
-        j = i + 1
-        while j < n and abs(ord(value[j]) - ord(value[j - 1])) == 1 and value[j].isalnum():  # runs such as 1234, abcd
-            j += 1
-        if j - i >= 3:
-            offer(i, j, math.log10(36 * 2) + math.log10(j - i))
+        for unit in units:  # repeats of up to eight characters
+            if same[unit] < i:
+                k = i
+                while k + unit < n and value[k] == value[k + unit]:
+                    k += 1
+                same[unit] = k
+            times = 1 + (same[unit] - i) // unit
+            if times > 1:
+                offer(i, i + times * unit, unit * math.log10(_alphabet(value[i:i + unit])) + math.log10(times))
+        if walk < i:
+            walk = i
+            while walk + 1 < n and _adjacent(low[walk], low[walk + 1]):
+                walk += 1
+        if walk - i >= 2:  # keyboard walks
+            offer(i, walk + 1, math.log10(len(_PLACE) * 2) + math.log10(walk + 1 - i))
+        if run < i:
+            run = i
+            while run + 1 < n and abs(ord(value[run + 1]) - ord(value[run])) == 1 and value[run + 1].isalnum():
+                run += 1
+        if run - i >= 2:  # runs such as 1234, abcd
+            offer(i, run + 1, math.log10(36 * 2) + math.log10(run + 1 - i))
     return best[n]
 
 

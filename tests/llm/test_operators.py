@@ -450,6 +450,19 @@ def test_guess_cost():
     assert spans == [("guess", 5, 18)]
 
 
+def test_long_credential_values_are_whole():
+    value = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(3000))
+    for quote in ('"', "'", ""):
+        text = f"secret={quote}{value}{quote} end"
+        spans = secrets.all_spans(text)
+        assert ("guess", 7 + len(quote), 7 + len(quote) + len(value)) in spans
+        assert value[-20:] not in secrets.masked(text, spans)
+    # a repeat, a walk and a run of any length stay one cheap segment
+    assert secrets.log10_guesses("ab" * 5000) < secrets.MIN_LOG10_GUESSES
+    assert secrets.log10_guesses("a" * 5001) < secrets.MIN_LOG10_GUESSES
+    assert secrets.log10_guesses("12" * 2000 + "1") < secrets.MIN_LOG10_GUESSES
+
+
 def test_masking(odd):
     out = secrets.mask_secrets(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
