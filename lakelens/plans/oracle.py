@@ -126,7 +126,8 @@ il AS (
 
 
 def vincenty(src: str, key: str, iterations: int = 40) -> str:
-    """CTEs ending in ``vd(<key>, dist_m)``: WGS84 inverse distance for rows of ``src(key, lon1, lat1, lon2, lat2)``."""
+    """CTEs ending in ``vd(<key>, dist_m, az)``: WGS84 inverse distance and forward azimuth (deg) for rows of
+    ``src(key, lon1, lat1, lon2, lat2)``."""
     f, a = _F, _A
     b = f"({a} * (1 - {f}))"
 
@@ -156,13 +157,53 @@ vit AS (
 vfin AS ({parts(f"(SELECT * FROM vit WHERE n = {iterations})")}),
 vd AS (
   SELECT {key}, {b} * A_ * (sig - B_ * ss * (c2m + B_ / 4 * (cs * (-1 + 2 * c2m * c2m)
-           - B_ / 6 * c2m * (-3 + 4 * ss * ss) * (-3 + 4 * c2m * c2m)))) AS dist_m
+           - B_ / 6 * c2m * (-3 + 4 * ss * ss) * (-3 + 4 * c2m * c2m)))) AS dist_m,
+         degrees(atan2(cU2 * sin(lam), cU1 * sU2 - sU1 * cU2 * cos(lam))) AS az
   FROM (
     SELECT *, 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2))) AS A_,
            u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2))) AS B_
     FROM (SELECT *, ca2 * ({a} * {a} - {b} * {b}) / ({b} * {b}) AS u2 FROM vfin) r1) r2)"""
 
 
+def vincenty_direct(src: str, name: str, iterations: int = 10) -> str:
+    """CTE ``name``: the columns of ``src`` (lon1, lat1, az in degrees, s in metres and others) plus the end
+    point (lon2, lat2) of each geodesic."""
+    f, a = _F, _A
+    b = f"({a} * (1 - {f}))"
+    rel = f"""
+      SELECT *, s / ({b} * A_) AS sig0, s / ({b} * A_) AS sig FROM (
+        SELECT *, 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2))) AS A_,
+               u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2))) AS B_ FROM (
+          SELECT *, (1 - sa * sa) * ({a} * {a} - {b} * {b}) / ({b} * {b}) AS u2, 1 - sa * sa AS ca2 FROM (
+            SELECT *, cU * sin(a1) AS sa, tU * cU AS sU, atan2(tU, cos(a1)) AS sig1 FROM (
+              SELECT *, 1 / sqrt(1 + tU * tU) AS cU FROM (
+                SELECT *, radians(az) AS a1, (1 - {f}) * tan(radians(lat1)) AS tU FROM {src}) d0) d1) d2) d3) d4"""
+    turn = ("(c2m + B_ / 4 * (cos(sig) * (-1 + 2 * c2m * c2m)"
+            " - B_ / 6 * c2m * (-3 + 4 * sin(sig) * sin(sig)) * (-3 + 4 * c2m * c2m)))")
+    for _ in range(iterations):
+        rel = f"""
+      SELECT * EXCLUDE (sig, c2m), sig0 + B_ * sin(sig) * {turn} AS sig FROM (
+        SELECT *, cos(2 * sig1 + sig) AS c2m FROM ({rel}) i0) i1"""
+    return f"""
+{name} AS (
+  SELECT * REPLACE ((((lon1 + degrees(lam - (1 - C) * {f} * sa * (sig + C * sin(sig) * (c2m + C * cos(sig) * (-1 + 2 * c2m * c2m))))
+                       + 180.0::DOUBLE) % 360.0::DOUBLE) + 360.0::DOUBLE) % 360.0::DOUBLE - 180.0::DOUBLE AS lon2)
+  FROM (
+    SELECT *, 0.0::DOUBLE AS lon2, {f} / 16 * ca2 * (4 + {f} * (4 - 3 * ca2)) AS C, cos(2 * sig1 + sig) AS c2m,
+           degrees(atan2(sU * cos(sig) + cU * sin(sig) * cos(a1),
+                         (1 - {f}) * sqrt(sa * sa + pow(sU * sin(sig) - cU * cos(sig) * cos(a1), 2)))) AS lat2,
+           atan2(sin(sig) * sin(a1), cU * cos(sig) - sU * sin(sig) * cos(a1)) AS lam
+    FROM ({rel}) e0) e1)"""
+
+
+def _authalic_sine(lat: str) -> str:
+    """q of the authalic latitude of ``lat`` degrees."""
+    e2 = f"({_F} * (2 - {_F}))"
+    sine = f"sin(radians({lat}))"
+    return (f"((1 - {e2}) * ({sine} / (1 - {e2} * {sine} * {sine})"
+            f" - (1 / (2 * sqrt({e2}))) * ln((1 - sqrt({e2}) * {sine}) / (1 + sqrt({e2}) * {sine}))))")
+
+
 def _with(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",".join(c.strip().rstrip(",") for c in ctes) + "\n"
 
@@ -372,6 +413,29 @@ src AS (SELECT l.id, l.name, l.lon AS lon1, l.lat AS lat1, c.lon2, c.lat2 FROM l
         WHERE l.name <> 'Customer#000000001')"""
     near_src = """src AS (SELECT id, lon AS lon1, lat AS lat1, -74.0060::DOUBLE AS lon2, 40.7128::DOUBLE AS lat2
         FROM il WHERE lon IS NOT NULL)"""
+    # Corners of each box in ring order; the geodesic edges are cut at most 500 m apart and summed as
+    # spherical excesses on the authalic sphere.
+    edge_src = """src AS (
+  SELECT r_name || '/' || i AS eid, r_name AS region, xs[i] AS lon1, ys[i] AS lat1, xs[i + 1] AS lon2, ys[i + 1] AS lat2
+  FROM (SELECT r_name, [xmin, xmax, xmax, xmin, xmin]::DOUBLE[] AS xs, [ymin, ymin, ymax, ymax, ymin]::DOUBLE[] AS ys,
+               unnest([1, 2, 3, 4]) AS i
+        FROM region JOIN boxes ON bname = r_name))"""
+    cut_src = """steps AS (
+  SELECT eid, region, src.lon1, src.lat1, src.lon2 AS end_lon, src.lat2 AS end_lat, az, dist_m,
+         greatest(1, ceil(dist_m / 500))::BIGINT AS n
+  FROM src JOIN vd USING (eid)),
+cuts AS (SELECT *, dist_m * (k / n::DOUBLE) AS s FROM (SELECT *, unnest(range(0, n + 1)) AS k FROM steps))"""
+    excess = f"""beta AS (
+  SELECT region, eid, k, CASE WHEN k = n THEN end_lon ELSE lon2 END AS lon,
+         tan(asin({_authalic_sine('CASE WHEN k = n THEN end_lat ELSE lat2 END')} / {_authalic_sine('90')}) / 2) AS t
+  FROM cut_ends),
+slices AS (
+  SELECT region, t, lead(t) OVER e AS t2,
+         radians(((lead(lon) OVER e - lon + 540.0::DOUBLE) % 360.0::DOUBLE) - 180.0::DOUBLE) AS dl
+  FROM beta WINDOW e AS (PARTITION BY eid ORDER BY k))"""
+    corner_src = f"""src AS (
+  SELECT name, lon AS lon1, lat AS lat1, k AS vertex, 90 + (k % 32) * 11.25::DOUBLE AS az, 10000.0::DOUBLE AS s
+  FROM (SELECT *, unnest(range(0, 33)) AS k FROM loc))"""
     snap_lon = "round_even(lon / 0.1::DOUBLE, 0) * 0.1::DOUBLE"
     snap_lat = "round_even(lat / 0.1::DOUBLE, 0) * 0.1::DOUBLE"
     return {
@@ -386,6 +450,16 @@ FROM vd JOIN src USING (id) WHERE dist_m <= 5000000 ORDER BY distance_km""",
         "geo_points_in_region": _with(cust, boxes) + """
 SELECT l.name, r.r_name AS region FROM loc l, region r JOIN boxes b ON b.bname = r.r_name
 WHERE l.lon > b.xmin AND l.lon < b.xmax AND l.lat > b.ymin AND l.lat < b.ymax""",
+        "geo_region_area": _with(cust, boxes, edge_src, vincenty("src", "eid"), cut_src,
+                                 vincenty_direct("cuts", "cut_ends"), excess) + f"""
+SELECT region AS name,
+       round(abs(sum(2 * atan2(tan(dl / 2) * (t + t2), 1 + t * t2))) * {_A} * {_A} * {_authalic_sine('90')} / 2 / 1000000, 2)
+         AS area_sq_km
+FROM slices WHERE t2 IS NOT NULL GROUP BY region""",
+        "geo_buffer_vertices": _with(cust, corner_src, vincenty_direct("src", "corners")) + """
+SELECT name, vertex::INTEGER AS vertex, CASE WHEN abs(lon2) < 5e-7 THEN 0.0::DOUBLE ELSE round(lon2, 6) END AS longitude,
+       CASE WHEN abs(lat2) < 5e-7 THEN 0.0::DOUBLE ELSE round(lat2, 6) END AS latitude
+FROM corners""",
         "geo_images_near": _with(DOCS, IMAGE_LOCATIONS, near_src, vincenty("src", "id")) + f"""
 SELECT t1.filename, il.altitude, {_point_text('il.lon', 'il.lat')} AS coordinates,
        round(vd.dist_m, 2) AS distance_meters

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakelens.config import SNAPSHOT_RETENTION_DAYS
@@ -322,6 +322,17 @@ def geo_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pts.select("name", geo.polygon_text(geo.geodesic_buffer(F.col("location"), BUFFER_M)).alias("buffer_10km"))
 
 
+def geo_buffer_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The buffer rings vertex by vertex, coordinates to six decimals (about 0.1 m)."""
+    pts = fx.customer_locations(spark, sf_dir)
+    ring = pts.select("name", F.posexplode(geo.geodesic_buffer(F.col("location"), BUFFER_M)).alias("vertex", "point"))
+
+    def coordinate(axis: str) -> Column:
+        value = F.col("point").getField(axis)
+        return F.when(F.abs(value) < 5e-7, 0.0).otherwise(F.round(value, 6))  # no negative zero
+    return ring.select("name", "vertex", coordinate("lon").alias("longitude"), coordinate("lat").alias("latitude"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_volume": daily_volume,
     "lake_row_count": lake_row_count,
@@ -362,4 +373,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_images_near": geo_images_near,
     "geo_heatmap": geo_heatmap,
     "geo_buffer": geo_buffer,
+    "geo_buffer_vertices": geo_buffer_vertices,
 }
