@@ -472,6 +472,21 @@ FROM il GROUP BY 1 ORDER BY image_count DESC""",
     }
 
 
+def stored_queries() -> dict[str, str]:
+    w = _with(LAKE)
+    cutoff = "TIMESTAMP '2024-02-01 00:00:00'"
+    return {
+        "lake_stored_dml": w + f"SELECT {_LAKE_COLS} FROM cur",
+        "lake_stored_upkeep": w + f"""
+, old AS (SELECT * FROM log WHERE committed_at <= {cutoff}),
+late AS (SELECT commit_id FROM log WHERE committed_at > {cutoff})
+SELECT (SELECT count(*) FROM log) AS rows_before,
+       (SELECT count(DISTINCT id) FROM old WHERE op = 'append') + (SELECT count(*) FROM late) AS rows_after,
+       (SELECT count(DISTINCT commit_id) FROM log) AS commits_before,
+       1 + (SELECT count(DISTINCT commit_id) FROM late) AS commits_after, true AS fewer_files""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (_lake_queries(), _ingest_queries(), _processed_queries(), _geo_queries()):

@@ -93,8 +93,11 @@ def append_batch(rows: DataFrame, path: str, batch: BatchRef | int, partition_by
 
 def commit_lake(spark: SparkSession, change_rows: DataFrame, path: str, max_records_per_file: int | None = None
                 ) -> None:
-    """Append one commit's change rows, partitioned by day."""
-    writer = change_rows.select(*LAKE_LOG_FIELDS).write.mode("append").partitionBy(PARTITION_COLUMN)
+    """Append one commit's change rows, partitioned by day.
+
+    Rows are gathered by day first: without that every task would write a file into every day.
+    """
+    writer = changelog.compact(change_rows.select(*LAKE_LOG_FIELDS)).write.mode("append").partitionBy(PARTITION_COLUMN)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
@@ -121,10 +124,11 @@ def update_lake(spark: SparkSession, path: str, predicate, assignments: dict, co
     return cid
 
 
-def delete_lake(spark: SparkSession, path: str, predicate, committed_at: str) -> int:
+def delete_lake(spark: SparkSession, path: str, predicate, committed_at: str, days=None) -> int:
+    """``DELETE``; ``days`` is what the predicate implies for the day partition (only those are read)."""
     log = spark.read.parquet(path)
     cid = next_commit_id(spark, path)
-    commit_lake(spark, changelog.delete_rows(log, predicate, cid, committed_at), path)
+    commit_lake(spark, changelog.delete_rows(log, predicate, cid, committed_at, days=days), path)
     return cid
 
 
@@ -138,7 +142,7 @@ def rewrite_lake(spark: SparkSession, path: str, out_path: str, cutoff: str | No
     log = spark.read.parquet(path)
     if cutoff:
         log = changelog.expire(log, cutoff)
-    commit_lake(spark, changelog.compact(log), out_path, max_records_per_file)
+    commit_lake(spark, log, out_path, max_records_per_file)
 
 
 def write_jdbc(rows: DataFrame, url: str, table: str, properties: dict | None = None,

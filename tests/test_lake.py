@@ -178,3 +178,17 @@ def test_named_fields_prune_scan_and_shuffle(spark, log):
     assert narrow.columns == ["id", "file_size", "uploaded_at", "op"]
     assert _rows(narrow, ("id", "uploaded_at", "file_size")) == _rows(
         changelog.current_state(log), ("id", "uploaded_at", "file_size"))
+
+
+def test_stored_table_reads_and_deletes_prune_days(spark, scratch):
+    from lakelens.plans import stored_queries
+    day = stored_queries.lake_stored_range(spark, SF_SMALL)
+    assert re.search(r"PartitionFilters: \[[^\]]*uploaded_day[^\]]*>= 2024-01-11", day._jdf.queryExecution().executedPlan().toString())
+    path = f"{scratch}/images"
+    tables.commit_lake(spark, fx.lake_change_log(spark, SF_SMALL), path)
+    before = F.lit("2024-01-05").cast("date")
+    gone = changelog.delete_rows(spark.read.parquet(path), F.col("uploaded_at") < before, 300, "2024-02-09 00:00:00",
+                                 days=F.col("uploaded_day") < before)
+    assert re.search(r"PartitionFilters: \[[^\]]*uploaded_day[^\]]*< 2024-01-05", gone._jdf.queryExecution().executedPlan().toString())
+    files = [p for p in pathlib.Path(path).rglob("*.parquet")]
+    assert len(files) <= 2 * len({p.parent for p in files})  # a commit does not write a file per task and day
