@@ -1,12 +1,12 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 Every document of a source starts with the same expected number of copies, target words over
-source words.  Its whole part is taken; the fraction is rounded by the pivotal method: two
-units that are still fractional meet, words move at random from one to the other until one
+source words.  Equal rows are one unit, with the sum of their expected copies.  The whole part
+is taken; the fraction is rounded by the pivotal method: two units that are still fractional meet, words move at random from one to the other until one
 of them is whole, and the other goes on to the next.  Words, not units, are what moves, so a
 source's expected words stay exactly its target until the last fractional unit is drawn.
 
-Units meet in groups of at most ``GROUP`` (source, salt), from large documents to small; each
+Units meet in groups of about ``GROUP`` (source, salt), from large documents to small; each
 group leaves at most one fractional unit, and the left-over units of up to ``GROUP`` groups
 meet on the next level: a reduction tree over Spark groups, of depth log_GROUP(units).
 Randomness is seeded by source, salt and level, so reruns agree under any partitioning.
@@ -15,11 +15,13 @@ Randomness is seeded by source, salt and level, so reruns agree under any partit
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakelens.llm.common import fresh, prepare, with_row_id, word_blocks
@@ -148,20 +150,27 @@ def round_units(units: DataFrame) -> DataFrame:
     return done.select("key", F.col("part").cast("long").alias("extra"))
 
 
-def copies(rows: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0) -> DataFrame:
-    """(key, source_size, target, copies) of ``rows`` (key, h, source, size, n), read from stored data.
+def copies(units: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0) -> DataFrame:
+    """(key, source_size, target, copies) of ``units`` (key, h, source, size, n), read from stored data.
 
-    ``n`` rows of one key share their copies.
+    ``copies`` is what the ``n`` equal rows of a unit take together: the whole part of n times
+    the source's rate, and one more if the remainder, which moves the words of one row, is drawn.
     """
-    targets = source_targets(rows, weights, cap).withColumnRenamed("source", "s")
+    targets = source_targets(units, weights, cap).withColumnRenamed("source", "s")
     # a null-safe join whose small side is one row for each source
-    joined = rows.join(targets, F.col("source").eqNullSafe(F.col("s")))
+    joined = units.join(targets, F.col("source").eqNullSafe(F.col("s")))
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size").cast("double")), F.lit(0.0))
-    joined = joined.select("key", "h", "source", (F.col("size") * F.col("n")).cast("double").alias("words"),
-                           "source_size", "target", rate.alias("rate"))
-    extra = round_units(joined.select("key", "h", "source", "words", (F.col("rate") - F.floor("rate")).alias("part")))
+    joined = joined.select("key", "h", "source", F.col("size").cast("double").alias("words"),
+                           "source_size", "target", (rate * F.col("n")).alias("all"))
+    extra = round_units(joined.select("key", "h", "source", "words", (F.col("all") - F.floor("all")).alias("part")))
     return (joined.join(extra, "key")
-            .select("key", "source_size", "target", (F.floor("rate").cast("long") + F.col("extra")).alias("copies")))
+            .select("key", "source_size", "target", (F.floor("all").cast("long") + F.col("extra")).alias("copies")))
+
+
+def _dealt(copies: str, n: str, rank: str) -> Column:
+    """Copies of the row of rank 1 to ``n`` among equal rows that take ``copies`` together."""
+    each = F.floor(F.col(copies) / F.col(n)).cast("long")
+    return each + (F.col(rank) <= F.col(copies) - each * F.col(n)).cast("long")
 
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -169,8 +178,8 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     """id, size, source_size, target and taken (words, repeats counted) of every row of ``docs``.
 
     Null and empty texts have size 0 and take 0.  A null source is a source of its own, last
-    in order.  Rows that agree in id, source and text (repeated rows) are rounded as one unit
-    and share their copies.  An empty table gives an empty result; other columns are not read.
+    in order.  Copies of rows that agree in id, source and text (repeated rows) are dealt out
+    among them evenly.  An empty table gives an empty result; other columns are not read.
     """
     prepare(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
@@ -179,22 +188,43 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
              .withColumn("key", F.monotonically_increasing_id()).checkpoint())
     planned = copies(units, weights, cap)
     return (units.join(planned, "key")
+            .select("*", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("row"))
             .select(F.col("id").alias(id_col), "size", "source_size", "target",
-                    (F.col("size") * F.col("copies")).alias("taken"),
-                    F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("row")).drop("row"))
+                    (F.col("size") * _dealt("copies", "n", "row")).alias("taken")))
 
 
 def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as its copies, all columns kept.
 
-    Every row is a unit of its own here, numbered in a table written once to the shared folder.
+    Rows are numbered in a table written once to the shared folder.  Rows equal in source and
+    text are one unit, whose copies are dealt out by rank: the place of the row's part of
+    the table among the parts with such rows, then the row's place in its part, so that
+    no task has to see all rows of a large group of copies.
     """
     prepare(docs.sparkSession)
     rid, size, h = fresh(docs, "row_id"), fresh(docs, "size"), fresh(docs, "h")
     tagged = with_row_id(docs, rid, {size: word_count(text_col), h: F.xxhash64(source_col, text_col)}, "mix")
-    rows = tagged.select(F.col(rid).alias("key"), F.col(h).alias("h"), F.col(source_col).cast("string").alias("source"),
-                         F.col(size).alias("size"), F.lit(1).cast("long").alias("n"))
-    planned = copies(rows, weights, cap).filter("copies > 0").select(F.col("key").alias(rid), "copies")
-    taken = tagged.drop(size, h).join(planned.withColumnRenamed("copies", h), rid)
+    rows = tagged.select(F.col(rid).alias("rid"), F.col(h).alias("h"), F.col(source_col).cast("string").alias("source"),
+                         F.col(size).alias("size"), F.shiftright(F.col(rid), 33).alias("part"))
+    equal = ["h", "source", "size"]
+    parts = rows.groupBy(*equal, "part").agg(F.count(F.lit(1)).alias("here")).checkpoint()
+    units = (parts.groupBy(*equal).agg(F.sum("here").alias("n"))
+             .withColumn("key", F.monotonically_increasing_id()).checkpoint())
+    planned = units.join(copies(units, weights, cap).filter("copies > 0"), "key").select(*equal, "n", "copies")
+    before = Window.partitionBy(*equal).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("here").over(before), F.lit(0))).drop("here")
+    parts = _join_equal(parts, planned, equal)
+    place = F.row_number().over(Window.partitionBy(*equal, "part").orderBy("rid"))
+    ranked = _join_equal(rows.withColumn("place", place), parts, [*equal, "part"])
+    times = ranked.select("rid", (F.col("before") + F.col("place")).alias("rank"), "n", "copies").select(
+        F.col("rid").alias(rid), _dealt("copies", "n", "rank").alias(h)).filter(F.col(h) > 0)
+    taken = tagged.drop(size, h).join(times, rid)
     return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(h).cast("int"))).alias(rid)).drop(rid)
+
+
+def _join_equal(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``left`` with the columns that ``right`` adds, nulls in ``keys`` being equal."""
+    other = right.select(*[F.col(c).alias(f"r_{c}") if c in keys else F.col(c) for c in right.columns])
+    joined = left.join(other, reduce(and_, [F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in keys]))
+    return joined.drop(*[f"r_{k}" for k in keys])

@@ -400,6 +400,41 @@ def test_mix_odd(odd, none):
     assert mixing.mix_plan(none).count() == 0 and mixing.mix(none).count() == 0
 
 
+def test_mix_deals_equal_rows(spark):
+    # one text holds nearly all words of its source; ids are null, so all its rows are equal
+    rows = [(None, "w x y", "a", 7) for _ in range(2000)] + [(i, f"w x {i}", "bbbbcccdda"[i % 10], i) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, other long").repartition(7).checkpoint()
+    plan = mixing.mix_plan(df).toPandas()
+    mixed = mixing.mix(df).toPandas()
+    for target, group in plan.groupby("target"):
+        assert abs(group.taken.sum() - target) <= 3
+    same = plan[plan.doc_id.isna()].taken  # one row's words apart at most
+    assert len(same) == 2000 and same.max() - same.min() == 3
+    want = plan.groupby("source_size").taken.sum().sort_index().round()
+    got = mixed.groupby("source").size() * 3
+    assert all(min(abs(got[s] - w) for s in got.index) <= 6 for w in want)
+    texts = lambda d: Counter(mixing.mix(d).toPandas().text)
+    assert texts(df) == texts(df.repartition(3))
+    assert set(mixed.columns) == set(df.columns)
+
+
+def test_mix_groups_stay_small_on_copies(spark, monkeypatch):
+    sizes = spark.sparkContext.accumulator(0)
+    inner = mixing._round_level
+
+    def counted(level, last):
+        run = inner(level, last)
+
+        def see(frame):
+            sizes.add(max(0, len(frame) - 2 * mixing.GROUP))
+            return run(frame)
+        return see
+    monkeypatch.setattr(mixing, "_round_level", counted)
+    df = spark.createDataFrame([(i, "c d" if i % 3 else f"t {i}", "s") for i in range(4000)], "doc_id long, text string, source string")
+    assert mixing.mix(df).count() == 4000
+    assert sizes.value == 0
+
+
 def test_pivotal_keeps_words_and_expectation():
     rng = np.random.default_rng(5)
     words, part = rng.integers(1, 50, 40).astype(float), rng.random(40)
