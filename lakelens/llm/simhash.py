@@ -43,24 +43,24 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     """
     if not text:
         return 0
-    votes, total = np.zeros(64, dtype=np.int64), 0
+    votes, total, short = np.zeros(64, dtype=np.int64), 0, []
     data = text.encode("utf-8", "surrogatepass").translate(LOWER)
     for words in word_blocks(data, carry=shingle - 1):
         n = len(words)
-        if n < shingle:
-            if total or not n:
-                continue
-            spans = [(0, None)]
-        else:
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
-            starts = np.concatenate(([0], ends[:-1] + 1))
-            spans = zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1:].tolist(), strict=True)
+        if n < shingle:  # with the words carried here, the whole sequence so far unless a shingle was seen
+            short = words
+            continue
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        spans = zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1:].tolist(), strict=True)
         joined = b" ".join(words)
         hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans], dtype=np.uint64)
         total += len(hashes)
         for at in range(0, len(hashes), 1 << 16):
             octets = hashes[at:at + (1 << 16)].view(np.uint8).reshape(-1, 8)
             votes += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    if not total:
+        return xxhash.xxh64_intdigest(b" ".join(short), SEED) if short else 0
     bits = np.packbits(votes * 2 > total, bitorder="little")
     return int(bits.view(np.uint64)[0])
 

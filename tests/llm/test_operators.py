@@ -547,6 +547,14 @@ def test_simhash_matches_brute_force(docs, odd, none):
     assert simhash.simhash_components(none).count() == 0 and simhash.keep_one(none).count() == 0
 
 
+@pytest.mark.parametrize("n", range(1, 6))
+def test_long_words_are_whole(n):
+    words = [chr(97 + i) * ((1 << 20) + 5 * i) for i in range(n)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(words) + " \n", "x " + " ".join(words)]
+    assert [simhash.fingerprint(t) for t in texts] == [plain_fingerprint(t) for t in texts]
+    assert simhash.fingerprint(texts[0]) != simhash.fingerprint(texts[1])
+
+
 def simhash_groups(rows):
     numbered = plain_components([(i, f) for i, (_, f) in enumerate(rows)])
     return numbered
