@@ -29,7 +29,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_MIN, ACCESS_MIN = 8, 16
 # --- fixed values: credential words whose values the guess-cost model judges
 CONTEXT = re.compile(r"""(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|credential|api[_-]?key"""
-                     r"""|access[_-]?key|private[_-]?key|auth)s?["']?[\x20\t]*(?::|=>|=|\x20is\x20)[\x20\t]*"""
+                     r"""|access[_-]?key|private[_-]?key|auth)s?(?:[_-][a-z0-9]++){0,8}+["']?[\x20\t]*(?::|=>|=|\x20is\x20)[\x20\t]*"""
                      r"""(?:"([^"\r\n]{4,}+)"|'([^'\r\n]{4,}+)'|([^\s"'<>,;]{4,}+))""",
                      re.IGNORECASE | re.ASCII)
 # --- fixed values: keyboard rows, and common words and placeholders of credential values by rank
@@ -123,12 +123,17 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def guess_spans(text: str, least: float = MIN_LOG10_GUESSES) -> list[tuple[str, int, int]]:
-    """Spans of credential values that cost at least ``least`` log10 guesses."""
-    out = []
-    for m in CONTEXT.finditer(text):
+    """Spans of credential values that cost at least ``least`` log10 guesses.
+
+    A value that costs less may itself be the next credential word, so the scan goes on at its start.
+    """
+    out, at = [], 0
+    while (m := CONTEXT.search(text, at)) is not None:
         group = m.lastindex
+        at = m.start(group)
         if log10_guesses(m[group]) >= least:
-            out.append(("guess", m.start(group), m.end(group)))
+            at = m.end(group)
+            out.append(("guess", m.start(group), at))
     return out
 
 

@@ -485,6 +485,14 @@ def test_guess_cost():
     assert spans == [("guess", 5, 18)]
 
 
+def test_cheap_value_may_be_the_next_credential_word():
+    for text in ("auth: password = Zx9!kQ72#vLp0", "SECRET_KEY='Zx9!kQ72#vLp0'", "signing-secret-key: Zx9!kQ72#vLp0",
+                 "auth: token: password: secret is Zx9!kQ72#vLp0", "auth: 'pwd=Zx9!kQ72#vLp0'"):
+        assert "Zx9" not in secrets.masked(text, secrets.all_spans(text)), text
+    assert not secrets.guess_spans("auth: password = changeme, SECRET_KEY = 'changeme'")
+    assert len(secrets.guess_spans("secret_" * 3000 + " pwd=" * 3000 + "pass=Zx9!kQ72#vLp0")) == 1
+
+
 def test_long_credential_values_are_whole():
     value = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(3000))
     for quote in ('"', "'", ""):
