@@ -83,8 +83,9 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule or reputation verdict of all pages.
 
-    A page's outcome is the label of the document extracted from it (equal ids): bad if the
-    document is of low quality or toxic.
+    A page's outcome is the label of the document of equal id, as the SQL states it: bad if the
+    document is of low quality or toxic.  That is mostly not the document the page holds, whose
+    number stands in the page's url.
     """
     pages = _table(spark, sf_dir, "pages")
     labels = _table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(
