@@ -4,7 +4,8 @@ The cost of guessing a value is the cheapest way to build it from words, dates,
 keyboard walks and brute-force spans: a dynamic program over end positions keeps, for every
 prefix, the least sum of log10 guesses of its segments.  Values that follow a credential
 word and cost at least ``MIN_LOG10_GUESSES`` are secrets; placeholders and plain words
-("changeme", "qwerty12", "2024-01-01") cost little and are left alone.
+("changeme", "qwerty12", "2024-01-01") cost little and are left alone.  The words are a list of
+placeholders and, by rank, the words that Spark finds frequent in the corpus outside such values.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ import hashlib
 import math
 import re
 from array import array
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelens.llm.common import fresh, prepare
+from lakelens.llm.lm_scoring import word_counts
 
 # --- fixed values: the format rules of the base kinds, in the order of their kinds
 KINDS = ("assign", "access", "hex", "guess")
@@ -45,8 +48,25 @@ super guest temp dev prod staging local host database db""".split()
 MIN_LOG10_GUESSES = 9.0
 #: log10 guesses that one more segment costs
 SEGMENT_COST = 0.3
-_RANK = {w: i + 1 for i, w in enumerate(COMMON)}
-_LONGEST = max(map(len, COMMON))
+#: a corpus word is common if it is at least this part of all words (so there are at most as many
+#: common words, of at most 32 letters or 128 bytes) and occurs at least so often
+COMMON_PART, COMMON_LEAST = 20_000, 3
+
+
+class Ranks(dict):
+    """Ranks of the placeholders, then of ``words``, and the length of the longest."""
+
+    def __init__(self, words: Iterable[str] = ()):
+        super().__init__()
+        for w in (*COMMON, *words):
+            self.setdefault(w, len(self) + 1)
+        self.longest = max(map(len, self))
+
+    def __reduce__(self):
+        return Ranks, (list(self),)
+
+
+_RANK = Ranks()
 _PLACE = {c: (r, i) for r, row in enumerate(ROWS) for i, c in enumerate(row)}
 _LEET = str.maketrans("@4310!5$7", "aaeioisst")
 _ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
@@ -67,7 +87,7 @@ def _adjacent(a: str, b: str) -> bool:
     return p is not None and q is not None and p[0] == q[0] and abs(p[1] - q[1]) == 1
 
 
-def log10_guesses(value: str, words: dict[str, int] = _RANK) -> float:
+def log10_guesses(value: str, words: Ranks = _RANK) -> float:
     """Least log10 guesses over all segmentations of ``value``, in time and memory linear in its length."""
     n, low = len(value), value.translate(_ASCII_LOWER)
     plain = low.translate(_LEET)
@@ -83,7 +103,7 @@ def log10_guesses(value: str, words: dict[str, int] = _RANK) -> float:
     same, walk, run = [-1] * (_LONGEST_UNIT + 1), -1, -1
     for i in range(n):
         best[i + 1] = min(best[i + 1], best[i] + per_char)  # brute force, a character at a time
-        for j in range(i + 2, min(n, i + _LONGEST) + 1):  # words, some in capitals or with look-alike signs
+        for j in range(i + 2, min(n, i + words.longest) + 1):  # words, some in capitals or with look-alike signs
             rank = words.get(low[i:j]) or words.get(plain[i:j])
             if rank:
                 twist = (low[i:j] != value[i:j]) + (low[i:j] not in words)
@@ -122,7 +142,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def guess_spans(text: str, least: float = MIN_LOG10_GUESSES) -> list[tuple[str, int, int]]:
+def _prose(text: str, m: re.Match) -> bool:
+    """Whether a match ends a longer word (bypass, compass) and its value, not assigned by ``=``, is letters."""
+    at, group = m.start(), m.lastindex
+    inside = at > 0 and text[at - 1].isalpha() and not (text[at - 1].islower() and text[at].isupper())
+    return inside and m[group].isalpha() and "=" not in text[at:m.start(group)]
+
+
+def guess_spans(text: str, least: float = MIN_LOG10_GUESSES, words: Ranks = _RANK) -> list[tuple[str, int, int]]:
     """Spans of credential values that cost at least ``least`` log10 guesses.
 
     A value that costs less may itself be the next credential word, so the scan goes on at its start.
@@ -131,17 +158,44 @@ def guess_spans(text: str, least: float = MIN_LOG10_GUESSES) -> list[tuple[str,
     while (m := CONTEXT.search(text, at)) is not None:
         group = m.lastindex
         at = m.start(group)
-        if log10_guesses(m[group]) >= least:
+        if not _prose(text, m) and log10_guesses(m[group], words) >= least:
             at = m.end(group)
             out.append(("guess", m.start(group), at))
     return out
 
 
-def all_spans(text: str | None, least: float = MIN_LOG10_GUESSES) -> list[tuple[str, int, int]]:
+def _without_values(text: str | None) -> str | None:
+    """``text`` without the words and values that follow credential words, all of which might be secrets."""
+    if not text:
+        return text
+    parts, end, at = [], 0, 0
+    while (m := CONTEXT.search(text, at)) is not None:
+        group = m.lastindex
+        at = m.start(group)
+        if not _prose(text, m):
+            parts.append(text[end:at])
+            end = max(end, m.end(group))
+            if log10_guesses(m[group]) >= MIN_LOG10_GUESSES:
+                at = end
+    return " ".join([*parts, text[end:]])
+
+
+def common_words(docs: DataFrame, text_col: str = "text") -> Ranks:
+    """Ranks of the words of ``docs`` that are common outside credential values, after the placeholders."""
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([_without_values(t) for t in texts.to_pylist()], pa.string())
+    counts = word_counts(docs.select(F.arrow_udf(run, "string")(text_col).alias("text")))
+    total = counts.agg(F.sum("n").alias("total"))
+    found = (counts.crossJoin(F.broadcast(total)).filter(F.col("n") * COMMON_PART >= F.col("total"))
+             .filter((F.col("n") >= COMMON_LEAST) & F.col("word").rlike(r"^\p{L}{4,32}$")).select("word", "n").collect())
+    return Ranks(w for _, w in sorted((-r["n"], r["word"]) for r in found))
+
+
+def all_spans(text: str | None, least: float = MIN_LOG10_GUESSES, words: Ranks = _RANK) -> list[tuple[str, int, int]]:
     """Base spans and guess spans by start, then kind; none in a null or empty text."""
     if not text:
         return []
-    return sorted(base_spans(text) + guess_spans(text, least), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+    return sorted(base_spans(text) + guess_spans(text, least, words), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
 def render(spans: list[tuple[str, int, int]]) -> str:
@@ -163,12 +217,12 @@ def masked(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
     return "".join([*parts, text[end:]])
 
 
-def span_column(text: str | Column, least: float = MIN_LOG10_GUESSES) -> Column:
+def span_column(text: str | Column, least: float = MIN_LOG10_GUESSES, words: Ranks = _RANK) -> Column:
     """Arrow function: counts, digest and spans of each text."""
     def run(texts: pa.Array) -> pa.Array:
         cols: list[list] = [[], [], [], [], []]
         for t in texts.to_pylist():
-            spans = all_spans(t, least)
+            spans = all_spans(t, least, words)
             base = [s for s in spans if s[0] != "guess"]
             for col, kind in zip(cols, KINDS, strict=False):
                 col.append(sum(s[0] == kind for s in base))
@@ -182,28 +236,29 @@ def span_column(text: str | Column, least: float = MIN_LOG10_GUESSES) -> Column:
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 least: float = MIN_LOG10_GUESSES) -> DataFrame:
+                 least: float = MIN_LOG10_GUESSES, words: Ranks | None = None) -> DataFrame:
     """id, n_assign, n_access, n_hex, base_sha256 and spans (``kind:start:end``) of every row.
 
     Offsets are code points, end exclusive.  Null and empty texts have no spans (the digest
-    of an empty list).  Rows are judged one by one: repeated rows and null ids stay, other
+    of an empty list).  Rows are judged one by one, by ``words`` or else the common words of ``docs``: repeated rows and null ids stay, other
     columns are not read, an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
-    found = docs.select(F.col(id_col).alias("id"), span_column(text_col, least).alias("found"))
+    found = docs.select(F.col(id_col).alias("id"), span_column(text_col, least, words or common_words(docs, text_col)).alias("found"))
     return found.select(F.col("id").alias(id_col), "found.*")
 
 
 def mask_secrets(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars",
-                 least: float = MIN_LOG10_GUESSES) -> DataFrame:
+                 least: float = MIN_LOG10_GUESSES, words: Ranks | None = None) -> DataFrame:
     """``docs`` with secrets in ``text_col`` replaced by ``[SECRET]`` and ``chars_col`` counted anew.
 
     All rows and columns stay in place; texts without secrets are unchanged.
     """
     prepare(docs.sparkSession)
+    ranks = words or common_words(docs, text_col)
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([masked(t, all_spans(t, least)) for t in texts.to_pylist()], pa.string())
+        return pa.array([masked(t, all_spans(t, least, ranks)) for t in texts.to_pylist()], pa.string())
     new = fresh(docs, "masked")
     out = docs.withColumn(new, F.arrow_udf(run, "string")(text_col))
     changed = ~F.col(new).eqNullSafe(F.col(text_col))

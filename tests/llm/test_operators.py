@@ -493,6 +493,16 @@ def test_cheap_value_may_be_the_next_credential_word():
     assert len(secrets.guess_spans("secret_" * 3000 + " pwd=" * 3000 + "pass=Zx9!kQ72#vLp0")) == 1
 
 
+def test_prose_is_no_secret(spark):
+    prose = ["a bypass is necessary", "the secret is teamwork", "compass: northward", "teamwork is good, teamwork is all, teamwork"]
+    secret = ["auth: password = Zx9!kQ72#vLp0", "passphrase: vkzqhwjxplm", "dbpass=vkzqhwjxplm", "dbpass: Zx9kQ72vLp0q", "dbPass: vkzqhwjxplm"] * 5
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(prose + secret)], "doc_id long, text string, n_chars long")
+    words = secrets.common_words(df)
+    assert "teamwork" in words and not {"vkzqhwjxplm", "zx9"} & set(words)
+    out = [r["text"] for r in secrets.mask_secrets(df).orderBy("doc_id").collect()]
+    assert out[:4] == prose and not any("vkz" in t or "Zx9" in t for t in out[4:])
+
+
 def test_long_credential_values_are_whole():
     value = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(3000))
     for quote in ('"', "'", ""):
