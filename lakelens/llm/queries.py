@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakelens.llm import (
     decontaminate,
     lm_scoring,
+    merkle,
     mixing,
     quality_rules,
     secrets,
@@ -95,6 +96,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, outcomes)
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, every fifth (by CRC-32 of its id) tampered with."""
+    return merkle.audit(_table(spark, sf_dir, "documents"), tampered={"text": merkle.lowered_every_fifth()})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_url_filter": op10_url_filter,
+    "op13_merkle": op13_merkle,
 }
 
 _OP4_SQL = """
@@ -208,5 +215,51 @@ def _op10_sql() -> str:
     return _OP10_SQL.format(k_s=k("s"), k_d=k("d"), k_g=k("g"), rules=rules, verdicts=verdicts)
 
 
+_FOLD_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(d) + 1), lambda i: ascii(d[i])::BIGINT)),
+    lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)),
+                               lambda x, j: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+def _op13_sql(levels: int = 7) -> str:
+    """Every level spelled out: ``levels`` of them hold 16 ** levels documents a source, and as many sources."""
+    def enc(value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(enc, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def climb(n: str, p: str, key: str) -> list[str]:
+        """Levels over nodes ``n``0 and paths ``p``0 (row, key, idx, sib, fold)."""
+        out = []
+        for k in range(levels):
+            out.append(f"""{n}r{k} AS (SELECT {key}, idx // 16 AS idx, any_value(n) AS n, list(digest ORDER BY idx) AS run
+                FROM {n}{k} GROUP BY {key}, idx // 16)""")
+            out.append(f"""{n}{k + 1} AS (SELECT {key}, idx, (n + 15) // 16 AS n,
+                CASE WHEN n = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS digest FROM {n}r{k})""")
+            left, right = "array_to_string(run[1:p.idx % 16], '')", "array_to_string(run[p.idx % 16 + 2:], '')"
+            out.append(f"""{p}{k + 1} AS (SELECT p.* REPLACE (p.idx // 16 AS idx, sib || {left} || {right} AS sib,
+                CASE WHEN r.n = 1 THEN fold ELSE sha256({left} || fold || {right}) END AS fold)
+                FROM {p}{k} p JOIN {n}r{k} r ON p.{key} = r.{key} AND p.idx // 16 = r.idx)""")
+        return out
+
+    docs = f"""docs AS (
+  SELECT *, {leaf("text")} AS leaf, {leaf("seen")} AS present, coalesce('=' || source, '') AS grp
+  FROM (SELECT *, CASE WHEN crc % 5 = 0 THEN {_FOLD_AZ.format("text")} ELSE text END AS seen
+        FROM (SELECT *, {_CRC32} AS crc FROM (SELECT *, doc_id::VARCHAR AS d FROM documents)))
+), placed AS (
+  SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY grp) AS n FROM docs
+), n0 AS (SELECT grp, idx, n, leaf AS digest FROM placed),
+p0 AS (SELECT r, doc_id, leaf, grp, idx, '' AS sib, present AS fold FROM placed)"""
+    upper = f"""u0 AS (SELECT 0 AS one, row_number() OVER (ORDER BY grp) - 1 AS idx, count(*) OVER () AS n, digest, grp FROM n{levels}),
+q0 AS (SELECT p.r, p.doc_id, p.leaf, u0.digest AS subroot, u0.one, u0.idx, p.sib, p.fold FROM p{levels} p JOIN u0 USING (grp))"""
+    return ("WITH " + ",\n".join([docs, *climb("n", "p", "grp"), upper, *climb("u", "q", "one")])
+            + f"""
+SELECT doc_id, leaf, subroot, digest AS root, sha256(sib) AS proof_sha256, fold AS folded_root, fold = digest AS verified
+FROM q{levels} JOIN u{levels} USING (one)""")
+
+
 #: queries whose rows SQL can state; the others are tested against brute force
-ORACLE_SQL: dict[str, str] = {"op4_warc": _OP4_SQL, "op5_decontaminate": _OP5_SQL, "op10_url_filter": _op10_sql()}
+ORACLE_SQL: dict[str, str] = {"op4_warc": _OP4_SQL, "op5_decontaminate": _OP5_SQL, "op10_url_filter": _op10_sql(),
+                              "op13_merkle": _op13_sql()}
