@@ -30,6 +30,11 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
+def quoted(name: str) -> Column:
+    """The column of this very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def with_row_id(df: DataFrame, name: str, extra: dict[str, Column] | None = None,
                 label: str = "rows") -> DataFrame:
     """``df`` plus a unique row number and ``extra`` columns, written once to the shared folder.

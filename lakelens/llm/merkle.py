@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import prepare, with_row_id
+from lakelens.llm.common import prepare, quoted, with_row_id
 from lakelens.session import work_path
 
 ARITY = 16
@@ -56,10 +56,6 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _place(rows: DataFrame, group: str, order: list[str], label: str) -> tuple[DataFrame, DataFrame]:
     """``rows`` sorted into partitions and written, and (part, group, ``n``, ``first``, ``before``) of them.
 
@@ -153,9 +149,9 @@ def build(rows: DataFrame, leaf: Column, group_col: str = "source", order_col: s
     spark = rows.sparkSession
     prepare(spark)
     # the group as a string that sorts null first
-    grp = F.when(_quoted(group_col).isNull(), "").otherwise(F.concat(F.lit("="), _quoted(group_col).cast("string")))
+    grp = F.when(quoted(group_col).isNull(), "").otherwise(F.concat(F.lit("="), quoted(group_col).cast("string")))
     wanted = with_row_id(
-        rows.select(grp.alias("grp"), _quoted(order_col).alias("ord"), leaf.alias("leaf"),
+        rows.select(grp.alias("grp"), quoted(order_col).alias("ord"), leaf.alias("leaf"),
                     *[c.alias(f"keep_{n}") for n, c in (keep or {}).items()]), "rid", label="merkle-rows")
     # equal leaves are told apart by row number, so that a partition need not hold all of them
     placed, counts = _place(wanted, "grp", ["ord", "leaf", "rid"], "merkle-leaves")
@@ -259,8 +255,8 @@ def audit(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lang
     with the recorded siblings, ``verified`` whether it is the root.  One row per row of
     ``docs``; null values are hashed as ``-``.  An empty table gives no rows.
     """
-    now = [(tampered or {}).get(c, _quoted(c)) for c in columns]
-    tree = build(docs, leaf_digest([_quoted(c) for c in columns]), group_col, order_col, arity,
+    now = [(tampered or {}).get(c, quoted(c)) for c in columns]
+    tree = build(docs, leaf_digest([quoted(c) for c in columns]), group_col, order_col, arity,
                  {"present": leaf_digest(now)})
     folded = fold(F.col("present"), F.col("proof"))
     return (prove(tree).select(order_col, "leaf", "subroot", F.lit(tree.root).alias("root"),
@@ -270,5 +266,5 @@ def audit(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lang
 
 def lowered_every_fifth(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """The text, its A-Z in lower case where 5 divides the CRC-32 of the decimal id."""
-    hit = F.crc32(_quoted(id_col).cast("string").cast("binary")) % 5 == 0
-    return F.when(hit, lower_ascii(_quoted(text_col))).otherwise(_quoted(text_col))
+    hit = F.crc32(quoted(id_col).cast("string").cast("binary")) % 5 == 0
+    return F.when(hit, lower_ascii(quoted(text_col))).otherwise(quoted(text_col))

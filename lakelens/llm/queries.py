@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakelens.llm import (
     decontaminate,
+    lexical,
     lm_scoring,
     merkle,
     mixing,
@@ -96,6 +97,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, outcomes)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=50)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle proofs of all documents, every fifth (by CRC-32 of its id) tampered with."""
     return merkle.audit(_table(spark, sf_dir, "documents"), tampered={"text": merkle.lowered_every_fifth()})
@@ -112,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_url_filter": op10_url_filter,
+    "op11_ranked_search": op11_ranked_search,
     "op13_merkle": op13_merkle,
 }
 
@@ -215,6 +222,33 @@ def _op10_sql() -> str:
     return _OP10_SQL.format(k_s=k("s"), k_d=k("d"), k_g=k("g"), rules=rules, verdicts=verdicts)
 
 
+_SPLIT = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_OP11_SQL = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '{_SPLIT}'), lambda x: x <> '') AS w
+  FROM documents
+), c AS (
+  SELECT count(*) FILTER (len(w) > 0) AS big_n, sum(len(w))::BIGINT AS big_l FROM d
+), q AS (
+  SELECT DISTINCT item_id, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                               'abcdefghijklmnopqrstuvwxyz'), '{_SPLIT}')) AS t
+  FROM benchmark
+), p AS (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t
+), f AS (
+  SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS wt FROM p, c GROUP BY t, big_n
+), s AS (
+  SELECT item_id, r, sum(wt * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * big_n) // big_l))))::BIGINT AS score
+  FROM q JOIN p USING (t) JOIN f USING (t) JOIN d USING (r), c WHERE t <> '' GROUP BY item_id, r
+), o AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM s JOIN d USING (r) WHERE score > 0
+)
+SELECT * FROM o WHERE rank <= 50
+"""
+
 _FOLD_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(d) + 1), lambda i: ascii(d[i])::BIGINT)),
     lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)),
@@ -261,5 +295,5 @@ FROM q{levels} JOIN u{levels} USING (one)""")
 
 
 #: queries whose rows SQL can state; the others are tested against brute force
-ORACLE_SQL: dict[str, str] = {"op4_warc": _OP4_SQL, "op5_decontaminate": _OP5_SQL, "op10_url_filter": _op10_sql(),
+ORACLE_SQL: dict[str, str] = {"op4_warc": _OP4_SQL, "op5_decontaminate": _OP5_SQL, "op10_url_filter": _op10_sql(), "op11_ranked_search": _OP11_SQL,
                               "op13_merkle": _op13_sql()}
