@@ -12,6 +12,7 @@ from lakelens.llm import (
     lexical,
     lm_scoring,
     merkle,
+    minmax,
     mixing,
     quality_rules,
     secrets,
@@ -102,6 +103,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=50)
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: 2-word shingles, Jaccard similarity of 0.8 or more."""
+    return minmax.minmax_components(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle proofs of all documents, every fifth (by CRC-32 of its id) tampered with."""
     return merkle.audit(_table(spark, sf_dir, "documents"), tampered={"text": merkle.lowered_every_fifth()})
@@ -119,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_url_filter": op10_url_filter,
     "op11_ranked_search": op11_ranked_search,
+    "op12_minhash": op12_minhash,
     "op13_merkle": op13_merkle,
 }
 
@@ -249,6 +256,32 @@ WITH d AS (
 SELECT * FROM o WHERE rank <= 50
 """
 
+_OP12_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), e AS (
+  SELECT doc_id, r, CASE WHEN len(w) < 2 THEN list_distinct(w)
+                         ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM d
+), x AS (
+  SELECT r, len(s) AS n, unnest(s) AS g FROM e
+), p AS (
+  SELECT a.r AS u, b.r AS v FROM x a JOIN x b ON a.g = b.g AND a.r < b.r
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(r, o) AS (
+  SELECT r, r FROM e
+  UNION
+  SELECT reach.r, l.v FROM reach JOIN (SELECT u, v FROM p UNION ALL SELECT v, u FROM p) l ON reach.o = l.u
+), low AS (
+  SELECT reach.r, min(e.doc_id) AS component_id FROM reach JOIN e ON reach.o = e.r GROUP BY reach.r
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM e JOIN low USING (r)
+"""
+
 _FOLD_AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(d) + 1), lambda i: ascii(d[i])::BIGINT)),
     lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)),
@@ -295,5 +328,5 @@ FROM q{levels} JOIN u{levels} USING (one)""")
 
 
 #: queries whose rows SQL can state; the others are tested against brute force
-ORACLE_SQL: dict[str, str] = {"op4_warc": _OP4_SQL, "op5_decontaminate": _OP5_SQL, "op10_url_filter": _op10_sql(), "op11_ranked_search": _OP11_SQL,
+ORACLE_SQL: dict[str, str] = {"op4_warc": _OP4_SQL, "op5_decontaminate": _OP5_SQL, "op10_url_filter": _op10_sql(), "op11_ranked_search": _OP11_SQL, "op12_minhash": _OP12_SQL,
                               "op13_merkle": _op13_sql()}
