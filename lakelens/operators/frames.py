@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakelens.session import in_one_process
@@ -20,6 +20,17 @@ def select_once(df: DataFrame, keep: list[str], fields: list[Column]) -> DataFra
     return df.select(*[F.col(c) for c in keep], F.inline(F.array(F.struct(*fields))))
 
 
+def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with aggregates that Spark fills in while the first action runs over it.
+
+    ``observation.get`` (after that action) has them by name, so counting costs no job of its
+    own.  The action must read ``df`` whole; below a ``persist()`` the metrics are those of the
+    pass that fills the cache.
+    """
+    observation = Observation()
+    return df.observe(observation, *[c.alias(name) for name, c in counts.items()]), observation
+
+
 def spread(df: DataFrame) -> DataFrame:
     """In a local session, deal an input of one scan task (a small test file) to all threads.
 

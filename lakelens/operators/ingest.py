@@ -73,15 +73,18 @@ def to_envelopes(messages: DataFrame, topic: str, num_partitions: int = 3,
     )
 
 
-def split_by_size(envelopes: DataFrame, max_bytes: int = MAX_MESSAGE_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(sendable, too_large): payloads over ``max_bytes`` UTF-8 bytes are refused.
+def with_size(envelopes: DataFrame) -> DataFrame:
+    """Envelopes plus ``value_bytes``, the payload's UTF-8 bytes.
 
     The size is measured behind a Generate: a filter on the value itself would be pushed
     below the projection that builds it and serialise every payload a second time.
     """
-    cols = list(envelopes.columns)
-    sized = select_once(envelopes, cols, [F.octet_length(F.col("value")).alias("_bytes")])
-    size = F.col("_bytes")
+    return select_once(envelopes, list(envelopes.columns), [F.octet_length(F.col("value")).alias("value_bytes")])
+
+
+def split_by_size(envelopes: DataFrame, max_bytes: int = MAX_MESSAGE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(sendable, too_large): payloads over ``max_bytes`` UTF-8 bytes are refused."""
+    cols, sized, size = list(envelopes.columns), with_size(envelopes), F.col("value_bytes")
     return sized.where(size <= max_bytes).select(*cols), sized.where(size > max_bytes).select(*cols)
 
 

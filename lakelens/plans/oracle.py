@@ -265,14 +265,22 @@ SELECT {_LOG_COLS} FROM log WHERE committed_at > TIMESTAMP '2024-02-01 00:00:00'
     }
 
 
-def _ingest_queries() -> dict[str, str]:
-    w = _with(DOCS)
-    faulty = """
+_VALUES = """
 , env AS (
   SELECT doc_id, kafka_partition, kafka_offset,
          to_json({'filename': filename, 'filepath': filepath, 'file_size': file_size, 'file_hash': file_hash,
                   'mime_type': mime_type, 'timestamp': timestamp, 'image_data': image_data}) AS value
-  FROM doc_msgs),
+  FROM doc_msgs)"""
+
+
+def document_values() -> str:
+    """CTEs of the image documents' messages and their JSON values (``env``)."""
+    return _with(DOCS) + _VALUES
+
+
+def _ingest_queries() -> dict[str, str]:
+    w = _with(DOCS)
+    faulty = _VALUES + """,
 faulty AS (
   SELECT kafka_partition, kafka_offset, CASE doc_id % 13
     WHEN 0 THEN regexp_replace(value, '"filename":"[^"]*",', '')

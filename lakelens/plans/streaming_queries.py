@@ -17,6 +17,7 @@ from lakelens.operators import processed
 from lakelens.plans import oracle
 from lakelens.schemas import IMAGE_METADATA_FIELDS, PROCESSED_FIELDS
 from lakelens.session import pin_utc, work_path
+from lakelens.sinks import datasource
 from lakelens.sinks import objects as object_sinks
 from lakelens.sinks import topics as topic_sinks
 from lakelens.sources import fixtures as fx
@@ -27,6 +28,7 @@ from lakelens.streaming import jobs
 CONSUMER_CLOCK = "2024-03-01 00:00:00"
 BATCH_CLOCK = "2024-03-01 00:00:00"
 BATCH_AS_OF = "2024-03-15"
+COUNTER_LIMIT = 4000  # bytes of a message in the counters' runs
 
 
 def _config(base: str, **kw) -> JobConfig:
@@ -108,6 +110,44 @@ def stream_restart_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return processed.dedupe_by_offset(spark.read.parquet(cfg.lake_table).select(*PROCESSED_FIELDS))
 
 
+def processed_append_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event messages -> T3 through the append data source, one commit."""
+    pin_utc(spark)
+    base = work_path(spark, "append-source")
+    t = processed.transform(fx.event_envelopes(spark, sf_dir), F.lit(fx.PROCESSED_CLOCK).cast("timestamp_ntz"))
+    datasource.append(processed.processed_rows(t), base)
+    return datasource.committed(spark, base)
+
+
+def stream_processed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event messages -> stream -> T3 through the append data source, over two runs of one checkpoint."""
+    pin_utc(spark)
+    base = work_path(spark, "stream-source")
+    cfg, events = _config(base), fx.event_envelopes(spark, sf_dir)
+    for run in (0, 1):
+        topic_sinks.write_topic(events.where(F.col("offset") % 2 == run), cfg.input_topic, cfg.topic_root, batch=run)
+        jobs.start_source_append(spark, cfg, f"{base}/_checkpoint", available_now=True,
+                                 clock=fx.PROCESSED_CLOCK).awaitTermination()
+    return datasource.committed(spark, cfg.lake_table)
+
+
+def stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First record of every hash, remembered in the state store over a restart on the same checkpoint.
+
+    The earlier half of the events is drained and the query ends; the later half and the
+    earlier one once more (a redelivery) arrive, and a second run goes on from the checkpoint.
+    """
+    pin_utc(spark)
+    base = work_path(spark, "stream-dedup")
+    cfg, events = _config(base), fx.event_envelopes(spark, sf_dir)
+    middle = events.select(F.percentile_approx(F.col("timestamp").cast("timestamp"), 0.5).cast("timestamp_ntz")).scalar()
+    for run, arriving in enumerate((events.where(F.col("timestamp") <= middle), events)):
+        topic_sinks.write_topic(arriving, cfg.input_topic, cfg.topic_root, batch=run)
+        jobs.start_deduped_append(spark, cfg, f"{base}/_checkpoint", available_now=True,
+                                  clock=fx.PROCESSED_CLOCK).awaitTermination()
+    return spark.read.parquet(cfg.lake_table).select(*PROCESSED_FIELDS)
+
+
 def object_store_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job and the continuous consumer store the same messages under one object root."""
     pin_utc(spark)
@@ -148,10 +188,15 @@ def ids_after_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters of two runs of the batch job over the same files."""
+    """Counters of two runs of the batch job over the same files.
+
+    Messages over the limit are refused in either run; the topic also holds the malformed events.
+    """
     pin_utc(spark)
     base = work_path(spark, "run-counters")
-    cfg, files = _config(base), fx.document_image_files(spark, sf_dir)
+    cfg, files = _config(base, max_message_bytes=COUNTER_LIMIT), fx.document_image_files(spark, sf_dir)
+    malformed = fx.event_envelopes(spark, sf_dir).where(F.col("value").isin(fx.MALFORMED_VALUES))
+    topic_sinks.write_topic(malformed, cfg.input_topic, cfg.topic_root, batch=0)
     rows = []
     for run in (1, 2):
         c = jobs.run_batch_ingest(spark, cfg, f"{base}/_checkpoint", files=files, clock=BATCH_CLOCK, as_of=BATCH_AS_OF)
@@ -166,6 +211,9 @@ QUERIES = {
     "stream_processed_topic": stream_processed_topic,
     "batch_ingest": batch_ingest,
     "stream_restart_processed": stream_restart_processed,
+    "processed_append_source": processed_append_source,
+    "stream_processed_source": stream_processed_source,
+    "stream_dedup_state": stream_dedup_state,
     "object_store_two_writers": object_store_two_writers,
     "producer_offsets": producer_offsets,
     "ids_after_retention": ids_after_retention,
@@ -189,6 +237,9 @@ SELECT row_number() OVER (ORDER BY kafka_timestamp, kafka_partition, kafka_offse
 FROM firsts""",
         "stream_processed": sql["processed_append"],
         "stream_processed_keyed": sql["processed_upsert"],
+        "processed_append_source": sql["processed_append"],
+        "stream_processed_source": sql["processed_append"],
+        "stream_dedup_state": sql["processed_upsert"],
         "stream_processed_topic": events + """
 SELECT msg_hash AS key,
        CASE WHEN bad = 0 THEN '{"processed_at":"2024-03-01T00:00:00+00:00","raw":[1,2]}'
@@ -212,8 +263,17 @@ SELECT count(*) AS n_records, count(*) AS n_positions, 0::BIGINT AS n_gaps, 0::B
   QUALIFY row_number() OVER (PARTITION BY file_hash ORDER BY kafka_timestamp, kafka_partition, kafka_offset) = 1)
 SELECT row_number() OVER (ORDER BY kafka_timestamp, kafka_partition, kafka_offset, file_hash) + count(*) OVER () AS id,
        filename, file_hash FROM firsts""",
-        "run_counters": docs + """
-SELECT 1 AS run, count(*) AS produced, 0::BIGINT AS too_large, count(*) AS processed, 0::BIGINT AS rejected,
-       count(DISTINCT file_hash) AS inserted FROM doc_msgs
-UNION ALL SELECT 2, 0, 0, 0, 0, 0""",
+        "run_counters": oracle.document_values() + f"""
+, sized AS (
+  SELECT file_hash, octet_length(encode(value)) > {COUNTER_LIMIT} AS large FROM doc_msgs JOIN env USING (kafka_partition, kafka_offset)
+), bad AS (
+  SELECT count(*) AS n FROM events WHERE event_id % 97 < 3
+), known AS (
+  SELECT DISTINCT file_hash FROM sized WHERE NOT large
+)
+SELECT 1 AS run, count(*) FILTER (NOT large) AS produced, count(*) FILTER (large) AS too_large,
+       count(*) FILTER (NOT large) AS processed, (SELECT n FROM bad) AS rejected,
+       count(DISTINCT file_hash) FILTER (NOT large) AS inserted FROM sized
+UNION ALL
+SELECT 2, 0, count(*) FILTER (large AND file_hash NOT IN (SELECT file_hash FROM known)), 0, 0, 0 FROM sized""",
     }

@@ -21,14 +21,16 @@ from pyspark.sql import types as T
 from lakelens.config import JobConfig
 from lakelens.functions import jsonval, paths
 from lakelens.operators import ingest, metadata, processed
+from lakelens.operators.frames import counted
 from lakelens.operators.ids import assign_serial_ids
 from lakelens.operators.joins import broadcast_if_bounded
 from lakelens.schemas import IMAGE_METADATA, PROCESSED_FIELDS, PROCESSED_ROW
 from lakelens.session import file_system, pin_utc
-from lakelens.sinks import objects, tables, topics
+from lakelens.sinks import datasource, objects, tables, topics
 from lakelens.sinks.batches import BatchRef, reserve_offsets, run_of
 from lakelens.sources import files as file_sources
 from lakelens.sources import topics as topic_sources
+from lakelens.streaming import dedup
 
 log = logging.getLogger(__name__)
 METADATA_PARTITION = "uploaded_day"
@@ -87,14 +89,16 @@ def produce_batch(files: DataFrame, batch: BatchRef | int, cfg: JobConfig, clock
         offset = F.when(F.col("topic_part") == r["topic_part"], F.col("serial") - r["low"] + starts[r["topic_part"]]).otherwise(offset)
     place = broadcast_if_bounded(numbered.select("path", "topic_part", offset.alias("topic_offset")), F.octet_length("path") + 32)
     msgs = ingest.build_messages(files.join(place, "path"), _clock_col(clock) if clock else None, keep=("topic_part", "topic_offset"))
-    env = ingest.to_envelopes(msgs, cfg.input_topic, partition=F.col("topic_part"), offset=F.col("topic_offset"), keep=("filepath",)).persist()
+    env = ingest.to_envelopes(msgs, cfg.input_topic, partition=F.col("topic_part"), offset=F.col("topic_offset"), keep=("filepath",))
+    large = F.col("value_bytes") > cfg.max_message_bytes
+    env, seen = counted(ingest.with_size(env), n=F.count(F.lit(1)), large=F.count_if(large))
+    env = env.persist()
     try:
-        sendable, too_large = ingest.split_by_size(env, cfg.max_message_bytes)
-        topics.write_topic(sendable, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers, ref)
-        n, n_large = env.count(), too_large.count()
+        topics.write_topic(env.where(~large), cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers, ref)
+        n, n_large = seen.get["n"], seen.get["large"]
         if n_large:
             # the payload is too large to keep: its file's path stands for it
-            tables.append_batch(too_large.select(
+            tables.append_batch(env.where(large).select(
                 F.lit("producer").alias("source"), F.lit("payload_too_large").alias("reason"),
                 "key", F.col("filepath").alias("value"), "partition", "offset"),
                 f"{cfg.dead_letter_root()}/producer", ref)
@@ -149,15 +153,17 @@ def consume_batch(spark: SparkSession, batch: DataFrame, batch_id: BatchRef | in
     checked = metadata.validate_messages(ingest.parse_messages(batch), strict=strict, now=now,
                                          max_bytes=cfg.max_message_bytes)
     # The raw value (up to 25 MiB) is kept only for rows bound for the dead letter.
-    checked = checked.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).persist()
+    checked = checked.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+    checked, seen = counted(checked, n=F.count(F.lit(1)), rejected=F.count("reason"))
+    checked = checked.persist()
     try:
         valid = checked.where(F.col("reason").isNull())
-        rejected = checked.where(F.col("reason").isNotNull())
-        n_total, n_rejected = checked.agg(F.count(F.lit(1)), F.count("reason")).first()
-        if n_rejected:
-            tables.append_batch(rejected.select(
-                F.lit("consumer").alias("source"), "reason", "key", "value", "partition", "offset"),
-                f"{cfg.dead_letter_root()}/consumer", ref)
+        letters = checked.where(F.col("reason").isNotNull()).select(
+            F.lit("consumer").alias("source"), "reason", "key", "value", "partition", "offset")
+        # the first write over the batch counts it; without any other sink that is the dead letter's
+        first = not cfg.object_root and not cfg.metadata_table
+        if first:
+            tables.append_batch(letters, f"{cfg.dead_letter_root()}/consumer", ref)
         if cfg.object_root:
             objects.write_objects(objects.object_rows(valid, now), cfg.object_root, ref)
         rows = valid.select(
@@ -168,9 +174,11 @@ def consume_batch(spark: SparkSession, batch: DataFrame, batch_id: BatchRef | in
             now.alias("processed_at"), F.col("timestamp").alias("kafka_timestamp"))
         inserted = 0
         if cfg.metadata_table:
-            added = insert_metadata(spark, rows, cfg.metadata_table)
-            inserted = added
-        return Counters(processed=n_total - n_rejected, rejected=n_rejected, inserted=inserted)
+            inserted = insert_metadata(spark, rows, cfg.metadata_table)
+        n_rejected = seen.get["rejected"]
+        if n_rejected and not first:
+            tables.append_batch(letters, f"{cfg.dead_letter_root()}/consumer", ref)
+        return Counters(processed=seen.get["n"] - n_rejected, rejected=n_rejected, inserted=inserted)
     finally:
         checked.unpersist()
 
@@ -210,7 +218,9 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: BatchRef | in
     t = processed.transform(batch, _clock_col(clock))
     # The raw value is only needed for the dead letter.
     bound_for_it = (F.col("kind") == "invalid") | F.col("size_unbound")
-    t = t.withColumn("value", F.when(bound_for_it, F.col("value"))).persist()
+    t = t.withColumn("value", F.when(bound_for_it, F.col("value")))
+    t, seen = counted(t, n=F.count(F.lit(1)), bad=F.count_if(F.col("kind") == "invalid"))
+    t = t.persist()
     try:
         topics.write_topic(processed.output_records(t, cfg.output_topic), cfg.output_topic, cfg.topic_root,
                            cfg.bootstrap_servers, ref)
@@ -226,7 +236,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: BatchRef | in
         if cfg.enable_iceberg_sink and cfg.lake_table:
             tables.append_batch(rows.select(*PROCESSED_FIELDS), cfg.lake_table, ref)
         tables.append_batch(letters, f"{cfg.dead_letter_root()}/processor", ref)
-        n, bad = t.agg(F.count(F.lit(1)), F.count(F.when(F.col("kind") == "invalid", 1))).first()
+        n, bad = seen.get["n"], seen.get["bad"]
         return Counters(processed=n - bad, rejected=bad)
     finally:
         t.unpersist()
@@ -250,6 +260,45 @@ def start_processor(spark: SparkSession, cfg: JobConfig, checkpoint: str, availa
     return writer.start()
 
 
+def start_deduped_append(spark: SparkSession, cfg: JobConfig, checkpoint: str, available_now: bool = False,
+                         clock: str | None = None, remember: str = "30 days", name: str | None = None):
+    """Input topic -> T3, each ``file_hash`` once (R8 by state): the first record that arrives.
+
+    A restart on the same checkpoint knows the keys of the runs before.
+    """
+    own = run_of(spark, checkpoint)
+    stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
+                                             cfg.processor_starting_offsets, cfg.max_bytes_per_trigger,
+                                             cfg.max_offsets_per_trigger, own.started)
+    rows = processed.processed_rows(processed.transform(stream, _clock_col(clock)), keep_arrival=True)
+    firsts = dedup.first_seen(rows, "file_hash", processed.ARRIVAL_ORDER, remember)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        tables.append_batch(batch.select(*PROCESSED_FIELDS), cfg.lake_table, BatchRef("dedup", own.id, batch_id))
+
+    writer = _named(firsts.writeStream.foreachBatch(run).outputMode("append")
+                    .option("checkpointLocation", checkpoint), name)
+    writer = writer.trigger(availableNow=True) if available_now else \
+        writer.trigger(processingTime=f"{cfg.commit_interval_seconds} seconds")
+    return writer.start()
+
+
+def start_source_append(spark: SparkSession, cfg: JobConfig, checkpoint: str, available_now: bool = False,
+                        clock: str | None = None, name: str | None = None):
+    """Input topic -> T3 through the append data source (U2): no ``foreachBatch``, Spark commits each batch."""
+    spark.dataSource.register(datasource.AppendSource)
+    own = run_of(spark, checkpoint)
+    stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
+                                             cfg.processor_starting_offsets, cfg.max_bytes_per_trigger,
+                                             cfg.max_offsets_per_trigger, own.started)
+    rows = processed.processed_rows(processed.transform(stream, _clock_col(clock)))
+    writer = _named(rows.writeStream.format(datasource.AppendSource.name()).option("checkpointLocation", checkpoint)
+                    .option("commit_id", own.id), name)
+    writer = writer.trigger(availableNow=True) if available_now else \
+        writer.trigger(processingTime=f"{cfg.commit_interval_seconds} seconds")
+    return writer.start(cfg.lake_table)
+
+
 def map_records(stream: DataFrame, fn, schema: str) -> DataFrame:
     """User hook (U1): apply a pandas function to each Arrow batch of records."""
     return stream.mapInPandas(fn, schema)

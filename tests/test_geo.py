@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -89,7 +90,7 @@ def test_cities_within_europe(locations, regions):
 def test_points_in_polygons_grid_path_matches_broadcast(spark, locations, regions):
     polys = regions.withColumnRenamed("name", "region").withColumnRenamed("id", "rid")
     small = spatial.points_in_polygons(locations, "location", polys, "boundary")
-    grid = spatial.points_in_polygons(locations, "location", polys, "boundary", max_broadcast_bytes=0, cell_deg=7.0)
+    grid = spatial.points_in_polygons(locations, "location", polys, "boundary", max_broadcast_bytes=0, max_cells=16)
     plan = grid._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert sorted(map(tuple, small.select("name", "region").collect())) == \
@@ -224,3 +225,115 @@ def test_pole_ring_area_is_null(spark):
     ring = ", ".join(f"named_struct('lon', {x}D, 'lat', 80D)" for x in (0, 90, 180, -90, 0))
     rows = spark.sql(f"SELECT array({ring}) AS r UNION ALL SELECT NULL").select(geo.geodesic_area_m2(F.col("r")).alias("a")).collect()
     assert [r["a"] for r in rows] == [None, None]
+
+
+# ---------------------------------------------------------------- coverings and hot cells
+
+def _inside(x, y, ring):
+    """Strictly inside by even-odd, edge by edge."""
+    odd = False
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+        if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+            return False
+        if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+            odd = not odd
+    return odd
+
+
+RINGS = {
+    "triangle": [(0, 0), (10, 1), (3, 12), (0, 0)],
+    "concave": [(-60, -40), (60, -40), (60, 50), (0, -30), (-60, 50), (-60, -40)],
+    "world": [(-180, -90), (180, -90), (180, 90), (-180, 90), (-180, -90)],
+    "wide": [(-170, -60), (170, -60), (170, 60), (-170, 60), (-170, -60)],
+    "sliver": [(20, 20), (20.0001, 20), (20.0001, 60), (20, 60), (20, 20)],
+    "star": [(100 + (30 if k % 2 else 8) * math.cos(k * math.pi / 8), (30 if k % 2 else 8) * math.sin(k * math.pi / 8))
+             for k in range(17)],
+    "dot": [(5, 5), (5, 5), (5, 5), (5, 5)],
+}
+RINGS["star"][-1] = RINGS["star"][0]
+
+
+def _ring_rows(spark, rings):
+    return spark.createDataFrame([(n, [(float(x), float(y)) for x, y in r]) for n, r in rings.items()] + [("none", None)],
+                                 "poly string, ring array<struct<lon: double, lat: double>>")
+
+
+def _points(spark, n, lons=(-180.0, 180.0), seed=1):
+    rng = np.random.default_rng(seed)
+    rows = [(i, (float(x), float(y))) for i, (x, y) in enumerate(zip(rng.uniform(*lons, n), rng.uniform(-90, 90, n)))]
+    k = len(rows)
+    # vertices, edge midpoints, poles and cell corners
+    extra = [p for r in RINGS.values() for p in r] + [((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for r in RINGS.values() for a, b in zip(r, r[1:])]
+    extra += [(0.0, 90.0), (-180.0, 0.0), (180.0, 0.0), (22.5, 22.5), (20.00005, 40.0)]
+    rows += [(k + i, (float(x), float(y))) for i, (x, y) in enumerate(extra)] + [(-1, None)]
+    return rows, spark.createDataFrame(rows, "id long, loc struct<lon: double, lat: double>")
+
+
+@pytest.mark.parametrize("max_cells", [4, 128])
+def test_containment_equals_brute_force(spark, max_cells):
+    rows, pts = _points(spark, 1500)
+    got = spatial.points_in_polygons(pts, "loc", _ring_rows(spark, RINGS), "ring", max_cells=max_cells)
+    assert got.columns == ["id", "loc", "poly", "ring"]
+    want = {(i, n) for i, p in rows if p for n, r in RINGS.items() if _inside(*p, r)}
+    pairs = [(r.id, r.poly) for r in got.select("id", "poly").collect()]
+    assert set(pairs) == want and len(pairs) == len(want) and len(want) > 2000
+
+
+def test_containment_over_the_antimeridian(spark):
+    rings = {"pacific": [(160, -30), (-150, -30), (-150, 40), (-175, 0), (160, 40), (160, -30)],
+             "greenwich": [(-10, -10), (10, -10), (10, 10), (-10, 10), (-10, -10)],
+             "fiji": [(-179, -20), (177, -20), (177, -15), (-179, -15), (-179, -20)]}
+    rows, pts = _points(spark, 3000, seed=2)
+    got = spatial.points_in_polygons(pts, "loc", _ring_rows(spark, rings), "ring", antimeridian=True)
+    want = set()
+    for name, ring in rings.items():
+        flat = [ring[0]]
+        for x, y in ring[1:]:
+            d = (x - flat[-1][0] + 180) % 360 - 180
+            flat.append((flat[-1][0] + d, y))
+        want |= {(i, name) for i, p in rows if p and any(_inside(p[0] + t, p[1], flat) for t in (-360, 0, 360))}
+    pairs = [(r.id, r.poly) for r in got.select("id", "poly").collect()]
+    assert set(pairs) == want and len(pairs) == len(want) and {n for _, n in want} == set(rings)
+
+
+def test_covering_is_adaptive():
+    from lakelens.operators import covering
+    for name, ring in RINGS.items():
+        xs, ys = (np.array(v, float) for v in zip(*ring))
+        cells = covering.cover(xs, ys)
+        assert len(cells) <= 4 * covering.MAX_CELLS
+        assert len(set(c[:3] for c in cells)) == len(cells)
+    world = covering.cover(*(np.array(v, float) for v in zip(*RINGS["world"])))
+    assert any(c[3] and c[0] <= 4 for c in world)  # large cells inside
+    small = covering.cover(*(np.array(v, float) / 1000 for v in zip(*RINGS["triangle"])))
+    assert min(c[0] for c in small) >= 10 and any(c[3] for c in small)
+
+
+def test_rings_stay_out_of_the_cells(spark):
+    _, pts = _points(spark, 50)
+    plan = spatial.points_in_polygons(pts, "loc", _ring_rows(spark, RINGS), "ring", max_broadcast_bytes=0)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    cells = [x for x in text.splitlines() if "_inside" in x and "LogicalRDD" in x or "Project" in x and "AS _inside" in x]
+    assert cells and not any("ring" in x for x in cells)
+    assert "Cartesian" not in text and "NestedLoop" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_cell_is_dealt_out(spark):
+    rng = np.random.default_rng(4)
+    n = 3000
+    # a third of all points in one cell
+    xs = np.concatenate((rng.uniform(10, 10.02, n // 3), rng.uniform(-180, 180, n - n // 3)))
+    ys = np.concatenate((rng.uniform(50, 50.02, n // 3), rng.uniform(-85, 85, n - n // 3)))
+    pts = spark.createDataFrame([(i, (float(x), float(y))) for i, (x, y) in enumerate(zip(xs, ys))],
+                                "id long, loc struct<lon: double, lat: double>").repartition(8).checkpoint()
+    radius = 700.0
+    plain = spatial.pairs_within(pts, "id", "loc", radius, hot_rows=10**9)
+    tiled = spatial.pairs_within(pts, "id", "loc", radius, hot_rows=100)
+    a, b = ({(r.l_id, r.r_id) for r in df.collect()} for df in (plain, tiled))
+    assert a == b and len(a) > 10_000 and tiled.count() == len(a)
+    left = pts.select(F.col("id").alias("l_id"), F.lit(1).alias("cell"))
+    right = pts.select(F.col("id").alias("r_id"), F.lit(1).alias("cell"))
+    one, two, keys = spatial.spread_hot_cells(left, right, "l_id", "r_id", 500)
+    met = one.join(two, keys)
+    assert met.count() == n * n and met.select("l_id", "r_id").distinct().count() == n * n
+    assert max(r["count"] for r in one.groupBy(*keys).count().collect()) < 2 * 500

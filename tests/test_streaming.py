@@ -3,6 +3,8 @@
 import os
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from lakelens.config import JobConfig
@@ -149,3 +151,115 @@ def test_value_decoder_and_record_hook(spark, scratch):
 
     mapped = jobs.map_records(plain.select("key", "value"), upper, "key string, value string")
     assert mapped.where(F.col("key").rlike("[a-f]")).count() == 0
+
+
+# ---------------------------------------------------------------- counters, state, append source
+
+def test_counters_come_from_the_first_pass(spark):
+    from lakelens.operators.frames import counted
+    df, seen = counted(spark.range(100), n=F.count(F.lit(1)), odd=F.count_if(F.col("id") % 2 == 1))
+    df = df.persist()
+    try:
+        assert df.where("id < 10").count() == 10  # fills the cache: the counts are those of all rows
+        assert seen.get == {"n": 100, "odd": 50}
+        assert df.count() == 100 and seen.get == {"n": 100, "odd": 50}
+    finally:
+        df.unpersist()
+
+
+def test_counters_of_an_empty_batch(spark):
+    from lakelens.operators.frames import counted
+    df, seen = counted(spark.range(0), n=F.count(F.lit(1)))
+    df = df.persist()
+    assert df.count() == 0 and (seen.get.get("n") or 0) == 0
+    df.unpersist()
+
+
+def _arrivals(spark, rows):
+    return spark.createDataFrame(rows, "k string, at int, v string").repartition(4)
+
+
+def test_first_of_a_batch_in_arrival_order(spark):
+    from lakelens.streaming import dedup
+    rows = [(f"k{i % 37}", 1000 - i, str(i)) for i in range(500)] + [(None, 1, "a"), (None, 1, "a")]
+    got = {(r.k, r.at, r.v) for r in dedup.first_seen(_arrivals(spark, rows), "k", ["at"]).collect()}
+    want = {}
+    for k, at, v in rows:
+        if k and (k not in want or at < want[k][0]):
+            want[k] = (at, v)
+    assert got - {(None, 1, "a")} == {(k, *x) for k, x in want.items()}
+    assert dedup.first_seen(_arrivals(spark, rows), "k", ["at"]).where("k IS NULL").count() == 2
+
+
+def test_state_survives_a_restart(spark, scratch):
+    from lakelens.streaming import dedup
+    schema, source, out = "k string, at int, v string", f"{scratch}/in", f"{scratch}/out"
+    batches = [[("a", 2, "second"), ("a", 1, "first"), ("b", 1, "b1")],
+               [("a", 0, "late"), ("c", 5, "c5"), (None, 1, "n")],
+               [("b", 9, "b9"), ("c", 1, "c1"), (None, 1, "n"), ("d", 1, "d1")]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(source)
+        stream = dedup.first_seen(spark.readStream.schema(schema).json(source), "k", ["at"])
+        assert stream.columns == ["k", "at", "v"]
+        (stream.writeStream.format("parquet").option("checkpointLocation", f"{scratch}/ckpt").option("path", out)
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+        got = sorted(r.v for r in spark.read.parquet(out).collect())
+        assert got == [["b1", "first"], ["b1", "c5", "first", "n"], ["b1", "c5", "d1", "first", "n", "n"]][n]
+
+
+def _rows(spark, n, parts=3):
+    return spark.range(n).repartition(parts).selectExpr(
+        "concat('h', id) file_hash", "concat('f', id) filename", "id file_size", "'image/png' mime_type",
+        "timestamp_ntz'2024-03-01 00:00:00' processed_at", "'t' kafka_topic", "cast(id % 3 AS int) kafka_partition",
+        "id kafka_offset")
+
+
+def test_append_source_commits_whole(spark, scratch):
+    from lakelens.sinks import datasource
+    table = f"{scratch}/t3"
+    datasource.append(_rows(spark, 100), table)
+    datasource.append(_rows(spark, 50), table, commit_id="c2")
+    datasource.append(_rows(spark, 60), table, commit_id="c2")  # the same commit once more
+    datasource.append(_rows(spark, 0), table, commit_id="none")
+    assert datasource.committed(spark, table).count() == 160
+    assert spark.read.parquet(table).where("commit = 'c2'").count() == 60
+    held = datasource.manifests(table)
+    assert held["commit=c2"]["rows"] == 60 == sum(held["commit=c2"]["files"].values())
+    assert held["commit=none"] == {"files": {}, "rows": 0}
+    assert datasource.committed(spark, table).schema.fieldNames() == _rows(spark, 1).columns
+
+
+def test_append_source_leaves_no_rows_of_a_failed_write(spark, scratch):
+    import os
+
+    from lakelens.sinks import datasource
+    table = f"{scratch}/t3"
+    datasource.append(_rows(spark, 10), table)
+    broken = _rows(spark, 1000, 8).withColumn("file_size", F.when(
+        F.col("file_size") == 999, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("file_size")))
+    with pytest.raises(Exception, match="lost"):
+        datasource.append(broken, table)
+    assert datasource.committed(spark, table).count() == 10
+    assert len(datasource.manifests(table)) == 1
+    assert not [f for _, _, files in os.walk(f"{table}/{datasource.STAGING}") for f in files]
+    datasource.append(_rows(spark, 1000, 8), table)
+    assert datasource.committed(spark, table).count() == 1010
+
+
+def test_staged_files_without_a_message_are_left_out(spark, scratch):
+    """What a lost attempt staged is no part of the commit; a replayed batch replaces its folder."""
+    import pyarrow as pa
+
+    from lakelens.sinks import datasource
+    batch = pa.RecordBatch.from_pydict({"x": [1, 2]})
+    for _ in range(2):
+        writer = datasource.AppendStreamWriter({"path": f"{scratch}/s", "commit_id": "run"})
+        writer.write(iter([batch]))  # an attempt whose message never arrives
+        good, empty = writer.write(iter([batch, batch])), writer.write(iter([]))
+        again = datasource.AppendStreamWriter({"path": f"{scratch}/s", "commit_id": "run"})
+        again.commit([good, None, empty], 7)
+    assert datasource.manifests(f"{scratch}/s")["commit=run-000000000007"]["rows"] == 4
+    assert spark.read.parquet(f"{scratch}/s").count() == 4
+    writer.write(iter([batch]))
+    writer.abort([None], 8)
+    assert spark.read.parquet(f"{scratch}/s").count() == 4
