@@ -17,7 +17,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakelens.operators.joins import broadcast_if_bounded
 from lakelens.schemas import LAKE_FIELDS, PARTITION_COLUMN
+from lakelens.session import shared_dir
 
 PARTITION = PARTITION_COLUMN
 APPEND, UPDATE, DELETE, UNLINK = "append", "update", "delete", "unlink"
@@ -149,6 +151,45 @@ def update_rows(log: DataFrame, predicate: Column, assignments: dict[str, Column
             .withColumn("committed_at", F.lit(committed_at).cast("timestamp_ntz")).select(*log.columns))
 
 
+def matching_versions(log: DataFrame, predicate: Column, key: str = KEY) -> DataFrame:
+    """(day, key, ``commit_id``) of the current rows that ``predicate`` holds for.
+
+    Two narrow steps, so that a stored log is read in few columns: the keys with any live version
+    that matches, then the versions of those keys only, of which the newest decides.  Both
+    read the key, the version columns and what the predicate names.
+    """
+    shared_dir(log.sparkSession)
+    keys = log.where(predicate & _is_live()).select(key).distinct().checkpoint()
+    keys = broadcast_if_bounded(keys, F.octet_length(F.col(key).cast("string")) + 16)
+    versions = (log.select(PARTITION, key, "commit_id", "op", F.coalesce(predicate, F.lit(False)).alias("_match"))
+                .join(keys, key, "left_semi"))
+    order = F.struct(F.col("commit_id"), _is_live())
+    newest = versions.groupBy(key).agg(F.max_by(F.struct(PARTITION, "commit_id", "op", "_match"), order).alias("_v"))
+    return newest.select(F.col(f"_v.{PARTITION}").alias(PARTITION), key, "_v.commit_id", "_v.op", "_v._match").where(
+        _is_live() & F.col("_match")).select(PARTITION, key, "commit_id")
+
+
+def in_days(days: list) -> Column:
+    """The day partition is one of ``days`` (None: the rows without a day)."""
+    known = [d for d in days if d is not None]
+    hit = F.col(PARTITION).isin(known) if known else F.lit(False)
+    return hit | F.col(PARTITION).isNull() if None in days else hit
+
+
+def update_rows_by_day(log: DataFrame, predicate: Column, assignments: dict[str, Column],
+                       commit_id: int, committed_at: str, key: str = KEY) -> DataFrame:
+    """``update_rows`` of a log stored by day: whole rows are read from the days with hits only.
+
+    The hits (``matching_versions``) are found first; their days, at most one a partition of
+    the table, prune the read of all columns.
+    """
+    hits = matching_versions(log, predicate, key).checkpoint()
+    days = [r[0] for r in hits.select(PARTITION).distinct().collect()]
+    hits = broadcast_if_bounded(hits.select(key, "commit_id"), F.octet_length(F.col(key).cast("string")) + 24)
+    rows = log.where(in_days(days)).where(_is_live()).join(hits, [key, "commit_id"], "left_semi")
+    return update_rows(rows.select(*log.columns), F.lit(True), assignments, commit_id, committed_at, key)
+
+
 def delete_rows(log: DataFrame, predicate: Column, commit_id: int, committed_at: str,
                 key: str = KEY, days: Column | None = None) -> DataFrame:
     """Tombstones of ``DELETE FROM t WHERE predicate``; rows where the predicate is NULL stay.
@@ -161,17 +202,20 @@ def delete_rows(log: DataFrame, predicate: Column, commit_id: int, committed_at:
     return _stamp(current_state(read, key).where(predicate), commit_id, committed_at, DELETE).select(*log.columns)
 
 
-def expire(log: DataFrame, cutoff: str, key: str = KEY) -> DataFrame:
+def expire(log: DataFrame, cutoff: str, key: str = KEY, whole: DataFrame | None = None) -> DataFrame:
     """Drop versions no longer needed for reads at or after ``cutoff``.
 
+    ``log`` may be some days of ``whole``, whose base snapshot they then get.
+
     Versions committed at or before the cutoff collapse into one base snapshot (the
     newest such commit) holding the rows live at that point; later versions stay.
     Reads before the base snapshot then fail like reads before the first commit.
     """
     at = F.lit(cutoff).cast("timestamp_ntz")
     old = log.where(F.col("committed_at") <= at)
-    base_id = old.select(F.max_by("commit_id", F.struct("committed_at", "commit_id"))).scalar()
-    base_at = old.select(F.max("committed_at")).scalar()
+    commits = old if whole is None else whole.where(F.col("committed_at") <= at)
+    base_id = commits.select(F.max_by("commit_id", F.struct("committed_at", "commit_id"))).scalar()
+    base_at = commits.select(F.max("committed_at")).scalar()
     base = (current_state(old, key)
             .withColumn("commit_id", base_id)
             .withColumn("committed_at", base_at)

@@ -485,6 +485,24 @@ def stored_queries() -> dict[str, str]:
     cutoff = "TIMESTAMP '2024-02-01 00:00:00'"
     return {
         "lake_stored_dml": w + f"SELECT {_LAKE_COLS} FROM cur",
+        "lake_generations": w + f"SELECT {_LAKE_COLS} FROM cur",
+        "lake_generation_days": w + """
+, upto AS (SELECT * FROM log WHERE committed_at <= TIMESTAMP '2024-02-03 00:00:00'),
+kept AS (
+  SELECT uploaded_day FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY commit_id DESC, (op IN ('append','update')) DESC) AS rn
+    FROM upto) WHERE rn = 1 AND op IN ('append','update')
+  UNION ALL SELECT uploaded_day FROM log WHERE committed_at > TIMESTAMP '2024-02-03 00:00:00'),
+n AS (SELECT uploaded_day, count(*) AS n FROM kept GROUP BY uploaded_day)
+SELECT l.uploaded_day, count(*) AS rows_before,
+       CASE WHEN bool_or(op <> 'append') THEN coalesce(any_value(n.n), 0) ELSE count(*) END AS rows_after,
+       bool_or(op <> 'append') AS rewritten
+FROM log l LEFT JOIN n ON l.uploaded_day IS NOT DISTINCT FROM n.uploaded_day GROUP BY l.uploaded_day""",
+        "lake_file_bounds": w + """
+SELECT uploaded_day, count(*) AS row_count, (count(*) - count(width))::BIGINT AS null_widths, min(id) AS id_low, max(id) AS id_high,
+       min(file_size) AS file_size_low, max(file_size) AS file_size_high, min(filename) AS filename_low,
+       max(filename) AS filename_high, min(uploaded_at) AS uploaded_at_low, max(uploaded_at) AS uploaded_at_high
+FROM log GROUP BY uploaded_day""",
         "lake_stored_upkeep": w + f"""
 , old AS (SELECT * FROM log WHERE committed_at <= {cutoff}),
 late AS (SELECT commit_id FROM log WHERE committed_at > {cutoff})

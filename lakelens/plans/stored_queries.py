@@ -17,10 +17,13 @@ from lakelens.plans import oracle
 from lakelens.plans import queries as plain
 from lakelens.schemas import LAKE_FIELDS, PARTITION_COLUMN
 from lakelens.session import work_path
-from lakelens.sinks import tables
+from lakelens.sinks import generations, tables
 from lakelens.sources import fixtures as fx
+from lakelens.sources import footers
 from lakelens.sources.tables import read_lake
 
+UPKEEP_CUTOFF = "2024-02-03 00:00:00"  # after the update and the delete
+
 
 def _stored(spark: SparkSession, log: DataFrame, name: str) -> str:
     path = work_path(spark, name)
@@ -72,7 +75,48 @@ def lake_stored_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.count_distinct(new(file)) < F.count_distinct(old(file))).alias("fewer_files"))
 
 
+def _upkept(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, DataFrame]:
+    """A table with generations after a rewrite of the days that hold updates or tombstones; its days before."""
+    path, log = work_path(spark, name), fx.lake_change_log(spark, sf_dir)
+    for last in (False, True):  # the appends, then the update and the delete
+        generations.commit(spark, log.where((F.col("commit_id") >= fx.UPDATE_COMMIT[0]) == last), path)
+    before = generations.day_layout(spark, path).select(PARTITION_COLUMN, "rows", "stale").checkpoint()
+    days = generations.choose_days(spark, path, stale_share=0.0, spare_files=10**6)
+    generations.rewrite_days(spark, path, days, cutoff=UPKEEP_CUTOFF)
+    generations.vacuum(spark, path)
+    return path, before
+
+
+def lake_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current rows of a table some days of which were rewritten in place."""
+    path, _ = _upkept(spark, sf_dir, "lake-generations")
+    return changelog.current_state(generations.read(spark, path), fields=LAKE_FIELDS).select(*LAKE_FIELDS)
+
+
+def lake_generation_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions stored by day before and after that rewrite, and whether the day was rewritten."""
+    path, before = _upkept(spark, sf_dir, "lake-generation-days")
+    after = generations.read(spark, path).groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)).alias("rows_after"))
+    return before.join(after, PARTITION_COLUMN, "left").select(
+        PARTITION_COLUMN, F.col("rows").alias("rows_before"), F.coalesce("rows_after", F.lit(0)).alias("rows_after"),
+        (F.col("stale") > 0).alias("rewritten"))
+
+
+def lake_file_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, nulls and bounds of several columns by day of a stored table, from its files' footers."""
+    files = footers.file_listing(spark, _stored(spark, fx.lake_change_log(spark, sf_dir), "lake-footers"))
+    bounds = {"id": "long", "file_size": "long", "filename": "string", "uploaded_at": "timestamp_ntz"}
+    out = [F.sum("record_count").alias("row_count"), F.sum(F.col("null_counts")["width"]).alias("null_widths")]
+    for name, kind in bounds.items():
+        low, high = footers.column_bounds(files, name, kind)
+        out += [low.alias(f"{name}_low"), high.alias(f"{name}_high")]
+    return files.groupBy(F.col("partition")[PARTITION_COLUMN].cast("date").alias(PARTITION_COLUMN)).agg(*out)
+
+
 QUERIES = {
+    "lake_generations": lake_generations,
+    "lake_generation_days": lake_generation_days,
+    "lake_file_bounds": lake_file_bounds,
     "lake_stored_range": lake_stored_range,
     "lake_stored_dml": lake_stored_dml,
     "lake_stored_upkeep": lake_stored_upkeep,

@@ -120,7 +120,7 @@ def append_lake(spark: SparkSession, rows: DataFrame, path: str, committed_at: s
 def update_lake(spark: SparkSession, path: str, predicate, assignments: dict, committed_at: str) -> int:
     log = spark.read.parquet(path)
     cid = next_commit_id(spark, path)
-    commit_lake(spark, changelog.update_rows(log, predicate, assignments, cid, committed_at), path)
+    commit_lake(spark, changelog.update_rows_by_day(log, predicate, assignments, cid, committed_at), path)
     return cid
 
 
