@@ -12,9 +12,10 @@ Equal sets are one node (a hash of the set) from the start, so a group of copies
 a band.  Sets that share a band form a bucket.  Buckets are not expanded into pairs: in a round,
 every member of a bucket is compared with the bucket's pivot only, and what is confirmed is
 joined into components.  Rounds with new pivots go on while they link much.  What is left, pairs
-in one bucket but in different components, is then compared whole: the members outside a
-bucket's largest component with all members of other components.  So no link between sets that
-share a band is lost, and a large group of near copies costs a few comparisons a member.
+in one bucket but in different components, is then compared whole: the members outside the
+largest component with all others, pair by pair in small buckets, in tiles of bit rows in large
+ones.  So no link between sets that share a band is lost, and a large group of near copies costs
+a few comparisons a member.
 
 The sets are needed only for members of buckets.  They are computed in a second pass over the
 texts, which a Bloom filter of fixed size keeps to the texts in question.
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelens.llm.common import LOWER, fresh, prepare, quoted, with_row_id, word_blocks
-from lakelens.llm.simhash import components
+from lakelens.llm.simhash import _forest, components
 from lakelens.session import work_path
 
 #: values in a band, and bands (half of them minima)
@@ -45,8 +46,12 @@ CACHE = 1 << 18
 BLOOM_BITS, BLOOM_EACH = 1 << 27, 16
 #: partners of a node compared by one task
 CHUNK = 256
-#: the rest is compared whole once it is at most so many pairs a bucket row
-REST = 2
+#: share of a round's comparisons that must be links for another round
+PRODUCTIVE = 0.1
+#: members of a bucket whose open pairs are listed; those of larger ones are compared in tiles
+SMALL = 64
+#: sets and shingles of a tile
+TILE, TILE_SHINGLES = 1024, 1 << 20
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
 SIGNATURE = "struct<n: bigint, node: bigint, bands: array<bigint>>"
@@ -289,8 +294,9 @@ def _outsiders(members: DataFrame) -> DataFrame:
 
 
 def _rest_pairs(members: DataFrame, outside: DataFrame, percent: int) -> DataFrame:
-    """(p, x): the members outside their bucket's largest component with all members of other components."""
-    minor = (members.join(outside.select("key", "major"), "key").filter(F.col("label") != F.col("major"))
+    """(p, x): in buckets of ``SMALL`` members or fewer, those outside the largest component with all of others."""
+    small = outside.filter(F.col("total") <= SMALL).select("key", "major")
+    minor = (members.join(small, "key").filter(F.col("label") != F.col("major"))
              .select("key", "major", F.col("node").alias("p"), F.col("n").alias("m"), F.col("label").alias("other")))
     met = members.join(minor, "key").filter(F.col("label") != F.col("other")).filter(_near(percent))
     # two outsiders meet once
@@ -298,29 +304,142 @@ def _rest_pairs(members: DataFrame, outside: DataFrame, percent: int) -> DataFra
     return once.select("p", F.col("node").alias("x")).distinct()
 
 
-def links(rows: DataFrame, sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
+def _clusters(members: DataFrame, outside: DataFrame) -> DataFrame:
+    """(cluster, node, n, outsider): members of larger buckets; buckets that share a member are one cluster.
+
+    An outsider is not in the component that most of its cluster is in.
+    """
+    held = members.join(outside.filter(F.col("total") > SMALL).select("key"), "key").select("key", "node", "n", "label")
+    low = held.groupBy("key").agg(F.min("node").alias("u"))
+    edges = held.join(low, "key").filter("u < node").select("u", F.col("node").alias("v")).distinct()
+    nodes = held.select("node", "n", "label").distinct().join(components(edges), "node", "left").select(
+        F.coalesce("root", "node").alias("cluster"), "node", "n", "label")
+    major = (nodes.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("cluster")
+             .agg(F.max(F.struct("c", "label")).alias("top")).select("cluster", F.col("top.label").alias("major")))
+    return nodes.join(major, "cluster").select("cluster", "node", "n", (F.col("label") != F.col("major")).alias("outsider"))
+
+
+def _tiles(clusters: DataFrame, percent: int) -> DataFrame:
+    """(cluster, a, b, outsider side or not, node): outsiders and all members of a cluster, dealt to pairs of tiles.
+
+    A cluster is cut by size of the sets, in steps by which the similarity falls below the
+    threshold, so that only neighbouring steps can hold a link; a step is cut further into tiles
+    of about ``TILE`` sets and ``TILE_SHINGLES`` shingles.  Outsider tiles are ``a``, tiles of all
+    members ``b``.
+    """
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
+    rows = clusters.withColumn("step", step).checkpoint()
+
+    def cut(part: DataFrame, name: str) -> DataFrame:
+        n = F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") / TILE_SHINGLES)).cast("int")
+        return (part.groupBy("cluster", "step").agg(n.alias("t")).groupBy("cluster")
+                .agg(F.map_from_entries(F.collect_list(F.struct("step", "t"))).alias(name)))  # an entry a step
+
+    rows = rows.join(cut(rows, "all_tiles").join(cut(rows.filter("outsider"), "out_tiles"), "cluster"), "cluster")
+
+    def dealt(part: DataFrame, own: str, other: str, first: bool) -> DataFrame:
+        def number(at: Column, salt: Column) -> Column:
+            return at.cast("long") * (1 << 32) + salt.cast("long")
+        mine = number(F.col("step"), F.pmod(F.xxhash64("node"), F.col(own)[F.col("step")]))
+        met = F.flatten(F.transform(
+            F.filter(F.map_keys(other), lambda s: F.abs(s - F.col("step")) <= 1),
+            lambda s: F.transform(F.sequence(F.lit(0), F.col(other)[s] - 1), lambda k: number(s, k))))
+        return part.select("cluster", "node", F.lit(first).alias("first"), mine.alias("own"), F.explode(met).alias("met")).select(
+            "cluster", F.col("own" if first else "met").alias("a"), F.col("met" if first else "own").alias("b"), "first", "node")
+
+    return dealt(rows.filter("outsider"), "out_tiles", "all_tiles", True).unionByName(
+        dealt(rows, "all_tiles", "out_tiles", False))
+
+
+def tile_links(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]],
+               percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two lists of (node, set), thinned to a spanning forest of them.
+
+    Sets become bit rows over the shingles that both lists have; an intersection is a bit count.
+    """
+    def flat(rows):
+        return np.concatenate([s for _, s in rows]), np.repeat(np.arange(len(rows)), [len(s) for _, s in rows])
+
+    (lv, li), (rv, ri) = flat(left), flat(right)
+    shared = np.intersect1d(lv, rv)
+    if not len(shared):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def bits(values, rows, n):
+        at = np.searchsorted(shared, values)
+        held = shared[np.minimum(at, len(shared) - 1)] == values
+        at, rows = at[held], rows[held]
+        table = np.zeros((n, -(-len(shared) // 64)), np.uint64)
+        np.add.at(table, (rows, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))  # each bit once
+        return table
+
+    a, b = bits(lv, li, len(left)), bits(rv, ri, len(right))
+    names_a, names_b = (np.array([n for n, _ in rows], np.int64) for rows in (left, right))
+    sizes_a, sizes_b = (np.array([len(s) for _, s in rows]) for rows in (left, right))
+    us, vs = [], []
+    for i in range(len(left)):
+        common = np.bitwise_count(a[i] & b).sum(axis=1, dtype=np.int64)
+        near = (100 * common >= percent * (sizes_a[i] + sizes_b - common)) & (names_b != names_a[i])
+        hit = np.nonzero(near)[0]
+        us.append(np.full(len(hit), i))
+        vs.append(hit)
+    return _forest(names_a, names_b, np.concatenate(us), np.concatenate(vs))
+
+
+def _compare_tiles(percent: int):
+    """Map function over rows sorted by (cluster, a, b): the links of every pair of tiles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sides = None, ([], [])
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if sides[0] and sides[1]:
+                u, v = tile_links(*sides, percent)
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("cluster", "a", "b", "first", "node", "members")]
+            for cluster, a, b, first, node, members in zip(*columns, strict=True):
+                if key != (cluster, a, b):
+                    yield from found()
+                    key, sides = (cluster, a, b), ([], [])
+                sides[0 if first else 1].append((node, np.frombuffer(members, np.uint64)))
+        yield from found()
+    return run
+
+
+def _rest_links(members: DataFrame, outside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) of what the pivots left open: pairs in one bucket but in different components."""
+    dealt = _tiles(_clusters(members, outside), percent).join(sets, "node")
+    tiles = (dealt.repartition("cluster", "a", "b").sortWithinPartitions("cluster", "a", "b")
+             .mapInArrow(_compare_tiles(percent), "u long, v long"))
+    return confirmed(_rest_pairs(members, outside, percent), sets, percent).unionByName(tiles.filter("u < v"))
+
+
+def links(sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
     """(node, root): components of all similar pairs that share a band, for the linked nodes."""
-    spark = rows.sparkSession
-    size = buckets.count()
+    spark = buckets.sparkSession
     found = spark.createDataFrame([], "u long, v long")
     roots = spark.createDataFrame([], "node long, root long")
-    turn = 0
+    turn, productive = 0, True
     while True:
         members = buckets.join(roots, "node", "left").select(
             "key", "node", "n", F.coalesce("root", "node").alias("label")).checkpoint()
         outside = _outsiders(members).checkpoint()
-        left = outside.agg(F.coalesce(F.sum(F.col("total") * F.col("others")), F.lit(0))).first()[0]
-        if not left:
+        if outside.isEmpty():
             return roots
-        last = left <= REST * size or turn > 0 and not new
-        pairs = _rest_pairs(members, outside, percent) if last else _pivot_pairs(members, turn, percent)
-        more = _written(confirmed(pairs, sets, percent), "minmax-links")
+        if productive:
+            pairs = _pivot_pairs(members, turn, percent).checkpoint()
+            more = _written(confirmed(pairs, sets, percent), "minmax-links")
+        else:
+            more = _written(_rest_links(members, outside, sets, percent), "minmax-links")
         new = more.count()
         found = found.unionByName(more)
         if new:
             roots = components(found.distinct())
-        if last:
+        if not productive:
             return roots
+        productive = new > PRODUCTIVE * pairs.count()
         turn += 1
 
 
@@ -334,7 +453,7 @@ def _tagged(docs: DataFrame, columns: list[Column], text_col: str, shingle: int,
     signed = _written(docs.select(*columns, values).select("*", "_signature.*").drop("_signature"), "minmax-rows")
     buckets = _buckets(signed)
     sets = shingle_sets(docs, text_col, buckets.select("node").distinct(), shingle)
-    return signed.drop("bands"), links(signed, sets, buckets, percent)
+    return signed.drop("bands"), links(sets, buckets, percent)
 
 
 def minmax_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,

@@ -216,16 +216,70 @@ def test_large_group_of_near_copies(spark):
     assert got_classes(df) == classes(rows)
 
 
-def test_rest_is_compared_whole(spark):
-    """Links that no pivot sees: a bucket's members outside the largest component meet all others."""
+def test_rest_is_compared_whole(spark, monkeypatch):
+    """Links that no pivot sees: a small bucket's members outside the largest component meet all others."""
     rows = spark.createDataFrame([(1, i, 10, i // 2 if i > 3 else 0) for i in range(12)],
                                  "key long, node long, n long, label long")
     outside = minmax._outsiders(rows)
     assert outside.first().asDict() == {"key": 1, "total": 12, "major": 0, "others": 8}
     got = {frozenset(r) for r in minmax._rest_pairs(rows, outside, 80).collect()}
     label = {r.node: r.label for r in rows.collect()}
-    assert got == {frozenset((a, b)) for a in label for b in label if label[a] != label[b]}
-    assert len(got) == minmax._rest_pairs(rows, outside, 80).count()
+    want = {frozenset((a, b)) for a in label for b in label if label[a] != label[b]}
+    assert got == want and len(got) == minmax._rest_pairs(rows, outside, 80).count()
+    # the same in tiles: every pair with an outsider meets in some pair of tiles
+    monkeypatch.setattr(minmax, "SMALL", 2)
+    monkeypatch.setattr(minmax, "TILE", 3)
+    assert minmax._rest_pairs(rows, outside, 80).count() == 0
+    tiles = {}
+    for r in minmax._tiles(minmax._clusters(rows, outside), 80).collect():
+        tiles.setdefault((r.cluster, r.a, r.b), ([], []))[0 if r.first else 1].append(r.node)
+    met = {frozenset((a, b)) for one, two in tiles.values() for a in one for b in two if a != b}
+    assert met >= want and max(len(x) for t in tiles.values() for x in t) <= 8
+
+
+def test_tiles_by_size_hold_every_similar_pair(spark, monkeypatch):
+    monkeypatch.setattr(minmax, "TILE", 20)
+    rng = random.Random(3)
+    sizes = [rng.randrange(1, 400) for _ in range(150)]
+    rows = spark.createDataFrame([(7, i, n, i % 3 == 0) for i, n in enumerate(sizes)],
+                                 "cluster long, node long, n long, outsider boolean")
+    tiles = {}
+    for r in minmax._tiles(rows, 80).collect():
+        tiles.setdefault((r.a, r.b), ([], []))[0 if r.first else 1].append(r.node)
+    met = {(a, b) for one, two in tiles.values() for a in one for b in two}
+    for a in range(0, 150, 3):
+        for b in range(150):
+            if 100 * min(sizes[a], sizes[b]) >= 80 * max(sizes[a], sizes[b]):
+                assert (a, b) in met
+
+
+def test_tile_links_are_exact():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 64, 90, dtype=np.uint64)
+    sets = []
+    for i in range(60):
+        own = base.copy()
+        k = int(rng.integers(0, 16))
+        own[rng.choice(90, k, replace=False)] = rng.integers(0, 1 << 64, k, dtype=np.uint64)
+        sets.append((i, np.unique(own)))
+    sets.append((60, np.unique(rng.integers(0, 1 << 64, 40, dtype=np.uint64))))
+
+    def roots(pairs):
+        low = list(range(61))
+
+        def find(i):
+            while low[i] != i:
+                i = low[i]
+            return i
+        for a, b in pairs:
+            low[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(i) for i in range(61)]
+    left, right = sets[:20], sets
+    want = [(a, b) for a, x in left for b, y in right if a != b
+            and 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))]
+    got = list(zip(*map(np.ndarray.tolist, minmax.tile_links(left, right, 80)), strict=True))
+    assert roots(got) == roots(want) and len(set(roots(want))) > 2
+    assert minmax.tile_links([sets[60]], sets[:5], 80)[0].tolist() == []
 
 
 def test_near_duplicates_edge_cases(spark, odd, none):  # noqa: F811
