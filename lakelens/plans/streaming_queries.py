@@ -15,9 +15,9 @@ from lakelens.config import JobConfig
 from lakelens.functions import binary
 from lakelens.operators import processed
 from lakelens.plans import oracle
-from lakelens.schemas import IMAGE_METADATA_FIELDS, PROCESSED_FIELDS
+from lakelens.schemas import IMAGE_METADATA_FIELDS, PROCESSED_FIELDS, PROCESSED_ROW
 from lakelens.session import pin_utc, work_path
-from lakelens.sinks import datasource
+from lakelens.sinks import datasource, keyed
 from lakelens.sinks import objects as object_sinks
 from lakelens.sinks import topics as topic_sinks
 from lakelens.sources import fixtures as fx
@@ -131,6 +131,24 @@ def stream_processed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasource.committed(spark, cfg.lake_table)
 
 
+def keyed_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows -> keyed table in four batches with a merge on the way, the second batch sent twice."""
+    pin_utc(spark)
+    base = work_path(spark, "keyed")
+    t = processed.transform(fx.event_envelopes(spark, sf_dir), F.lit(fx.PROCESSED_CLOCK).cast("timestamp_ntz"))
+    rows = processed.processed_rows(t, keep_arrival=True)
+    # batches in arrival order, so that the first stored row of a key is the first of all
+    edges = rows.select(F.percentile_approx(F.col("kafka_timestamp").cast("timestamp"), [0.25, 0.5, 0.75])).first()[0]
+    edges = [F.lit(e.isoformat(" ")).cast("timestamp_ntz") for e in edges]
+    at = F.col("kafka_timestamp")
+    part = F.when(at <= edges[0], 0).when(at <= edges[1], 1).when(at <= edges[2], 2).otherwise(3)
+    for n in (0, 1, 1, 2, 3):
+        keyed.insert_first_wins(spark, rows.where(part == n), base, PROCESSED_ROW, processed.ARRIVAL_ORDER)
+        if n == 2:
+            keyed.merge(spark, base, PROCESSED_ROW)
+    return keyed.read(spark, base, PROCESSED_ROW)
+
+
 def stream_dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First record of every hash, remembered in the state store over a restart on the same checkpoint.
 
@@ -213,6 +231,7 @@ QUERIES = {
     "stream_restart_processed": stream_restart_processed,
     "processed_append_source": processed_append_source,
     "stream_processed_source": stream_processed_source,
+    "keyed_inserts": keyed_inserts,
     "stream_dedup_state": stream_dedup_state,
     "object_store_two_writers": object_store_two_writers,
     "producer_offsets": producer_offsets,
@@ -239,6 +258,7 @@ FROM firsts""",
         "stream_processed_keyed": sql["processed_upsert"],
         "processed_append_source": sql["processed_append"],
         "stream_processed_source": sql["processed_append"],
+        "keyed_inserts": sql["processed_upsert"],
         "stream_dedup_state": sql["processed_upsert"],
         "stream_processed_topic": events + """
 SELECT msg_hash AS key,

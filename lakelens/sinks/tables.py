@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from lakelens.operators import changelog, metadata
 from lakelens.operators.ids import assign_serial_ids
-from lakelens.operators.joins import anti_join_keys
 from lakelens.schemas import LAKE_LOG_FIELDS, PARTITION_COLUMN
 from lakelens.session import file_system
+from lakelens.sinks import keyed
 from lakelens.sinks.batches import BatchRef, markers, reserve_ids
 
 
@@ -73,11 +73,8 @@ def insert_first_wins(spark: SparkSession, batch: DataFrame, path: str, schema:
 def upsert_first_wins(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType,
                       order_cols: list[str], key: str = "file_hash") -> None:
     """Keyed table without serial ids (``ON CONFLICT (key) DO NOTHING``): the first row per key in
-    the stated order is appended unless the key is already stored."""
-    existing = read_or_empty(spark, path, schema)
-    first = metadata.first_wins(rows, key, order_cols)
-    fresh = anti_join_keys(first, existing, key, probe=True).select(*schema.fieldNames())
-    fresh.write.mode("append").parquet(path)
+    the stated order is appended unless the key is already stored (``sinks.keyed``)."""
+    keyed.insert_first_wins(spark, rows, path, schema, order_cols, key)
 
 
 def append_batch(rows: DataFrame, path: str, batch: BatchRef | int, partition_by: list[str] | None = None,

@@ -192,3 +192,221 @@ def test_stored_table_reads_and_deletes_prune_days(spark, scratch):
     assert re.search(r"PartitionFilters: \[[^\]]*uploaded_day[^\]]*< 2024-01-05", gone._jdf.queryExecution().executedPlan().toString())
     files = [p for p in pathlib.Path(path).rglob("*.parquet")]
     assert len(files) <= 2 * len({p.parent for p in files})  # a commit does not write a file per task and day
+
+
+# ---------------------------------------------------------------- stored table: DML, footers, generations
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_update_reads_whole_rows_of_hit_days_only(spark, log, scratch):
+    path, cols = f"{scratch}/images", LAKE_FIELDS + ["uploaded_day", "commit_id", "committed_at", "op"]
+    tables.commit_lake(spark, log, path)
+    stored = spark.read.parquet(path)
+    day = F.lit("2024-01-11").cast("date")
+    predicate = (F.col("mime_type") == "image/png") & (F.to_date("uploaded_at") == day)
+    assign = {"file_size": F.col("file_size") + 1, "uploaded_at": F.col("uploaded_at") + F.expr("INTERVAL 1 DAY")}
+    want = changelog.update_rows(stored, predicate, assign, 300, "2024-02-04 00:00:00")
+    got = changelog.update_rows_by_day(stored, predicate, assign, 300, "2024-02-04 00:00:00")
+    assert _rows(got, cols) == _rows(want, cols) and got.count() > 0
+    plan = _plan(got)
+    assert re.search(r"PartitionFilters: \[[^\]]*uploaded_day[^\]]*2024-01-11", plan), plan
+    narrow = _plan(changelog.matching_versions(stored, F.col("mime_type") == "image/png"))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", narrow)
+    assert schemas and all({c.split(":")[0] for c in x.split(",")} <= {"id", "commit_id", "op", "mime_type"} for x in schemas), narrow
+    # no hit, and hits only among superseded versions
+    none = changelog.update_rows_by_day(stored, F.col("mime_type") == "nothing", assign, 301, "2024-02-04 00:00:00")
+    assert none.count() == 0
+    old = changelog.update_rows_by_day(stored, F.col("mime_type") == "image/jpg", assign, 301, "2024-02-04 00:00:00")
+    assert old.count() == 0
+
+
+def test_matching_versions_takes_the_newest(spark, log):
+    predicate = F.col("file_size") % 3 == 0
+    want = changelog.current_state(log).where(predicate)
+    got = changelog.matching_versions(log, predicate)
+    assert _rows(got, ("id", "commit_id")) == _rows(want, ("id", "commit_id"))
+
+
+def test_footer_listing_equals_scan(spark, log, scratch):
+    from lakelens.sources import footers
+    path = f"{scratch}/images"
+    odd = log.limit(1).withColumn("uploaded_at", F.lit(None).cast("timestamp_ntz")).withColumn("uploaded_day", F.lit(None).cast("date"))
+    tables.commit_lake(spark, log.unionByName(odd), path, max_records_per_file=50)
+    listing = footers.file_listing(spark, path)
+    plan = _plan(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    assert "content" not in plan
+    rows = {"/".join(r.file_path.split("/")[-2:]): r for r in listing.collect()}
+    scan = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("id_low"), F.max("id").alias("id_high"),
+        F.min("uploaded_at").alias("at_low"), F.max("op").alias("op_high"), F.first("uploaded_day").alias("day")).collect()
+    assert len(scan) == len(rows) > 30
+    for s in scan:
+        r = rows["/".join(s.f.split("/")[-2:])]
+        assert (r.record_count, r.file_size_in_bytes) == (s.n, s["size"])
+        assert (int(r.lower_bounds["id"]), int(r.upper_bounds["id"]), r.upper_bounds["op"]) == (s.id_low, s.id_high, s.op_high)
+        assert r.partition == {"uploaded_day": None if s.day is None else s.day.isoformat()}
+        assert r.null_counts["width"] == s.n and "width" not in r.lower_bounds
+        assert r.lower_bounds.get("uploaded_at") == (None if s.at_low is None else s.at_low.isoformat(" "))
+    empty = f"{scratch}/none"
+    pathlib.Path(empty).mkdir()
+    assert footers.file_listing(spark, empty).count() == 0
+
+
+def _files_by_day(path):
+    out = {}
+    for f in pathlib.Path(path).rglob("*.parquet"):
+        out.setdefault(f.parent.name, set()).add(str(f))
+    return out
+
+
+@pytest.fixture()
+def by_generation(spark, log, scratch):
+    from lakelens.sinks import generations
+    path = f"{scratch}/gens"
+    generations.commit(spark, log.where("commit_id < 101"), path)
+    generations.commit(spark, log.where("commit_id >= 101"), path)
+    return path
+
+
+def test_rewrite_touches_the_chosen_days_only(spark, log, by_generation):
+    from lakelens.sinks import generations
+    path, cols = by_generation, LAKE_FIELDS + ["uploaded_day", "commit_id", "committed_at", "op"]
+    assert _rows(generations.read(spark, path), cols) == _rows(log, cols)
+    before = _files_by_day(path)
+    days = generations.choose_days(spark, path, stale_share=0.0, spare_files=1000)
+    stale = {r[0] for r in log.where("op <> 'append'").select("uploaded_day").distinct().collect()}
+    assert set(days) == stale
+    chosen = sorted(days)[:5]
+    n = generations.rewrite_days(spark, path, chosen)
+    assert n == 1 and _rows(generations.read(spark, path), cols) == _rows(log, cols)
+    generations.vacuum(spark, path)
+    after = _files_by_day(path)
+    rewritten = {f"uploaded_day={d}" for d in chosen}
+    for day, files in before.items():
+        assert (after[day] & files == set() and all("gen=1" in f for f in after[day])) if day in rewritten else after[day] == files
+    assert _rows(generations.read(spark, path), cols) == _rows(log, cols)
+    assert generations.rewrite_days(spark, path, []) == 0
+
+
+def test_rewrite_with_expiry_and_later_commits(spark, log, by_generation):
+    from lakelens.sinks import generations
+    path = by_generation
+    days = generations.choose_days(spark, path, stale_share=0.0, spare_files=1000)
+    generations.rewrite_days(spark, path, days, cutoff="2024-02-03 00:00:00")
+    left = generations.read(spark, path)
+    assert _rows(changelog.current_state(left)) == _rows(changelog.current_state(log)) and left.count() < log.count()
+    # a commit after the rewrite is seen, rewritten again, and the older generation goes
+    more = changelog.update_rows(left, F.col("mime_type") == "image/png", {"mime_type": F.lit("image/x")}, 400, "2024-03-01 00:00:00")
+    want = _rows(changelog.current_state(left.unionByName(more)))
+    generations.commit(spark, more, path)
+    assert _rows(changelog.current_state(generations.read(spark, path))) == want
+    assert generations.rewrite_days(spark, path, days) == 2
+    assert generations.vacuum(spark, path) > 0
+    assert _rows(changelog.current_state(generations.read(spark, path))) == want
+    assert not [f for files in _files_by_day(path).values() for f in files if "gen=1/" in f]
+
+
+def test_driver_lost_before_the_switch(spark, log, by_generation):
+    from datetime import datetime, timedelta, timezone
+
+    from lakelens.sinks import generations
+    path, cols = by_generation, LAKE_FIELDS + ["commit_id", "op"]
+    days = generations.choose_days(spark, path, stale_share=0.0, spare_files=1000)
+    assert generations.rewrite_days(spark, path, days, switch=False) == 1
+    assert _rows(generations.read(spark, path), cols) == _rows(log, cols)
+    generations.vacuum(spark, path)  # may be a rewrite that still runs
+    assert any("gen=1/" in f for files in _files_by_day(path).values() for f in files)
+    later = datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(hours=1)
+    generations.vacuum(spark, path, orphans_before=later)
+    assert not any("gen=1/" in f for files in _files_by_day(path).values() for f in files)
+    assert generations.rewrite_days(spark, path, days) == 2
+    assert _rows(generations.read(spark, path), cols) == _rows(log, cols)
+
+
+def test_second_of_two_rewrites_of_a_day_is_void(spark, log, by_generation):
+    from lakelens.sinks import generations
+    path, cols = by_generation, LAKE_FIELDS + ["commit_id", "op"]
+    day = sorted(r[0] for r in log.select("uploaded_day").distinct().collect())[0]
+    for _ in (1, 2):  # both start from generation 0
+        generations.rewrite_days(spark, path, [day], switch=False)
+    for n in (1, 2):
+        generations._write_text(spark, f"{path}/{generations.FOLDER}", f"{n:012d}.json", f'{{"{day}": [0, 102]}}')
+    assert generations.current(spark, path)[day.isoformat()].gen == 1
+    assert _rows(generations.read(spark, path), cols) == _rows(log, cols)
+
+
+# ---------------------------------------------------------------- keyed table
+
+def _keyed_rows(spark, ids, tag):
+    return spark.createDataFrame([(f"h{i}", f"{tag}{i}", i) for i in ids], "file_hash string, filename string, file_size long")
+
+
+def _keyed_schema(spark):
+    return _keyed_rows(spark, [], "").schema
+
+
+def test_probe_follows_the_batch(spark, scratch):
+    from lakelens.sinks import keyed
+    path, schema = f"{scratch}/t2", _keyed_schema(spark)
+    insert = lambda rows: keyed.insert_first_wins(spark, rows, path, schema, ["filename"], buckets=64)
+    assert insert(_keyed_rows(spark, range(3000), "a")) == 3000
+    assert insert(_keyed_rows(spark, range(2900, 3100), "b")) == 100
+    assert keyed.merge(spark, path, schema) == 2 and keyed.merge(spark, path, schema) == 0
+    assert insert(_keyed_rows(spark, range(10), "c")) == 0
+    few = _keyed_rows(spark, [5, 9999], "d")
+    mine = [r[0] for r in few.select(keyed.bucket_of("file_hash", 64)).distinct().collect()]
+    probe = keyed.probe(spark, path, schema, "file_hash", mine)
+    files = {f.rsplit("/", 2)[1] for f in probe.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}
+    assert files == {f"key_bucket={b}" for b in mine}
+    assert re.search(r"PartitionFilters: \[[^\]]*key_bucket", _plan(probe))
+    assert insert(few) == 1
+    got = keyed.read(spark, path, schema)
+    assert got.count() == 3101 == got.select("file_hash").distinct().count()
+    assert got.where("filename LIKE 'b%'").count() == 100 and got.where("filename LIKE 'd%'").count() == 1
+    assert spark.read.parquet(path).count() == 3101  # without the module as well
+
+
+def test_two_writers_insert_each_key_once(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from lakelens.sinks import keyed
+    path, schema = f"{scratch}/t2", _keyed_schema(spark)
+    batches = [(w, b) for b in range(3) for w in ("x", "y")]
+
+    def insert(job):
+        w, b = job
+        return keyed.insert_first_wins(spark, _keyed_rows(spark, range(b * 40, b * 40 + 60), w), path, schema, ["filename"])
+    with ThreadPoolExecutor(4) as pool:
+        added = sum(pool.map(insert, batches))
+    got = keyed.read(spark, path, schema)
+    assert added == 140 == got.count() == got.select("file_hash").distinct().count()
+
+
+def test_claim_of_a_dead_writer(spark, scratch):
+    from lakelens.sinks import keyed
+    from lakelens.sinks.batches import create_marker
+    path, schema = f"{scratch}/t2", _keyed_schema(spark)
+    dead = keyed._claim(spark, path)
+    assert keyed.insert_first_wins(spark, _keyed_rows(spark, range(5), "a"), path, schema, ["filename"], lease_seconds=0.5) == 5
+    with pytest.raises(keyed.ClaimLost):
+        create_marker(spark, f"{path}/{keyed.LOG}", f"{dead:012d}.done")
+        keyed._publish(spark, path, dead, f"{path}/_staging/none", 0)
+    assert keyed.insert_first_wins(spark, _keyed_rows(spark, range(7), "b"), path, schema, ["filename"]) == 2
+
+
+def test_merge_that_died_after_its_rename(spark, scratch):
+    import shutil
+
+    from lakelens.sinks import keyed
+    path, schema = f"{scratch}/t2", _keyed_schema(spark)
+    for n in (3, 6):
+        keyed.insert_first_wins(spark, _keyed_rows(spark, range(n), "a"), path, schema, ["filename"])
+    shutil.copytree(f"{path}/level=0", f"{scratch}/saved")
+    keyed.merge(spark, path, schema)
+    shutil.copytree(f"{scratch}/saved", f"{path}/level=0", dirs_exist_ok=True)  # the commits are still there
+    assert keyed.read(spark, path, schema).count() == 6
+    assert keyed.insert_first_wins(spark, _keyed_rows(spark, range(8), "b"), path, schema, ["filename"]) == 2
+    assert keyed.merge(spark, path, schema) == 1
+    assert keyed.read(spark, path, schema).count() == 8
