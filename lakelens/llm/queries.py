@@ -83,19 +83,23 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(docs, lm_scoring.fit(docs))
 
 
-def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule or reputation verdict of all pages.
+def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(page_id, doc_id, host, bad) of the pages whose document is labelled.
 
-    A page's outcome is the label of the document of equal id, as the SQL states it: bad if the
-    document is of low quality or toxic.  That is mostly not the document the page holds, whose
-    number stands in the page's url.
+    A page's document is the one whose number stands in the path of its url; it is bad if it is
+    of low quality or toxic.  A url without a number gives no outcome.
     """
+    known = labels.groupBy("doc_id").agg(F.max(F.greatest(1 - F.col("quality"), F.col("toxic"))).alias("bad"))
+    number = F.regexp_extract(url_filter.path_of("url"), r"/([0-9]+)(?:[/.]|$)", 1).try_cast("long")
+    held = pages.select("page_id", url_filter.host_of("url").alias("host"), number.alias("doc_id"))
+    return held.join(known.filter("bad is not null"), "doc_id").select("page_id", "doc_id", "host", "bad")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or reputation verdict of all pages, learned from the labels of the documents they hold."""
     pages = _table(spark, sf_dir, "pages")
-    labels = _table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(
-        F.max(F.greatest(1 - F.col("quality"), F.col("toxic"))).alias("bad"))
-    outcomes = (pages.select("page_id", url_filter.host_of("url").alias("host"))
-                .join(labels.filter("bad is not null"), "page_id").select("host", "bad"))
-    return url_filter.judge_urls(pages, outcomes)
+    outcomes = page_outcomes(pages, _table(spark, sf_dir, "labels"))
+    return url_filter.judge_urls(pages, outcomes.select("host", "bad"))
 
 
 def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +178,8 @@ FROM d LEFT JOIN marked USING (r) LEFT JOIN found USING (r)
 _TWO = ", ".join(f"'{s}'" for s in url_filter.TWO_LABEL_SUFFIXES)
 _OP10_SQL = f"""
 WITH u AS (
-  SELECT page_id, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  SELECT page_id, TRY_CAST(regexp_extract(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '/([0-9]+)(?:[/.]|$)', 1) AS BIGINT)
+           AS number, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                      'abcdefghijklmnopqrstuvwxyz'), '') AS host,
          coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
   FROM pages
@@ -187,9 +192,9 @@ WITH u AS (
 ), dom AS (
   SELECT host, suffix, array_to_string(CASE WHEN contains(suffix, '.') THEN l[-3:] ELSE l[-2:] END, '.') AS domain FROM sfx
 ), lab AS (
-  SELECT doc_id AS page_id, max(greatest(1 - quality, toxic)) AS bad FROM labels GROUP BY doc_id
+  SELECT doc_id AS number, max(greatest(1 - quality, toxic)) AS bad FROM labels GROUP BY doc_id
 ), h0 AS (
-  SELECT host, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM u JOIN lab USING (page_id) WHERE bad IS NOT NULL GROUP BY host
+  SELECT host, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM u JOIN lab USING (number) WHERE bad IS NOT NULL GROUP BY host
 ), h AS (SELECT * FROM h0 JOIN dom USING (host)),
 a AS (SELECT coalesce(sum(bad), 0) + 1.0 AS al, coalesce(sum(n), 0) - coalesce(sum(bad), 0) + 1.0 AS be FROM h),
 s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT al / (al + be) FROM a) AS m FROM h GROUP BY suffix),
