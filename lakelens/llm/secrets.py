@@ -5,7 +5,7 @@ keyboard walks and brute-force spans: a dynamic program over end positions keeps
 prefix, the least sum of log10 guesses of its segments.  Values that follow a credential
 word and cost at least ``MIN_LOG10_GUESSES`` are secrets; placeholders and plain words
 ("changeme", "qwerty12", "2024-01-01") cost little and are left alone.  The words are a list of
-placeholders and, by rank, the words that Spark finds frequent in the corpus outside such values.
+placeholders and, by rank, the words that Spark counts in the corpus outside such values.
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_MIN, ACCESS_MIN = 8, 16
 # --- fixed values: credential words whose values the guess-cost model judges
 CONTEXT = re.compile(r"""(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|credential|api[_-]?key"""
-                     r"""|access[_-]?key|private[_-]?key|auth)s?(?:[_-][a-z0-9]++){0,8}+["']?[\x20\t]*(?::|=>|=|\x20is\x20)[\x20\t]*"""
+                     r"""|access[_-]?key|private[_-]?key|authorization|auth)s?(?:[_-][a-z0-9]++){0,8}+["']?"""
+                     r"""(?:[\x20\t]*(?P<sign>:|=>|=|\x20is\x20)[\x20\t]*(?:(?:bearer|basic|token)\x20++)?+"""
+                     r"""|>(?=[^<>\s]{4,}+</))"""  # the text of an element
                      r"""(?:"([^"\r\n]{4,}+)"|'([^'\r\n]{4,}+)'|([^\s"'<>,;]{4,}+))""",
                      re.IGNORECASE | re.ASCII)
 # --- fixed values: keyboard rows, and common words and placeholders of credential values by rank
@@ -48,9 +50,9 @@ super guest temp dev prod staging local host database db""".split()
 MIN_LOG10_GUESSES = 9.0
 #: log10 guesses that one more segment costs
 SEGMENT_COST = 0.3
-#: a corpus word is common if it is at least this part of all words (so there are at most as many
-#: common words, of at most 32 letters or 128 bytes) and occurs at least so often
-COMMON_PART, COMMON_LEAST = 20_000, 3
+#: a corpus word is ranked if it occurs at least so often; the ranks are shipped to the workers, so
+#: there are at most ``COMMON_MOST`` words (of at most 128 bytes), those that occur most
+COMMON_LEAST, COMMON_MOST = 3, 1 << 18
 
 
 class Ranks(dict):
@@ -87,21 +89,35 @@ def _adjacent(a: str, b: str) -> bool:
     return p is not None and q is not None and p[0] == q[0] and abs(p[1] - q[1]) == 1
 
 
-def log10_guesses(value: str, words: Ranks = _RANK) -> float:
-    """Least log10 guesses over all segmentations of ``value``, in time and memory linear in its length."""
+def log10_guesses(value: str, words: Ranks = _RANK, least: float | None = None) -> float:
+    """Least log10 guesses over all segmentations of ``value``, in time and memory linear in its length.
+
+    With ``least`` the program ends once it is settled whether the result reaches it, and gives
+    a bound on the same side: every segmentation passes a position through one of the ends
+    offered from before it, so the least of those costs bounds the result from below, and the
+    cost offered for the value's end bounds it from above.
+    """
     n, low = len(value), value.translate(_ASCII_LOWER)
     plain = low.translate(_LEET)
     per_char = math.log10(_alphabet(value)) if value else 0.0
     best = array("d", [math.inf]) * (n + 1)
     best[0] = 0.0
+    far, check = 0, 16
 
     def offer(i: int, j: int, cost: float) -> None:
+        nonlocal far
         best[j] = min(best[j], best[i] + cost + SEGMENT_COST)
+        far = max(far, j)
 
     # where the pattern that holds at a position ends: by repeated unit, keyboard walk, run
     units = range(1, _LONGEST_UNIT + 1)
     same, walk, run = [-1] * (_LONGEST_UNIT + 1), -1, -1
     for i in range(n):
+        if least is not None and i >= check:
+            check = 2 * i
+            low_end = min(best[i:max(far, i) + 1])
+            if low_end >= least or best[n] < least:
+                return low_end if low_end >= least else best[n]
         best[i + 1] = min(best[i + 1], best[i] + per_char)  # brute force, a character at a time
         for j in range(i + 2, min(n, i + words.longest) + 1):  # words, some in capitals or with look-alike signs
             rank = words.get(low[i:j]) or words.get(plain[i:j])
@@ -143,10 +159,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def _prose(text: str, m: re.Match) -> bool:
-    """Whether a match ends a longer word (bypass, compass) and its value, not assigned by ``=``, is letters."""
-    at, group = m.start(), m.lastindex
+    """Whether a match reads as prose: its value is letters that no ``=`` assigns, and either the
+    credential word ends a longer one (bypass, compass) or a lower-case word follows ``is``."""
+    at, value = m.start(), m[m.lastindex]
+    if not value.isalpha() or "=" in text[at:m.start(m.lastindex)]:
+        return False
     inside = at > 0 and text[at - 1].isalpha() and not (text[at - 1].islower() and text[at].isupper())
-    return inside and m[group].isalpha() and "=" not in text[at:m.start(group)]
+    return inside or (value.islower() and (m["sign"] or "").strip().lower() == "is")
 
 
 def guess_spans(text: str, least: float = MIN_LOG10_GUESSES, words: Ranks = _RANK) -> list[tuple[str, int, int]]:
@@ -158,7 +177,7 @@ def guess_spans(text: str, least: float = MIN_LOG10_GUESSES, words: Ranks = _RAN
     while (m := CONTEXT.search(text, at)) is not None:
         group = m.lastindex
         at = m.start(group)
-        if not _prose(text, m) and log10_guesses(m[group], words) >= least:
+        if not _prose(text, m) and log10_guesses(m[group], words, least) >= least:
             at = m.end(group)
             out.append(("guess", m.start(group), at))
     return out
@@ -175,20 +194,27 @@ def _without_values(text: str | None) -> str | None:
         if not _prose(text, m):
             parts.append(text[end:at])
             end = max(end, m.end(group))
-            if log10_guesses(m[group]) >= MIN_LOG10_GUESSES:
+            if log10_guesses(m[group], least=MIN_LOG10_GUESSES) >= MIN_LOG10_GUESSES:
                 at = end
     return " ".join([*parts, text[end:]])
 
 
-def common_words(docs: DataFrame, text_col: str = "text") -> Ranks:
-    """Ranks of the words of ``docs`` that are common outside credential values, after the placeholders."""
+def common_words(docs: DataFrame, text_col: str = "text", most: int = COMMON_MOST) -> Ranks:
+    """Ranks of the words that ``docs`` holds ``COMMON_LEAST`` times or more outside credential
+    values, after the placeholders.
+
+    The corpus is counted once.  Were there more than ``most`` such words, those of the lower
+    counts are left out, so that the table that workers get stays small.
+    """
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([_without_values(t) for t in texts.to_pylist()], pa.string())
     counts = word_counts(docs.select(F.arrow_udf(run, "string")(text_col).alias("text")))
-    total = counts.agg(F.sum("n").alias("total"))
-    found = (counts.crossJoin(F.broadcast(total)).filter(F.col("n") * COMMON_PART >= F.col("total"))
-             .filter((F.col("n") >= COMMON_LEAST) & F.col("word").rlike(r"^\p{L}{4,32}$")).select("word", "n").collect())
-    return Ranks(w for _, w in sorted((-r["n"], r["word"]) for r in found))
+    counts = counts.filter((F.col("n") >= COMMON_LEAST) & F.col("word").rlike(r"^\p{L}{4,32}$")).checkpoint()
+    size = counts.count()
+    if size > most:
+        edge = counts.select(F.percentile_approx("n", 1 - most / size, 1 << 20)).first()[0]
+        counts = counts.filter(F.col("n") > edge)
+    return Ranks(w for _, w in sorted((-r["n"], r["word"]) for r in counts.collect()))
 
 
 def all_spans(text: str | None, least: float = MIN_LOG10_GUESSES, words: Ranks = _RANK) -> list[tuple[str, int, int]]:
@@ -252,7 +278,8 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", chars_col: str | None
                  least: float = MIN_LOG10_GUESSES, words: Ranks | None = None) -> DataFrame:
     """``docs`` with secrets in ``text_col`` replaced by ``[SECRET]`` and ``chars_col`` counted anew.
 
-    All rows and columns stay in place; texts without secrets are unchanged.
+    All rows and columns stay in place; texts without secrets, null and empty ones are unchanged.
+    An empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     ranks = words or common_words(docs, text_col)
