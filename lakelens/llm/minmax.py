@@ -309,7 +309,8 @@ def _clusters(members: DataFrame, outside: DataFrame) -> DataFrame:
 
     An outsider is not in the component that most of its cluster is in.
     """
-    held = members.join(outside.filter(F.col("total") > SMALL).select("key"), "key").select("key", "node", "n", "label")
+    held = members.join(outside.filter(F.col("total") > SMALL).select("key"), "key").select(
+        "key", "node", "n", "label").checkpoint()
     low = held.groupBy("key").agg(F.min("node").alias("u"))
     edges = held.join(low, "key").filter("u < node").select("u", F.col("node").alias("v")).distinct()
     nodes = held.select("node", "n", "label").distinct().join(components(edges), "node", "left").select(
