@@ -196,6 +196,59 @@ def vincenty_direct(src: str, name: str, iterations: int = 10) -> str:
     FROM ({rel}) e0) e1)"""
 
 
+def projected_buffers(src: str, name: str, radius_m: float) -> str:
+    """CTEs up to ``name``: the columns of ``src`` (lon1, lat1 and others) plus vertex, lon2, lat2 of each point's
+    circle of ``radius_m``, drawn in its UTM zone, or in the equal-area plane of a pole beyond 70 degrees."""
+    f = 1 / 298.257223563
+    n, e2 = f / (2 - f), f * (2 - f)
+
+    def d(x: float) -> str:  # a double, not a decimal
+        return f"{x:.17e}"
+
+    def series(terms: tuple[float, ...], start: str, part: str, sign: str = "+") -> str:
+        return start + "".join(f" {sign} {d(c)} * {part.replace('K', str(2 * j))}" for j, c in enumerate(terms, 1))
+    to_plane = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
+                61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280)
+    from_plane = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360, n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440,
+                  17 * n**3 / 480 - 37 * n**4 / 840, 4397 * n**4 / 161280)
+    to_lat = (2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45, 7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45,
+              56 * n**3 / 15 - 136 * n**4 / 35, 4279 * n**4 / 630)
+    authalic = (e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040, 23 * e2**2 / 360 + 251 * e2**3 / 3780, 761 * e2**3 / 45360)
+    e, a, r = d(e2 ** 0.5), d(6378137.0), d(6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64) * 0.9996)
+    q = f"({d(1 - e2)} * (s / (1 - {d(e2)} * s * s) + atanh({e} * s) / {e}))"
+    pole = f"(1 + {d(1 - e2)} / {e} * atanh({e}))"
+    return f"""
+plane AS (
+  SELECT *, abs(lat1) > 70 AS near_pole, CASE WHEN lat1 < 0 THEN -1e0 ELSE 1e0 END AS side,
+         CASE WHEN abs(lat1) <= 70 THEN least(floor((lon1 + 180e0) / 6e0), 59) * 6e0 - 177e0 WHEN lat1 > 0 THEN -40e0 ELSE 0e0 END AS m
+  FROM {src}),
+conformal AS (
+  SELECT *, radians(lon1 - m) AS lam, sin(radians(lat1)) * side AS s,
+         sinh(atanh(sin(radians(lat1))) - {e} * atanh({e} * sin(radians(lat1)))) AS t FROM plane),
+polar_parts AS (
+  SELECT *, {a} * sqrt(greatest({pole} - {q}, 0e0)) AS rho, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta
+  FROM conformal),
+centers AS (
+  SELECT *, CASE WHEN near_pole THEN rho * sin(lam) ELSE ({series(to_plane, 'eta', 'cos(K * xi) * sinh(K * eta)')}) * {r} END AS x,
+         CASE WHEN near_pole THEN -side * rho * cos(lam) ELSE ({series(to_plane, 'xi', 'sin(K * xi) * cosh(K * eta)')}) * {r} END AS y
+  FROM polar_parts),
+rim AS (
+  SELECT * EXCLUDE (x, y, xi, eta, lam), x + {d(radius_m)} * cos((k % 32) * {d(-0.19634954084936207)}) AS x,
+         y + {d(radius_m)} * sin((k % 32) * {d(-0.19634954084936207)}) AS y, k AS vertex
+  FROM (SELECT *, unnest(range(0, 33)) AS k FROM centers)),
+angles AS (
+  SELECT *, {series(from_plane, f'y / {r}', f'sin(K * y / {r}) * cosh(K * x / {r})', '-')} AS xi,
+         {series(from_plane, f'x / {r}', f'cos(K * y / {r}) * sinh(K * x / {r})', '-')} AS eta,
+         asin(greatest(least(({pole} - (x * x + y * y) / ({a} * {a})) / {pole}, 1e0), -1e0)) AS beta FROM rim),
+turned AS (
+  SELECT *, asin(sin(xi) / cosh(eta)) AS chi, CASE WHEN near_pole THEN atan2(x, -side * y) ELSE atan2(sinh(eta), cos(xi)) END AS lam
+  FROM angles),
+{name} AS (
+  SELECT *, (((m + degrees(lam) + 180e0) % 360e0) + 360e0) % 360e0 - 180e0 AS lon2,
+         CASE WHEN near_pole THEN side * degrees({series(authalic, 'beta', 'sin(K * beta)')})
+              ELSE degrees({series(to_lat, 'chi', 'sin(K * chi)')}) END AS lat2 FROM turned)"""
+
+
 def _authalic_sine(lat: str) -> str:
     """q of the authalic latitude of ``lat`` degrees."""
     e2 = f"({_F} * (2 - {_F}))"
@@ -464,6 +517,11 @@ SELECT region AS name,
        round(abs(sum(2 * atan2(tan(dl / 2) * (t + t2), 1 + t * t2))) * {_A} * {_A} * {_authalic_sine('90')} / 2 / 1000000, 2)
          AS area_sq_km
 FROM slices WHERE t2 IS NOT NULL GROUP BY region""",
+        "geo_buffer": _with(cust, "src AS (SELECT name, lon AS lon1, lat AS lat1 FROM loc)",
+                            projected_buffers("src", "circles", 10000.0)) + f"""
+SELECT name, 'POLYGON((' || string_agg({_fmt('x6')} || ' ' || {_fmt('y6')}, ',' ORDER BY vertex) || '))' AS buffer_10km
+FROM (SELECT *, CASE WHEN abs(lon2) < 5e-7 THEN 0e0 ELSE round(lon2, 6) END AS x6,
+             CASE WHEN abs(lat2) < 5e-7 THEN 0e0 ELSE round(lat2, 6) END AS y6 FROM circles) GROUP BY name""",
         "geo_buffer_vertices": _with(cust, corner_src, vincenty_direct("src", "corners")) + """
 SELECT name, vertex::INTEGER AS vertex, CASE WHEN abs(lon2) < 5e-7 THEN 0.0::DOUBLE ELSE round(lon2, 6) END AS longitude,
        CASE WHEN abs(lat2) < 5e-7 THEN 0.0::DOUBLE ELSE round(lat2, 6) END AS latitude

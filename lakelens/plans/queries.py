@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakelens.config import SNAPSHOT_RETENTION_DAYS
-from lakelens.functions import binary, geo
+from lakelens.functions import binary, geo, projection
 from lakelens.operators import changelog, ingest, metadata, processed, spatial
 from lakelens.schemas import LAKE_FIELDS, LAKE_LOG_FIELDS, PARTITION_COLUMN
 from lakelens.session import pin_utc
@@ -317,19 +317,26 @@ def geo_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.heatmap(fx.image_locations(spark, sf_dir), "location", GRID_SIZE)
 
 
+def _micro(value: Column) -> Column:
+    """A coordinate to six decimals (about 0.1 m), no negative zero."""
+    return F.when(F.abs(value) < 5e-7, 0.0).otherwise(F.round(value, 6))
+
+
 def geo_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of the 10 km buffers, drawn in each point's plane, coordinates to six decimals."""
     pts = fx.customer_locations(spark, sf_dir)
-    return pts.select("name", geo.polygon_text(geo.geodesic_buffer(F.col("location"), BUFFER_M)).alias("buffer_10km"))
+    ring = F.transform(projection.projected_buffer(F.col("location"), BUFFER_M), lambda v: F.struct(
+        _micro(v.getField("lon")).alias("lon"), _micro(v.getField("lat")).alias("lat")))
+    return pts.select("name", geo.polygon_text(ring).alias("buffer_10km"))
 
 
 def geo_buffer_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The buffer rings vertex by vertex, coordinates to six decimals (about 0.1 m)."""
+    """Rings at 10 km along geodesics vertex by vertex, coordinates to six decimals (about 0.1 m)."""
     pts = fx.customer_locations(spark, sf_dir)
     ring = pts.select("name", F.posexplode(geo.geodesic_buffer(F.col("location"), BUFFER_M)).alias("vertex", "point"))
 
     def coordinate(axis: str) -> Column:
-        value = F.col("point").getField(axis)
-        return F.when(F.abs(value) < 5e-7, 0.0).otherwise(F.round(value, 6))  # no negative zero
+        return _micro(F.col("point").getField(axis))
     return ring.select("name", "vertex", coordinate("lon").alias("longitude"), coordinate("lat").alias("latitude"))
 
 
