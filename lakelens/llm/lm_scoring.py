@@ -5,27 +5,37 @@ position weights * embeddings + b).  Its softmax has two levels, a token's class
 token within its class, so a probability costs two small softmaxes rather than one over the
 vocabulary.  A document's score is the sum of log P(token | both sides) over all its tokens.
 
-All statistics come from the whole corpus.  Spark counts every word; the most frequent ones
-become the vocabulary, the rest fall into buckets by length.  Training is data-parallel: each
-task runs minibatch Adagrad in numpy over all tokens of its partition from the same start
-values, and the tasks' parameters are averaged by their tokens in a reduction tree of Spark
-groups, so no task and no driver call gathers more than ``FAN_IN`` models at a time.
+All statistics come from the whole corpus.  Spark counts every word.  The most frequent ones
+are tokens of the network; any other word is the token of its length, and its probability is
+that of the token times the word's own share of the words of that length, from the counts of the
+whole corpus (a table of hashed counts that grows with the number of words, up to
+``RARE_BITS``).
+
+Training is data-parallel and does not depend on how the input is laid out.  Texts are encoded
+once and dealt by a hash of their content into groups of about ``GROUP_TOKENS`` tokens.  The
+groups are trained in rounds, each by minibatch Adagrad in numpy over all its tokens, from the
+average of the round before; a round's parameters are averaged by tokens in a reduction tree of
+Spark groups, so no task and no driver call gathers more than ``FAN_IN`` models at a time.
+More input gives more groups and rounds; every token is trained on once.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import LOWER, prepare, word_blocks
+from lakelens.llm.common import LOWER, prepare, quoted, word_blocks
+from lakelens.session import work_path
 
 #: classes, tokens in a class, length buckets for words outside the vocabulary
 CLASSES, CLASS_SIZE, BUCKETS = 32, 64, 16
@@ -37,6 +47,10 @@ BATCH, SCORE_BATCH, RATE = 4096, 16384, 0.1
 FAN_IN = 64
 #: distinct words a task counts before it hands them on
 COUNT_WORDS = 200_000
+#: tokens of a group of texts that one task trains on, and most rounds
+GROUP_TOKENS, ROUNDS = 1 << 20, 8
+#: most bits of a slot number in the table of rare words, and word shares kept by a worker
+RARE_BITS, CACHE = 20, 1 << 18
 
 OUTPUTS = CLASSES * CLASS_SIZE
 VOCABULARY = OUTPUTS - BUCKETS
@@ -73,6 +87,36 @@ def _restore(items: list[tuple[bytes, int]]) -> Words:
     return out
 
 
+def _slot(word: bytes, slots: int) -> int:
+    """A word's slot; words of each length have a range of their own, so that their shares sum to 1."""
+    each = slots // BUCKETS
+    return (min(len(word), BUCKETS) - 1) * each + (xxhash.xxh64_intdigest(word, 9) & (each - 1))
+
+
+class Rare(dict):
+    """Log share of a word among the rare words of its length; 0 for words of the vocabulary.
+
+    ``mean``: by slot, the mean count of the rare words in it; ``totals``: their sum by length.
+    """
+
+    def __init__(self, words: Words, mean: np.ndarray, totals: np.ndarray):
+        super().__init__()
+        self.words, self.mean, self.totals = words, mean, totals
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) >= CACHE:
+            self.clear()
+        value = 0.0
+        if word not in self.words:
+            n = max(float(self.mean[_slot(word, len(self.mean))]), 0.5)
+            value = min(0.0, float(np.log(n / (self.totals[min(len(word), BUCKETS) - 1] + 1))))
+        self[word] = value
+        return value
+
+    def __reduce__(self):
+        return Rare, (self.words, self.mean, self.totals)
+
+
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all texts; tasks count before the shuffle, ``COUNT_WORDS`` distinct words at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,12 +245,11 @@ def windows_at(ids: np.ndarray, at: int, size: int) -> np.ndarray:
     return near[:len(ids[at:at + size])]
 
 
-def _batches(texts: Iterator[str | None], words: Words, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _batches(parts: Iterator[np.ndarray], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Windows and targets of all tokens of all texts, ``size`` at a time."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     n = 0
-    for text in texts:
-        ids = words.ids(text)
+    for ids in parts:
         for at in range(0, len(ids), 1 << 18):
             part = ids[at:at + (1 << 18)]
             held.append((windows_at(ids, at, 1 << 18), part))
@@ -219,26 +262,33 @@ def _batches(texts: Iterator[str | None], words: Words, size: int) -> Iterator[t
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
+#: prefix of the names of squared-gradient sums among the parameters
+SUM = "sum:"
 _MODEL = "task long, name string, block int, tokens double, weights binary"
 #: parameters in one block of a model
 BLOCK = 1024
 
 
-def _trainer(words: Words, unigram: np.ndarray):
+def _trainer(state: dict[str, np.ndarray], rounds: int):
+    """Map function over encoded texts sorted by group: the parameters and squared-gradient sums that
+    each group's tokens lead to from ``state``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network.start(unigram)
-        sums = {k: np.full_like(v, 1e-8) for k, v in net.p.items()}
-        tokens = 0
-        texts = (t for batch in batches for t in batch.column(0).to_pylist())
-        for context, target in _batches(texts, words, BATCH):
-            net.train(context, target, sums)
-            tokens += len(target)
-        if tokens:
-            task = TaskContext.get().partitionId()
+        rows = ((g, ids) for batch in batches
+                for g, ids in zip(batch.column("grp").to_pylist(), batch.column("ids").to_pylist(), strict=True))
+        for group, members in groupby(rows, key=lambda r: r[0]):
+            net = Network({k: v.copy() for k, v in state.items() if not k.startswith(SUM)})
+            sums = {k: state[SUM + k].copy() for k in net.p}
+            tokens = 0
+            for context, target in _batches((np.frombuffer(ids, np.uint16).astype(np.int32) for _, ids in members), BATCH):
+                net.train(context, target, sums)
+                tokens += len(target)
+            if not tokens:
+                continue
+            made = net.p | {SUM + k: v for k, v in sums.items()}
             blocks = [(name, at // BLOCK, v.ravel()[at:at + BLOCK].astype(np.float32).tobytes())
-                      for name, v in net.p.items() for at in range(0, v.size, BLOCK)]
+                      for name, v in made.items() for at in range(0, v.size, BLOCK)]
             yield pa.RecordBatch.from_arrays([
-                pa.array([task] * len(blocks), pa.int64()), pa.array([b[0] for b in blocks]),
+                pa.array([group // rounds] * len(blocks), pa.int64()), pa.array([b[0] for b in blocks]),
                 pa.array([b[1] for b in blocks], pa.int32()), pa.array([float(tokens)] * len(blocks), pa.float64()),
                 pa.array([b[2] for b in blocks], pa.binary()),
             ], names=["task", "name", "block", "tokens", "weights"])
@@ -258,49 +308,101 @@ def _average(frame: pd.DataFrame) -> pd.DataFrame:
 @dataclass
 class Scorer:
     words: Words
+    rare: Rare
     net: Network
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> Scorer:
-    """Network trained on every token of every text of ``docs``.
+def _vocabulary(counts: DataFrame) -> tuple[Words, Rare, np.ndarray]:
+    """The network's words, the table of the others, and the corpus's count of each token.
 
-    The driver receives the vocabulary (``VOCABULARY`` words) with its counts and one set of
-    parameters.  Without any token the network keeps its start values.
+    The driver receives the ``VOCABULARY`` most frequent words at most (of words of the last count
+    all or none), 2 ** ``RARE_BITS`` hashed counts at most, and a sum a length.
     """
-    prepare(docs.sparkSession)
-    counts = word_counts(docs, text_col)
-    # one job over one shuffle: the most frequent words, and the corpus's words by length bucket
-    bucket = F.least(F.octet_length("word"), F.lit(BUCKETS))
-    common = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).select("word", bucket.alias("k"), "n")
-    totals = counts.groupBy(bucket.alias("k")).agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("word"), "k", "n")
-    found = common.unionByName(totals).collect()
-    words = Words([r["word"] for r in found if r["word"] is not None])
+    size, edge, common = counts.count(), 0, []
+    if size > VOCABULARY:
+        edge = counts.select(F.percentile_approx("n", 1 - VOCABULARY / size, 1 << 20)).first()[0]
+    common = sorted(((r["n"], r["word"]) for r in counts.filter(F.col("n") > edge).collect()), reverse=True)
+    if len(common) > VOCABULARY:  # the edge is approximate in very large corpora
+        edge = common[VOCABULARY][0]
+        common = [c for c in common if c[0] > edge]
+    words = Words([w for _, w in common])
     unigram = np.zeros(OUTPUTS)
-    for r in found:
-        other = VOCABULARY + r["k"] - 1
-        if r["word"] is None:
-            unigram[other] += r["n"]
-        else:
-            unigram[words[r["word"].encode("utf-8", "surrogatepass")]] = r["n"]
-            unigram[other] -= r["n"]
-    text = docs.select(text_col)
-    models, tasks = text.mapInArrow(_trainer(words, unigram), _MODEL), text.rdd.getNumPartitions()
-    while True:
-        grouped = models.withColumn("group", F.floor(F.col("task") / FAN_IN).cast("long"))
-        models = grouped.groupBy("name", "block", "group").applyInPandas(_average, _MODEL)
-        tasks = -(-tasks // FAN_IN)
-        if tasks <= 1:
-            break
+    for n, w in common:
+        unigram[words[w.encode("utf-8", "surrogatepass")]] = n
+    rare = counts.filter(F.col("n") <= edge)
+    totals = np.zeros(BUCKETS)
+    for r in rare.groupBy(F.least(F.octet_length("word"), F.lit(BUCKETS)).alias("k")).agg(F.sum("n").alias("n")).collect():
+        totals[r["k"] - 1] = r["n"]
+    unigram[VOCABULARY:] += totals
+    slots = 1 << 12
+    while slots < min(4 * (size - len(common)), 1 << RARE_BITS):
+        slots *= 2
+
+    def number(column: pa.Array) -> pa.Array:
+        return pa.array([_slot(w.encode("utf-8", "surrogatepass"), slots) for w in column.to_pylist()], pa.int64())
+    mean = np.zeros(slots, np.float32)
+    for slot, n in (rare.select(F.arrow_udf(number, "long")("word").alias("slot"), "n")
+                    .groupBy("slot").agg(F.avg("n").alias("n")).toLocalIterator()):
+        mean[slot] = n
+    return words, Rare(words, mean, totals), unigram
+
+
+def _encoded(docs: DataFrame, text_col: str, id_col: str | None, words: Words, groups: int, rounds: int) -> DataFrame:
+    """(grp, h, ids, round) of all texts, written by round; the group goes by content and id."""
+    def encode(texts: pa.Array) -> pa.Array:
+        return pa.array([words.ids(t).astype(np.uint16).tobytes() for t in texts.to_pylist()], pa.binary())
+    h = F.xxhash64(quoted(text_col), quoted(id_col)) if id_col else F.xxhash64(quoted(text_col))
+    group = F.pmod(h, F.lit(groups)).cast("long")
+    path = work_path(docs.sparkSession, "lm-encoded")
+    (docs.filter(quoted(text_col).isNotNull())
+     .select(group.alias("grp"), h.alias("h"), F.arrow_udf(encode, "binary")(quoted(text_col)).alias("ids"),
+             (group % rounds).cast("int").alias("round"))
+     .write.partitionBy("round").parquet(path))
+    return docs.sparkSession.read.schema("grp long, h long, ids binary, round int").parquet(path)
+
+
+def _train(encoded: DataFrame, state: dict[str, np.ndarray], groups: int, rounds: int) -> dict[str, np.ndarray]:
+    """Parameters and sums after all rounds."""
+    for turn in range(rounds):
+        part = (encoded.filter(F.col("round") == turn).select("grp", "h", "ids")
+                .repartition("grp").sortWithinPartitions("grp", "h"))
+        models, left = part.mapInArrow(_trainer(state, rounds), _MODEL), -(-groups // rounds)
+        while True:
+            grouped = models.withColumn("group", F.floor(F.col("task") / FAN_IN).cast("long"))
+            models = grouped.groupBy("name", "block", "group").applyInPandas(_average, _MODEL)
+            left = -(-left // FAN_IN)
+            if left <= 1:
+                break
+        state = {k: v.copy() for k, v in state.items()}
+        for r in models.collect():
+            values = np.frombuffer(r["weights"], np.float32)
+            state[r["name"]].reshape(-1)[r["block"] * BLOCK:r["block"] * BLOCK + len(values)] = values
+    return state
+
+
+def fit(docs: DataFrame, text_col: str = "text", id_col: str | None = "doc_id") -> Scorer:
+    """Network trained on every token of every text of ``docs``, and the shares of the rare words.
+
+    ``id_col`` (None: no such column) tells copies apart, so that a large group of them is spread
+    over the groups.  Without any token the network keeps its start values.
+    """
+    prepare(docs.sparkSession)
+    counts = word_counts(docs, text_col).checkpoint()
+    words, rare, unigram = _vocabulary(counts)
     net = Network.start(unigram)
-    for r in models.collect():
-        values = np.frombuffer(r["weights"], np.float32)
-        net.p[r["name"]].reshape(-1)[r["block"] * BLOCK:r["block"] * BLOCK + len(values)] = values
-    return Scorer(words, net)
+    tokens = int(unigram.sum())
+    if tokens:
+        groups = -(-tokens // GROUP_TOKENS)
+        rounds = min(ROUNDS, math.ceil(math.sqrt(groups)))
+        state = net.p | {SUM + k: np.full_like(v, 1e-8) for k, v in net.p.items()}
+        state = _train(_encoded(docs, text_col, id_col, words, groups, rounds), state, groups, rounds)
+        net = Network({k: state[k] for k in net.p})
+    return Scorer(words, rare, net)
 
 
 def score_column(text: str | Column, scorer: Scorer) -> Column:
     """Arrow function: struct of the number of tokens and the summed log-probability of each text."""
-    words, net = scorer.words, scorer.net
+    words, rare, net = scorer.words, scorer.rare, scorer.net
 
     def run(texts: pa.Array) -> pa.Array:
         values = texts.to_pylist()
@@ -318,7 +420,11 @@ def score_column(text: str | Column, scorer: Scorer) -> Column:
             held.clear()
         n = 0
         for i, value in enumerate(values):
-            ids = words.ids(value)
+            ids = []
+            for block in token_blocks(value):
+                ids.append(np.fromiter(map(words.__getitem__, block), np.int32, len(block)))
+                sums[i] += sum(map(rare.__getitem__, block))
+            ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             sizes[i] = len(ids)
             for at in range(0, len(ids), SCORE_BATCH):
                 part = ids[at:at + SCORE_BATCH]

@@ -666,6 +666,7 @@ def test_pseudo_likelihood(docs, odd, none):
             top, c = h @ net.p["to_class"] + net.p["class_bias"][0], t // lm_scoring.CLASS_SIZE
             low = h @ net.p["to_word"][c].reshape(lm_scoring.DIM, -1) + net.p["word_bias"][c]
             total += top[c] - np.log(np.exp(top).sum()) + low[t % lm_scoring.CLASS_SIZE] - np.log(np.exp(low).sum())
+        total += sum(scorer.rare[w] for block in lm_scoring.token_blocks(r["text"]) for w in block)
         assert got[r["doc_id"]]["n_tokens"] == len(ids)
         assert abs(got[r["doc_id"]]["log_prob"] - total) <= 1e-3 * max(1, abs(total))
     ids = words.ids(docs.first()["text"])
@@ -686,6 +687,31 @@ def test_training_beats_unigrams_on_held_out(many):
     assert both[0] > 0.95 * both[1]
 
 
+def test_training_does_not_depend_on_the_layout(docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "GROUP_TOKENS", 8000)  # several groups and rounds
+    monkeypatch.setattr(lm_scoring, "FAN_IN", 2)
+    means = []
+    for parts in (1, 8, 64):
+        scorer = lm_scoring.fit(docs.repartition(parts, "doc_id"))
+        out = lm_scoring.score(docs, scorer).agg(F.sum("log_prob") / F.sum("n_tokens")).first()[0]
+        means.append(out)
+    assert max(means) - min(means) <= 1e-3 * abs(means[0]), means
+
+
+def test_rare_words_have_shares_of_their_own(spark):
+    known = [(f"a{i:04d}", 100 + i) for i in range(2100)]
+    singles = [(f"s{i:05d}", 1) for i in range(100)]
+    counts = spark.createDataFrame([*known, *singles, ("zzzzzz", 50), ("yyyyyy", 5)], "word string, n long").repartition(5)
+    words, rare, unigram = lm_scoring._vocabulary(counts)
+    assert abs(len(words) - lm_scoring.VOCABULARY) <= 2 and set(words) <= {w.encode() for w, _ in known}
+    assert {w for w, n in known if n > 175} <= {w.decode() for w in words}
+    assert unigram.sum() == sum(n for _, n in known) + 100 + 55
+    values = [rare[w] for w in (b"a2000", b"zzzzzz", b"yyyyyy", b"s00001", b"unseen")]
+    assert values[0] == 0 and values[1] > values[2] > values[3] >= values[4]
+    # shares of the words of one length sum to at most 1
+    assert 0.9 < sum(np.exp(rare[w.encode()]) for w, _ in [*singles, ("zzzzzz", 50), ("yyyyyy", 5)]) <= 1.001
+
+
 def test_windows_at():
     ids = np.arange(50, dtype=np.int32)
     whole = lm_scoring.windows(ids)
