@@ -132,15 +132,16 @@ def _log_ratio(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> np.ndarray:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic_col: str,
                     max_labelled: int) -> DataFrame:
-    """(id, text, toxic) of at most ``max_labelled`` labelled ids, of the least hash.
+    """(id, text, toxic) of at most ``max_labelled`` labelled ids, of the least hash, one row each.
 
-    Rows of a null label or id do not count; an id labelled both ways counts as toxic.
+    Rows of a null label or id do not count; an id labelled both ways counts as toxic.  Of several
+    rows of one id the least text is taken, so the bound holds for rows as well.
     """
     sample = (labels.filter(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("id")).agg(F.max(toxic_col).alias("toxic"))
               .orderBy(F.xxhash64("id"), "id").limit(max_labelled))
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(sample), "id").filter(F.col("text").isNotNull()))
+    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
+            .join(F.broadcast(sample), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -159,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([sorted(feature_counts(t).items()) for t in texts.to_pylist()],
                         pa.map_(pa.string(), pa.int32()))
-    counted = sample.select(F.xxhash64("id", "text").alias("row"), (F.col("toxic") > 0).alias("toxic"),
+    counted = sample.select(F.xxhash64("id").alias("row"), (F.col("toxic") > 0).alias("toxic"),
                             F.arrow_udf(run, "map<string, int>")("text").alias("f")).checkpoint()
     sizes = {r["toxic"]: r["n"] for r in counted.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_tox, n_ok = sizes.get(True, 0), sizes.get(False, 0)
@@ -182,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return pa.array([[v for f, n in m if f in number for v in (number[f], n)] for m in maps.to_pylist()],
                         pa.list_(pa.int32()))
     picked = counted.select("row", "toxic", F.arrow_udf(pick, "array<int>")("f").alias("cells"))
-    rows = picked.toPandas().drop_duplicates("row").sort_values("row")
+    rows = picked.toPandas().sort_values("row")  # one row a labelled id
     x = np.zeros((len(rows), len(names)), dtype=np.float32)
     for at, cells in enumerate(rows["cells"]):
         x[at, cells[0::2]] = np.log1p(cells[1::2])
@@ -224,6 +225,10 @@ def grade(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", cut: float = CUT) -> DataFrame:
-    """``docs`` without the rows of ``p_toxic`` >= ``cut``; all columns, no shuffle."""
+    """``docs`` without the rows of ``p_toxic`` >= ``cut``; all columns, no shuffle.
+
+    Null and empty texts stay unless the model calls a text without any feature toxic.  An
+    empty table gives an empty result.
+    """
     prepare(docs.sparkSession)
     return docs.filter(severity_column(text_col, model)["p_toxic"] < cut)
