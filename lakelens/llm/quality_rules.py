@@ -230,12 +230,14 @@ def fit_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """Rules learned from at most ``max_labelled`` labelled ids (those of the least hash).
 
     Rows that fail the base check are judged by it alone, so they teach nothing here.  Rows of
-    a null label or id do not count; an id labelled both ways counts as good.
+    a null label or id do not count; an id labelled both ways counts as good.  Of several rows of
+    one id the least text is taken, so at most ``max_labelled`` rows come to the driver.
     """
     sample = (labels.filter(F.col(quality_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("id")).agg(F.max(quality_col).alias("quality"))
               .orderBy(F.xxhash64("id"), "id").limit(max_labelled))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+            .groupBy("id").agg(F.min("text").alias("text"), F.max("quality").alias("quality")))
     counted = rows.select("id", "quality", counts_column("text").alias("c"))
     stats = statistics(F.col("c"))
     # the base check is applied to the sample's rows here: as a filter, Spark would push it, and
