@@ -14,11 +14,18 @@ from lakelens.schemas import PROCESSED_FIELDS, T2_LIMITS
 # Fields of the processed payload.
 PAYLOAD_FIELDS = ["filename", "file_hash", "file_size", "mime_type"]
 ARRIVAL_ORDER = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
+#: what ``transform`` computes for the payloads, the passed-through values and the table rows
+FOR_PAYLOADS = ("kind", "processed_at", *PAYLOAD_FIELDS)
+FOR_RAW = ("kind", "processed_at", "raw")
+FOR_ROWS = (*FOR_PAYLOADS, "hash_truthy", "size_unbound")
 
 
-def transform(envelopes: DataFrame, clock: Column | None = None) -> DataFrame:
+def transform(envelopes: DataFrame, clock: Column | None = None, fields: tuple[str, ...] | None = None) -> DataFrame:
     """Parse each record and build its processed payload.
 
+    ``fields`` names the computed columns that the caller reads (default: all): they come out of
+    a Generate, which column pruning does not cross.
+
     ``kind`` is ``object`` (payload fields set), ``other`` (a JSON value that is not an
     object; passed through as ``raw``) or ``invalid`` (not JSON: dead letter).
     ``clock`` is the processing time in UTC (default: now).
@@ -31,21 +38,23 @@ def transform(envelopes: DataFrame, clock: Column | None = None) -> DataFrame:
         F.col("key"), F.col("value"), F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"), "_v")
-    return select_once(keyed, ["key", "value", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp"], [
-        F.when(v.isNull(), F.lit("invalid")).when(obj, F.lit("object")).otherwise(F.lit("other")).alias("kind"),
-        timefmt.iso_utc(now).alias("processed_at"),
-        F.when(obj, jsonval.get_string(v, "filename")).alias("filename"),
-        F.when(obj, jsonval.get_string(v, "file_hash")).alias("file_hash"),
-        F.when(obj, jsonval.get_long(v, "file_size")).alias("file_size"),
-        F.when(obj, jsonval.get_string(v, "mime_type")).alias("mime_type"),
-        F.when(obj, jsonval.is_truthy(v, "file_hash")).otherwise(F.lit(False)).alias("hash_truthy"),
+    made = {
+        "kind": F.when(v.isNull(), F.lit("invalid")).when(obj, F.lit("object")).otherwise(F.lit("other")),
+        "processed_at": timefmt.iso_utc(now),
+        "filename": F.when(obj, jsonval.get_string(v, "filename")),
+        "file_hash": F.when(obj, jsonval.get_string(v, "file_hash")),
+        "file_size": F.when(obj, jsonval.get_long(v, "file_size")),
+        "mime_type": F.when(obj, jsonval.get_string(v, "mime_type")),
+        "hash_truthy": F.when(obj, jsonval.is_truthy(v, "file_hash")).otherwise(F.lit(False)),
         # a size that is there but does not bind to the tables' bigint column
-        (obj & jsonval.get_long(v, "file_size").isNull()
-         & ~F.coalesce(jsonval.field_text(v, "file_size"), F.lit("null")).isin("null")).alias("size_unbound"),
+        "size_unbound": (obj & jsonval.get_long(v, "file_size").isNull()
+                         & ~F.coalesce(jsonval.field_text(v, "file_size"), F.lit("null")).isin("null")),
         # the payload's values as they came, for the topic
-        *[F.when(obj, F.try_variant_get(v, f"$.{c}", "variant")).alias(f"_{c}") for c in PAYLOAD_FIELDS],
-        F.when(~obj, v).alias("raw"),
-    ])
+        **{f"_{c}": F.when(obj, F.try_variant_get(v, f"$.{c}", "variant")) for c in PAYLOAD_FIELDS},
+        "raw": F.when(~obj, v),
+    }
+    return select_once(keyed, ["key", "value", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp"],
+                       [c.alias(n) for n, c in made.items() if fields is None or n in fields])
 
 
 def payloads(transformed: DataFrame) -> DataFrame:

@@ -219,17 +219,17 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- processed stream
 
-def _transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _transformed(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = processed.FOR_ROWS) -> DataFrame:
     pin_utc(spark)
-    return processed.transform(fx.event_envelopes(spark, sf_dir), clock=_clock())
+    return processed.transform(fx.event_envelopes(spark, sf_dir), clock=_clock(), fields=fields)
 
 
 def processed_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return processed.payloads(_transformed(spark, sf_dir))
+    return processed.payloads(_transformed(spark, sf_dir, processed.FOR_PAYLOADS))
 
 
 def processed_raw_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return processed.raw_passthrough(_transformed(spark, sf_dir))
+    return processed.raw_passthrough(_transformed(spark, sf_dir, processed.FOR_RAW))
 
 
 def processed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,7 +114,7 @@ def processed_append_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event messages -> T3 through the append data source, one commit."""
     pin_utc(spark)
     base = work_path(spark, "append-source")
-    t = processed.transform(fx.event_envelopes(spark, sf_dir), F.lit(fx.PROCESSED_CLOCK).cast("timestamp_ntz"))
+    t = processed.transform(fx.event_envelopes(spark, sf_dir), F.lit(fx.PROCESSED_CLOCK).cast("timestamp_ntz"), processed.FOR_ROWS)
     datasource.append(processed.processed_rows(t), base)
     return datasource.committed(spark, base)
 
@@ -135,7 +135,7 @@ def keyed_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows -> keyed table in four batches with a merge on the way, the second batch sent twice."""
     pin_utc(spark)
     base = work_path(spark, "keyed")
-    t = processed.transform(fx.event_envelopes(spark, sf_dir), F.lit(fx.PROCESSED_CLOCK).cast("timestamp_ntz"))
+    t = processed.transform(fx.event_envelopes(spark, sf_dir), F.lit(fx.PROCESSED_CLOCK).cast("timestamp_ntz"), processed.FOR_ROWS)
     rows = processed.processed_rows(t, keep_arrival=True)
     # batches in arrival order, so that the first stored row of a key is the first of all
     edges = rows.select(F.percentile_approx(F.col("kafka_timestamp").cast("timestamp"), [0.25, 0.5, 0.75])).first()[0]

@@ -270,7 +270,7 @@ def start_deduped_append(spark: SparkSession, cfg: JobConfig, checkpoint: str, a
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.processor_starting_offsets, cfg.max_bytes_per_trigger,
                                              cfg.max_offsets_per_trigger, own.started)
-    rows = processed.processed_rows(processed.transform(stream, _clock_col(clock)), keep_arrival=True)
+    rows = processed.processed_rows(processed.transform(stream, _clock_col(clock), processed.FOR_ROWS), keep_arrival=True)
     firsts = dedup.first_seen(rows, "file_hash", processed.ARRIVAL_ORDER, remember)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -291,7 +291,7 @@ def start_source_append(spark: SparkSession, cfg: JobConfig, checkpoint: str, av
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.processor_starting_offsets, cfg.max_bytes_per_trigger,
                                              cfg.max_offsets_per_trigger, own.started)
-    rows = processed.processed_rows(processed.transform(stream, _clock_col(clock)))
+    rows = processed.processed_rows(processed.transform(stream, _clock_col(clock), processed.FOR_ROWS))
     writer = _named(rows.writeStream.format(datasource.AppendSource.name()).option("checkpointLocation", checkpoint)
                     .option("commit_id", own.id), name)
     writer = writer.trigger(availableNow=True) if available_now else \
