@@ -41,6 +41,7 @@ class Run:
 
     id: str
     started: str
+    checkpoint: str
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> Run:
@@ -50,11 +51,11 @@ def run_of(spark: SparkSession, checkpoint: str) -> Run:
         for status in fs.listStatus(root):
             found = re.fullmatch(r"(r[0-9a-f]{12})-(\d{8}T\d{6}\.\d{6})", status.getPath().getName())
             if found:
-                return Run(found[1], datetime.strptime(found[2], "%Y%m%dT%H%M%S.%f").isoformat(" "))
+                return Run(found[1], datetime.strptime(found[2], "%Y%m%dT%H%M%S.%f").isoformat(" "), checkpoint.rstrip("/"))
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     run = f"r{uuid.uuid4().hex[:12]}"
     create_marker(spark, f"{checkpoint.rstrip('/')}/_run", f"{run}-{now.strftime('%Y%m%dT%H%M%S.%f')}")
-    return Run(run, now.isoformat(" "))
+    return Run(run, now.isoformat(" "), checkpoint.rstrip("/"))
 
 
 def create_marker(spark: SparkSession, folder: str, name: str) -> bool:
@@ -75,6 +76,25 @@ def delete_marker(spark: SparkSession, folder: str, name: str) -> None:
     fs.delete(path, False)
 
 
+def write_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """A file that appears whole, by a rename."""
+    fs, draft = file_system(spark, f"{folder.rstrip('/')}/.{name}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, file_system(spark, f"{folder.rstrip('/')}/{name}")[1]):
+        raise RuntimeError(f"{folder}/{name} exists")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, at = file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def reserve_ids(spark: SparkSession, table: str, count: int, at_least: int = 0) -> int:
     """Reserve ``count`` serial ids of ``table``; the id before the first of them.
 

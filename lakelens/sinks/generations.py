@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from lakelens.operators import changelog
 from lakelens.schemas import LAKE_LOG_FIELDS, PARTITION_COLUMN
 from lakelens.session import file_system
-from lakelens.sinks.batches import create_marker, markers
+from lakelens.sinks.batches import create_marker, markers, read_text, write_text
 
 GEN, FOLDER = "gen", "_generations"
 #: bytes of a data file that a rewrite aims at
@@ -39,25 +39,6 @@ class Current:
     upto: int
 
 
-def _write_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
-    """A file that appears whole, by a rename."""
-    fs, draft = file_system(spark, f"{folder}/.{name}.draft")
-    out = fs.create(draft, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    if not fs.rename(draft, file_system(spark, f"{folder}/{name}")[1]):
-        raise RuntimeError(f"{folder}/{name} exists")
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, at = file_system(spark, path)
-    stream = fs.open(at)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-
-
 def _day_text(day: dt.date | None) -> str:
     return NO_DAY if day is None else day.isoformat()
 
@@ -68,7 +49,7 @@ def current(spark: SparkSession, path: str) -> dict[str, Current]:
     for name in markers(spark, f"{path}/{FOLDER}"):
         if not name.endswith(".json"):
             continue
-        for day, (base, upto) in json.loads(_read_text(spark, f"{path}/{FOLDER}/{name}")).items():
+        for day, (base, upto) in json.loads(read_text(spark, f"{path}/{FOLDER}/{name}")).items():
             if out.get(day, Current(0, 0)).gen == base:
                 out[day] = Current(int(name[:-5]), upto)
     return out
@@ -156,7 +137,7 @@ def rewrite_days(spark: SparkSession, path: str, days: list[dt.date | None], cut
      .sortWithinPartitions(PARTITION_COLUMN, "uploaded_at", changelog.KEY).drop("_pack")
      .write.mode("append").partitionBy(GEN, PARTITION_COLUMN).parquet(path))
     if switch:
-        _write_text(spark, f"{path}/{FOLDER}", f"{n:012d}.json",
+        write_text(spark, f"{path}/{FOLDER}", f"{n:012d}.json",
                     json.dumps({d: [before.get(d, Current(0, 0)).gen, mark] for d, mark in upto.items()}))
     return n
 

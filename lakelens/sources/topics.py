@@ -8,11 +8,15 @@ part of committed consumer-group offsets.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelens.config import MAX_FETCH_BYTES, MAX_OFFSETS_PER_TRIGGER, MAX_PARTITION_FETCH_BYTES
 from lakelens.schemas import ENVELOPE
+from lakelens.session import file_system
+from lakelens.sinks.batches import markers, read_text, write_text
 
 
 def topic_path(root: str, topic: str) -> str:
@@ -43,12 +47,12 @@ def read_topic(spark: SparkSession, topic: str, root: str | None = None,
 def read_topic_stream(spark: SparkSession, topic: str, root: str | None = None,
                       bootstrap_servers: str | None = None, starting_offsets: str = "earliest",
                       max_bytes_per_trigger: int = MAX_FETCH_BYTES, max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
-                      since: str | None = None) -> DataFrame:
+                      checkpoint: str | None = None) -> DataFrame:
     """Unbounded read in bounded micro-batches; ``starting_offsets`` is earliest or latest.
 
     Kafka applies the start to a fresh checkpoint and bounds a batch by records; records that
     the broker has dropped fail the query.  A file topic bounds a batch by bytes; its latest
-    start is files changed after ``since`` (UTC), the time the checkpoint was first used.
+    start is the end of each partition when ``checkpoint`` was first used (``ends_at_start``).
     """
     if starting_offsets not in ("earliest", "latest"):
         raise ValueError("starting_offsets must be 'earliest' or 'latest'")
@@ -65,7 +69,27 @@ def read_topic_stream(spark: SparkSession, topic: str, root: str | None = None,
     records = reader.json(topic_path(root, topic))
     if starting_offsets == "earliest":
         return records
-    if since is None:
-        raise ValueError("a file topic's latest start needs the time to start from")
-    changed = F.col("_metadata.file_modification_time")
-    return records.where(changed > F.lit(f"{since}+00:00").cast("timestamp"))
+    if checkpoint is None:
+        raise ValueError("a file topic's latest start needs the checkpoint that holds it")
+    ends = ends_at_start(spark, checkpoint, topic, root)
+    if not ends:
+        return records
+    known = F.create_map(*[F.lit(x) for p, end in sorted(ends.items()) for x in (p, end)])
+    return records.where(F.coalesce(F.col("offset") >= known[F.col("partition")], F.lit(True)))
+
+
+def ends_at_start(spark: SparkSession, checkpoint: str, topic: str, root: str) -> dict[int, int]:
+    """Next offset of each partition of a file topic when ``checkpoint`` was first used for it.
+
+    Counted once, over the partition and offset of the records there, and kept in the checkpoint:
+    records of lower offsets are old whenever their file is written, later ones are new.
+    """
+    folder, name = f"{checkpoint.rstrip('/')}/_starts", f"{topic}.json"
+    if name not in markers(spark, folder):
+        ends = {}
+        fs, path = file_system(spark, topic_path(root, topic))
+        if fs.exists(path):
+            held = read_topic(spark, topic, root).groupBy("partition").agg((F.max("offset") + 1).alias("end"))
+            ends = {r["partition"]: r["end"] for r in held.where("partition IS NOT NULL AND end IS NOT NULL").collect()}
+        write_text(spark, folder, name, json.dumps(ends))
+    return {int(p): int(end) for p, end in json.loads(read_text(spark, f"{folder}/{name}")).items()}

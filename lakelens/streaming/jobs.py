@@ -196,7 +196,7 @@ def start_consumer(spark: SparkSession, cfg: JobConfig, checkpoint: str, strict:
     own = run_of(spark, checkpoint)
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.starting_offsets, cfg.max_bytes_per_trigger,
-                                             cfg.max_offsets_per_trigger, own.started)
+                                             cfg.max_offsets_per_trigger, own.checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         _count("consumer", consume_batch(spark, batch, BatchRef("consumer", own.id, batch_id), cfg, strict, clock, decoder))
@@ -249,7 +249,7 @@ def start_processor(spark: SparkSession, cfg: JobConfig, checkpoint: str, availa
     own = run_of(spark, checkpoint)
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.processor_starting_offsets, cfg.max_bytes_per_trigger,
-                                             cfg.max_offsets_per_trigger, own.started)
+                                             cfg.max_offsets_per_trigger, own.checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         _count("processor", process_batch(spark, batch, BatchRef("processor", own.id, batch_id), cfg, clock, decoder))
@@ -269,7 +269,7 @@ def start_deduped_append(spark: SparkSession, cfg: JobConfig, checkpoint: str, a
     own = run_of(spark, checkpoint)
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.processor_starting_offsets, cfg.max_bytes_per_trigger,
-                                             cfg.max_offsets_per_trigger, own.started)
+                                             cfg.max_offsets_per_trigger, own.checkpoint)
     rows = processed.processed_rows(processed.transform(stream, _clock_col(clock), processed.FOR_ROWS), keep_arrival=True)
     firsts = dedup.first_seen(rows, "file_hash", processed.ARRIVAL_ORDER, remember)
 
@@ -290,7 +290,7 @@ def start_source_append(spark: SparkSession, cfg: JobConfig, checkpoint: str, av
     own = run_of(spark, checkpoint)
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              cfg.processor_starting_offsets, cfg.max_bytes_per_trigger,
-                                             cfg.max_offsets_per_trigger, own.started)
+                                             cfg.max_offsets_per_trigger, own.checkpoint)
     rows = processed.processed_rows(processed.transform(stream, _clock_col(clock), processed.FOR_ROWS))
     writer = _named(rows.writeStream.format(datasource.AppendSource.name()).option("checkpointLocation", checkpoint)
                     .option("commit_id", own.id), name)

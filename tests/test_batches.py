@@ -14,6 +14,7 @@ from lakelens.sinks import batches, topics
 from lakelens.sinks.objects import read_objects
 from lakelens.sources import fixtures as fx
 from lakelens.sources.files import image_folder
+from lakelens.sources import topics as topic_sources
 from lakelens.sources.topics import read_topic
 from lakelens.streaming import jobs
 from conftest import SF_SMALL
@@ -92,14 +93,23 @@ def test_backlog_is_drained_in_bounded_batches(spark, scratch):
 
 
 def test_processor_starts_at_the_latest_record_by_default(spark, scratch):
+    """Latest is by offset: an old record in a file that is written late is old."""
     cfg = _cfg(scratch, processor_starting_offsets=JobConfig.processor_starting_offsets)
     events = fx.event_envelopes(spark, SF_SMALL)
-    topics.write_topic(events.where("offset % 2 = 0"), cfg.input_topic, cfg.topic_root, batch=0)
-    jobs.start_processor(spark, cfg, f"{scratch}/ck", available_now=True, clock=fx.PROCESSED_CLOCK).awaitTermination()
-    topics.write_topic(events.where("offset % 2 = 1"), cfg.input_topic, cfg.topic_root, batch=1)
-    jobs.start_processor(spark, cfg, f"{scratch}/ck", available_now=True, clock=fx.PROCESSED_CLOCK).awaitTermination()
-    t3 = spark.read.parquet(cfg.lake_table)
-    assert t3.count() > 0 and t3.where("kafka_offset % 2 = 0").count() == 0
+    half = events.agg(F.max("offset")).first()[0] // 2
+    run = lambda ck: jobs.start_processor(spark, cfg, ck, available_now=True, clock=fx.PROCESSED_CLOCK).awaitTermination()
+    topics.write_topic(events.where(F.col("offset") <= half), cfg.input_topic, cfg.topic_root, batch=0)
+    run(f"{scratch}/ck")
+    late = events.where((F.col("offset") > half) | (F.col("offset") % 10 == 0))
+    topics.write_topic(late, cfg.input_topic, cfg.topic_root, batch=1)
+    run(f"{scratch}/ck")
+    t3 = spark.read.parquet(cfg.lake_table).select("kafka_partition", "kafka_offset")
+    ends = {r[0]: r[1] for r in events.where(F.col("offset") <= half).groupBy("partition").agg(F.max("offset")).collect()}
+    want = processed.processed_rows(processed.transform(events, F.lit(CLOCK).cast("timestamp_ntz"))).select("kafka_partition", "kafka_offset")
+    assert sorted(map(tuple, t3.collect())) == sorted(tuple(r) for r in want.collect() if r[1] > ends.get(r[0], -1))
+    # a topic that does not exist yet: all that comes is new
+    empty = _cfg(f"{scratch}/none", processor_starting_offsets="latest")
+    assert topic_sources.ends_at_start(spark, f"{scratch}/none/ck", empty.input_topic, empty.topic_root) == {}
 
 
 def test_values_pass_through_and_unbound_sizes_are_kept_aside(spark, scratch):

@@ -332,7 +332,7 @@ def test_second_of_two_rewrites_of_a_day_is_void(spark, log, by_generation):
     for _ in (1, 2):  # both start from generation 0
         generations.rewrite_days(spark, path, [day], switch=False)
     for n in (1, 2):
-        generations._write_text(spark, f"{path}/{generations.FOLDER}", f"{n:012d}.json", f'{{"{day}": [0, 102]}}')
+        generations.write_text(spark, f"{path}/{generations.FOLDER}", f"{n:012d}.json", f'{{"{day}": [0, 102]}}')
     assert generations.current(spark, path)[day.isoformat()].gen == 1
     assert _rows(generations.read(spark, path), cols) == _rows(log, cols)
 
