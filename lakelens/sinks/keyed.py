@@ -152,13 +152,13 @@ def insert_first_wins(spark: SparkSession, rows: DataFrame, path: str, schema: T
         added = spark.read.schema(schema).parquet(f"{staged}/{BUCKET}=-1").count()
         if added:
             _publish(spark, path, n, staged, 0)
-        return added
     finally:
         if n:
             _close(spark, path, n)
         first.unpersist()
-        if len(_commits(spark, path, 0)) >= MERGE_COMMITS:
-            merge(spark, path, schema, key, lease_seconds)
+    if len(_commits(spark, path, 0)) >= MERGE_COMMITS:
+        merge(spark, path, schema, key, lease_seconds)
+    return added
 
 
 def merge(spark: SparkSession, path: str, schema: T.StructType, key: str = "file_hash",
