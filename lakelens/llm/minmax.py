@@ -411,10 +411,16 @@ def _compare_tiles(percent: int):
 
 def _rest_links(members: DataFrame, outside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) of what the pivots left open: pairs in one bucket but in different components."""
-    dealt = _tiles(_clusters(members, outside), percent).join(sets, "node")
+    clusters = _clusters(members, outside).checkpoint()
+    dealt = _tiles(clusters, percent).join(sets, "node")
     tiles = (dealt.repartition("cluster", "a", "b").sortWithinPartitions("cluster", "a", "b")
              .mapInArrow(_compare_tiles(percent), "u long, v long"))
-    return confirmed(_rest_pairs(members, outside, percent), sets, percent).unionByName(tiles.filter("u < v"))
+    # of two members of one cluster in different components one is an outsider: their tiles meet
+    of = clusters.select("node", "cluster")
+    pairs = (_rest_pairs(members, outside, percent)
+             .join(of.toDF("p", "cluster_p"), "p", "left").join(of.toDF("x", "cluster_x"), "x", "left")
+             .filter(~F.coalesce(F.col("cluster_p") == F.col("cluster_x"), F.lit(False))).select("p", "x"))
+    return confirmed(pairs, sets, percent).unionByName(tiles.filter("u < v"))
 
 
 def links(sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
