@@ -25,7 +25,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import compress, groupby
 
 import numpy as np
 import pandas as pd
@@ -69,21 +69,31 @@ class Words(dict):
 
     def __init__(self, words: list[str]):
         super().__init__((w.encode("utf-8", "surrogatepass"), i) for i, w in enumerate(sorted(words)))
+        self.own = len(self)
 
     def __missing__(self, word: bytes) -> int:
-        return VOCABULARY + min(len(word), BUCKETS) - 1
+        """The token of a word outside the vocabulary; the words met last are kept, as lookups are the larger cost."""
+        if len(self) >= self.own + CACHE:
+            for w in [w for w, i in self.items() if i >= VOCABULARY]:
+                del self[w]
+        value = self[word] = VOCABULARY + min(len(word), BUCKETS) - 1
+        return value
 
     def ids(self, text: str | None) -> np.ndarray:
         blocks = [np.fromiter(map(self.__getitem__, b), np.int32, len(b)) for b in token_blocks(text)]
         return np.concatenate(blocks) if blocks else np.zeros(0, np.int32)
 
+    def __contains__(self, word: object) -> bool:
+        return self.get(word, VOCABULARY) < VOCABULARY
+
     def __reduce__(self):
-        return _restore, (list(self.items()),)
+        return _restore, ([(w, i) for w, i in self.items() if i < VOCABULARY],)
 
 
 def _restore(items: list[tuple[bytes, int]]) -> Words:
     out = Words([])
     out.update(items)
+    out.own = len(out)
     return out
 
 
@@ -94,27 +104,28 @@ def _slot(word: bytes, slots: int) -> int:
 
 
 class Rare(dict):
-    """Log share of a word among the rare words of its length; 0 for words of the vocabulary.
+    """Log share of a word outside the vocabulary among the rare words of its length.
 
     ``mean``: by slot, the mean count of the rare words in it; ``totals``: their sum by length.
     """
 
-    def __init__(self, words: Words, mean: np.ndarray, totals: np.ndarray):
+    def __init__(self, mean: np.ndarray, totals: np.ndarray):
         super().__init__()
-        self.words, self.mean, self.totals = words, mean, totals
+        self.mean, self.totals = mean, totals
 
     def __missing__(self, word: bytes) -> float:
         if len(self) >= CACHE:
             self.clear()
-        value = 0.0
-        if word not in self.words:
-            n = max(float(self.mean[_slot(word, len(self.mean))]), 0.5)
-            value = min(0.0, float(np.log(n / (self.totals[min(len(word), BUCKETS) - 1] + 1))))
-        self[word] = value
+        n = max(self.mean.item(_slot(word, len(self.mean))), 0.5)
+        value = self[word] = min(0.0, math.log(n / (self.totals.item(min(len(word), BUCKETS) - 1) + 1)))
         return value
 
+    def sum_of(self, words: list[bytes], ids: np.ndarray) -> float:
+        """Sum over the words that are no tokens of their own; ``ids`` are their tokens."""
+        return sum(map(self.__getitem__, compress(words, (ids >= VOCABULARY).tolist())))
+
     def __reduce__(self):
-        return Rare, (self.words, self.mean, self.totals)
+        return Rare, (self.mean, self.totals)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -344,7 +355,7 @@ def _vocabulary(counts: DataFrame) -> tuple[Words, Rare, np.ndarray]:
     for slot, n in (rare.select(F.arrow_udf(number, "long")("word").alias("slot"), "n")
                     .groupBy("slot").agg(F.avg("n").alias("n")).toLocalIterator()):
         mean[slot] = n
-    return words, Rare(words, mean, totals), unigram
+    return words, Rare(mean, totals), unigram
 
 
 def _encoded(docs: DataFrame, text_col: str, id_col: str | None, words: Words, groups: int, rounds: int) -> DataFrame:
@@ -423,7 +434,7 @@ def score_column(text: str | Column, scorer: Scorer) -> Column:
             ids = []
             for block in token_blocks(value):
                 ids.append(np.fromiter(map(words.__getitem__, block), np.int32, len(block)))
-                sums[i] += sum(map(rare.__getitem__, block))
+                sums[i] += rare.sum_of(block, ids[-1])
             ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             sizes[i] = len(ids)
             for at in range(0, len(ids), SCORE_BATCH):
