@@ -419,7 +419,7 @@ def _rest_links(members: DataFrame, outside: DataFrame, sets: DataFrame, percent
     of = clusters.select("node", "cluster")
     pairs = (_rest_pairs(members, outside, percent)
              .join(of.toDF("p", "cluster_p"), "p", "left").join(of.toDF("x", "cluster_x"), "x", "left")
-             .filter(~F.coalesce(F.col("cluster_p") == F.col("cluster_x"), F.lit(False))).select("p", "x"))
+             .filter(~F.coalesce(F.col("cluster_p") == F.col("cluster_x"), F.lit(False))).select("p", "x").checkpoint())
     return confirmed(pairs, sets, percent).unionByName(tiles.filter("u < v"))
 
 
