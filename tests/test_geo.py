@@ -399,3 +399,25 @@ def test_mercator_there_and_back(spark):
     e = df.limit(1).select(projection.mercator(F.lit(-74.0060), F.lit(40.7128), F.lit(-75.0)).alias("p")).first().p
     assert (e.x + 500_000, e.y) == (pytest.approx(583_959.4, abs=1), pytest.approx(4_507_350.9, abs=2))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_are_measured_by_tile(spark):
+    """Near pairs of a tile are told apart by their chord; null ids, null points and equal ids pair with nothing."""
+    rng = np.random.default_rng(8)
+    n, radius = 400, 300_000.0
+    xs, ys = rng.uniform(-185, 185, n), np.concatenate((rng.uniform(-5, 5, n // 2), rng.uniform(84, 90, n - n // 2)))
+    ids = [f"p{i % 350:03d}" for i in range(n)]
+    rank = np.argsort(np.argsort(ids))
+    i, j, metres = geodesy.pairs_within(xs, ys, rank, xs, ys, rank, radius, block=64)
+    a, b = np.nonzero(np.ones((n, n), bool))
+    every, _ = geodesy.inverse(xs[a], ys[a], xs[b], ys[b])
+    order = np.argsort(np.argsort(ids))
+    want = {(x, y): d for x, y, d in zip(a, b, every) if d <= radius and rank[x] < rank[y]}
+    assert set(zip(i, j)) == set(want) and all(abs(want[x, y] - d) < 1e-9 for x, y, d in zip(i, j, metres))
+    rows = [(k, (float(x), float(y))) for k, x, y in zip(ids, xs, ys)] + [(None, (0.0, 0.0)), ("none", None)]
+    pts = spark.createDataFrame(rows, "id string, loc struct<lon: double, lat: double>")
+    got = spatial.pairs_within(pts, "id", "loc", radius, columns=("l_id", "r_id", "distance_m"))
+    assert got.columns == ["l_id", "r_id", "distance_m"]
+    assert "FlatMapCoGroupsInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    pairs = sorted((ids[x], ids[y]) for x, y in zip(a, b) if ids[x] < ids[y] and every[x * n + y] <= radius)
+    assert sorted((r.l_id, r.r_id) for r in got.collect()) == pairs and len(pairs) > 1000
