@@ -421,3 +421,10 @@ def test_pairs_are_measured_by_tile(spark):
     assert "FlatMapCoGroupsInArrow" in got._jdf.queryExecution().executedPlan().toString()
     pairs = sorted((ids[x], ids[y]) for x, y in zip(a, b) if ids[x] < ids[y] and every[x * n + y] <= radius)
     assert sorted((r.l_id, r.r_id) for r in got.collect()) == pairs and len(pairs) > 1000
+
+
+def test_buffers_are_dealt_to_all_slots(spark):
+    """However few row groups the points come in."""
+    from lakelens.plans import queries
+    made = queries.geo_buffer(spark, "/root/testdata/sf0.001")
+    assert made.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
