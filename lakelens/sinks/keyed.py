@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from lakelens.operators import metadata
 from lakelens.operators.joins import anti_join_keys
-from lakelens.session import file_system
+from lakelens.session import adaptive, file_system
 from lakelens.sinks.batches import create_marker, delete_marker, markers
 
 LOG, STAGING = "_log", "_staging"
@@ -137,6 +137,12 @@ def insert_first_wins(spark: SparkSession, rows: DataFrame, path: str, schema: T
     Of the batch's rows of one key the first in ``order_cols`` counts.  Rows of null key conflict
     with nothing but each other.  Replaying a batch adds nothing.
     """
+    with adaptive(rows):  # the cache of a small batch gets few partitions, and its commit few files
+        return _insert(spark, rows, path, schema, order_cols, key, buckets, lease_seconds)
+
+
+def _insert(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType, order_cols: list[str],
+            key: str, buckets: int, lease_seconds: float) -> int:
     first = metadata.first_wins(rows, key, order_cols).persist()
     n = 0
     try:
