@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields
 
 # Fixed values that must equal the original pipeline's settings.
 MAX_MESSAGE_BYTES = 26_214_400          # producer max request size and broker max message
-MAX_FETCH_BYTES = 31_457_280            # consumer fetch limit, all partitions
+MAX_FETCH_BYTES = 31_457_280            # consumer fetch limit, all partitions; a task slot reads like a consumer
 MAX_PARTITION_FETCH_BYTES = 26_214_400  # consumer fetch limit, per partition
 MAX_OFFSETS_PER_TRIGGER = 10_000        # records of a Kafka micro-batch (ours)
 POLL_INTERVAL_SECONDS = 1               # folder poll
@@ -42,7 +42,7 @@ class JobConfig:
     enable_postgres_sink: bool = True
     enable_iceberg_sink: bool = True
     max_message_bytes: int = MAX_MESSAGE_BYTES
-    max_bytes_per_trigger: int = MAX_FETCH_BYTES
+    max_bytes_per_trigger: int | None = None    # bytes of a micro-batch; None: the fetch limit for each task slot
     max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER
     poll_interval_seconds: int = POLL_INTERVAL_SECONDS
     commit_interval_seconds: float = COMMIT_INTERVAL_SECONDS

@@ -47,7 +47,11 @@ def field_text(v: Column, name: str) -> Column:
 
 def is_truthy(v: Column, name: str) -> Column:
     """Python truthiness of a field: null, "", 0, 0.0, false, [] and {} are false."""
-    text = field_text(v, name)
+    return truthy_text(field_text(v, name))
+
+
+def truthy_text(text: Column) -> Column:
+    """Python truthiness of a value rendered by ``field_text``."""
     return F.coalesce(
         ~text.isin("null", '""', "0", "0.0", "false", "[]", "{}") & ~text.rlike(r"^-?0(\.0+)?([eE][+-]?\d+)?$"),
         F.lit(False),

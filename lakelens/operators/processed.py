@@ -31,24 +31,25 @@ def transform(envelopes: DataFrame, clock: Column | None = None, fields: tuple[s
     ``clock`` is the processing time in UTC (default: now).
     """
     now = (F.current_timestamp() if clock is None else clock).cast("timestamp_ntz")
-    v = F.col("_v")
-    obj = jsonval.is_object(v)
+    v, obj, size = F.col("_v"), F.col("_is_object"), F.col("_size")
     base = envelopes.withColumn("_v", jsonval.parse(F.col("value")))
     keyed = base.select(
         F.col("key"), F.col("value"), F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"), "_v")
+    # what several fields read: a Generate would compute it for each of them
+    keyed = keyed.select("*", jsonval.is_object(v).alias("_is_object"), jsonval.get_long(v, "file_size").alias("_size"),
+                         *[jsonval.field_text(v, c).alias(f"_{c}_text") for c in ("file_hash", "file_size")])
     made = {
         "kind": F.when(v.isNull(), F.lit("invalid")).when(obj, F.lit("object")).otherwise(F.lit("other")),
         "processed_at": timefmt.iso_utc(now),
         "filename": F.when(obj, jsonval.get_string(v, "filename")),
         "file_hash": F.when(obj, jsonval.get_string(v, "file_hash")),
-        "file_size": F.when(obj, jsonval.get_long(v, "file_size")),
+        "file_size": F.when(obj, size),
         "mime_type": F.when(obj, jsonval.get_string(v, "mime_type")),
-        "hash_truthy": F.when(obj, jsonval.is_truthy(v, "file_hash")).otherwise(F.lit(False)),
+        "hash_truthy": F.when(obj, jsonval.truthy_text(F.col("_file_hash_text"))).otherwise(F.lit(False)),
         # a size that is there but does not bind to the tables' bigint column
-        "size_unbound": (obj & jsonval.get_long(v, "file_size").isNull()
-                         & ~F.coalesce(jsonval.field_text(v, "file_size"), F.lit("null")).isin("null")),
+        "size_unbound": obj & size.isNull() & ~F.coalesce(F.col("_file_size_text"), F.lit("null")).isin("null"),
         # the payload's values as they came, for the topic
         **{f"_{c}": F.when(obj, F.try_variant_get(v, f"$.{c}", "variant")) for c in PAYLOAD_FIELDS},
         "raw": F.when(~obj, v),

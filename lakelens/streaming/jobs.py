@@ -18,14 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelens.config import JobConfig
+from lakelens.config import MAX_FETCH_BYTES, JobConfig
 from lakelens.functions import jsonval, paths
 from lakelens.operators import ingest, metadata, processed
 from lakelens.operators.frames import counted
 from lakelens.operators.ids import assign_serial_ids
 from lakelens.operators.joins import broadcast_if_bounded
 from lakelens.schemas import IMAGE_METADATA, PROCESSED_FIELDS, PROCESSED_ROW
-from lakelens.session import file_system, pin_utc
+from lakelens.session import adaptive, file_system, pin_utc
 from lakelens.sinks import datasource, objects, tables, topics
 from lakelens.sinks.batches import BatchRef, reserve_offsets, run_of
 from lakelens.sources import files as file_sources
@@ -124,7 +124,7 @@ def start_producer(spark: SparkSession, cfg: JobConfig, checkpoint: str, availab
                    clock: str | None = None, name: str | None = None):
     """Watched folder -> input topic (S1, R1, R7): each new file is sent once."""
     cfg.dead_letter_root()
-    stream = file_sources.image_folder_stream(spark, cfg.watch_path, max_bytes_per_trigger=cfg.max_bytes_per_trigger)
+    stream = file_sources.image_folder_stream(spark, cfg.watch_path, max_bytes_per_trigger=cfg.max_bytes_per_trigger or MAX_FETCH_BYTES)
     own = run_of(spark, checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -199,7 +199,8 @@ def start_consumer(spark: SparkSession, cfg: JobConfig, checkpoint: str, strict:
                                              cfg.max_offsets_per_trigger, own.checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        _count("consumer", consume_batch(spark, batch, BatchRef("consumer", own.id, batch_id), cfg, strict, clock, decoder))
+        with adaptive(batch):
+            _count("consumer", consume_batch(spark, batch, BatchRef("consumer", own.id, batch_id), cfg, strict, clock, decoder))
 
     writer = _named(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), name)
     writer = writer.trigger(availableNow=True) if available_now else \
@@ -252,7 +253,8 @@ def start_processor(spark: SparkSession, cfg: JobConfig, checkpoint: str, availa
                                              cfg.max_offsets_per_trigger, own.checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        _count("processor", process_batch(spark, batch, BatchRef("processor", own.id, batch_id), cfg, clock, decoder))
+        with adaptive(batch):
+            _count("processor", process_batch(spark, batch, BatchRef("processor", own.id, batch_id), cfg, clock, decoder))
 
     writer = _named(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), name)
     writer = writer.trigger(availableNow=True) if available_now else \
@@ -342,7 +344,8 @@ def run_batch_ingest(spark: SparkSession, cfg: JobConfig, checkpoint: str, files
     own = run_of(spark, checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        results.append(consume_batch(spark, batch, BatchRef("batch-consumer", own.id, batch_id), cfg, strict=False, clock=clock))
+        with adaptive(batch):
+            results.append(consume_batch(spark, batch, BatchRef("batch-consumer", own.id, batch_id), cfg, strict=False, clock=clock))
 
     stream = topic_sources.read_topic_stream(spark, cfg.input_topic, cfg.topic_root, cfg.bootstrap_servers,
                                              "earliest", cfg.max_bytes_per_trigger, cfg.max_offsets_per_trigger)

@@ -1,16 +1,17 @@
 """Batch identity, offsets, id reservation, bounded batches, start positions, values that pass through."""
 
+import glob
 import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakelens.config import JobConfig
+from lakelens.config import MAX_FETCH_BYTES, JobConfig
 from lakelens.functions import geo
 from lakelens.operators import changelog, processed, spatial
-from lakelens.schemas import ENVELOPE, PROCESSED_FIELDS
-from lakelens.sinks import batches, topics
+from lakelens.schemas import ENVELOPE, PROCESSED_FIELDS, PROCESSED_ROW
+from lakelens.sinks import batches, keyed, topics
 from lakelens.sinks.objects import read_objects
 from lakelens.sources import fixtures as fx
 from lakelens.sources.files import image_folder
@@ -164,3 +165,36 @@ def test_pairs_round_the_pole(spark, radius):
     pts = spark.createDataFrame(rows, "id int, lon double, lat double").select("id", geo.make_point(F.col("lon"), F.col("lat")).alias("loc"))
     got = {(r["l_id"], r["r_id"]) for r in spatial.pairs_within(pts, "id", "loc", radius).collect()}
     assert got == {(i, j) for i in range(8) for j in range(i + 1, 8)} | {(8, 9), (10, 11)}
+
+
+@pytest.fixture()
+def many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _data_files(folder):
+    return glob.glob(f"{folder}/**/*.parquet", recursive=True)
+
+
+def test_a_small_insert_writes_few_files(spark, scratch, many_partitions):
+    rows = spark.range(500).select(F.concat(F.lit("h"), "id").alias("file_hash"), F.lit("f").alias("filename"),
+                                   *[F.lit(None).cast(t.dataType).alias(t.name) for t in PROCESSED_ROW if t.name not in ("file_hash", "filename")],
+                                   F.lit(None).cast("timestamp_ntz").alias("kafka_timestamp"))
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.enabled", "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning")}
+    assert keyed.insert_first_wins(spark, rows, f"{scratch}/t", PROCESSED_ROW, processed.ARRIVAL_ORDER) == 500
+    assert 1 <= len(_data_files(f"{scratch}/t")) < 16
+    assert kept == {k: spark.conf.get(k, None) for k in kept}
+
+
+def test_a_micro_batch_is_planned_by_its_size(spark, scratch, many_partitions):
+    """A backlog is taken a fetch limit for each slot; the shuffles of a small batch have few partitions."""
+    assert JobConfig().max_bytes_per_trigger is None
+    assert topic_sources.fetch_bytes(spark) == MAX_FETCH_BYTES * spark.sparkContext.defaultParallelism
+    cfg = _cfg(scratch)
+    topics.write_topic(fx.event_envelopes(spark, SF_SMALL).repartition(3), cfg.input_topic, cfg.topic_root, batch=0)
+    jobs.start_processor(spark, cfg, f"{scratch}/ck", available_now=True, clock=fx.PROCESSED_CLOCK).awaitTermination()
+    assert spark.read.parquet(cfg.lake_table).select("batch").distinct().count() == 1
+    assert 1 <= len(_data_files(cfg.processed_table)) < 16
