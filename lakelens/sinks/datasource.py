@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 
 from lakelens.schemas import PROCESSED_ROW
 
-STAGING, MANIFEST = "_staging", "_manifest.json"
+STAGING, MANIFEST, ABORTED = "_staging", "_manifest.json", "aborted"
 
 
 @dataclass
@@ -76,6 +76,10 @@ class _Commits:
         finally:
             if writer is not None:
                 writer.close()
+        if writer is not None and store.get_file_info(f"{folder}-{ABORTED}").type != pafs.FileType.NotFound:
+            if store.get_file_info(f"{folder}/{name}").type != pafs.FileType.NotFound:
+                store.delete_file(f"{folder}/{name}")  # this task ended after the write was aborted
+            raise RuntimeError(f"the write {self.token} was aborted")
         return Staged(name if writer is not None else None, rows)
 
     def commit(self, messages: list[Staged | None], target: str) -> None:
@@ -99,6 +103,12 @@ class _Commits:
         store.move(ready, place)
         self.clean()
 
+    def abort(self) -> None:
+        """Remove what is staged; tasks that end later find the mark, an empty folder, and remove theirs."""
+        store, root = open_path(self.path)
+        store.create_dir(f"{root}/{STAGING}/{self.token}-{ABORTED}", recursive=True)
+        self.clean()
+
     def clean(self) -> None:
         """Remove what is still staged: files of attempts that no message names."""
         store, root = open_path(self.path)
@@ -121,7 +131,7 @@ class AppendWriter(DataSourceArrowWriter):
         self.commits.commit(messages, f"commit={self.name}")
 
     def abort(self, messages: list[Staged | None]) -> None:
-        self.commits.clean()
+        self.commits.abort()
 
 
 class AppendStreamWriter(DataSourceStreamArrowWriter):

@@ -246,6 +246,27 @@ def test_append_source_leaves_no_rows_of_a_failed_write(spark, scratch):
     assert datasource.committed(spark, table).count() == 1010
 
 
+def test_a_task_that_ends_after_the_abort_leaves_nothing(scratch):
+    import os
+
+    import pyarrow as pa
+
+    from lakelens.sinks import datasource
+    writer = datasource.AppendWriter({"path": f"{scratch}/s"})
+    batch = pa.RecordBatch.from_pydict({"x": [1, 2]})
+    writer.write(iter([batch]))
+
+    def late():
+        yield batch
+        writer.abort([None])
+        yield batch
+    with pytest.raises(Exception):
+        writer.write(late())
+    with pytest.raises(RuntimeError, match="aborted"):
+        writer.write(iter([batch]))
+    assert not [f for _, _, files in os.walk(scratch) for f in files]
+
+
 def test_staged_files_without_a_message_are_left_out(spark, scratch):
     """What a lost attempt staged is no part of the commit; a replayed batch replaces its folder."""
     import pyarrow as pa
