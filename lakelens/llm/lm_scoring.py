@@ -22,19 +22,19 @@ More input gives more groups and rounds; every token is trained on once.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress, groupby
+from itertools import compress, groupby, pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelens.llm.common import LOWER, prepare, quoted, word_blocks
+from lakelens.llm.common import LOWER, prepare, quoted
 from lakelens.session import work_path
 
 #: classes, tokens in a class, length buckets for words outside the vocabulary
@@ -45,12 +45,12 @@ REACH, DIM = 2, 16
 BATCH, SCORE_BATCH, RATE = 4096, 16384, 0.1
 #: models (or partial averages) that meet in one group of the reduction tree
 FAN_IN = 64
-#: distinct words a task counts before it hands them on
-COUNT_WORDS = 200_000
+#: distinct words a task counts before it hands them on, bytes of text split into tokens at once
+COUNT_WORDS, PIECE = 200_000, 1 << 22
 #: tokens of a group of texts that one task trains on, and most rounds
 GROUP_TOKENS, ROUNDS = 1 << 20, 8
-#: most bits of a slot number in the table of rare words, and word shares kept by a worker
-RARE_BITS, CACHE = 20, 1 << 18
+#: most bits of a slot number in the table of rare words
+RARE_BITS = 20
 
 OUTPUTS = CLASSES * CLASS_SIZE
 VOCABULARY = OUTPUTS - BUCKETS
@@ -58,10 +58,46 @@ PAD = OUTPUTS
 _WORD = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in LOWER)
 
 
+def _split(parts: list[bytes], rows: list[int]) -> tuple[np.ndarray, pa.Array]:
+    """(row of each token, tokens) of parts of texts in which blanks separate the tokens."""
+    data = b" ".join(parts)
+    inside = np.zeros(len(data) + 2, bool)
+    np.not_equal(np.frombuffer(data, np.uint8), 32, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    begins = np.cumsum([0, *(len(p) + 1 for p in parts)])
+    of = np.repeat(np.array(rows, np.int64), np.diff(np.searchsorted(starts, begins)))
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data.translate(None, b" "))]
+    return of, pa.Array.from_buffers(pa.binary(), len(starts), buffers)
+
+
+def token_arrays(texts: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """(row of each token, tokens) of all texts in their order, about ``PIECE`` bytes of text at a time.
+
+    A token is a lower-cased run of letters, digits and non-ASCII characters; null has none.
+    """
+    parts, rows, held = [], [], 0
+    for row, text in enumerate(texts.cast(pa.large_binary()).to_pylist()):
+        data, at = (text or b"").translate(_WORD), 0
+        while at < len(data):
+            cut = data.find(32, at + PIECE) if len(data) - at > PIECE else -1
+            part = data[at:cut] if cut >= 0 else data[at:]
+            parts.append(part)
+            rows.append(row)
+            at, held = at + len(part), held + len(part)
+            if held >= PIECE:
+                yield _split(parts, rows)
+                parts, rows, held = [], [], 0
+    if parts:
+        yield _split(parts, rows)
+
+
 def token_blocks(text: str | None) -> Iterator[list[bytes]]:
-    """Lower-cased runs of letters, digits and non-ASCII characters of a text, in blocks; null has none."""
-    if text:
-        yield from word_blocks(text.encode("utf-8", "surrogatepass").translate(_WORD))
+    """The tokens of one text, in blocks; null has none."""
+    for _, words in token_arrays(pa.array([text and text.encode("utf-8", "surrogatepass")], pa.binary())):
+        yield words.to_pylist()
 
 
 class Words(dict):
@@ -69,32 +105,19 @@ class Words(dict):
 
     def __init__(self, words: list[str]):
         super().__init__((w.encode("utf-8", "surrogatepass"), i) for i, w in enumerate(sorted(words)))
-        self.own = len(self)
+        self.known = pa.array(list(self), pa.binary())
 
     def __missing__(self, word: bytes) -> int:
-        """The token of a word outside the vocabulary; the words met last are kept, as lookups are the larger cost."""
-        if len(self) >= self.own + CACHE:
-            for w in [w for w, i in self.items() if i >= VOCABULARY]:
-                del self[w]
-        value = self[word] = VOCABULARY + min(len(word), BUCKETS) - 1
-        return value
-
-    def ids(self, text: str | None) -> np.ndarray:
-        blocks = [np.fromiter(map(self.__getitem__, b), np.int32, len(b)) for b in token_blocks(text)]
-        return np.concatenate(blocks) if blocks else np.zeros(0, np.int32)
-
-    def __contains__(self, word: object) -> bool:
-        return self.get(word, VOCABULARY) < VOCABULARY
+        """The token of a word outside the vocabulary."""
+        return VOCABULARY + min(len(word), BUCKETS) - 1
 
-    def __reduce__(self):
-        return _restore, ([(w, i) for w, i in self.items() if i < VOCABULARY],)
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The token of each word."""
+        found = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy(zero_copy_only=False)
+        return np.where(found < 0, VOCABULARY - 1 + np.minimum(pc.binary_length(words).to_numpy(), BUCKETS), found)
 
-
-def _restore(items: list[tuple[bytes, int]]) -> Words:
-    out = Words([])
-    out.update(items)
-    out.own = len(out)
-    return out
+    def ids(self, text: str | None) -> np.ndarray:
+        return np.array([self[w] for block in token_blocks(text) for w in block], np.int32)
 
 
 def _slot(word: bytes, slots: int) -> int:
@@ -103,59 +126,69 @@ def _slot(word: bytes, slots: int) -> int:
     return (min(len(word), BUCKETS) - 1) * each + (xxhash.xxh64_intdigest(word, 9) & (each - 1))
 
 
-class Rare(dict):
+def _slots(words: pa.Array, slots: int) -> np.ndarray:
+    """The slot of each word of a binary array without nulls."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    _, offsets, data = words.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1].tolist()
+    data = data.to_pybytes()
+    return np.fromiter((_slot(data[a:b], slots) for a, b in pairwise(cuts)), np.int64, len(words))
+
+
+class Rare:
     """Log share of a word outside the vocabulary among the rare words of its length.
 
     ``mean``: by slot, the mean count of the rare words in it; ``totals``: their sum by length.
     """
 
     def __init__(self, mean: np.ndarray, totals: np.ndarray):
-        super().__init__()
         self.mean, self.totals = mean, totals
 
-    def __missing__(self, word: bytes) -> float:
-        if len(self) >= CACHE:
-            self.clear()
-        n = max(self.mean.item(_slot(word, len(self.mean))), 0.5)
-        value = self[word] = min(0.0, math.log(n / (self.totals.item(min(len(word), BUCKETS) - 1) + 1)))
-        return value
+    def __getitem__(self, word: bytes) -> float:
+        return self.logs(pa.array([word], pa.binary())).item()
+
+    def logs(self, words: pa.Array) -> np.ndarray:
+        """The log share of each word; each distinct one is looked up once."""
+        coded = words.dictionary_encode()
+        slots = _slots(coded.dictionary, len(self.mean))
+        n = np.maximum(self.mean[slots].astype(np.float64), 0.5)
+        logs = np.minimum(0.0, np.log(n / (self.totals[slots // (len(self.mean) // BUCKETS)] + 1)))
+        return logs[coded.indices.to_numpy()]
 
     def sum_of(self, words: list[bytes], ids: np.ndarray) -> float:
         """Sum over the words that are no tokens of their own; ``ids`` are their tokens."""
-        return sum(map(self.__getitem__, compress(words, (ids >= VOCABULARY).tolist())))
-
-    def __reduce__(self):
-        return Rare, (self.mean, self.totals)
+        return self.logs(pa.array(compress(words, (ids >= VOCABULARY).tolist()), pa.binary())).sum()
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) over all texts; tasks count before the shuffle, ``COUNT_WORDS`` distinct words at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        none = pa.array([], pa.binary()), np.zeros(0, np.int64)
+        words, counts = none
 
         def partial() -> pa.RecordBatch:
-            words = [w.decode("utf-8", "surrogatepass") for w in counts]
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(list(counts.values()), pa.int64())],
-                                              names=["word", "n"])
+            return pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(counts)], names=["word", "n"])
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for block in token_blocks(text):
-                    counts.update(block)
-                    if len(counts) >= COUNT_WORDS:
-                        yield partial()
-                        counts.clear()
-        if counts:
+            for _, found in token_arrays(batch.column(0)):
+                coded = pa.concat_arrays([words, found]).dictionary_encode()  # words counted before come first
+                more = np.bincount(coded.indices.to_numpy()[len(words):], minlength=len(coded.dictionary))
+                more[:len(words)] += counts
+                words, counts = coded.dictionary, more
+                if len(words) >= COUNT_WORDS:
+                    yield partial()
+                    words, counts = none
+        if len(words):
             yield partial()
     parts = docs.select(text_col).mapInArrow(run, "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Softmax of each row, in place; logits beyond the range of float32 are cut."""
+def _exp(x: np.ndarray) -> np.ndarray:
+    """Exponentials of logits, in place, and the sum of each row; logits beyond the range of float32 are cut."""
     np.clip(x, -80, 80, out=x)
     np.exp(x, out=x)
-    x /= (x @ np.ones(x.shape[1], np.float32))[:, None]
-    return x
+    return x @ np.ones(x.shape[1], np.float32)
 
 
 @dataclass
@@ -182,54 +215,66 @@ class Network:
 
     def _forward(self, context: np.ndarray, target: np.ndarray):
         p = self.p
-        seen = [p["embed"][context[:, k]] for k in range(2 * REACH)]  # for each place, tokens x DIM
+        seen = [p["embed"].take(context[:, k], axis=0) for k in range(2 * REACH)]  # for each place, tokens x DIM
         h = np.repeat(p["hidden"], len(target), axis=0)
         for k, part in enumerate(seen):
             h += part * p["place"][k]
         np.tanh(h, out=h)
-        top = _softmax(h @ p["to_class"] + p["class_bias"])
+        top = h @ p["to_class"]
+        top += p["class_bias"]
         cls, own = target // CLASS_SIZE, target % CLASS_SIZE
         order = np.argsort(cls.astype(np.int16), kind="stable")  # a radix sort
-        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
         low = np.empty((len(target), CLASS_SIZE), np.float32)  # rows in the order of their class
-        h_sorted = h[order]
+        h_sorted = h.take(order, axis=0)
         for c in range(CLASSES):
             a, b = cuts[c], cuts[c + 1]
             if a < b:
-                np.matmul(h_sorted[a:b], p["to_word"][c].reshape(DIM, CLASS_SIZE), out=low[a:b])
-                low[a:b] += p["word_bias"][c]
-        return seen, h, h_sorted, top, _softmax(low), cls, own, order, cuts
+                part = np.matmul(h_sorted[a:b], p["to_word"][c].reshape(DIM, CLASS_SIZE), out=low[a:b])
+                part += p["word_bias"][c]
+        own_sorted = own.take(order)
+        return seen, h, h_sorted, top, _exp(top), low, _exp(low), cls, own_sorted, order, cuts
 
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log P(target | context) of each row."""
-        _, _, _, top, low, cls, own, order, _ = self._forward(context, target)
+        _, _, _, top, top_sum, low, low_sum, cls, own_sorted, order, _ = self._forward(context, target)
         rows = np.arange(len(target))
         out = np.empty(len(target))
-        out[order] = np.log(np.maximum(low[rows, own[order]], 1e-12))
-        return out + np.log(np.maximum(top[rows, cls], 1e-12))
+        out[order] = np.log(np.maximum(low[rows, own_sorted] / low_sum, 1e-12))
+        return out + np.log(np.maximum(top[rows, cls] / top_sum, 1e-12))
 
     def train(self, context: np.ndarray, target: np.ndarray, sums: dict[str, np.ndarray]) -> None:
         """One Adagrad step on the mean log-likelihood of a minibatch; ``sums`` holds squared gradients."""
         p, n = self.p, len(target)
-        seen, h, h_sorted, top, low, cls, own, order, cuts = self._forward(context, target)
+        seen, h, h_sorted, top, top_sum, low, low_sum, cls, own_sorted, order, cuts = self._forward(context, target)
         rows = np.arange(n)
+        top /= top_sum[:, None]
+        low /= low_sum[:, None]
         top[rows, cls] -= 1
-        low[rows, own[order]] -= 1
+        low[rows, own_sorted] -= 1
         d_sorted = np.empty_like(h)
         g_word, g_bias = np.zeros_like(p["to_word"]), np.zeros_like(p["word_bias"])
+        ones = np.ones(n, np.float32)
         for c in range(CLASSES):
             a, b = cuts[c], cuts[c + 1]
             if a < b:
-                d_sorted[a:b] = low[a:b] @ p["to_word"][c].reshape(DIM, CLASS_SIZE).T
-                g_word[c] = (h_sorted[a:b].T @ low[a:b]).ravel()
-                g_bias[c] = np.ones(b - a, np.float32) @ low[a:b]
+                part = low[a:b]
+                np.matmul(part, p["to_word"][c].reshape(DIM, CLASS_SIZE).T, out=d_sorted[a:b])
+                np.matmul(h_sorted[a:b].T, part, out=g_word[c].reshape(DIM, CLASS_SIZE))
+                np.matmul(ones[:b - a], part, out=g_bias[c])
+        back = np.empty_like(order)
+        back[order] = rows
         d_h = top @ p["to_class"].T
-        d_h[order] += d_sorted
+        d_h += d_sorted.take(back, axis=0)
         d_h *= 1 - h * h
-        flat = np.concatenate([d_h * p["place"][k] for k in range(2 * REACH)])
-        where, ones = context.T.ravel(), np.ones(n, np.float32)
+        flat = np.empty((2 * REACH * n, DIM), np.float32)
+        for k in range(2 * REACH):
+            np.multiply(d_h, p["place"][k], out=flat[k * n:(k + 1) * n])
+        where = context.T.ravel()
         by = np.argsort(where.astype(np.int16), kind="stable")
-        used, first = np.unique(where[by], return_index=True)
+        where = where.take(by)
+        first = np.flatnonzero(np.diff(where, prepend=-1))
+        used = where[first]
         grads = {
             "place": np.stack([ones @ (part * d_h) for part in seen]), "hidden": (ones @ d_h)[None, :],
             "to_class": h.T @ top, "class_bias": (ones @ top)[None, :], "to_word": g_word, "word_bias": g_bias,
@@ -238,9 +283,10 @@ class Network:
             g /= n
             sums[name] += g * g
             p[name] -= RATE * g / (np.sqrt(sums[name]) + 1e-6)
-        g = np.add.reduceat(flat[by], first, axis=0) / n
-        sums["embed"][used] += g * g
-        p["embed"][used] -= RATE * g / (np.sqrt(sums["embed"][used]) + 1e-6)
+        g = np.add.reduceat(flat.take(by, axis=0), first, axis=0) / n
+        squares = sums["embed"][used] + g * g
+        sums["embed"][used] = squares
+        p["embed"][used] -= RATE * g / (np.sqrt(squares) + 1e-6)
 
 
 def windows(ids: np.ndarray) -> np.ndarray:
@@ -350,7 +396,7 @@ def _vocabulary(counts: DataFrame) -> tuple[Words, Rare, np.ndarray]:
         slots *= 2
 
     def number(column: pa.Array) -> pa.Array:
-        return pa.array([_slot(w.encode("utf-8", "surrogatepass"), slots) for w in column.to_pylist()], pa.int64())
+        return pa.array(_slots(column.cast(pa.binary()), slots))
     mean = np.zeros(slots, np.float32)
     for slot, n in (rare.select(F.arrow_udf(number, "long")("word").alias("slot"), "n")
                     .groupBy("slot").agg(F.avg("n").alias("n")).toLocalIterator()):
@@ -358,10 +404,26 @@ def _vocabulary(counts: DataFrame) -> tuple[Words, Rare, np.ndarray]:
     return words, Rare(mean, totals), unigram
 
 
+def _encode(texts: pa.Array, words: Words, rare: Rare | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token numbers of all texts one after another, the end of each text, and with ``rare`` the sum
+    of each text's log shares of rare words."""
+    ids, sizes, sums = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    for rows, tokens in token_arrays(texts):
+        part = words.numbers(tokens).astype(np.int32)
+        ids.append(part)
+        sizes += np.bincount(rows, minlength=len(texts))
+        if rare:
+            other = part >= VOCABULARY
+            sums += np.bincount(rows[other], rare.logs(tokens.filter(pa.array(other))), len(texts))
+    return np.concatenate(ids), np.cumsum(sizes), sums
+
+
 def _encoded(docs: DataFrame, text_col: str, id_col: str | None, words: Words, groups: int, rounds: int) -> DataFrame:
     """(grp, h, ids, round) of all texts, written by round; the group goes by content and id."""
     def encode(texts: pa.Array) -> pa.Array:
-        return pa.array([words.ids(t).astype(np.uint16).tobytes() for t in texts.to_pylist()], pa.binary())
+        ids, ends, _ = _encode(texts, words)
+        ids = ids.astype(np.uint16)
+        return pa.array([ids[a:b].tobytes() for a, b in pairwise([0, *ends.tolist()])], pa.binary())
     h = F.xxhash64(quoted(text_col), quoted(id_col)) if id_col else F.xxhash64(quoted(text_col))
     group = F.pmod(h, F.lit(groups)).cast("long")
     path = work_path(docs.sparkSession, "lm-encoded")
@@ -416,8 +478,7 @@ def score_column(text: str | Column, scorer: Scorer) -> Column:
     words, rare, net = scorer.words, scorer.rare, scorer.net
 
     def run(texts: pa.Array) -> pa.Array:
-        values = texts.to_pylist()
-        sizes, sums = np.zeros(len(values), np.int64), np.zeros(len(values))
+        ids, ends, sums = _encode(texts, words, rare)
         held: list[tuple[int, np.ndarray, np.ndarray]] = []
 
         def flush() -> None:
@@ -430,22 +491,16 @@ def score_column(text: str | Column, scorer: Scorer) -> Column:
                 at += len(t)
             held.clear()
         n = 0
-        for i, value in enumerate(values):
-            ids = []
-            for block in token_blocks(value):
-                ids.append(np.fromiter(map(words.__getitem__, block), np.int32, len(block)))
-                sums[i] += rare.sum_of(block, ids[-1])
-            ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            sizes[i] = len(ids)
-            for at in range(0, len(ids), SCORE_BATCH):
-                part = ids[at:at + SCORE_BATCH]
-                held.append((i, windows_at(ids, at, SCORE_BATCH), part))
+        for i, (a, b) in enumerate(pairwise([0, *ends.tolist()])):
+            for at in range(0, b - a, SCORE_BATCH):
+                part = ids[a + at:min(b, a + at + SCORE_BATCH)]
+                held.append((i, windows_at(ids[a:b], at, SCORE_BATCH), part))
                 n += len(part)
                 if n >= SCORE_BATCH:
                     flush()
                     n = 0
         flush()
-        return pa.StructArray.from_arrays([pa.array(sizes), pa.array(sums)], names=["n_tokens", "log_prob"])
+        return pa.StructArray.from_arrays([pa.array(np.diff(ends, prepend=0)), pa.array(sums)], names=["n_tokens", "log_prob"])
     return F.arrow_udf(run, "struct<n_tokens: bigint, log_prob: double>")(text)
 
 

@@ -7,6 +7,7 @@ import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import Row
@@ -788,6 +789,39 @@ def test_windows_at():
         assert np.array_equal(np.concatenate([lm_scoring.windows_at(ids, a, size) for a in range(0, 50, size)]), whole)
 
 
+@pytest.mark.parametrize("piece", [16, 1 << 22])
+def test_token_arrays_split_as_single_texts_do(piece, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PIECE", piece)
+    texts = [None, "", " ", "One two\tONE", "x" * 90, "\x00a-b_c\n\n1", "\u00c4rger \u4e2d\u6587 z", "end", "new", None, "l o n g " * 20]
+    plain = [[w.lower() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (t or "").encode())] for t in texts]
+    got = [[] for _ in texts]
+    for rows, words in lm_scoring.token_arrays(pa.array(texts)):
+        for row, word in zip(rows.tolist(), words.to_pylist(), strict=True):
+            got[row].append(word)
+    assert got == plain
+    words = lm_scoring.Words(["one", "two", "end", "\u4e2d\u6587"])
+    rare = lm_scoring.Rare(np.arange(4096, dtype=np.float32), np.full(lm_scoring.BUCKETS, 1e6))
+    ids, ends, sums = lm_scoring._encode(pa.array([None, *texts])[1:], words, rare)
+    assert ends.tolist() == np.cumsum([len(p) for p in plain]).tolist()
+    assert ids.tolist() == [words[w] for p in plain for w in p]
+    expected = [sum(rare[w] for w in p if w not in words) for p in plain]
+    assert np.allclose(sums, expected, rtol=1e-12) and sums[4] < 0
+
+
+def test_a_share_is_looked_up_once_a_distinct_word(monkeypatch):
+    text = " ".join(f"r{i:05x}" for i in range(290_000))  # more words than a worker used to keep
+    scorer = lm_scoring.Scorer(lm_scoring.Words(["known"]), lm_scoring.Rare(np.ones(1 << 16, np.float32), np.full(lm_scoring.BUCKETS, 1e5)),
+                               lm_scoring.Network.start(np.ones(lm_scoring.OUTPUTS)))
+    made, calls, slot = [], Counter(), lm_scoring._slot
+    with monkeypatch.context() as m:
+        m.setattr(lm_scoring.F, "arrow_udf", lambda f, _: made.append(f) or (lambda column: column))
+        lm_scoring.score_column("text", scorer)
+    monkeypatch.setattr(lm_scoring, "_slot", lambda word, slots: calls.update([word]) or slot(word, slots))
+    first, second = made[0](pa.array([text, text])).to_pylist()
+    assert first["n_tokens"] == 290_000 and first == pytest.approx(second, rel=1e-9)
+    assert len(calls) == calls.total() == 290_000
+
+
 # ---- op10 ----------------------------------------------------------------------------------
 
 def test_urls_rules_and_reputation(spark):
