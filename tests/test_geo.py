@@ -1,6 +1,7 @@
 """Geo functions: golden values for the five sample cities and the Europe box, plus properties."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -423,6 +424,103 @@ def test_pairs_are_measured_by_tile(spark):
     assert sorted((r.l_id, r.r_id) for r in got.collect()) == pairs and len(pairs) > 1000
 
 
+def _pair_points():
+    """Scattered points, many at one place, some round a pole, equal and null ids, null and infinite places, null names."""
+    rng = np.random.default_rng(21)
+    n = 2600
+    xs = np.concatenate((rng.uniform(-185, 185, n - 700), np.full(300, 20.0), rng.uniform(-180, 180, 200), 20 + rng.uniform(-0.01, 0.01, 200)))
+    ys = np.concatenate((rng.uniform(-88, 88, n - 700), np.full(300, 50.0), rng.uniform(88, 90, 200), 50 + rng.uniform(-0.01, 0.01, 200)))
+    ids = [f"p{i % 2550:04d}" for i in range(n)]
+    names = [None if i % 50 == 0 else f"n{i}" for i in range(n)]
+    rows = [(k, m, (float(x), float(y))) for k, m, x, y in zip(ids, names, xs, ys)]
+    odd = [(None, "null id", (20.0, 50.0)), ("z1", "no place", None), ("z2", "nan", (math.nan, 50.0)), ("z3", "inf", (20.0, math.inf))]
+    return rows, rows + odd
+
+
+def _measured_pairs(rows, radius):
+    """(l_id, r_id, l_name, r_name, metres) of all pairs, each measured."""
+    xs, ys = (np.array([r[2][k] for r in rows]) for k in (0, 1))
+    a, b = np.triu_indices(len(rows), 1)
+    close = np.abs(ys[a] - ys[b]) < radius / 110_000
+    a, b = a[close], b[close]
+    metres, _ = geodesy.inverse(xs[a], ys[a], xs[b], ys[b])
+    out = []
+    for i, j, m in zip(a[metres <= radius], b[metres <= radius], metres[metres <= radius]):
+        i, j = (i, j) if rows[i][0] < rows[j][0] else (j, i)
+        if rows[i][0] != rows[j][0]:
+            out.append((rows[i][0], rows[j][0], rows[i][1], rows[j][1], m))
+    return out
+
+
+@pytest.mark.parametrize("result_pairs", [8 << 20, 4000, 1000])
+def test_ordered_pairs_are_whole_and_in_order(spark, monkeypatch, result_pairs):
+    """However many result tasks the pairs are dealt to, also where equal distances fill several of them."""
+    monkeypatch.setattr(spatial, "RESULT_PAIRS", result_pairs)
+    rows, table = _pair_points()
+    pts = spark.createDataFrame(table, "id string, name string, loc struct<lon: double, lat: double>").repartition(5)
+    radius = 500_000.0
+    got = spatial.pairs_within(pts, "id", "loc", radius, "km", carry=("name",), km_decimals=2,
+                               columns={"l_id": "a", "r_id": "b", "l_name": "m", "r_name": "n", "km": "km"})
+    assert got.columns == ["a", "m", "b", "n", "km"]
+    tasks = got.rdd.getNumPartitions()
+    assert (tasks > 60) == (result_pairs == 1000)
+    got = [tuple(r) for r in got.collect()]
+    metres = _measured_pairs(rows, radius)
+    steps = geodesy.km_steps([m for *_, m in metres], 2)
+    want = [(a, m, b, n, k / 100) for (a, b, m, n, _), k in zip(metres, steps)]
+    assert [r[-1] for r in got] == sorted(r[-1] for r in want)
+    assert Counter(got) == Counter(want) and len(got) > 80_000
+
+
+def test_ordered_pairs_beyond_the_bounds(spark, monkeypatch):
+    """A longer radius, and points whose columns are too many bytes to be looked up."""
+    rows, table = _pair_points()
+    pts = spark.createDataFrame(table[::3] + table[-4:], "id string, name string, loc struct<lon: double, lat: double>")
+
+    def pairs(radius):
+        got = spatial.pairs_within(pts, "id", "loc", radius, "km", km_decimals=2, columns=("l_id", "r_id", "km")).collect()
+        assert [r.km for r in got] == sorted(r.km for r in got)
+        return Counter(map(tuple, got))
+    placed = pts.where(~F.col("id").isin("z2", "z3"))
+    plain = spatial.pairs_within(placed, "id", "loc", 1_500_000.0, columns=("l_id", "r_id", "distance_m"))
+    plain = plain.select("l_id", "r_id", F.round(F.col("distance_m") / 1000, 2))
+    assert pairs(1_500_000.0) == Counter(map(tuple, plain.collect()))
+    looked_up = pairs(300_000.0)
+    monkeypatch.setattr(spatial, "MAX_LOOKUP_BYTES", 1000)
+    assert pairs(300_000.0) == looked_up and looked_up
+
+
+def test_no_second_pass_over_the_pairs_for_their_order(spark):
+    """The pairs were made twice, once for the bounds of the order, and shuffled as rows with both names."""
+    from lakelens.plans import queries
+    made = queries.geo_pair_distance(spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "rangepartitioning" not in plan
+    assert not any("_city" in x or "name" in x for x in plan.splitlines() if "Exchange" in x)
+    km = [r.distance_km for r in made.collect()]
+    assert km == sorted(km) and made.columns == ["from_city", "to_city", "distance_km"]
+
+
+def test_steps_are_rounded_as_spark_rounds(spark):
+    rng = np.random.default_rng(5)
+    metres = np.concatenate((np.arange(0, 40_000) * 5.0, rng.uniform(0, 500_000, 20_000), np.nextafter(np.arange(1, 9_000) * 5.0, 0)))
+    df = spark.createDataFrame([(float(m),) for m in metres], "m double").select("m", F.round(F.col("m") / 1000, 2).alias("km"))
+    rows = df.collect()
+    assert (geodesy.km_steps([r.m for r in rows], 2) / 100 == np.array([r.km for r in rows])).all()
+
+
+@pytest.mark.parametrize("radius", [3_000.0, 500_000.0, 1_000_000.0])
+def test_chord_arcs_are_nearer_than_their_margin(radius):
+    rng = np.random.default_rng(6)
+    n = 50_000
+    x1, y1 = rng.uniform(-180, 180, n), rng.uniform(-90, 90, n)
+    x2, y2 = geodesy.direct(x1, y1, rng.uniform(0, 360, n), np.maximum(1000.0, radius * np.sqrt(rng.random(n))))
+    p, q = geodesy._unit_sphere(x1, y1), geodesy._unit_sphere(x2, y2)
+    arcs = geodesy._arc_of_chord(2 - 2 * (p * q).sum(axis=1), p[:, 2], q[:, 2])
+    off = np.abs(arcs - geodesy.inverse(x1, y1, x2, y2)[0])
+    assert off.max() < geodesy._arc_margin(radius) / 4
+
+
 def test_buffers_are_dealt_to_all_slots(spark):
     """However few row groups the points come in."""
     from lakelens.plans import queries
