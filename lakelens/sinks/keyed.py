@@ -69,7 +69,10 @@ def _claim(spark: SparkSession, path: str) -> int:
         taken = [int(m.split(".")[0]) for m in markers(spark, _log(path)) if m[0].isdigit()]
         n = 1 + max([0, *taken, *_commits(spark, path, 0), *_commits(spark, path, 1)])
         if create_marker(spark, _log(path), f"{n:012d}.claim"):
-            return n
+            # a later claim may have been closed since the listing, and the mark of this number dropped with it
+            if not any(m.endswith(".done") and int(m[:12]) >= n for m in markers(spark, _log(path))):
+                return n
+            delete_marker(spark, _log(path), f"{n:012d}.claim")
 
 
 def _open_claims(spark: SparkSession, path: str, before: int) -> list[int]:

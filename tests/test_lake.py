@@ -368,6 +368,20 @@ def test_probe_follows_the_batch(spark, scratch):
     assert spark.read.parquet(path).count() == 3101  # without the module as well
 
 
+def test_number_of_a_dropped_claim_is_not_taken_again(spark, scratch, monkeypatch):
+    from lakelens.sinks import keyed
+    path, commits, others = f"{scratch}/t", keyed._commits, [1, 2]
+
+    def meanwhile(*args):
+        while others:  # claimed and closed between this writer's two listings
+            n = others.pop(0)
+            assert keyed.create_marker(spark, keyed._log(path), f"{n:012d}.claim")
+            keyed._close(spark, path, n)
+        return commits(*args)
+    monkeypatch.setattr(keyed, "_commits", meanwhile)
+    assert keyed._claim(spark, path) == 3
+
+
 def test_two_writers_insert_each_key_once(spark, scratch):
     from concurrent.futures import ThreadPoolExecutor
 
